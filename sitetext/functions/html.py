@@ -38,7 +38,8 @@ _BLOCK_TAGS = (
     "tfoot", "th", "thead", "tr", "ul",
 )
 _BLOCK_PATTERN = rf"(?i)</?(?:{'|'.join(_BLOCK_TAGS)}){_ATTRS}>"
-_TAG_PATTERN = r"</?[A-Za-z][^<>]*>|<[!?][^<>]*>"
+_TAG_PATTERN = r"</?[A-Za-z!?][^<>]*>"
+_BLANK = "\u00a0\t\r\f"
 
 # The character references decoded in text and in attribute values.
 NAMED_CHARACTERS = {
@@ -67,7 +68,8 @@ def _character(code: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Decode character references once, from left to right. Unknown ones stay."""
-    names = F.create_map(*[F.lit(x) for pair in NAMED_CHARACTERS.items() for x in pair])
+    listed = "\n".join(f"{name}={char}" for name, char in NAMED_CHARACTERS.items())
+    names = F.str_to_map(F.lit(listed), F.lit("\n"), F.lit("="))
 
     def decode(piece: Column) -> Column:
         def named(name: Column) -> Column:
@@ -128,11 +130,13 @@ def _main_content(markup: Column) -> Column:
 def markup_text(markup: Column) -> Column:
     """Prose of visible markup, one block per line; `''` when there is none."""
     prose = _main_content(F.regexp_replace(markup, _BOILERPLATE_PATTERN, "\n"))
-    one_line = F.translate(prose, "\t\n\r\f", "    ")
+    one_line = F.replace(prose, F.lit("\n"), F.lit(" "))
     lines = F.regexp_replace(one_line, _BLOCK_PATTERN, "\n")
     plain = unescape(F.regexp_replace(lines, _TAG_PATTERN, ""))
-    blanks = F.translate(plain, " \t\r\f", "    ")
-    tidy = F.regexp_replace(F.regexp_replace(blanks, r" {2,}", " "), r" ?\n[ \n]*", "\n")
+    blanks = F.regexp_replace(plain, f"[ {_BLANK}]{{2,}}|[{_BLANK}]", " ")
+    for blank in (" \n", "\n "):
+        blanks = F.replace(blanks, F.lit(blank), F.lit("\n"))
+    tidy = F.regexp_replace(blanks, r"\n{2,}", "\n")
     return F.coalesce(F.trim(tidy, F.lit(" \n")), F.lit(""))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -106,12 +106,11 @@ def url_slug(url: Column) -> Column:
 
 def has_binary_extension(url: Column) -> Column:
     """True when the last path segment ends in the extension of a file that is not a page."""
-    extension = F.lower(F.regexp_extract(url_path(url), r"\.([^./]*)$", 1))
-    return extension.isin(*BINARY_EXTENSIONS)
+    return url_path(url).rlike(rf"(?i)\.(?:{'|'.join(BINARY_EXTENSIONS)})$")
 
 
 def _contains_any(text: Column, words: Sequence[str]) -> Column:
-    return reduce(Column.__or__, (text.contains(w) for w in words), F.lit(False))
+    return text.rlike("|".join(re.escape(w) for w in words)) if words else F.lit(False)
 
 
 def score_path(path: Column, high: Sequence[str], low: Sequence[str]) -> Column:
@@ -119,11 +118,9 @@ def score_path(path: Column, high: Sequence[str], low: Sequence[str]) -> Column:
 
     Keywords are taken as given: one with capitals never matches.
     """
-    lowered = F.lower(path)
-    return (
-        F.when(_contains_any(lowered, high), 2)
-        .when(_contains_any(lowered, low), -1)
-        .otherwise(0)
+    return bind(
+        F.lower(path),
+        lambda p: F.when(_contains_any(p, high), 2).when(_contains_any(p, low), -1).otherwise(0),
     )
 
 

@@ -31,7 +31,7 @@ from sitetext.functions.urls import (
     url_slug,
 )
 from sitetext.operators.attempts import fold_attempts, next_attempts
-from sitetext.operators.discovery import discover
+from sitetext.operators.discovery import discover, site_documents
 from sitetext.operators.pages import page_digests
 from sitetext.operators.pages import render_queue as queue_of
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
@@ -251,10 +251,11 @@ def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
 def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates of each site from sitemap, robots file or anchors, whichever comes first."""
     located = d.sites(d.pages(spark, folder))
-    digests = page_digests(d.site_attempts(located), None, OPTIONS)
-    staged = Staging(spark).stage(digests, "digests")
+    staged = Staging(spark).stage(
+        page_digests(d.site_attempts(located), None, OPTIONS), "digests"
+    )
     companies = located.select(F.col("page_id").alias("company_key"), "home")
-    return discover(companies, staged, OPTIONS).select(
+    return discover(companies, staged, site_documents(staged), OPTIONS).select(
         F.col("company_key").alias("page_id"),
         "no_links",
         F.posexplode("candidates").alias("pos", "link"),

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from sitetext.config import BLOCKING_STATUSES, MIN_TEXT_LENGTH, NO_RESPONSE
+from sitetext.functions.urls import bind
 
 
 def is_blocked(status: Column) -> Column:
@@ -24,13 +25,18 @@ def render_reason(status: Column, text: Column) -> Column:
 
 
 def is_challenge(text: Column, phrases: Sequence[str]) -> Column:
-    lowered = F.lower(text)
-    return reduce(Column.__or__, (lowered.contains(p) for p in phrases), F.lit(False))
+    return bind(
+        F.lower(text),
+        lambda t: reduce(Column.__or__, (t.contains(p) for p in phrases), F.lit(False)),
+    )
 
 
 def gated_text(text: Column, escalated: Column, phrases: Sequence[str]) -> Column:
     """Text of a rendered page is discarded when it is short or a challenge page."""
-    return F.when(escalated & (is_thin(text) | is_challenge(text, phrases)), "").otherwise(text)
+    return bind(
+        text,
+        lambda t: F.when(escalated & (is_thin(t) | is_challenge(t, phrases)), "").otherwise(t),
+    )
 
 
 def company_status(tried: Column, ok: Column) -> Column:

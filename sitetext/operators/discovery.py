@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sitetext.config import MAX_CHILD_SITEMAPS, MAX_RAW_LINKS, Options
 from sitetext.functions.links import ranked_links, site_links, without_homepage
-from sitetext.functions.urls import bare_host, robots_address, site_root, sitemap_address
+from sitetext.functions.urls import bare_host, bind, robots_address, site_root, sitemap_address
 from sitetext.operators.ranking import cap_links
 
 
@@ -14,71 +14,79 @@ def _none() -> Column:
     return F.array().cast("array<string>")
 
 
-def _joined_locs(lists: DataFrame) -> DataFrame:
-    """First 200 addresses over a site's sitemaps, from rows (root, pos, locs).
-
-    Only the first 200 non-empty sitemaps can matter, which bounds what is gathered per site.
-    """
-    filled = lists.where(F.size("locs") > 0)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "locs")))
-    return (
-        cap_links(filled, "root", ["pos"], MAX_RAW_LINKS)
-        .groupBy("root")
-        .agg(F.slice(F.flatten(F.transform(ordered, lambda s: s["locs"])), 1, MAX_RAW_LINKS).alias("locs"))
+def site_documents(digests: DataFrame) -> DataFrame:
+    """Usable sitemaps and robots files among the captured addresses: few rows, so stage them."""
+    return digests.where((F.size("locs") > 0) | (F.size("robots") > 0)).select(
+        F.col("page_url").alias("address"), "locs", "is_index", "is_markup", "robots"
     )
 
 
-def _documents(digests: DataFrame, kind: Column) -> DataFrame:
-    return digests.where(kind).select(
-        F.col("page_url").alias("address"), "locs", "is_index", "is_markup", "robots"
-    )
+def _first_source(listed: DataFrame, sitemaps: DataFrame) -> DataFrame:
+    """Raw links, at most 200, of each root from the sitemaps listed for it.
 
+    Rows of `listed` are (root, source, pos, address); the lowest source with any links wins.
+    Only the first 200 sitemaps that have links can matter, which bounds what is gathered for
+    a root.
+    """
+    filled = listed.join(sitemaps, "address").select("root", "source", "pos", "locs")
+    ordered = F.array_sort(F.collect_list(F.struct("source", "pos", "locs")))
+
+    def joined(lists: Column) -> Column:
+        source = F.get(lists, F.lit(0))["source"]
+        chosen = F.filter(lists, lambda s: s["source"] == source)
+        return F.slice(F.flatten(F.transform(chosen, lambda s: s["locs"])), 1, MAX_RAW_LINKS)
 
-def _listed_locs(listed: DataFrame, documents: DataFrame) -> DataFrame:
-    """Addresses in the sitemaps a site lists, from rows (root, addresses)."""
-    children = listed.select("root", F.posexplode("addresses").alias("pos", "address"))
-    return _joined_locs(
-        children.join(documents.select("address", "locs"), "address").select("root", "pos", "locs")
+    return (
+        cap_links(filled, "root", ["source", "pos"], MAX_RAW_LINKS)
+        .groupBy("root")
+        .agg(ordered.alias("lists"))
+        .select("root", bind(F.col("lists"), joined).alias("locs"))
     )
 
 
-def site_sitemap_links(sites: DataFrame, digests: DataFrame) -> DataFrame:
+def site_sitemap_links(sites: DataFrame, documents: DataFrame) -> DataFrame:
     """Raw links, at most 200, of each site (column root) that its sitemaps give any for.
 
     Per site and not per company: companies on one site share the work, and a site that holds
     a third of all companies is one row here.
     """
-    sitemaps = _documents(digests, F.size("locs") > 0)
-    main = sites.join(
-        sitemaps.where("is_markup"),
-        sitemap_address(F.col("root")) == F.col("address"),
+    sitemaps = documents.where(F.size("locs") > 0).select("address", "locs")
+    main = documents.where((F.size("locs") > 0) & F.col("is_markup")).select(
+        F.col("address").alias("main_address"), "locs", "is_index"
     )
-    plain = main.where(~F.col("is_index")).select("root", "locs")
-    from_index = _listed_locs(
-        main.where("is_index").select(
-            "root", F.slice("locs", 1, MAX_CHILD_SITEMAPS).alias("addresses")
-        ),
-        sitemaps,
+    robots = documents.where(F.size("robots") > 0).select(
+        F.col("address").alias("robots_address"), "robots"
     )
-    first = plain.unionByName(from_index)
-    robots = _documents(digests, F.size("robots") > 0)
-    from_robots = _listed_locs(
-        sites.join(first, "root", "left_anti")
-        .join(robots, robots_address(F.col("root")) == F.col("address"))
-        .select("root", F.col("robots").alias("addresses")),
-        sitemaps,
+    looked_up = sites.join(
+        main, sitemap_address(F.col("root")) == F.col("main_address"), "left"
+    ).join(robots, robots_address(F.col("root")) == F.col("robots_address"), "left")
+
+    plain = F.col("locs").isNotNull() & ~F.col("is_index")
+    children = F.when(F.col("is_index"), F.slice("locs", 1, MAX_CHILD_SITEMAPS))
+    sources = F.array(
+        F.struct(F.lit(0).alias("source"), children.alias("addresses")),
+        F.struct(F.lit(1).alias("source"), F.col("robots").alias("addresses")),
+    )
+    listed = (
+        looked_up.where(~F.coalesce(plain, F.lit(False)))
+        .select("root", F.explode(sources).alias("s"))
+        .select("root", "s.source", F.posexplode("s.addresses").alias("pos", "address"))
+    )
+    return (
+        looked_up.where(plain).select("root", "locs").unionByName(_first_source(listed, sitemaps))
     )
-    return first.unionByName(from_robots)
 
 
-def discover(companies: DataFrame, digests: DataFrame, options: Options) -> DataFrame:
+def discover(
+    companies: DataFrame, digests: DataFrame, documents: DataFrame, options: Options
+) -> DataFrame:
     """Candidate links of each company (columns company_key, home), homepage not yet excluded.
 
-    Adds candidates, and no_links: the homepage had to be rendered to get them. A source counts
+    `documents` are the `site_documents` of the digests. Adds candidates, and no_links: the homepage had to be rendered to get them. A source counts
     as empty before filtering, so a sitemap of foreign links still hides the anchors.
     """
     located = companies.withColumn("root", site_root(F.col("home")))
-    sites = site_sitemap_links(located.select("root").distinct(), digests).withColumn(
+    sites = site_sitemap_links(located.select("root").distinct(), documents).withColumn(
         "site_links", site_links(F.col("locs"), bare_host(F.col("root")))
     )
     homepages = digests.select(

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sitetext.config import LOG_SCHEMA, RAW_SCHEMA, RESULTS_SCHEMA, Options
-from sitetext.operators.discovery import discover, select_pages
+from sitetext.operators.discovery import discover, select_pages, site_documents
 from sitetext.operators.pages import page_digests, render_queue
 from sitetext.operators.rollup import (
     company_pages,
@@ -103,9 +103,10 @@ def run_companies(
         with_company_key(company_rows(companies, id_col, url_col)), "companies"
     )
     digests = staging.stage(page_digests(attempts, renders, options), "digests")
+    documents = staging.stage(site_documents(digests), "documents")
     located = keyed.where(F.col("home").isNotNull()).select("company_key", "home")
     selected = staging.stage(
-        select_pages(discover(located, digests, options), options), "selected"
+        select_pages(discover(located, digests, documents, options), options), "selected"
     )
     return Run(
         options=options,

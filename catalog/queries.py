@@ -399,11 +399,12 @@ def document_rollup(spark: SparkSession, folder: str) -> DataFrame:
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Markup each page was judged on, with its host as the company."""
     source = d.pages(spark, folder)
-    pages = d.host_pages(source).withColumn(
-        "attempt", F.when(F.col("escalated_to_js"), None).otherwise(F.lit(0))
-    )
     rows = raw_rows(
-        d.host_companies(source), pages, d.page_attempts(source), d.page_renders(source)
+        d.host_companies(source),
+        d.host_pages(source).withColumn("attempt", F.lit(0)),
+        d.page_attempts(source),
+        d.page_renders(source),
+        OPTIONS,
     )
     return rows.select("id", "url", "page_url", F.md5("html").alias("html_md5"),
                        F.length("html").alias("html_len"), "escalated_to_js")

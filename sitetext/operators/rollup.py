@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitetext.config import Options
-from sitetext.functions.judgement import company_status
+from sitetext.functions.judgement import company_status, is_blocked
 from sitetext.functions.urls import url_slug
+from sitetext.operators.attempts import within_budget
 
 MISSING_URL = "missing url"
+_RENDERED = -1  # stands for the attempt number of a rendering
 
 
 def company_pages(selected: DataFrame, digests: DataFrame, options: Options) -> DataFrame:
@@ -160,30 +162,38 @@ def raw_rows(
     pages: DataFrame,
     attempts: DataFrame,
     renders: DataFrame | None,
+    options: Options,
 ) -> DataFrame:
     """The raw page table: the markup each selected page was judged on.
 
-    The only place where html is shuffled, so it is built only on request.
+    The only place where html is shuffled, so it is built only on request. Attempts and
+    renderings go through one join, and company columns are attached before it.
     """
-    keys = pages.select(
-        "company_key", "ord", "page_url", "attempt", "reason", "escalated_to_js", "last_fetched"
+    age, none = F.coalesce(F.unix_micros("fetched_at"), F.lit(0)), F.lit(0).cast("bigint")
+    read = within_budget(attempts, options)
+    if options.js_fallback:
+        read = read.where(~is_blocked(F.col("status")))
+    bodies = read.select(
+        "page_url", F.col("attempt").alias("source"), "html", F.struct(age, none, none).alias("rank")
     )
-    age = F.coalesce(F.unix_micros("fetched_at"), F.lit(0))
-    fetched = attempts.groupBy("page_url", "attempt").agg(F.max_by("html", age).alias("html"))
-    rows = keys.join(fetched, ["page_url", "attempt"], "left")
-    html = F.col("html")
     if renders is not None:
-        size = F.struct(F.length("html"), F.xxhash64("html"))
-        rendered = renders.groupBy("page_url").agg(F.max_by("html", size).alias("rendered"))
-        rows = rows.join(rendered, "page_url", "left")
-        html = F.when(F.col("escalated_to_js"), F.col("rendered")).otherwise(html)
-    else:
-        html = F.when(~F.col("escalated_to_js"), html)
-    return rows.join(companies.select("company_key", "id", "home"), "company_key").select(
+        size = F.struct(none, F.length("html").cast("bigint"), F.xxhash64("html"))
+        bodies = bodies.union(
+            renders.select("page_url", F.lit(_RENDERED).alias("source"), "html", size)
+        )
+    bodies = bodies.groupBy("page_url", "source").agg(F.max_by("html", "rank").alias("html"))
+    source = F.when(F.col("escalated_to_js"), _RENDERED).otherwise(F.col("attempt"))
+    wanted = companies.select("company_key", "id", "home").join(
+        pages.select(
+            "company_key", "page_url", source.alias("source"), "escalated_to_js", "last_fetched"
+        ),
+        "company_key",
+    )
+    return wanted.join(bodies, ["page_url", "source"], "left").select(
         "id",
         F.col("home").alias("url"),
         "page_url",
-        F.coalesce(html, F.lit("")).alias("html"),
+        F.coalesce("html", F.lit("")).alias("html"),
         F.col("last_fetched").alias("fetched_at"),
         "escalated_to_js",
     )

@@ -62,7 +62,9 @@ class Run:
 
     @cached_property
     def raw(self) -> DataFrame:
-        rows = raw_rows(self.companies, self.pages, self.attempts, self.renders)
+        rows = raw_rows(
+            self.companies, self.pages, self.attempts, self.renders, self.options
+        )
         return with_schema(rows, RAW_SCHEMA)
 
     @cached_property

@@ -11,6 +11,7 @@ from sitetext.config import SITEMAP_NAMESPACE
 from sitetext.functions.html import anchor_hrefs, extract_text, visible_markup
 from sitetext.functions.judgement import gated_text, is_blocked, render_reason
 from sitetext.functions.urls import site_root, url_host, url_slug
+from sitetext.sources.tables import read_captures
 
 HIGH = ("the", "en")
 LOW = ("de", "html")
@@ -23,7 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages")
+    return read_captures(spark, f"{folder}/pages.parquet")
 
 
 def status_of(number: Column) -> Column:

@@ -46,7 +46,6 @@ OPTIONS = Options(
     low_value_keywords=d.LOW,
     challenge_phrases=d.CHALLENGE,
 )
-URL = F.col("url")
 
 
 # --- Addresses --------------------------------------------------------------
@@ -56,10 +55,10 @@ def normalize_urls(spark: SparkSession, folder: str) -> DataFrame:
     """Page addresses written in four ways: as they are, bare, with capitals, with a fragment."""
     kind = F.col("page_id") % 4
     given = (
-        F.when(kind == 1, F.regexp_replace(URL, "^[a-z]+://", ""))
-        .when(kind == 2, F.concat(F.upper(url_scheme(URL)), F.regexp_replace(URL, "^[a-z]+", "")))
-        .when(kind == 3, F.concat(F.split_part(URL, F.lit("#"), F.lit(1)), F.lit("#a/b?c")))
-        .otherwise(URL)
+        F.when(kind == 1, F.regexp_replace(F.col("url"), "^[a-z]+://", ""))
+        .when(kind == 2, F.concat(F.upper(url_scheme(F.col("url"))), F.regexp_replace(F.col("url"), "^[a-z]+", "")))
+        .when(kind == 3, F.concat(F.split_part(F.col("url"), F.lit("#"), F.lit(1)), F.lit("#a/b?c")))
+        .otherwise(F.col("url"))
     )
     return d.pages(spark, folder).select(
         "page_id", given.alias("given"), normalize_url(given).alias("normalized")
@@ -69,20 +68,20 @@ def normalize_urls(spark: SparkSession, folder: str) -> DataFrame:
 def url_slugs(spark: SparkSession, folder: str) -> DataFrame:
     return d.pages(spark, folder).select(
         "page_id",
-        url_slug(URL).alias("slug"),
-        url_slug(F.concat(site_root(URL), F.lit("/"))).alias("root_slug"),
+        url_slug(F.col("url")).alias("slug"),
+        url_slug(F.concat(site_root(F.col("url")), F.lit("/"))).alias("root_slug"),
     )
 
 
 def url_parts(spark: SparkSession, folder: str) -> DataFrame:
     return d.pages(spark, folder).select(
         "page_id",
-        url_scheme(URL).alias("scheme"),
-        url_host(URL).alias("host"),
-        bare_host(URL).alias("bare_host"),
-        url_path(URL).alias("path"),
-        url_query(URL).alias("query"),
-        url_fragment(URL).alias("fragment"),
+        url_scheme(F.col("url")).alias("scheme"),
+        url_host(F.col("url")).alias("host"),
+        bare_host(F.col("url")).alias("bare_host"),
+        url_path(F.col("url")).alias("path"),
+        url_query(F.col("url")).alias("query"),
+        url_fragment(F.col("url")).alias("fragment"),
     )
 
 
@@ -90,7 +89,7 @@ def site_addresses(spark: SparkSession, folder: str) -> DataFrame:
     """Sitemap and robots address of every site with its number of pages."""
     return (
         d.pages(spark, folder)
-        .groupBy(site_root(URL).alias("root"))
+        .groupBy(site_root(F.col("url")).alias("root"))
         .agg(F.count("*").alias("n_pages"))
         .select(
             "root",
@@ -105,7 +104,7 @@ def site_addresses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _anchors(source: DataFrame) -> DataFrame:
-    links = anchor_links(F.col("html"), normalize_url(URL))
+    links = anchor_links(F.col("html"), normalize_url(F.col("url")))
     return source.select("page_id", "url", F.posexplode(links).alias("pos", "link"))
 
 
@@ -126,7 +125,7 @@ def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 5, F.concat(F.lit("//other.example/"), word))
         .otherwise(F.concat(F.lit("#"), word))
     )
-    base = normalize_url(URL)
+    base = normalize_url(F.col("url"))
     return (
         _anchors(d.pages(spark, folder))
         .select("page_id", "pos", base.alias("base"), ref.alias("ref"))
@@ -141,11 +140,11 @@ def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def filtered_links(spark: SparkSession, folder: str) -> DataFrame:
     """Site pages among links of six kinds: own host, www, other scheme, other host, file, copy."""
-    root, host = site_root(URL), url_host(URL)
+    root, host = site_root(F.col("url")), url_host(F.col("url"))
     path = F.regexp_replace("link", "^https?://[^/]*", "")
     kind = F.col("pos") % 6
     link = (
-        F.when(kind == 1, F.concat(F.lit("http://www."), bare_host(URL), path))
+        F.when(kind == 1, F.concat(F.lit("http://www."), bare_host(F.col("url")), path))
         .when(kind == 2, F.concat(F.lit("ftp://"), host, path))
         .when(kind == 3, F.concat(F.lit("https://x."), host, path))
         .when(kind == 4, F.concat(root, path, F.lit(".tar.GZ?v=1")))
@@ -154,7 +153,7 @@ def filtered_links(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = _anchors(d.pages(spark, folder)).select(
         "page_id", F.explode(F.array("pos", F.col("pos") + 1000)).alias("pos"),
-        link.alias("link"), bare_host(URL).alias("host"),
+        link.alias("link"), bare_host(F.col("url")).alias("host"),
     )
     return site_link_rows(rows, "page_id", "link", "pos", F.col("host")).select(
         "page_id", "link", "pos"
@@ -174,7 +173,7 @@ def scored_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _candidates(source: DataFrame) -> DataFrame:
-    home = normalize_url(URL)
+    home = normalize_url(F.col("url"))
     links = F.slice(anchor_links(F.col("html"), home), 1, MAX_RAW_LINKS)
     return source.select(
         "page_id",
@@ -203,7 +202,7 @@ def ranked_links_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def host_top_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The best seven pages of each host."""
-    rows = d.pages(spark, folder).select(url_host(URL).alias("host"), "url", "page_id")
+    rows = d.pages(spark, folder).select(url_host(F.col("url")).alias("host"), "url", "page_id")
     return top_links(rows, "host", "url", "page_id", d.HIGH, d.LOW, limit=7).select(
         "host", "rank", "page_id", "url", "score", "depth"
     )
@@ -265,7 +264,7 @@ def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
 def discovery_cap(spark: SparkSession, folder: str) -> DataFrame:
     """The first two hundred raw links of each host, before any filter."""
     rows = _anchors(d.pages(spark, folder)).select(
-        url_host(URL).alias("host"), "page_id", "pos", "link"
+        url_host(F.col("url")).alias("host"), "page_id", "pos", "link"
     )
     return cap_links(rows, "host", ["page_id", "pos"], MAX_RAW_LINKS)
 
@@ -414,7 +413,7 @@ def pending_companies(spark: SparkSession, folder: str) -> DataFrame:
     """Hosts still to do, when those whose smallest page_id is even are done."""
     source = d.pages(spark, folder)
     companies = d.host_companies(source)
-    first = source.groupBy(url_host(URL).alias("id")).agg(F.min("page_id").alias("first"))
+    first = source.groupBy(url_host(F.col("url")).alias("id")).agg(F.min("page_id").alias("first"))
     return pending(companies, first.where(F.col("first") % 2 == 0)).select("id", "url")
 
 

@@ -16,7 +16,8 @@ _XML = (
     "url array<struct<loc:array<string>>>, sitemap array<struct<loc:array<string>>>, "
     "_corrupt_record string"  # must come last, or the other columns shift
 )
-_XML_OPTIONS = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
+_XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record"}
+_PREFIXED_TAG = r"<([A-Za-z_][\w.\-]*):"
 _NO_STRINGS = "array<string>"
 
 
@@ -50,14 +51,25 @@ def _in_namespace(body: Column) -> Column:
 
 
 def _parsed(body: Column) -> Column:
-    return F.from_xml(body, _XML, _XML_OPTIONS)
+    """The document without the prefix of its root element; other prefixes stay apart."""
+
+    def plain(prefix: Column) -> Column:
+        opened = F.replace(body, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<"))
+        closed = F.replace(opened, F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</"))
+        return F.when(prefix == "", body).otherwise(closed)
+
+    return F.from_xml(bind(_root(body, 1), plain), _XML, _XML_OPTIONS)
 
 
 def _well_formed(body: Column, parsed: Column) -> Column:
-    # The parser stops after the root element; text behind it is an error all the same.
-    return parsed["_corrupt_record"].isNull() & F.regexp_replace(body, _BEFORE_ROOT, "").rlike(
-        _CLOSED
+    # The parser stops after the root element and takes any prefix; text behind the root and a
+    # prefix without a namespace are errors all the same.
+    used = F.array_distinct(F.regexp_extract_all(body, F.lit(_PREFIXED_TAG), F.lit(1)))
+    declared = F.forall(
+        used, lambda p: F.contains(body, F.concat(F.lit("xmlns:"), p, F.lit("=")))
     )
+    closed = F.regexp_replace(body, _BEFORE_ROOT, "").rlike(_CLOSED)
+    return parsed["_corrupt_record"].isNull() & declared & closed
 
 
 def sitemap_locs(body: Column) -> Column:

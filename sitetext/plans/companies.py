@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sitetext.config import LOG_SCHEMA, RAW_SCHEMA, RESULTS_SCHEMA, Options
 from sitetext.operators.discovery import discover, select_pages, site_documents
@@ -97,10 +97,7 @@ def run_companies(
     `attempts` is the fetch log with captured markup (see ATTEMPTS_SCHEMA), `renders` the pages
     rendered so far (RENDERS_SCHEMA). One row per input company comes out, copies included.
     """
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        raise RuntimeError("no active Spark session")
-    staging = Staging(spark)
+    staging = Staging(companies.sparkSession)
     keyed = staging.stage(
         with_company_key(company_rows(companies, id_col, url_col)), "companies"
     )

@@ -14,6 +14,17 @@ def read_table(spark: SparkSession, source: str, file_format: str = "parquet") -
     return spark.read.format(file_format).load(source) if "/" in source else spark.table(source)
 
 
+def read_captures(spark: SparkSession, source: str, file_format: str = "parquet") -> DataFrame:
+    """Captured pages, read by at least as many tasks as there are cores.
+
+    Reading markup is bound by the processor, and a few files with one row group each would
+    leave most cores idle. Large inputs have more splits than cores and are not shuffled.
+    """
+    rows = read_table(spark, source, file_format)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def company_rows(companies: DataFrame, id_col: str, url_col: str) -> DataFrame:
     """Any table with an id and a url column as id, url, home.
 

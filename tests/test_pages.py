@@ -113,6 +113,11 @@ def test_sitemaps(spark):
         (f"<urlset {NS}><url><loc>\n https://e.com/1?a&amp;b </loc><lastmod>x</lastmod></url></urlset>", ["1?a&b"], False),
         (f"<s:urlset xmlns:s='{SITEMAP_NAMESPACE}'><s:url><s:loc>https://e.com/1</s:loc></s:url></s:urlset>", [1], False),
         (f"<!-- c --><urlset {NS}>{url.format(1)}</urlset><!-- c -->", [1], False),
+        (f'<urlset {NS} xmlns:image="urn:i"><url><loc>https://e.com/1</loc><image:loc>i</image:loc>'
+         "<image:image><image:loc>j</image:loc></image:image></url></urlset>", [1], False),
+        (f"<urlset {NS}><url><loc>https://e.com/1</loc><image:loc>unbound</image:loc></url></urlset>", [], False),
+        (f"<urlset {NS}><url><loc>https://e.com/1</loc><loc>https://e.com/2</loc></url></urlset>", [1, 2], False),
+        (f"<urlset {NS}>{'<a>' * 20_000}{'</a>' * 20_000}{url.format(1)}</urlset>", [], False),
         (f"<urlset>{url.format(1)}</urlset>", [], False),
         (f'<urlset xmlns="urn:other">{url.format(1)}</urlset>', [], False),
         (f"<urlset {NS}>{url.format(1)}", [], False),

@@ -5,11 +5,12 @@ Every page row becomes captured input, so all of this grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitetext.config import SITEMAP_NAMESPACE
 from sitetext.functions.html import anchor_hrefs, extract_text, visible_markup
 from sitetext.functions.judgement import gated_text, is_blocked, render_reason
+from sitetext.functions.sql import Sql, each, quoted
 from sitetext.functions.urls import site_root, url_host, url_slug
 from sitetext.sources.tables import read_captures
 
@@ -27,18 +28,17 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return read_captures(spark, f"{folder}/pages.parquet")
 
 
-def status_of(number: Column) -> Column:
+def status_of(number: Sql) -> Sql:
     """HTTP status that a page of this number was answered with."""
-    turn = number % 10
     return (
-        F.when(turn == 0, 403).when(turn == 1, 404).when(turn == 2, 429).when(turn == 3, 0)
-        .when(turn == 4, 503).otherwise(200)
+        f"CASE {number} % 10 WHEN 0 THEN 403 WHEN 1 THEN 404 WHEN 2 THEN 429 WHEN 3 THEN 0 "
+        "WHEN 4 THEN 503 ELSE 200 END"
     )
 
 
-def at_second(second: Column) -> Column:
+def at_second(second: Sql) -> Sql:
     """Capture time, counted from a fixed start."""
-    return F.timestamp_seconds(F.lit(1_700_000_000) + second)
+    return f"timestamp_seconds(1700000000 + {second})"
 
 
 def page_attempts(source: DataFrame) -> DataFrame:
@@ -46,115 +46,93 @@ def page_attempts(source: DataFrame) -> DataFrame:
 
     Columns page_id, page_url, attempt, status, html, fetched_at.
     """
-    first = status_of(F.col("page_id"))
-    repeats = F.when(is_blocked(first), (F.col("page_id") % 5).cast("int")).otherwise(0)
-    recovers = is_blocked(first) & (F.col("page_id") % 2 == 0)
-    last = repeats + F.when(recovers, 1).otherwise(0)
-    attempt = F.col("attempt")
-    return source.select(
-        "page_id",
-        F.col("url").alias("page_url"),
-        "html",
-        first.alias("first"),
-        repeats.alias("repeats"),
-        F.explode(F.sequence(F.lit(0), last)).alias("attempt"),
-    ).select(
-        "page_id",
-        "page_url",
-        "attempt",
-        F.when(attempt > F.col("repeats"), 200).otherwise(F.col("first")).alias("status"),
-        "html",
-        at_second(F.col("page_id") + attempt).alias("fetched_at"),
+    blocked = is_blocked("first")
+    return (
+        source.selectExpr("page_id", "url AS page_url", "html", f"{status_of('page_id')} AS first")
+        .withColumn("repeats", F.expr(f"if({blocked}, CAST(page_id % 5 AS int), 0)"))
+        .withColumn("last", F.expr(f"repeats + if({blocked} AND page_id % 2 = 0, 1, 0)"))
+        .selectExpr("*", "explode(sequence(0, last)) AS attempt")
+        .selectExpr(
+            "page_id",
+            "page_url",
+            "attempt",
+            "if(attempt > repeats, 200, first) AS status",
+            "html",
+            f"{at_second('page_id + attempt')} AS fetched_at",
+        )
     )
 
 
 def page_renders(source: DataFrame) -> DataFrame:
     """Renderings of every fourth page."""
-    return source.where(F.col("page_id") % 4 == 0).select(F.col("url").alias("page_url"), "html")
+    return source.where("page_id % 4 = 0").selectExpr("url AS page_url", "html")
 
 
 def judged_pages(source: DataFrame) -> DataFrame:
     """Each page judged on its first answer, with the rendering every fourth page has."""
-    text = extract_text(F.col("html"))
-    status = status_of(F.col("page_id"))
-    rendered = F.when(F.col("page_id") % 4 == 0, F.col("own_text")).otherwise("")
+    text = "if(escalated_to_js, if(page_id % 4 = 0, own_text, ''), own_text)"
     return (
-        source.select("page_id", "url", status.alias("status"), text.alias("own_text"))
-        .withColumn("reason", render_reason(F.col("status"), F.col("own_text")))
-        .withColumn("escalated_to_js", F.col("reason").isNotNull())
-        .withColumn(
-            "text",
-            gated_text(
-                F.when(F.col("escalated_to_js"), rendered).otherwise(F.col("own_text")),
-                F.col("escalated_to_js"),
-                CHALLENGE,
-            ),
+        source.selectExpr(
+            "page_id", "url", f"{status_of('page_id')} AS status", f"{extract_text('html')} AS own_text"
         )
+        .withColumn("reason", F.expr(render_reason("status", "own_text")))
+        .withColumn("escalated_to_js", F.expr("reason IS NOT NULL"))
+        .withColumn("text", F.expr(gated_text(text, "escalated_to_js", CHALLENGE)))
     )
 
 
 def host_pages(source: DataFrame) -> DataFrame:
     """Judged pages as pages of one company per host, the smallest page_id its homepage."""
-    judged = judged_pages(source).withColumn("company_key", url_host(F.col("url")))
-    homes = source.groupBy(url_host(F.col("url")).alias("company_key")).agg(
+    host = f"{url_host('url')} AS company_key"
+    homes = source.selectExpr(host, "page_id").groupBy("company_key").agg(
         F.min("page_id").alias("home_id")
     )
-    is_home = F.col("page_id") == F.col("home_id")
-    return judged.join(homes, "company_key").select(
+    return judged_pages(source).selectExpr("*", host).join(homes, "company_key").selectExpr(
         "company_key",
-        F.when(is_home, F.lit(0)).otherwise(F.col("page_id") + 1).alias("ord"),
+        "if(page_id = home_id, 0, page_id + 1) AS ord",
         "page_id",
-        F.col("url").alias("page_url"),
-        F.when(is_home, "home").otherwise(url_slug(F.col("url"))).alias("page_name"),
+        "url AS page_url",
+        f"if(page_id = home_id, 'home', {url_slug('url')}) AS page_name",
         "status",
-        (F.col("page_id") % 3).cast("int").alias("retries_used"),
+        "CAST(page_id % 3 AS int) AS retries_used",
         "text",
-        F.length("text").alias("text_len"),
+        "length(text) AS text_len",
         "reason",
         "escalated_to_js",
-        at_second(F.col("page_id")).alias("first_fetched"),
-        at_second(F.col("page_id") + 5).alias("last_fetched"),
+        f"{at_second('page_id')} AS first_fetched",
+        f"{at_second('page_id + 5')} AS last_fetched",
     )
 
 
 def host_companies(source: DataFrame) -> DataFrame:
     """One company per host: company_key, id, url, home."""
-    host = url_host(F.col("url"))
-    home = F.concat(F.lit("https://"), F.col("company_key"))
-    return source.select(host.alias("company_key")).distinct().select(
-        "company_key", F.col("company_key").alias("id"), home.alias("url"), home.alias("home")
-    )
+    hosts = source.selectExpr(f"{url_host('url')} AS company_key").distinct()
+    home = "concat('https://', company_key)"
+    return hosts.selectExpr("company_key", "company_key AS id", f"{home} AS url", f"{home} AS home")
 
 
 def document_pages(documents: DataFrame) -> DataFrame:
     """Documents as pages of one company per source; a page under 200 characters is empty."""
-    length = F.when(F.col("n_chars") >= 200, F.col("n_chars")).otherwise(0)
-    second = at_second(F.col("doc_id"))
-    return documents.select(
-        F.col("source").alias("company_key"),
-        F.col("doc_id").alias("ord"),
-        F.concat(F.lit("https://"), "source", F.lit("/"), "doc_id").alias("page_url"),
-        status_of(F.col("doc_id")).alias("status"),
-        (F.col("doc_id") % 5).cast("int").alias("retries_used"),
-        length.alias("text_len"),
-        is_blocked(status_of(F.col("doc_id"))).alias("escalated_to_js"),
-        second.alias("first_fetched"),
-        second.alias("last_fetched"),
+    return documents.selectExpr(
+        "source AS company_key",
+        "doc_id AS ord",
+        "concat('https://', source, '/', doc_id) AS page_url",
+        f"{status_of('doc_id')} AS status",
+        "CAST(doc_id % 5 AS int) AS retries_used",
+        "if(n_chars >= 200, n_chars, 0) AS text_len",
+        f"{is_blocked(status_of('doc_id'))} AS escalated_to_js",
+        f"{at_second('doc_id')} AS first_fetched",
+        f"{at_second('doc_id')} AS last_fetched",
     )
 
 
 # --- Sites: each page is the homepage of a site of its own ------------------
 
 
-def _sitemap(locs: Column, root: str = "urlset", entry: str = "url") -> Column:
-    entries = F.transform(
-        locs, lambda u: F.concat(F.lit(f"<{entry}><loc>"), u, F.lit(f"</loc></{entry}>"))
-    )
-    return F.concat(
-        F.lit(f'<?xml version="1.0"?>\n<{root} xmlns="{SITEMAP_NAMESPACE}">'),
-        F.array_join(entries, "\n"),
-        F.lit(f"</{root}>"),
-    )
+def _sitemap(locs: Sql, root: str = "urlset", entry: str = "url") -> Sql:
+    entries = each(locs, lambda u: f"concat('<{entry}><loc>', {u}, '</loc></{entry}>')")
+    opening = quoted(f'<?xml version="1.0"?>\n<{root} xmlns="{SITEMAP_NAMESPACE}">')
+    return rf"concat({opening}, array_join({entries}, '\n'), '</{root}>')"
 
 
 def sites(source: DataFrame) -> DataFrame:
@@ -162,15 +140,14 @@ def sites(source: DataFrame) -> DataFrame:
 
     `links` are the page's anchors as addresses of the site, each once.
     """
-    own = F.concat(F.lit("://p"), "page_id", F.lit("."))
-    home = F.regexp_replace(F.concat(F.split_part("url", F.lit("://"), F.lit(1)), own,
-                                     F.split_part("url", F.lit("://"), F.lit(2))), "/?(#.*)?$", "")
-    hrefs = F.array_distinct(anchor_hrefs(visible_markup(F.col("html"))))
+    own = "concat(split_part(url, '://', 1), '://p', page_id, '.', split_part(url, '://', 2))"
+    hrefs = f"array_distinct({anchor_hrefs(visible_markup('html'))})"
     return (
-        source.select("page_id", home.alias("home"), "html", hrefs.alias("hrefs"))
-        .withColumn("root", site_root(F.col("home")))
-        .withColumn("links", F.transform("hrefs", lambda h: F.concat(F.col("root"), h)))
-        .drop("hrefs")
+        source.selectExpr(
+            "page_id", "html", f"regexp_replace({own}, '/?(#.*)?$', '') AS home", f"{hrefs} AS hrefs"
+        )
+        .withColumn("root", F.expr(site_root("home")))
+        .selectExpr("page_id", "home", "root", "html", "transform(hrefs, h -> concat(root, h)) AS links")
     )
 
 
@@ -181,97 +158,83 @@ def site_documents(located: DataFrame) -> DataFrame:
     links at even places and one for the others. 3: a sitemap index of children of two links.
     Columns page_id, address, body.
     """
-    links, root = F.col("links"), F.col("root")
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size(links) / 2).cast("int") - 1),
-        lambda n: F.struct(
-            F.concat(root, F.lit("/map-"), n.cast("string"), F.lit(".xml")).alias("address"),
-            _sitemap(F.slice(links, n * 2 + 1, F.lit(2))).alias("body"),
-        ),
-    )
 
-    def document(name: str, body: Column) -> Column:
-        return F.struct(F.concat(root, F.lit(name)).alias("address"), body.alias("body"))
+    def document(name: str, body: Sql) -> Sql:
+        return f"named_struct('address', concat(root, '{name}'), 'body', {body})"
 
-    even = _sitemap(F.filter(links, lambda _, i: i % 2 == 0))
-    odd = _sitemap(F.filter(links, lambda _, i: i % 2 == 1))
-    robots = F.concat(
-        F.lit("User-agent: *\r\nSitemap: "), root, F.lit("/even.xml\r\nDisallow: /x\nSITEMAP:  "),
-        root, F.lit("/odd.xml  \n Sitemap: "), root, F.lit("/indented.xml"),
+    child = (
+        "named_struct('address', concat(root, '/map-', n, '.xml'), "
+        f"'body', {_sitemap('slice(links, n * 2 + 1, 2)')})"
+    )
+    children = f"transform(sequence(0, CAST(ceil(size(links) / 2) AS int) - 1), n -> {child})"
+    robots = (
+        r"concat('User-agent: *\r\nSitemap: ', root, '/even.xml\r\nDisallow: /x\nSITEMAP:  ', "
+        r"root, '/odd.xml  \n Sitemap: ', root, '/indented.xml')"
     )
-    index = _sitemap(F.transform(pairs, lambda p: p["address"]), "sitemapindex", "sitemap")
-    kind = F.col("page_id") % 4
+    index = _sitemap("transform(children, c -> c.address)", "sitemapindex", "sitemap")
+    even, odd = (_sitemap(f"filter(links, (u, i) -> i % 2 = {rest})") for rest in (0, 1))
     documents = (
-        F.when(kind == 1, F.array(document("/sitemap.xml", _sitemap(F.reverse(links)))))
-        .when(
-            kind == 2,
-            F.array(
-                document("/robots.txt", robots),
-                document("/even.xml", even),
-                document("/odd.xml", odd),
-            ),
-        )
-        .when(kind == 3, F.concat(F.array(document("/sitemap.xml", index)), pairs))
+        f"CASE page_id % 4 WHEN 1 THEN array({document('/sitemap.xml', _sitemap('reverse(links)'))}) "
+        f"WHEN 2 THEN array({document('/robots.txt', robots)}, {document('/even.xml', even)}, "
+        f"{document('/odd.xml', odd)}) "
+        f"WHEN 3 THEN concat(array({document('/sitemap.xml', index)}), children) END"
     )
-    return located.where(F.size(links) > 0).select("page_id", F.explode(documents).alias("d")).select(
-        "page_id", "d.address", "d.body"
+    return (
+        located.where("size(links) > 0")
+        .selectExpr("page_id", "root", "links", f"{children} AS children")
+        .selectExpr("page_id", f"explode({documents}) AS d")
+        .select("page_id", "d.address", "d.body")
     )
 
 
 def site_subpages(located: DataFrame) -> DataFrame:
     """page_id, pos, page_url, html: the n-th link answers with the page's n-th paragraph."""
-    paragraphs = F.regexp_extract_all("html", F.lit("(?s)<p>(.*?)</p>"), F.lit(1))
+    paragraphs = "regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1)"
     return (
-        located.select("page_id", "links", paragraphs.alias("paragraphs"))
-        .select("page_id", "paragraphs", F.posexplode("links").alias("pos", "page_url"))
-        .where(F.col("pos") < F.size("paragraphs"))
-        .select(
+        located.selectExpr("page_id", "links", f"{paragraphs} AS paragraphs")
+        .selectExpr("page_id", "paragraphs", "posexplode(links) AS (pos, page_url)")
+        .where("pos < size(paragraphs)")
+        .selectExpr(
             "page_id",
             "pos",
             "page_url",
-            F.concat(
-                F.lit("<html><body><p>"), F.get("paragraphs", F.col("pos")), F.lit("</p></body></html>")
-            ).alias("html"),
+            "concat('<html><body><p>', paragraphs[pos], '</p></body></html>') AS html",
         )
     )
 
 
 def site_companies(located: DataFrame) -> DataFrame:
     """id, url; even pages leave the scheme out where it is the default one."""
-    bare = (F.col("page_id") % 2 == 0) & F.col("home").startswith("https://")
-    return located.select(
-        F.col("page_id").alias("id"),
-        F.when(bare, F.regexp_replace("home", "^https://", "")).otherwise(F.col("home")).alias("url"),
+    return located.selectExpr(
+        "page_id AS id", "if(page_id % 2 = 0, regexp_replace(home, '^https://', ''), home) AS url"
     )
 
 
 def site_attempts(located: DataFrame) -> DataFrame:
     """Fetch log of all sites: homepages, subpages, sitemaps and robots files."""
-    homes = located.select("page_id", F.col("home").alias("url"), "html")
-    subpages = site_subpages(located)
-    number = F.col("page_id") + F.col("pos")
-    first = status_of(number)
-    answers = F.when(
-        is_blocked(first) & (F.col("pos") % 2 == 0), F.array(first, F.lit(200))
-    ).otherwise(F.array(first))
-    subpage_log = subpages.select(
-        "page_url", "html", number.alias("n"), F.posexplode(answers).alias("attempt", "status")
-    ).select(
-        "page_url", "attempt", "status", "html", at_second(F.col("n") + F.col("attempt")).alias("fetched_at")
+    homes = located.selectExpr("page_id", "home AS url", "html")
+    subpages = (
+        site_subpages(located)
+        .selectExpr("page_url", "html", "pos", "page_id + pos AS n")
+        .withColumn("first", F.expr(status_of("n")))
+        .withColumn(
+            "answers",
+            F.expr(f"if({is_blocked('first')} AND pos % 2 = 0, array(first, 200), array(first))"),
+        )
+        .selectExpr("page_url", "html", "n", "posexplode(answers) AS (attempt, status)")
+        .selectExpr(
+            "page_url", "attempt", "status", "html", f"{at_second('n + attempt')} AS fetched_at"
+        )
     )
-    documents = site_documents(located).select(
-        F.col("address").alias("page_url"),
-        F.lit(0).alias("attempt"),
-        F.lit(200).alias("status"),
-        F.col("body").alias("html"),
-        at_second(F.col("page_id")).alias("fetched_at"),
+    documents = site_documents(located).selectExpr(
+        "address AS page_url", "0 AS attempt", "200 AS status", "body AS html",
+        f"{at_second('page_id')} AS fetched_at",
     )
-    return page_attempts(homes).drop("page_id").unionByName(subpage_log).unionByName(documents)
+    return page_attempts(homes).drop("page_id").unionByName(subpages).unionByName(documents)
 
 
 def site_renders(located: DataFrame) -> DataFrame:
     """Renderings of every fourth homepage and every third subpage."""
-    homes = located.where(F.col("page_id") % 4 == 0).select(F.col("home").alias("page_url"), "html")
-    subpages = site_subpages(located).where((F.col("page_id") + F.col("pos")) % 3 == 0)
+    homes = located.where("page_id % 4 = 0").selectExpr("home AS page_url", "html")
+    subpages = site_subpages(located).where("(page_id + pos) % 3 = 0")
     return homes.unionByName(subpages.select("page_url", "html"))
-

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import derived as d
 from sitetext import Options, run_companies
@@ -11,10 +11,10 @@ from sitetext.functions.html import anchor_links, extract_text
 from sitetext.functions.judgement import is_blocked
 from sitetext.functions.links import ranked_links, site_links, without_homepage
 from sitetext.functions.sitemaps import is_sitemap_index, robots_sitemaps, sitemap_locs
+from sitetext.functions.sql import bind
 from sitetext.functions.urls import (
     bare_host,
     base_parts,
-    bind,
     has_binary_extension,
     normalize_url,
     path_depth,
@@ -53,50 +53,43 @@ OPTIONS = Options(
 
 def normalize_urls(spark: SparkSession, folder: str) -> DataFrame:
     """Page addresses written in four ways: as they are, bare, with capitals, with a fragment."""
-    kind = F.col("page_id") % 4
     given = (
-        F.when(kind == 1, F.regexp_replace(F.col("url"), "^[a-z]+://", ""))
-        .when(kind == 2, F.concat(F.upper(url_scheme(F.col("url"))), F.regexp_replace(F.col("url"), "^[a-z]+", "")))
-        .when(kind == 3, F.concat(F.split_part(F.col("url"), F.lit("#"), F.lit(1)), F.lit("#a/b?c")))
-        .otherwise(F.col("url"))
+        "CASE page_id % 4 WHEN 1 THEN regexp_replace(url, '^[a-z]+://', '') "
+        f"WHEN 2 THEN concat(upper({url_scheme('url')}), regexp_replace(url, '^[a-z]+', '')) "
+        "WHEN 3 THEN concat(split_part(url, '#', 1), '#a/b?c') ELSE url END"
     )
-    return d.pages(spark, folder).select(
-        "page_id", given.alias("given"), normalize_url(given).alias("normalized")
+    return d.pages(spark, folder).selectExpr("page_id", f"{given} AS given").selectExpr(
+        "page_id", "given", f"{normalize_url('given')} AS normalized"
     )
 
 
 def url_slugs(spark: SparkSession, folder: str) -> DataFrame:
-    return d.pages(spark, folder).select(
-        "page_id",
-        url_slug(F.col("url")).alias("slug"),
-        url_slug(F.concat(site_root(F.col("url")), F.lit("/"))).alias("root_slug"),
+    root = f"concat({site_root('url')}, '/')"
+    return d.pages(spark, folder).selectExpr(
+        "page_id", f"{url_slug('url')} AS slug", f"{url_slug(root)} AS root_slug"
     )
 
 
 def url_parts(spark: SparkSession, folder: str) -> DataFrame:
-    return d.pages(spark, folder).select(
+    return d.pages(spark, folder).selectExpr(
         "page_id",
-        url_scheme(F.col("url")).alias("scheme"),
-        url_host(F.col("url")).alias("host"),
-        bare_host(F.col("url")).alias("bare_host"),
-        url_path(F.col("url")).alias("path"),
-        url_query(F.col("url")).alias("query"),
-        url_fragment(F.col("url")).alias("fragment"),
+        f"{url_scheme('url')} AS scheme",
+        f"{url_host('url')} AS host",
+        f"{bare_host('url')} AS bare_host",
+        f"{url_path('url')} AS path",
+        f"{url_query('url')} AS query",
+        f"{url_fragment('url')} AS fragment",
     )
 
 
 def site_addresses(spark: SparkSession, folder: str) -> DataFrame:
     """Sitemap and robots address of every site with its number of pages."""
-    return (
-        d.pages(spark, folder)
-        .groupBy(site_root(F.col("url")).alias("root"))
-        .agg(F.count("*").alias("n_pages"))
-        .select(
-            "root",
-            sitemap_address(F.col("root")).alias("sitemap"),
-            robots_address(F.col("root")).alias("robots"),
-            "n_pages",
-        )
+    roots = d.pages(spark, folder).selectExpr(f"{site_root('url')} AS root")
+    return roots.groupBy("root").agg(F.count("*").alias("n_pages")).selectExpr(
+        "root",
+        f"{sitemap_address('root')} AS sitemap",
+        f"{robots_address('root')} AS robots",
+        "n_pages",
     )
 
 
@@ -104,8 +97,8 @@ def site_addresses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _anchors(source: DataFrame) -> DataFrame:
-    links = anchor_links(F.col("html"), normalize_url(F.col("url")))
-    return source.select("page_id", "url", F.posexplode(links).alias("pos", "link"))
+    links = anchor_links("html", normalize_url("url"))
+    return source.selectExpr("page_id", "url", f"posexplode({links}) AS (pos, link)")
 
 
 def anchor_links_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,95 +107,83 @@ def anchor_links_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
     """Anchors rewritten as seven kinds of relative reference, resolved against their page."""
-    word = F.regexp_replace("link", "^https?://[^/]*/", "")
-    kind = F.col("pos") % 7
     ref = (
-        F.when(kind == 0, F.concat(F.lit("/"), word))
-        .when(kind == 1, word)
-        .when(kind == 2, F.concat(F.lit("./a/../"), word))
-        .when(kind == 3, F.concat(F.lit("../../"), word, F.lit("/.")))
-        .when(kind == 4, F.concat(F.lit("?q="), word))
-        .when(kind == 5, F.concat(F.lit("//other.example/"), word))
-        .otherwise(F.concat(F.lit("#"), word))
-    )
-    base = normalize_url(F.col("url"))
+        "CASE pos % 7 WHEN 0 THEN concat('/', word) WHEN 1 THEN word "
+        "WHEN 2 THEN concat('./a/../', word) WHEN 3 THEN concat('../../', word, '/.') "
+        "WHEN 4 THEN concat('?q=', word) WHEN 5 THEN concat('//other.example/', word) "
+        "ELSE concat('#', word) END"
+    )
     return (
         _anchors(d.pages(spark, folder))
-        .select("page_id", "pos", base.alias("base"), ref.alias("ref"))
-        .select(
-            "page_id",
-            "pos",
-            "ref",
-            bind(base_parts(F.col("base")), lambda b: resolve_url(b, F.col("ref"))).alias("link"),
+        .withColumn("word", F.expr("regexp_replace(link, '^https?://[^/]*/', '')"))
+        .selectExpr("page_id", "pos", f"{normalize_url('url')} AS base", f"{ref} AS ref")
+        .selectExpr(
+            "page_id", "pos", "ref", f"{bind(base_parts('base'), lambda b: resolve_url(b, 'ref'))} AS link"
         )
     )
 
 
 def filtered_links(spark: SparkSession, folder: str) -> DataFrame:
     """Site pages among links of six kinds: own host, www, other scheme, other host, file, copy."""
-    root, host = site_root(F.col("url")), url_host(F.col("url"))
-    path = F.regexp_replace("link", "^https?://[^/]*", "")
-    kind = F.col("pos") % 6
     link = (
-        F.when(kind == 1, F.concat(F.lit("http://www."), bare_host(F.col("url")), path))
-        .when(kind == 2, F.concat(F.lit("ftp://"), host, path))
-        .when(kind == 3, F.concat(F.lit("https://x."), host, path))
-        .when(kind == 4, F.concat(root, path, F.lit(".tar.GZ?v=1")))
-        .when(kind == 5, F.concat(root, F.lit("/copy")))
-        .otherwise(F.concat(root, path))
-    )
-    rows = _anchors(d.pages(spark, folder)).select(
-        "page_id", F.explode(F.array("pos", F.col("pos") + 1000)).alias("pos"),
-        link.alias("link"), bare_host(F.col("url")).alias("host"),
+        "CASE pos % 6 WHEN 1 THEN concat('http://www.', host, path) "
+        "WHEN 2 THEN concat('ftp://', host, path) WHEN 3 THEN concat('https://x.', host, path) "
+        "WHEN 4 THEN concat(root, path, '.tar.GZ?v=1') WHEN 5 THEN concat(root, '/copy') "
+        "ELSE concat(root, path) END"
     )
-    return site_link_rows(rows, "page_id", "link", "pos", F.col("host")).select(
-        "page_id", "link", "pos"
+    rows = (
+        _anchors(d.pages(spark, folder))
+        .selectExpr(
+            "page_id",
+            "pos",
+            f"{site_root('url')} AS root",
+            f"{bare_host('url')} AS host",
+            "regexp_replace(link, '^https?://[^/]*', '') AS path",
+        )
+        .selectExpr("page_id", "explode(array(pos, pos + 1000)) AS pos", "host", f"{link} AS link")
     )
+    return site_link_rows(rows, "page_id", "link", "pos", "host").select("page_id", "link", "pos")
 
 
 def scored_links(spark: SparkSession, folder: str) -> DataFrame:
-    path = url_path(F.col("link"))
-    return _anchors(d.pages(spark, folder)).select(
+    path = url_path("link")
+    return _anchors(d.pages(spark, folder)).selectExpr(
         "page_id",
         "pos",
         "link",
-        score_path(path, d.HIGH, d.LOW).alias("score"),
-        path_depth(path).alias("depth"),
-        has_binary_extension(F.col("link")).alias("is_file"),
+        f"{score_path(path, d.HIGH, d.LOW)} AS score",
+        f"{path_depth(path)} AS depth",
+        f"{has_binary_extension('link')} AS is_file",
     )
 
 
 def _candidates(source: DataFrame) -> DataFrame:
-    home = normalize_url(F.col("url"))
-    links = F.slice(anchor_links(F.col("html"), home), 1, MAX_RAW_LINKS)
-    return source.select(
-        "page_id",
-        home.alias("home"),
-        site_links(links, bare_host(home)).alias("links"),
+    links = f"slice({anchor_links('html', 'home')}, 1, {MAX_RAW_LINKS})"
+    return (
+        source.selectExpr("page_id", "html", f"{normalize_url('url')} AS home")
+        .selectExpr("page_id", "home", f"{site_links(links, bare_host('home'))} AS links")
+        .selectExpr("page_id", f"{without_homepage('links', 'home')} AS candidates")
     )
 
 
 def candidate_links(spark: SparkSession, folder: str) -> DataFrame:
     """Each page as a homepage: its links on the site, itself left out."""
-    links = without_homepage(F.col("links"), F.col("home"))
-    return _candidates(d.pages(spark, folder)).select(
-        "page_id", F.posexplode(links).alias("pos", "link")
+    return _candidates(d.pages(spark, folder)).selectExpr(
+        "page_id", "posexplode(candidates) AS (pos, link)"
     )
 
 
 def ranked_links_query(spark: SparkSession, folder: str) -> DataFrame:
     """Each page as a homepage: its three best links in order."""
-    best = ranked_links(
-        without_homepage(F.col("links"), F.col("home")), d.HIGH, d.LOW, limit=3
-    )
-    return _candidates(d.pages(spark, folder)).select(
-        "page_id", F.posexplode(best).alias("pos", "link")
+    best = ranked_links("candidates", d.HIGH, d.LOW, limit=3)
+    return _candidates(d.pages(spark, folder)).selectExpr(
+        "page_id", f"posexplode({best}) AS (pos, link)"
     )
 
 
 def host_top_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The best seven pages of each host."""
-    rows = d.pages(spark, folder).select(url_host(F.col("url")).alias("host"), "url", "page_id")
+    rows = d.pages(spark, folder).selectExpr(f"{url_host('url')} AS host", "url", "page_id")
     return top_links(rows, "host", "url", "page_id", d.HIGH, d.LOW, limit=7).select(
         "host", "rank", "page_id", "url", "score", "depth"
     )
@@ -217,33 +198,33 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def sitemap_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """All addresses read back from sitemaps, sitemap indexes and robots files."""
-    body = F.col("body")
-    return _documents(spark, folder).select(
+    found = f"concat({sitemap_locs('body')}, {robots_sitemaps('body')})"
+    return _documents(spark, folder).selectExpr(
         "page_id",
         "address",
-        is_sitemap_index(body).alias("is_index"),
-        F.posexplode(F.concat(sitemap_locs(body), robots_sitemaps(body))).alias("pos", "link"),
+        f"{is_sitemap_index('body')} AS is_index",
+        f"posexplode({found}) AS (pos, link)",
     )
 
 
 def sitemap_index_first3(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses of the first three children of every sitemap index, in order."""
     documents = _documents(spark, folder)
-    listed = F.slice(sitemap_locs(F.col("body")), 1, MAX_CHILD_SITEMAPS)
-    children = documents.where(is_sitemap_index(F.col("body"))).select(
-        "page_id", F.posexplode(listed).alias("child_pos", "address")
+    listed = f"slice({sitemap_locs('body')}, 1, {MAX_CHILD_SITEMAPS})"
+    children = documents.where(is_sitemap_index("body")).selectExpr(
+        "page_id", f"posexplode({listed}) AS (child_pos, address)"
     )
-    locs = documents.select("address", F.posexplode(sitemap_locs(F.col("body"))).alias("pos", "link"))
+    locs = documents.selectExpr("address", f"posexplode({sitemap_locs('body')}) AS (pos, link)")
     return children.join(locs, "address").select("page_id", "child_pos", "pos", "link")
 
 
 def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses in the sitemaps that robots files name, in order."""
     documents = _documents(spark, folder)
-    listed = documents.where(F.col("address").endswith("/robots.txt")).select(
-        "page_id", F.posexplode(robots_sitemaps(F.col("body"))).alias("line", "address")
+    listed = documents.where("endswith(address, '/robots.txt')").selectExpr(
+        "page_id", f"posexplode({robots_sitemaps('body')}) AS (line, address)"
     )
-    locs = documents.select("address", F.posexplode(sitemap_locs(F.col("body"))).alias("pos", "link"))
+    locs = documents.selectExpr("address", f"posexplode({sitemap_locs('body')}) AS (pos, link)")
     return listed.join(locs, "address").select("page_id", "line", "pos", "link")
 
 
@@ -253,18 +234,16 @@ def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     staged = Staging(spark).stage(
         page_digests(d.site_attempts(located), None, OPTIONS), "digests"
     )
-    companies = located.select(F.col("page_id").alias("company_key"), "home")
-    return discover(companies, staged, site_documents(staged), OPTIONS).select(
-        F.col("company_key").alias("page_id"),
-        "no_links",
-        F.posexplode("candidates").alias("pos", "link"),
+    companies = located.selectExpr("page_id AS company_key", "home")
+    return discover(companies, staged, site_documents(staged), OPTIONS).selectExpr(
+        "company_key AS page_id", "no_links", "posexplode(candidates) AS (pos, link)"
     )
 
 
 def discovery_cap(spark: SparkSession, folder: str) -> DataFrame:
     """The first two hundred raw links of each host, before any filter."""
-    rows = _anchors(d.pages(spark, folder)).select(
-        url_host(F.col("url")).alias("host"), "page_id", "pos", "link"
+    rows = _anchors(d.pages(spark, folder)).selectExpr(
+        f"{url_host('url')} AS host", "page_id", "pos", "link"
     )
     return cap_links(rows, "host", ["page_id", "pos"], MAX_RAW_LINKS)
 
@@ -301,15 +280,16 @@ def next_attempts_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def extract_text_query(spark: SparkSession, folder: str) -> DataFrame:
-    return d.pages(spark, folder).select("page_id", extract_text(F.col("html")).alias("text"))
+    return d.pages(spark, folder).selectExpr("page_id", f"{extract_text('html')} AS text")
 
 
 def page_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Pages by status and reason for rendering: how many, how many usable, how much text."""
     judged = d.judged_pages(d.pages(spark, folder))
-    return judged.groupBy(
-        "status", is_blocked(F.col("status")).alias("blocked"), F.coalesce("reason", F.lit("none")).alias("reason")
-    ).agg(
+    kinds = judged.selectExpr(
+        "status", f"{is_blocked('status')} AS blocked", "coalesce(reason, 'none') AS reason", "text"
+    )
+    return kinds.groupBy("status", "blocked", "reason").agg(
         F.count("*").alias("n_pages"),
         F.count_if(F.col("text") != "").alias("n_ok"),
         F.sum(F.length("text")).alias("n_chars"),
@@ -336,14 +316,14 @@ def page_digests_query(spark: SparkSession, folder: str) -> DataFrame:
     digests = page_digests(
         d.page_attempts(source).drop("page_id"), d.page_renders(source), OPTIONS
     )
-    return digests.select(
+    return digests.selectExpr(
         "page_url",
         "status",
         "retries_used",
         "escalated",
-        F.coalesce("reason", F.lit("none")).alias("reason"),
+        "coalesce(reason, 'none') AS reason",
         "text_len",
-        F.size("links").alias("n_links"),
+        "size(links) AS n_links",
     )
 
 
@@ -364,7 +344,7 @@ def first_error(spark: SparkSession, folder: str) -> DataFrame:
 def company_log(spark: SparkSession, folder: str) -> DataFrame:
     """Log rows of all hosts, without the run time."""
     source = d.pages(spark, folder)
-    started = d.at_second(F.lit(0))
+    started = F.expr(d.at_second("0"))
     rows = log_rows(d.host_companies(source), tally(d.host_pages(source)), started)
     return with_schema(rows, LOG_SCHEMA).drop("ts")
 
@@ -385,7 +365,7 @@ def combined_text_query(spark: SparkSession, folder: str) -> DataFrame:
 def pages_array(spark: SparkSession, folder: str) -> DataFrame:
     """The page lists of the results, one row per entry."""
     rolled = roll_up(_selected_host_pages(spark, folder))
-    return rolled.select("company_key", F.posexplode("pages").alias("pos", "page")).select(
+    return rolled.selectExpr("company_key", "posexplode(pages) AS (pos, page)").select(
         "company_key", "pos", "page.*"
     )
 
@@ -405,16 +385,18 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
         d.page_renders(source),
         OPTIONS,
     )
-    return rows.select("id", "url", "page_url", F.md5("html").alias("html_md5"),
-                       F.length("html").alias("html_len"), "escalated_to_js")
+    return rows.selectExpr(
+        "id", "url", "page_url", "md5(html) AS html_md5", "length(html) AS html_len", "escalated_to_js"
+    )
 
 
 def pending_companies(spark: SparkSession, folder: str) -> DataFrame:
     """Hosts still to do, when those whose smallest page_id is even are done."""
     source = d.pages(spark, folder)
     companies = d.host_companies(source)
-    first = source.groupBy(url_host(F.col("url")).alias("id")).agg(F.min("page_id").alias("first"))
-    return pending(companies, first.where(F.col("first") % 2 == 0)).select("id", "url")
+    hosts = source.selectExpr(f"{url_host('url')} AS id", "page_id")
+    first = hosts.groupBy("id").agg(F.min("page_id").alias("first"))
+    return pending(companies, first.where("first % 2 = 0")).select("id", "url")
 
 
 def shard_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -429,7 +411,7 @@ def write_read_results(spark: SparkSession, folder: str) -> DataFrame:
     source = d.pages(spark, folder)
     rows = with_schema(
         log_rows(
-            d.host_companies(source), tally(d.host_pages(source)), d.at_second(F.lit(0))
+            d.host_companies(source), tally(d.host_pages(source)), F.expr(d.at_second("0"))
         ),
         LOG_SCHEMA,
     )
@@ -452,17 +434,11 @@ def _run(spark: SparkSession, folder: str):
     )
 
 
-def _page_text(page: Column) -> Column:
-    return F.concat_ws(
-        "|", page["url"], page["page_name"], page["status"].cast("string"),
-        page["text_len"].cast("string"), page["escalated_to_js"].cast("string"),
-    )
-
-
 def company_results(spark: SparkSession, folder: str) -> DataFrame:
     """Results of a run over sites made of the pages: sitemaps, retries, renderings, text."""
+    entry = "concat_ws('|', p.url, p.page_name, p.status, p.text_len, p.escalated_to_js)"
     return _run(spark, folder).results.drop("ts").withColumn(
-        "pages", F.array_join(F.transform("pages", _page_text), "\n")
+        "pages", F.expr(rf"array_join(transform(pages, p -> {entry}), '\n')")
     )
 
 

@@ -1,4 +1,4 @@
-"""Expressions over page markup: visible text, prose extraction, anchors.
+"""Expressions over page markup, as SQL text: visible text, prose extraction, anchors.
 
 Every pattern runs in time linear in the page: an element that is never closed reaches to the
 end of the page, and a tag never runs past the next `<`. None repeats a group, so a long page
@@ -7,9 +7,8 @@ cannot exhaust the stack of the regex engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-from sitetext.functions.urls import base_parts, bind, clean_reference, resolve_url
+from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep, quoted
+from sitetext.functions.urls import base_parts, clean_reference, resolve_url
 
 _ATTRS = r"(?:[ \t\n\r\f/][^<>]*)?"
 
@@ -23,12 +22,12 @@ def _elements(names: tuple[str, ...]) -> str:
 
 
 # Content that is neither prose nor markup.
-_HIDDEN = rf"(?is)<(?:!--.*?(?:-->|\z)|{_elements(('script', 'style'))})"
+_HIDDEN = quoted(rf"(?is)<(?:!--.*?(?:-->|\z)|{_elements(('script', 'style'))})")
 # Elements that hold no prose of the page itself.
 _BOILERPLATE = (
     "title", "noscript", "template", "iframe", "svg", "nav", "footer", "aside",
 )
-_BOILERPLATE_PATTERN = rf"(?is)<(?:{_elements(_BOILERPLATE)})"
+_BOILERPLATE_PATTERN = quoted(rf"(?is)<(?:{_elements(_BOILERPLATE)})")
 # Tags that end a line of text.
 _BLOCK_TAGS = (
     "address", "article", "blockquote", "body", "br", "caption", "center", "dd", "details",
@@ -37,9 +36,9 @@ _BLOCK_TAGS = (
     "option", "p", "pre", "section", "select", "summary", "table", "tbody", "td", "textarea",
     "tfoot", "th", "thead", "tr", "ul",
 )
-_BLOCK_PATTERN = rf"(?i)</?(?:{'|'.join(_BLOCK_TAGS)}){_ATTRS}>"
-_TAG_PATTERN = r"</?[A-Za-z!?][^<>]*>"
-_BLANK = "\u00a0\t\r\f"
+_BLOCK_PATTERN = quoted(rf"(?i)</?(?:{'|'.join(_BLOCK_TAGS)}){_ATTRS}>")
+_TAG_PATTERN = quoted(r"</?[A-Za-z!?][^<>]*>")
+_BLANK = r"\u00a0\t\r\f"
 
 # The character references decoded in text and in attribute values.
 NAMED_CHARACTERS = {
@@ -55,150 +54,147 @@ NAMED_CHARACTERS = {
     "iuml": "ï", "ntilde": "ñ", "oacute": "ó", "ocirc": "ô", "oslash": "ø", "ugrave": "ù",
     "uacute": "ú", "ucirc": "û", "Eacute": "É", "Agrave": "À", "Ccedil": "Ç",
 }
-_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_REFERENCE = quoted(r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 
-def _character(code: Column) -> Column:
+def _character(code: Sql) -> Sql:
     """The character of a code point, null if there is none."""
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(
-        valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        f"if({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111, "
+        f"decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32'), NULL)"
     )
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Sql) -> Sql:
     """Decode character references once, from left to right. Unknown ones stay."""
     listed = "\n".join(f"{name}={char}" for name, char in NAMED_CHARACTERS.items())
-    names = F.str_to_map(F.lit(listed), F.lit("\n"), F.lit("="))
-
-    def decode(piece: Column) -> Column:
-        def named(name: Column) -> Column:
-            char = (
-                F.when(name == "", None)
-                .when(
-                    name.rlike("^#[xX]"),
-                    _character(F.conv(F.regexp_extract(name, "^#.(.*)$", 1), 16, 10).cast("bigint")),
-                )
-                .when(
-                    name.startswith("#"),
-                    _character(F.regexp_extract(name, "^#(.*)$", 1).cast("bigint")),
-                )
-                .otherwise(F.try_element_at(names, name))
-            )
-            return F.coalesce(
-                F.concat(char, F.substr(piece, F.length(name) + 2)),
-                F.concat(F.lit("&"), piece),
-            )
-
-        return bind(F.regexp_extract(piece, _REFERENCE, 1), named)
-
-    def pieces(parts: Column) -> Column:
-        rest = F.slice(parts, F.lit(2), F.size(parts))
-        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(rest, decode), ""))
+    names = f"str_to_map({quoted(listed)}, '\n', '=')"
 
-    return bind(
-        text,
-        lambda t: F.when(t.contains("&"), bind(F.split(t, "&"), pieces)).otherwise(t),
-    )
+    def character(name: Sql) -> Sql:
+        hexadecimal = f"CAST(conv(regexp_extract({name}, '^#.(.*)$', 1), 16, 10) AS bigint)"
+        decimal = f"CAST(regexp_extract({name}, '^#(.*)$', 1) AS bigint)"
+        return (
+            f"CASE WHEN {name} = '' THEN NULL "
+            f"WHEN rlike({name}, '^#[xX]') THEN {bind(hexadecimal, _character)} "
+            f"WHEN startswith({name}, '#') THEN {bind(decimal, _character)} "
+            f"ELSE try_element_at({names}, {name}) END"
+        )
+
+    def piece(after: Sql) -> Sql:
+        return bind(
+            f"regexp_extract({after}, {_REFERENCE}, 1)",
+            lambda name: f"coalesce(concat({character(name)}, substr({after}, length({name}) + 2)), "
+            f"concat('&', {after}))",
+        )
 
+    def pieces(parts: Sql) -> Sql:
+        rest = each(f"slice({parts}, 2, size({parts}))", piece)
+        return f"concat({parts}[0], array_join({rest}, ''))"
 
-def visible_markup(html: Column) -> Column:
+    def decoded(t: Sql) -> Sql:
+        split = f"split({t}, '&')"
+        return f"if(contains({t}, '&'), {bind(split, pieces)}, {t})"
+
+    return bind(text, decoded)
+
+
+def visible_markup(html: Sql) -> Sql:
     """Markup without comments, scripts and style sheets."""
-    return F.regexp_replace(html, _HIDDEN, "")
+    return f"regexp_replace({html}, {_HIDDEN}, '')"
 
 
-def _inner(markup: Column, tag: str) -> Column:
-    """From the first opening `tag` to its last closing one, to the end if never closed."""
+def _opens(tag: str) -> Sql:
+    return quoted(rf"(?i)<{tag}{_ATTRS}>")
 
-    def trimmed(tail: Column) -> Column:
-        inside = F.regexp_extract(tail, rf"(?is)^(.*)</{tag}{_ATTRS}>", 1)
-        return F.when(inside != "", inside).otherwise(tail)
 
-    return bind(F.regexp_replace(markup, rf"(?is)^.*?<{tag}{_ATTRS}>", ""), trimmed)
+def _inner(markup: Sql, tag: str) -> Sql:
+    """From the first opening `tag` to its last closing one, to the end if never closed."""
+    to_opening = quoted(rf"(?is)^.*?<{tag}{_ATTRS}>")
+    to_closing = quoted(rf"(?is)^(.*)</{tag}{_ATTRS}>")
+    return bind(
+        f"regexp_replace({markup}, {to_opening}, '')",
+        lambda tail: f"coalesce(nullif(regexp_extract({tail}, {to_closing}, 1), ''), {tail})",
+    )
 
 
-def _main_content(markup: Column) -> Column:
+def _main_content(markup: Sql) -> Sql:
     """The article or main element where the page has one, else the whole page."""
     return bind(
         markup,
-        lambda m: F.when(m.rlike(rf"(?i)<article{_ATTRS}>"), _inner(m, "article"))
-        .when(m.rlike(rf"(?i)<main{_ATTRS}>"), _inner(m, "main"))
-        .otherwise(m),
+        lambda m: f"CASE WHEN rlike({m}, {_opens('article')}) THEN {_inner(m, 'article')} "
+        f"WHEN rlike({m}, {_opens('main')}) THEN {_inner(m, 'main')} ELSE {m} END",
     )
 
 
-def markup_text(markup: Column) -> Column:
+def markup_text(markup: Sql) -> Sql:
     """Prose of visible markup, one block per line; `''` when there is none."""
-    prose = _main_content(F.regexp_replace(markup, _BOILERPLATE_PATTERN, "\n"))
-    one_line = F.replace(prose, F.lit("\n"), F.lit(" "))
-    lines = F.regexp_replace(one_line, _BLOCK_PATTERN, "\n")
-    plain = unescape(F.regexp_replace(lines, _TAG_PATTERN, ""))
-    blanks = F.regexp_replace(plain, f"[ {_BLANK}]{{2,}}|[{_BLANK}]", " ")
-    for blank in (" \n", "\n "):
-        blanks = F.replace(blanks, F.lit(blank), F.lit("\n"))
-    tidy = F.regexp_replace(blanks, r"\n{2,}", "\n")
-    return F.coalesce(F.trim(tidy, F.lit(" \n")), F.lit(""))
-
-
-def extract_text(html: Column) -> Column:
+    prose = _main_content(rf"regexp_replace({markup}, {_BOILERPLATE_PATTERN}, '\n')")
+    lines = rf"regexp_replace(replace({prose}, '\n', ' '), {_BLOCK_PATTERN}, '\n')"
+    plain = unescape(f"regexp_replace({lines}, {_TAG_PATTERN}, '')")
+    blanks = quoted(f"[ {_BLANK}]{{2,}}|[{_BLANK}]")
+    tidy = f"regexp_replace({plain}, {blanks}, ' ')"
+    for blank in (r" \n", r"\n "):
+        tidy = rf"replace({tidy}, '{blank}', '\n')"
+    return rf"coalesce(trim(BOTH ' \n' FROM regexp_replace({tidy}, '\n\n+', '\n')), '')"
+
+
+def extract_text(html: Sql) -> Sql:
     """Prose of a page; `''`, never null, when there is none."""
     return markup_text(visible_markup(html))
 
 
-def _href(tag: str) -> str:
-    return (
+def _href(tag: str) -> Sql:
+    return quoted(
         rf"(?i)<{tag}(?:[ \t\n\r\f/][^<>]*?)?[ \t\n\r\f/\"']href[ \t\n\r\f]*=[ \t\n\r\f]*"
         r"(\"[^\"<>]*\"|'[^'<>]*'|[^ \t\n\r\f\"'<>]+)"
     )
 
 
-def _attribute_value(raw: Column) -> Column:
-    quoted = raw.startswith('"') | raw.startswith("'")
-    value = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+_IN_QUOTES = quoted("^[\"']")
+
+
+def _attribute_value(raw: Sql) -> Sql:
+    value = f"if(rlike({raw}, {_IN_QUOTES}), substr({raw}, 2, length({raw}) - 2), {raw})"
     return clean_reference(unescape(value))
 
 
 # An http(s) address whose authority has no bracket, or one pair of them.
-_WEB_LINK = r"^https?://[^/?#\[\]]*(?:\[[^/?#\[\]]*\][^/?#\[\]]*)?(?:[/?#]|$)"
+_WEB_LINK = quoted(r"^https?://[^/?#\[\]]*(?:\[[^/?#\[\]]*\][^/?#\[\]]*)?(?:[/?#]|$)")
 
 
-def anchor_hrefs(markup: Column) -> Column:
+def anchor_hrefs(markup: Sql) -> Sql:
     """Addresses written in the anchors of visible markup, in order."""
-    return F.transform(F.regexp_extract_all(markup, F.lit(_href("a")), F.lit(1)), _attribute_value)
+    return each(f"regexp_extract_all({markup}, {_href('a')}, 1)", _attribute_value)
 
 
-def base_href(markup: Column) -> Column:
+def base_href(markup: Sql) -> Sql:
     """Address of the page's last base element, null if it has none."""
-    found = F.regexp_extract_all(markup, F.lit(_href("base")), F.lit(1))
-    return F.when(
-        markup.rlike(r"(?i)<base[ \t\n\r\f/]"),
-        bind(found, lambda a: F.get(F.transform(a, _attribute_value), F.size(a) - 1)),
-    )
+    found = f"regexp_extract_all({markup}, {_href('base')}, 1)"
+    has_base = quoted(r"(?i)<base[ \t\n\r\f/]")
+    last = bind(found, lambda a: _attribute_value(f"get({a}, size({a}) - 1)"))
+    return f"if(rlike({markup}, {has_base}), {last}, NULL)"
 
 
-def markup_links(markup: Column, page_url: Column) -> Column:
+def markup_links(markup: Sql, page_url: Sql) -> Sql:
     """Absolute http(s) links of visible markup, in order, duplicates kept.
 
     A link whose authority has an unpaired bracket is dropped.
     """
 
-    def base_of(page: Column, own: Column) -> Column:
-        return F.when(
-            own.isNotNull(), bind(resolve_url(page, own), base_parts)
-        ).otherwise(page)
+    def base_of(page: Sql) -> Sql:
+        return bind(
+            base_href(markup),
+            lambda own: f"if({own} IS NULL, {page}, {bind(resolve_url(page, own), base_parts)})",
+        )
 
-    def resolved(base: Column) -> Column:
-        return F.transform(anchor_hrefs(markup), lambda ref: resolve_url(base, ref))
+    def resolved(base: Sql) -> Sql:
+        return each(anchor_hrefs(markup), lambda ref: resolve_url(base, ref))
 
-    page = base_parts(page_url)
-    links = bind(
-        page, lambda p: bind(bind(base_href(markup), lambda own: base_of(p, own)), resolved)
-    )
-    return F.coalesce(
-        F.filter(links, lambda u: u.rlike(_WEB_LINK)), F.array().cast("array<string>")
-    )
+    links = bind(bind(base_parts(page_url), base_of), resolved)
+    on_web = keep(links, lambda u: f"rlike({u}, {_WEB_LINK})")
+    return f"coalesce({on_web}, {NO_STRINGS})"
 
 
-def anchor_links(html: Column, page_url: Column) -> Column:
+def anchor_links(html: Sql, page_url: Sql) -> Sql:
     """Absolute http(s) links of a page's anchors, in order, duplicates kept."""
-    return markup_links(visible_markup(html), page_url)
+    return bind(visible_markup(html), lambda markup: markup_links(markup, page_url))

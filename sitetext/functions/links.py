@@ -1,4 +1,4 @@
-"""Expressions over a company's list of links.
+"""Expressions over a company's list of links, as SQL text.
 
 A company's raw links are capped at 200, so the list stays in one row and filtering and ranking
 it need no shuffle. Links that come one per row are ranked by `operators.ranking` instead.
@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
-
+from sitetext.functions.sql import Sql, bind, each, keep
 from sitetext.functions.urls import (
     bare_host,
-    bind,
     has_binary_extension,
     normalize_url,
     path_depth,
@@ -22,41 +20,31 @@ from sitetext.functions.urls import (
 )
 
 
-def is_site_page(url: Column, host: Column) -> Column:
+def is_site_page(url: Sql, host: Sql) -> Sql:
     """True for a web page of the site with this bare host."""
     return (
-        url_scheme(url).isin("http", "https")
-        & (bare_host(url) == host)
-        & ~has_binary_extension(url)
+        f"({url_scheme(url)} IN ('http', 'https') AND {bare_host(url)} = {host} "
+        f"AND NOT {has_binary_extension(url)})"
     )
 
 
-def site_links(links: Column, host: Column) -> Column:
+def site_links(links: Sql, host: Sql) -> Sql:
     """Pages of the site, each address once, at its first place."""
-    return bind(
-        host, lambda h: F.array_distinct(F.filter(links, lambda u: is_site_page(u, h)))
-    )
+    return bind(host, lambda h: f"array_distinct({keep(links, lambda u: is_site_page(u, h))})")
 
 
-def without_homepage(links: Column, homepage: Column) -> Column:
-    return F.filter(links, lambda u: normalize_url(u) != homepage)
+def without_homepage(links: Sql, homepage: Sql) -> Sql:
+    return keep(links, lambda u: f"{normalize_url(u)} <> {homepage}")
 
 
 def ranked_links(
-    links: Column, high: Sequence[str], low: Sequence[str], limit: int | None = None
-) -> Column:
+    links: Sql, high: Sequence[str], low: Sequence[str], limit: int | None = None
+) -> Sql:
     """Best links first: score, then shallow paths, then the order given."""
-
-    def key(url: Column, pos: Column) -> Column:
-        return bind(
-            url_path(url),
-            lambda path: F.struct(
-                (-score_path(path, high, low)).alias("score"),
-                path_depth(path).alias("depth"),
-                pos.alias("pos"),
-                url.alias("url"),
-            ),
-        )
-
-    ordered = F.transform(F.array_sort(F.transform(links, key)), lambda k: k["url"])
-    return ordered if limit is None else F.slice(ordered, 1, limit)
+    keys = bind(
+        url_path("link"),
+        lambda path: f"struct(-{score_path(path, high, low)} AS score, "
+        f"{path_depth(path)} AS depth, pos, link)",
+    )
+    ordered = each(f"array_sort(transform({links}, (link, pos) -> {keys}))", lambda k: f"{k}.link")
+    return ordered if limit is None else f"slice({ordered}, 1, {limit})"

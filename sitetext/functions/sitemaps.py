@@ -1,118 +1,116 @@
-"""Expressions over sitemap and robots bodies. Malformed input gives empty lists, never an error."""
+"""Expressions over sitemap and robots bodies, as SQL text.
 
-from __future__ import annotations
+Malformed input gives empty lists, never an error.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
 from sitetext.config import SITEMAP_NAMESPACE
-from sitetext.functions.urls import bind
+from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep, quoted
 
 # The first element of a document: prefix, local name, attributes. Declaration, document type,
 # comments and processing instructions may come before it.
-_ROOT = r"(?s)<(?:([A-Za-z_][\w.\-]*):)?([A-Za-z_][\w.\-]*)((?:[ \t\r\n][^<>]*)?)>"
-_BEFORE_ROOT = r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)"
-_CLOSED = r"</(?:[A-Za-z_][\w.\-]*:)?(?:urlset|[sS][iI][tT][eE][mM][aA][pP][iI][nN][dD][eE][xX])[ \t\r\n]*>[ \t\r\n]*$"
-_XML = (
+_ROOT = quoted(r"(?s)<(?:([A-Za-z_][\w.\-]*):)?([A-Za-z_][\w.\-]*)((?:[ \t\r\n][^<>]*)?)>")
+_OUTSIDE_ROOT = quoted(r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)")
+_SITEMAP_ROOT = quoted(r"(?i)<(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n>]")
+_CLOSED = quoted(r"(?i)</(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n]*>[ \t\r\n]*$")
+_PREFIXED_TAG = quoted(r"<([A-Za-z_][\w.\-]*):")
+_XML = quoted(
     "url array<struct<loc:array<string>>>, sitemap array<struct<loc:array<string>>>, "
     "_corrupt_record string"  # must come last, or the other columns shift
 )
-_XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record"}
-_PREFIXED_TAG = r"<([A-Za-z_][\w.\-]*):"
-_NO_STRINGS = "array<string>"
+_XML_OPTIONS = "map('columnNameOfCorruptRecord', '_corrupt_record')"
 
 
-def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+def strip_blanks(text: Sql) -> Sql:
+    blanks = quoted(r"^\s+|\s+$")
+    return f"regexp_replace({text}, {blanks}, '')"
 
 
-def looks_like_sitemap(body: Column) -> Column:
+def looks_like_sitemap(body: Sql) -> Sql:
     """Cheap test that spares every other body the XML parser."""
-    return body.rlike(r"(?i)<(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n>]")
+    return f"rlike({body}, {_SITEMAP_ROOT})"
 
 
-def _root(body: Column, group: int) -> Column:
-    return F.regexp_extract(F.regexp_replace(body, _BEFORE_ROOT, ""), _ROOT, group)
+def _root(body: Sql, group: int) -> Sql:
+    return f"regexp_extract(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_ROOT}, {group})"
 
 
-def _in_namespace(body: Column) -> Column:
+def _in_namespace(body: Sql) -> Sql:
     """True when the root element is bound to the sitemap namespace."""
-
-    def bound(parts: Column) -> Column:
-        name = F.when(parts["prefix"] == "", F.lit("xmlns")).otherwise(
-            F.concat(F.lit("xmlns:"), parts["prefix"])
-        )
-        compact = F.regexp_replace(parts["attributes"], r"[ \t\r\n]*=[ \t\r\n]*", "=")
-        return F.contains(compact, F.concat(name, F.lit(f'="{SITEMAP_NAMESPACE}"'))) | F.contains(
-            compact, F.concat(name, F.lit(f"='{SITEMAP_NAMESPACE}'"))
+    around_equals = quoted(r"[ \t\r\n]*=[ \t\r\n]*")
+    attributes = f"regexp_replace({_root(body, 3)}, {around_equals}, '=')"
+    double, single = quoted(f'="{SITEMAP_NAMESPACE}"'), quoted(f"='{SITEMAP_NAMESPACE}'")
+
+    def bound(name: Sql) -> Sql:
+        return bind(
+            attributes,
+            lambda a: f"(contains({a}, concat({name}, {double})) "
+            f"OR contains({a}, concat({name}, {single})))",
         )
 
-    parts = F.struct(_root(body, 1).alias("prefix"), _root(body, 3).alias("attributes"))
-    return bind(parts, bound)
+    own_name = bind(_root(body, 1), lambda p: f"if({p} = '', 'xmlns', concat('xmlns:', {p}))")
+    return bind(own_name, bound)
 
 
-def _parsed(body: Column) -> Column:
+def _parsed(body: Sql) -> Sql:
     """The document without the prefix of its root element; other prefixes stay apart."""
 
-    def plain(prefix: Column) -> Column:
-        opened = F.replace(body, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<"))
-        closed = F.replace(opened, F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</"))
-        return F.when(prefix == "", body).otherwise(closed)
+    def plain(prefix: Sql) -> Sql:
+        opened = f"replace({body}, concat('<', {prefix}, ':'), '<')"
+        return f"if({prefix} = '', {body}, replace({opened}, concat('</', {prefix}, ':'), '</'))"
 
-    return F.from_xml(bind(_root(body, 1), plain), _XML, _XML_OPTIONS)
+    return f"from_xml({bind(_root(body, 1), plain)}, {_XML}, {_XML_OPTIONS})"
 
 
-def _well_formed(body: Column, parsed: Column) -> Column:
+def _well_formed(body: Sql, parsed: Sql) -> Sql:
     # The parser stops after the root element and takes any prefix; text behind the root and a
     # prefix without a namespace are errors all the same.
-    used = F.array_distinct(F.regexp_extract_all(body, F.lit(_PREFIXED_TAG), F.lit(1)))
-    declared = F.forall(
-        used, lambda p: F.contains(body, F.concat(F.lit("xmlns:"), p, F.lit("=")))
+    used = f"array_distinct(regexp_extract_all({body}, {_PREFIXED_TAG}, 1))"
+    return (
+        f"({parsed}._corrupt_record IS NULL "
+        f"AND forall({used}, prefix -> contains({body}, concat('xmlns:', prefix, '='))) "
+        f"AND rlike(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_CLOSED}))"
     )
-    closed = F.regexp_replace(body, _BEFORE_ROOT, "").rlike(_CLOSED)
-    return parsed["_corrupt_record"].isNull() & declared & closed
 
 
-def sitemap_locs(body: Column) -> Column:
+def sitemap_locs(body: Sql) -> Sql:
     """Addresses of a sitemap or of a sitemap index, in order, trimmed.
 
     Reads the entries of `urlset` and of `sitemapindex`; empty unless the document is well
     formed and in the sitemap namespace.
     """
 
-    def locs(parsed: Column) -> Column:
-        entries = F.when(parsed["url"].isNotNull(), parsed["url"]).otherwise(parsed["sitemap"])
-        found = F.transform(
-            F.flatten(F.transform(entries, lambda e: F.coalesce(e["loc"], _none()))), strip_blanks
-        )
-        return F.when(
-            _well_formed(body, parsed) & _in_namespace(body), F.filter(found, lambda u: u != "")
-        )
+    def locs(parsed: Sql) -> Sql:
+        entries = f"coalesce({parsed}.url, {parsed}.sitemap)"
+        lists = each(entries, lambda e: f"coalesce({e}.loc, {NO_STRINGS})")
+        found = keep(each(f"flatten({lists})", strip_blanks), lambda u: f"{u} <> ''")
+        return f"if({_well_formed(body, parsed)} AND {_in_namespace(body)}, {found}, NULL)"
 
-    return F.when(looks_like_sitemap(body), F.coalesce(bind(_parsed(body), locs), _none())).otherwise(
-        _none()
-    )
+    found = f"if({looks_like_sitemap(body)}, {bind(_parsed(body), locs)}, NULL)"
+    return f"coalesce({found}, {NO_STRINGS})"
 
 
-def is_sitemap_index(body: Column) -> Column:
+def is_sitemap_index(body: Sql) -> Sql:
     """True for a well-formed document whose root is a sitemap index, in any namespace."""
-    named = F.lower(_root(body, 2)) == "sitemapindex"
-    ok = bind(_parsed(body), lambda p: _well_formed(body, p))
-    return F.coalesce(F.when(looks_like_sitemap(body), named & ok), F.lit(False))
+    well_formed = bind(_parsed(body), lambda p: _well_formed(body, p))
+    named = f"lower({_root(body, 2)}) = 'sitemapindex'"
+    return f"coalesce(if({looks_like_sitemap(body)}, {named} AND {well_formed}, false), false)"
 
 
-def is_markup(body: Column) -> Column:
+def is_markup(body: Sql) -> Sql:
     """The acceptance test of a site's main sitemap."""
-    return F.coalesce(body.rlike(r"^\s*<"), F.lit(False))
+    opens = quoted(r"^\s*<")
+    return f"coalesce(rlike({body}, {opens}), false)"
 
 
-def robots_sitemaps(body: Column) -> Column:
+def robots_sitemaps(body: Sql) -> Sql:
     """Addresses of the `Sitemap:` lines of a robots file, in order."""
-    lines = F.filter(
-        F.split(body, r"\r\n|\n|\r"), lambda line: F.lower(line).startswith("sitemap:")
+    line_end = quoted(r"\r\n|\n|\r")
+    lines = keep(
+        f"split({body}, {line_end})", lambda line: f"startswith(lower({line}), 'sitemap:')"
     )
-    addresses = F.transform(lines, lambda line: strip_blanks(F.regexp_replace(line, "^[^:]*:", "")))
-    return F.coalesce(addresses, _none())
-
-
-def _none() -> Column:
-    return F.array().cast(_NO_STRINGS)
+    addresses = each(
+        lines, lambda line: strip_blanks(f"regexp_replace({line}, '^[^:]*:', '')")
+    )
+    return f"coalesce({addresses}, {NO_STRINGS})"

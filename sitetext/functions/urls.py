@@ -1,215 +1,199 @@
-"""URL expressions. All are plain Column functions, usable in lambdas and on streams."""
+"""URL expressions, as SQL text. Plain functions only: usable in lambdas and on streams."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
-
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
 
 from sitetext.config import BINARY_EXTENSIONS
+from sitetext.functions.sql import Sql, bind, quoted
 
 # scheme, authority, path, query, fragment. parse_url is not used: it raises, or gives
 # null, for addresses that occur in real pages ("/a|b", "a_b.com").
-URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
-# Schemes whose addresses carry an authority even when it is empty.
-WEB_SCHEMES = ("http", "https")
-
-
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once per row and use it many times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+_URL = quoted(
+    r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+)
+_SCHEME = quoted(r"^([A-Za-z][A-Za-z0-9+.\-]*):")
+_AFTER_PARAMS = quoted(r";[^/]*$")
+_PARAMS = quoted(r";([^/]*)$")
+_EXTENSION = quoted(rf"(?i)\.(?:{'|'.join(BINARY_EXTENSIONS)})$")
 
 
-def url_scheme(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, SCHEME, 1))
+def url_scheme(url: Sql) -> Sql:
+    return f"lower(regexp_extract({url}, {_SCHEME}, 1))"
 
 
-def url_host(url: Column) -> Column:
+def url_host(url: Sql) -> Sql:
     """Authority of the URL: case and port are kept."""
-    return F.regexp_extract(url, URL, 2)
+    return f"regexp_extract({url}, {_URL}, 2)"
 
 
-def url_full_path(url: Column) -> Column:
+def url_full_path(url: Sql) -> Sql:
     """Path with the `;params` of its last segment."""
-    return F.regexp_extract(url, URL, 3)
+    return f"regexp_extract({url}, {_URL}, 3)"
 
 
-def url_path(url: Column) -> Column:
-    return F.regexp_replace(url_full_path(url), r";[^/]*$", "")
+def url_path(url: Sql) -> Sql:
+    return f"regexp_replace({url_full_path(url)}, {_AFTER_PARAMS}, '')"
 
 
-def url_params(url: Column) -> Column:
+def url_params(url: Sql) -> Sql:
     """Text after the first `;` of the last path segment."""
-    return F.regexp_extract(url_full_path(url), r";([^/]*)$", 1)
+    return f"regexp_extract({url_full_path(url)}, {_PARAMS}, 1)"
 
 
-def url_query(url: Column) -> Column:
-    return F.regexp_extract(url, URL, 4)
+def url_query(url: Sql) -> Sql:
+    return f"regexp_extract({url}, {_URL}, 4)"
 
 
-def url_fragment(url: Column) -> Column:
-    return F.regexp_extract(url, URL, 5)
+def url_fragment(url: Sql) -> Sql:
+    return f"regexp_extract({url}, {_URL}, 5)"
 
 
-def without_www(host: Column) -> Column:
-    return F.regexp_replace(host, r"^www\.", "")
-
-
-def bare_host(url: Column) -> Column:
+def bare_host(url: Sql) -> Sql:
     """Host without one leading `www.`, the identity of a site in link filtering."""
-    return without_www(url_host(url))
+    return f"regexp_replace({url_host(url)}, '^www[.]', '')"
 
 
-def site_root(url: Column) -> Column:
-    return F.concat(url_scheme(url), F.lit("://"), url_host(url))
+def site_root(url: Sql) -> Sql:
+    return f"concat({url_scheme(url)}, '://', {url_host(url)})"
 
 
-def sitemap_address(url: Column) -> Column:
-    return F.concat(site_root(url), F.lit("/sitemap.xml"))
+def sitemap_address(root: Sql) -> Sql:
+    return f"concat({root}, '/sitemap.xml')"
 
 
-def robots_address(url: Column) -> Column:
-    return F.concat(site_root(url), F.lit("/robots.txt"))
+def robots_address(root: Sql) -> Sql:
+    return f"concat({root}, '/robots.txt')"
 
 
-def _prefixed(prefix: str, part: Column) -> Column:
-    return F.when(part != "", F.concat(F.lit(prefix), part)).otherwise("")
+def _prefixed(prefix: str, part: Sql) -> Sql:
+    return bind(part, lambda p: f"if({p} = '', '', concat('{prefix}', {p}))")
 
 
-def normalize_url(url: Column) -> Column:
+def normalize_url(url: Sql) -> Sql:
     """Add a missing scheme, lower it, drop the fragment and the path's trailing slashes."""
 
-    def rebuilt(full: Column) -> Column:
+    def rebuilt(full: Sql) -> Sql:
         scheme, host = url_scheme(full), url_host(full)
-        authority = F.when(
-            (host != "") | scheme.isin(*WEB_SCHEMES), F.concat(F.lit("//"), host)
-        ).otherwise("")
-        return F.concat(
-            F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-            authority,
-            F.rtrim(url_path(full), F.lit("/")),
-            _prefixed(";", url_params(full)),
-            _prefixed("?", url_query(full)),
+        return (
+            f"concat(if({scheme} = '', '', concat({scheme}, ':')), "
+            # A web address has an authority even when it is empty.
+            f"if({host} <> '' OR {scheme} IN ('http', 'https'), concat('//', {host}), ''), "
+            f"rtrim('/', {url_path(full)}), "
+            f"{_prefixed(';', url_params(full))}, {_prefixed('?', url_query(full))})"
         )
 
-    with_scheme = F.when(url.contains("://"), url).otherwise(F.concat(F.lit("https://"), url))
-    return bind(with_scheme, rebuilt)
+    return bind(f"if(contains({url}, '://'), {url}, concat('https://', {url}))", rebuilt)
 
 
-def url_slug(url: Column) -> Column:
+def url_slug(url: Sql) -> Sql:
     """Last path segment, `home` when there is none."""
-    segment = F.regexp_extract(F.rtrim(url_path(url), F.lit("/")), r"([^/]*)$", 1)
-    return F.when(segment == "", "home").otherwise(segment)
+    segment = f"regexp_extract(rtrim('/', {url_path(url)}), '([^/]*)$', 1)"
+    return f"coalesce(nullif({segment}, ''), 'home')"
 
 
-def has_binary_extension(url: Column) -> Column:
+def has_binary_extension(url: Sql) -> Sql:
     """True when the last path segment ends in the extension of a file that is not a page."""
-    return url_path(url).rlike(rf"(?i)\.(?:{'|'.join(BINARY_EXTENSIONS)})$")
+    return f"rlike({url_path(url)}, {_EXTENSION})"
 
 
-def _contains_any(text: Column, words: Sequence[str]) -> Column:
-    return text.rlike("|".join(re.escape(w) for w in words)) if words else F.lit(False)
-
-
-def score_path(path: Column, high: Sequence[str], low: Sequence[str]) -> Column:
+def score_path(path: Sql, high: Sequence[str], low: Sequence[str]) -> Sql:
     """2 if the lower-cased path contains a high keyword, else -1 for a low one, else 0.
 
     Keywords are taken as given: one with capitals never matches.
     """
+
+    def has(text: Sql, words: Sequence[str]) -> Sql:
+        pattern = "|".join(re.escape(word) for word in words)
+        return f"rlike({text}, {quoted(pattern)})" if words else "false"
+
     return bind(
-        F.lower(path),
-        lambda p: F.when(_contains_any(p, high), 2).when(_contains_any(p, low), -1).otherwise(0),
+        f"lower({path})",
+        lambda p: f"CASE WHEN {has(p, high)} THEN 2 WHEN {has(p, low)} THEN -1 ELSE 0 END",
     )
 
 
-def path_depth(path: Column) -> Column:
-    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+def path_depth(path: Sql) -> Sql:
+    return bind(path, lambda p: f"(length({p}) - length(replace({p}, '/', '')))")
 
 
 # --- Resolving references ---------------------------------------------------
 
 
-def clean_reference(ref: Column) -> Column:
+def clean_reference(ref: Sql) -> Sql:
     """Strip blanks and control characters round the reference, and line breaks inside it."""
-    return F.regexp_replace(ref, r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]", "")
+    outside = quoted(r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]")
+    return f"regexp_replace({ref}, {outside}, '')"
 
 
-def base_parts(base: Column) -> Column:
+def base_parts(base: Sql) -> Sql:
     """What `resolve_url` needs to know of a base address, to be computed once per page."""
     path = url_full_path(base)
-    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
-    return F.struct(
-        base.alias("url"),
-        url_scheme(base).alias("scheme"),
-        site_root(base).alias("root"),
-        path.alias("path"),
-        F.when(folder == "", "/").otherwise(folder).alias("folder"),
-        _prefixed("?", url_query(base)).alias("query"),
+    folder = f"coalesce(nullif(regexp_extract({path}, '(?s)^(.*/)', 1), ''), '/')"
+    return (
+        f"named_struct('url', {base}, 'scheme', {url_scheme(base)}, 'root', {site_root(base)}, "
+        f"'path', {path}, 'folder', {folder}, 'query', {_prefixed('?', url_query(base))})"
     )
 
 
-def remove_dot_segments(path: Column) -> Column:
+def remove_dot_segments(path: Sql) -> Sql:
     """Resolve `.` and `..` segments of a path that starts at the root."""
-
-    def push(kept: Column, segment: Column) -> Column:
-        return (
-            F.when(segment == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
-            .when(segment == ".", kept)
-            .otherwise(F.concat(kept, F.array(segment)))
-        )
-
-    segments = F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/")
-    kept = F.aggregate(segments, F.array().cast("array<string>"), push)
+    open_end = quoted(r"(^|/)(\.\.?)$")
+    segments = f"split(regexp_replace({path}, {open_end}, '$1$2/'), '/')"
+    kept = (
+        f"aggregate({segments}, CAST(array() AS array<string>), (kept, segment) -> "
+        "CASE segment WHEN '..' THEN slice(kept, 1, greatest(size(kept) - 1, 0)) "
+        "WHEN '.' THEN kept ELSE concat(kept, array(segment)) END)"
+    )
     return bind(
-        F.array_join(kept, "/"),
-        lambda joined: F.when(joined.startswith("/"), joined).otherwise(
-            F.concat(F.lit("/"), joined)
-        ),
+        f"array_join({kept}, '/')", lambda p: f"if(startswith({p}, '/'), {p}, concat('/', {p}))"
     )
 
 
-def _without_empty_tail(url: Column) -> Column:
+def _without_empty_tail(url: Sql) -> Sql:
     """An empty query or fragment vanishes."""
-    return F.regexp_replace(F.regexp_replace(url, r"#$", ""), r"\?(#|$)", "$1")
+    empty_query = quoted(r"\?(#|$)")
+    return f"regexp_replace(regexp_replace({url}, '#$', ''), {empty_query}, '$1')"
 
 
-def resolve_url(base: Column, ref: Column) -> Column:
+def resolve_url(base: Sql, ref: Sql) -> Sql:
     """Absolute form of a cleaned reference; `base` is a `base_parts` struct.
 
     Follows RFC 3986 section 5.2, with the common leniency that a reference repeating the
     base's scheme without an authority is relative.
     """
-    scheme = url_scheme(ref)
-    same_scheme = scheme == base["scheme"]
-
-    def relative(rest: Column) -> Column:
-        path = F.regexp_extract(rest, r"^([^?#]*)", 1)
-        tail = F.regexp_extract(rest, r"(?s)^[^?#]*(.*)$", 1)
-        merged = F.when(path.startswith("/"), path).otherwise(
-            F.regexp_replace(F.concat(base["folder"], path), r"/{2,}", "/")
+    has_dots, query_only = quoted(r"/\.\.?(/|$)"), quoted(r"^\?[^#]")
+
+    def absolute_path(path: Sql) -> Sql:
+        merged = (
+            f"if(startswith({path}, '/'), {path}, "
+            f"regexp_replace(concat({base}.folder, {path}), '/{{2,}}', '/'))"
         )
-        resolved = bind(
+        return bind(
             merged,
-            lambda m: F.when(
-                m.contains("/."), F.when(m.rlike(r"/\.\.?(/|$)"), remove_dot_segments(m)).otherwise(m)
-            ).otherwise(m),
+            lambda m: f"if(contains({m}, '/.') AND rlike({m}, {has_dots}), "
+            f"{remove_dot_segments(m)}, {m})",
         )
+
+    def relative(rest: Sql) -> Sql:
+        path = f"regexp_extract({rest}, '^([^?#]*)', 1)"
+        tail = f"regexp_extract({rest}, '(?s)^[^?#]*(.*)$', 1)"
+        own_query = quoted(r"^\?")
         return (
-            F.when(rest.startswith("//"), F.concat(base["scheme"], F.lit(":"), rest))
-            .when(path != "", F.concat(base["root"], resolved, tail))
-            .when(rest.rlike(r"^\?[^#]"), F.concat(base["root"], base["path"], tail))
-            .otherwise(
-                F.concat(
-                    base["root"], base["path"], base["query"], F.regexp_replace(tail, r"^\?", "")
-                )
-            )
+            f"CASE WHEN startswith({rest}, '//') THEN concat({base}.scheme, ':', {rest}) "
+            f"WHEN {path} <> '' THEN concat({base}.root, {bind(path, absolute_path)}, {tail}) "
+            f"WHEN rlike({rest}, {query_only}) THEN concat({base}.root, {base}.path, {tail}) "
+            f"ELSE concat({base}.root, {base}.path, {base}.query, "
+            f"regexp_replace({tail}, {own_query}, '')) END"
         )
 
-    rest = F.when(same_scheme, F.regexp_replace(ref, SCHEME, "")).otherwise(ref)
-    return (
-        F.when(ref == "", base["url"])
-        .when((scheme != "") & ~same_scheme, ref)
-        .otherwise(_without_empty_tail(bind(rest, relative)))
-    )
+    def by_scheme(scheme: Sql) -> Sql:
+        rest = f"if({scheme} = '', {ref}, regexp_replace({ref}, {_SCHEME}, ''))"
+        return (
+            f"CASE WHEN {ref} = '' THEN {base}.url "
+            f"WHEN {scheme} NOT IN ('', {base}.scheme) THEN {ref} "
+            f"ELSE {_without_empty_tail(bind(rest, relative))} END"
+        )
+
+    return bind(url_scheme(ref), by_scheme)

@@ -4,30 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.functions import expr
 
 from sitetext.config import Options
 from sitetext.functions.judgement import is_blocked
+from sitetext.functions.sql import Sql
 
 _AFTER_ANY_ATTEMPT = 1_000_000
+# Captures without a time count as the oldest.
+CAPTURED_AT = "coalesce(unix_micros(fetched_at), 0)"
 
 
-def attempt_rank(status: Column, attempt: Column, fetched_at: Column) -> Column:
+def attempt_rank() -> Sql:
     """Sort key under which the terminal attempt of a page comes first.
 
     The first attempt that is not blocked ends the page (a 404 included); if all are blocked,
     the last one counts. Among copies of one attempt the latest capture counts.
     """
-    order = F.when(is_blocked(status), _AFTER_ANY_ATTEMPT - attempt).otherwise(attempt)
-    return F.struct(
-        order.alias("order"), (-F.coalesce(F.unix_micros(fetched_at), F.lit(0))).alias("age")
-    )
+    order = f"if({is_blocked('status')}, {_AFTER_ANY_ATTEMPT} - attempt, attempt)"
+    return f"struct({order} AS position, -{CAPTURED_AT} AS age)"
 
 
 def within_budget(attempts: DataFrame, options: Options) -> DataFrame:
     """Attempts the retry mode allows, with a missing status read as no response."""
-    return attempts.where(F.col("attempt") < options.attempt_budget).withColumn(
-        "status", F.coalesce("status", F.lit(0))
+    return attempts.where(f"attempt < {options.attempt_budget}").withColumn(
+        "status", expr("coalesce(status, 0)")
     )
 
 
@@ -42,12 +44,11 @@ def fold_attempts(
     One shuffle on the keys. Each task first keeps its own best attempt per page, so a page
     with very many rows sends one row per task.
     """
-    allowed = within_budget(attempts, options)
-    outcome = F.struct("status", F.col("attempt").alias("retries_used"), *payload)
-    rank = attempt_rank(F.col("status"), F.col("attempt"), F.col("fetched_at"))
+    outcome = ", ".join(("status", "attempt AS retries_used", *payload))
     return (
-        allowed.groupBy(*keys)
-        .agg(F.min_by(outcome, rank).alias("o"))
+        within_budget(attempts, options)
+        .groupBy(*keys)
+        .agg(expr(f"min_by(struct({outcome}), {attempt_rank()})").alias("o"))
         .select(*keys, "o.status", *[f"o.{c}" for c in payload], "o.retries_used")
     )
 
@@ -56,15 +57,14 @@ def next_attempts(
     attempts: DataFrame, options: Options, keys: Sequence[str] = ("page_url",)
 ) -> DataFrame:
     """Pages to try again: the number of the next attempt and the seconds to wait before it."""
-    upcoming = F.col("retries_used") + 1
-    delays = F.array(*[F.lit(d) for d in options.retry_delays])
+    delays = ", ".join(f"{d}D" for d in options.retry_delays)
     return (
         fold_attempts(attempts, options, keys, payload=())
-        .where(is_blocked(F.col("status")) & (upcoming < options.attempt_budget))
-        .select(
+        .where(f"{is_blocked('status')} AND retries_used + 1 < {options.attempt_budget}")
+        .selectExpr(
             *keys,
             "status",
-            upcoming.alias("attempt"),
-            F.get(delays, upcoming).alias("delay_s"),
+            "retries_used + 1 AS attempt",
+            f"array({delays})[retries_used + 1] AS delay_s",
         )
     )

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_CHILD_SITEMAPS, MAX_RAW_LINKS, Options
 from sitetext.functions.links import ranked_links, site_links, without_homepage
-from sitetext.functions.urls import bare_host, bind, robots_address, site_root, sitemap_address
+from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep
+from sitetext.functions.urls import bare_host, robots_address, site_root, sitemap_address
 from sitetext.operators.ranking import cap_links
 
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
-
-
 def site_documents(digests: DataFrame) -> DataFrame:
     """Usable sitemaps and robots files among the captured addresses: few rows, so stage them."""
-    return digests.where((F.size("locs") > 0) | (F.size("robots") > 0)).select(
-        F.col("page_url").alias("address"), "locs", "is_index", "is_markup", "robots"
+    return digests.where("size(locs) > 0 OR size(robots) > 0").selectExpr(
+        "page_url AS address", "locs", "is_index", "is_markup", "robots"
     )
 
 
@@ -28,19 +26,17 @@ def _first_source(listed: DataFrame, sitemaps: DataFrame) -> DataFrame:
     Only the first 200 sitemaps that have links can matter, which bounds what is gathered for
     a root.
     """
-    filled = listed.join(sitemaps, "address").select("root", "source", "pos", "locs")
-    ordered = F.array_sort(F.collect_list(F.struct("source", "pos", "locs")))
 
-    def joined(lists: Column) -> Column:
-        source = F.get(lists, F.lit(0))["source"]
-        chosen = F.filter(lists, lambda s: s["source"] == source)
-        return F.slice(F.flatten(F.transform(chosen, lambda s: s["locs"])), 1, MAX_RAW_LINKS)
+    def joined(lists: Sql) -> Sql:
+        chosen = keep(lists, lambda s: f"{s}.source = {lists}[0].source")
+        return f"slice(flatten({each(chosen, lambda s: f'{s}.locs')}), 1, {MAX_RAW_LINKS})"
 
+    filled = listed.join(sitemaps, "address").select("root", "source", "pos", "locs")
     return (
         cap_links(filled, "root", ["source", "pos"], MAX_RAW_LINKS)
         .groupBy("root")
-        .agg(ordered.alias("lists"))
-        .select("root", bind(F.col("lists"), joined).alias("locs"))
+        .agg(expr("array_sort(collect_list(struct(source, pos, locs)))").alias("lists"))
+        .selectExpr("root", f"{bind('lists', joined)} AS locs")
     )
 
 
@@ -50,31 +46,22 @@ def site_sitemap_links(sites: DataFrame, documents: DataFrame) -> DataFrame:
     Per site and not per company: companies on one site share the work, and a site that holds
     a third of all companies is one row here.
     """
-    sitemaps = documents.where(F.size("locs") > 0).select("address", "locs")
-    main = documents.where((F.size("locs") > 0) & F.col("is_markup")).select(
-        F.col("address").alias("main_address"), "locs", "is_index"
-    )
-    robots = documents.where(F.size("robots") > 0).select(
-        F.col("address").alias("robots_address"), "robots"
-    )
+    sitemaps = documents.where("size(locs) > 0")
+    main = sitemaps.where("is_markup").selectExpr("address AS main_address", "locs", "is_index")
+    robots = documents.where("size(robots) > 0").selectExpr("address AS robots_address", "robots")
     looked_up = sites.join(
-        main, sitemap_address(F.col("root")) == F.col("main_address"), "left"
-    ).join(robots, robots_address(F.col("root")) == F.col("robots_address"), "left")
-
-    plain = F.col("locs").isNotNull() & ~F.col("is_index")
-    children = F.when(F.col("is_index"), F.slice("locs", 1, MAX_CHILD_SITEMAPS))
-    sources = F.array(
-        F.struct(F.lit(0).alias("source"), children.alias("addresses")),
-        F.struct(F.lit(1).alias("source"), F.col("robots").alias("addresses")),
-    )
+        main, expr(f"{sitemap_address('root')} = main_address"), "left"
+    ).join(robots, expr(f"{robots_address('root')} = robots_address"), "left")
+
+    children = f"if(is_index, slice(locs, 1, {MAX_CHILD_SITEMAPS}), NULL)"
+    sources = f"array(struct(0 AS source, {children} AS addresses), struct(1 AS source, robots AS addresses))"
     listed = (
-        looked_up.where(~F.coalesce(plain, F.lit(False)))
-        .select("root", F.explode(sources).alias("s"))
-        .select("root", "s.source", F.posexplode("s.addresses").alias("pos", "address"))
-    )
-    return (
-        looked_up.where(plain).select("root", "locs").unionByName(_first_source(listed, sitemaps))
+        looked_up.where("locs IS NULL OR is_index")
+        .selectExpr("root", f"explode({sources}) AS s")
+        .selectExpr("root", "s.source", "posexplode(s.addresses) AS (pos, address)")
     )
+    plain = looked_up.where("locs IS NOT NULL AND NOT is_index").select("root", "locs")
+    return plain.unionByName(_first_source(listed, sitemaps.select("address", "locs")))
 
 
 def discover(
@@ -82,31 +69,29 @@ def discover(
 ) -> DataFrame:
     """Candidate links of each company (columns company_key, home), homepage not yet excluded.
 
-    `documents` are the `site_documents` of the digests. Adds candidates, and no_links: the homepage had to be rendered to get them. A source counts
-    as empty before filtering, so a sitemap of foreign links still hides the anchors.
+    `documents` are the `site_documents` of the digests. Adds candidates, and no_links: the
+    homepage had to be rendered to get them. A source counts as empty before filtering, so a
+    sitemap of foreign links still hides the anchors.
     """
-    located = companies.withColumn("root", site_root(F.col("home")))
-    sites = site_sitemap_links(located.select("root").distinct(), documents).withColumn(
-        "site_links", site_links(F.col("locs"), bare_host(F.col("root")))
+    rendering = "true" if options.js_fallback else "false"
+    located = companies.withColumn("root", expr(site_root("home")))
+    sites = site_sitemap_links(located.select("root").distinct(), documents).selectExpr(
+        "root", f"{site_links('locs', bare_host('root'))} AS site_links"
     )
-    homepages = digests.select(
-        F.col("page_url").alias("home"), "links", "all_links", "escalated"
-    )
-    escalated = F.coalesce("escalated", F.lit(options.js_fallback))
-    found = F.coalesce("site_links", "links", _none())
-    no_links = F.lit(options.js_fallback) & ~escalated & (F.size("found") == 0)
+    homepages = digests.selectExpr("page_url AS home", "links", "all_links", "escalated")
     return (
-        located.join(sites.select("root", "site_links"), "root", "left")
+        located.join(sites, "root", "left")
         .join(homepages, "home", "left")
-        .withColumn("found", found)
-        .withColumn("no_links", no_links)
-        .select(
+        .withColumn("found", expr(f"coalesce(site_links, links, {NO_STRINGS})"))
+        .withColumn(
+            "no_links",
+            expr(f"{rendering} AND NOT coalesce(escalated, {rendering}) AND size(found) = 0"),
+        )
+        .selectExpr(
             "company_key",
             "home",
             "no_links",
-            F.when(F.col("no_links"), F.coalesce("all_links", _none()))
-            .otherwise(F.col("found"))
-            .alias("candidates"),
+            f"if(no_links, coalesce(all_links, {NO_STRINGS}), found) AS candidates",
         )
     )
 
@@ -114,12 +99,11 @@ def discover(
 def select_pages(discovered: DataFrame, options: Options) -> DataFrame:
     """Pages of each company in order: the homepage, ord 0, then its best subpages."""
     best = ranked_links(
-        without_homepage(F.col("candidates"), F.col("home")),
+        without_homepage("candidates", "home"),
         options.high_value_keywords,
         options.low_value_keywords,
         options.max_subpages - 1,
     )
-    pages = F.concat(F.array("home"), best)
-    return discovered.select(
-        "company_key", "no_links", F.posexplode(pages).alias("ord", "page_url")
+    return discovered.selectExpr(
+        "company_key", "no_links", f"posexplode(concat(array(home), {best})) AS (ord, page_url)"
     )

@@ -6,11 +6,12 @@ and links in the task that scanned it, and only those are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_RAW_LINKS, Options
 from sitetext.functions.html import markup_links, markup_text, visible_markup
-from sitetext.functions.judgement import gated_text, is_blocked, is_thin, render_reason
+from sitetext.functions.judgement import gated_text, is_blocked, render_reason
 from sitetext.functions.links import site_links
 from sitetext.functions.sitemaps import (
     is_markup,
@@ -18,11 +19,10 @@ from sitetext.functions.sitemaps import (
     robots_sitemaps,
     sitemap_locs,
 )
-from sitetext.functions.urls import bare_host, robots_address
+from sitetext.functions.sql import NO_STRINGS
+from sitetext.functions.urls import bare_host, robots_address, site_root
 from sitetext.operators.attempts import attempt_rank, within_budget
 
-_ADDRESSES = "array<string>"
-
 
 def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
     """Attempts and renders as one table, so that both go through one scan and one shuffle."""
@@ -36,33 +36,30 @@ def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Opti
 
 def _reduced(rows: DataFrame, options: Options) -> DataFrame:
     """Text, links and sitemap content of each row, in place of its html."""
-    rendered = F.col("attempt").isNull()
     # The body of a blocked page is replaced by its rendering, so it need not be read.
-    unread = (
-        ~rendered & is_blocked(F.col("status")) if options.js_fallback else F.lit(False)
-    )
+    unread = f"attempt IS NOT NULL AND {is_blocked('status')}" if options.js_fallback else "false"
     # Sitemaps and robots files are fetched once, without retries.
-    document = F.when((F.col("attempt") == 0) & (F.col("status") == 200), F.col("html"))
-    links = F.col("all_links")
+    document = "if(attempt = 0 AND status = 200, html, NULL)"
+    host = bare_host("page_url")
+    own_robots = f"page_url = {robots_address(site_root('page_url'))}"
     return (
-        rows.withColumn("markup", F.when(~unread, visible_markup(F.col("html"))))
-        .withColumn("all_links", markup_links(F.col("markup"), F.col("page_url")))
-        .select(
+        rows.withColumn("markup", expr(f"if({unread}, NULL, {visible_markup('html')})"))
+        .withColumn("found", expr(markup_links("markup", "page_url")))
+        .selectExpr(
             "page_url",
             "attempt",
             "status",
             "fetched_at",
-            F.when(rendered, F.struct(F.length("html"), F.xxhash64("html"))).alias("render_rank"),
-            markup_text(F.col("markup")).alias("text"),
+            "if(attempt IS NULL, struct(length(html), xxhash64(html)), NULL) AS render_rank",
+            f"{markup_text('markup')} AS text",
             # What discovery takes from anchors: the capped list, and for a rendered homepage
             # without links the whole list.
-            site_links(F.slice(links, 1, MAX_RAW_LINKS), bare_host(F.col("page_url"))).alias("links"),
-            F.when(rendered, site_links(links, bare_host(F.col("page_url")))).alias("all_links"),
-            F.slice(sitemap_locs(document), 1, MAX_RAW_LINKS).alias("locs"),
-            is_sitemap_index(document).alias("is_index"),
-            is_markup(document).alias("is_markup"),
-            F.when(F.col("page_url") == robots_address(F.col("page_url")), robots_sitemaps(document))
-            .alias("robots"),
+            f"{site_links(f'slice(found, 1, {MAX_RAW_LINKS})', host)} AS links",
+            f"if(attempt IS NULL, {site_links('found', host)}, NULL) AS all_links",
+            f"slice({sitemap_locs(document)}, 1, {MAX_RAW_LINKS}) AS locs",
+            f"{is_sitemap_index(document)} AS is_index",
+            f"{is_markup(document)} AS is_markup",
+            f"if({own_robots}, {robots_sitemaps(document)}, NULL) AS robots",
         )
     )
 
@@ -74,45 +71,39 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     escalated, text, text_len, links, all_links (of a rendering that has not been used yet),
     locs, is_index, is_markup, robots.
     """
-    rows = _reduced(_captured_rows(attempts, renders, options), options)
-    captured = F.struct(
-        "attempt", "status", "text", "links", "locs", "is_index", "is_markup", "robots"
-    )
-    rank = F.when(
-        F.col("attempt").isNotNull(),
-        attempt_rank(F.col("status"), F.col("attempt"), F.col("fetched_at")),
-    )
-    folded = rows.groupBy("page_url").agg(
-        F.min_by(captured, rank).alias("c"),
-        # Of several renderings of a page the longest is taken.
-        F.max_by(F.struct("text", "links", "all_links"), F.col("render_rank")).alias("r"),
-        F.min("fetched_at").alias("first_fetched"),
-        F.max("fetched_at").alias("last_fetched"),
+    captured = "struct(attempt, status, text, links, locs, is_index, is_markup, robots)"
+    folded = (
+        _reduced(_captured_rows(attempts, renders, options), options)
+        .groupBy("page_url")
+        .agg(
+            expr(f"min_by({captured}, if(attempt IS NOT NULL, {attempt_rank()}, NULL))").alias("c"),
+            # Of several renderings of a page the longest is taken.
+            expr("max_by(struct(text, links, all_links), render_rank)").alias("r"),
+            expr("min(fetched_at)").alias("first_fetched"),
+            expr("max(fetched_at)").alias("last_fetched"),
+        )
+        .withColumn("status", expr("coalesce(c.status, 0)"))
+        .withColumn("own_text", expr("coalesce(c.text, '')"))
     )
-    status = F.coalesce("c.status", F.lit(0))
-    captured_text = F.coalesce("c.text", F.lit(""))
-    reason = render_reason(status, captured_text) if options.js_fallback else F.lit(None).cast("string")
-    nothing = F.array().cast(_ADDRESSES)
-    text = F.when(F.col("escalated"), F.coalesce("r.text", F.lit(""))).otherwise(captured_text)
+    reason = render_reason("status", "own_text") if options.js_fallback else "CAST(NULL AS string)"
+    text = "if(escalated, coalesce(r.text, ''), own_text)"
     return (
-        folded.withColumn("reason", reason)
-        .withColumn("escalated", F.col("reason").isNotNull())
-        .withColumn("text", gated_text(text, F.col("escalated"), options.challenge_phrases))
-        .select(
+        folded.withColumn("reason", expr(reason))
+        .withColumn("escalated", expr("reason IS NOT NULL"))
+        .withColumn("text", expr(gated_text(text, "escalated", options.challenge_phrases)))
+        .selectExpr(
             "page_url",
-            F.col("c.attempt").alias("attempt"),
-            status.alias("status"),
-            F.coalesce("c.attempt", F.lit(0)).alias("retries_used"),
+            "c.attempt AS attempt",
+            "status",
+            "coalesce(c.attempt, 0) AS retries_used",
             "first_fetched",
             "last_fetched",
             "reason",
             "escalated",
             "text",
-            F.length("text").alias("text_len"),
-            F.when(F.col("escalated"), F.coalesce("r.links", nothing))
-            .otherwise(F.coalesce("c.links", nothing))
-            .alias("links"),
-            F.when(~F.col("escalated"), F.col("r.all_links")).alias("all_links"),
+            "length(text) AS text_len",
+            f"coalesce(if(escalated, r.links, c.links), {NO_STRINGS}) AS links",
+            "if(escalated, NULL, r.all_links) AS all_links",
             "c.locs",
             "c.is_index",
             "c.is_markup",
@@ -123,7 +114,7 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
 
 def render_queue(judged: DataFrame, renders: DataFrame | None = None) -> DataFrame:
     """Pages that need rendering and why; those with a rendering already are left out."""
-    wanted = judged.where(F.col("reason").isNotNull()).select("page_url", "reason")
+    wanted = judged.where("reason IS NOT NULL").select("page_url", "reason")
     if renders is None:
         return wanted
     return wanted.join(renders.select("page_url"), "page_url", "left_anti")

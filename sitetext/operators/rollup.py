@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
+from pyspark.sql.functions import expr
 
 from sitetext.config import Options
 from sitetext.functions.judgement import company_status, is_blocked
+from sitetext.functions.sql import Sql
 from sitetext.functions.urls import url_slug
-from sitetext.operators.attempts import within_budget
+from sitetext.operators.attempts import CAPTURED_AT, within_budget
 
 MISSING_URL = "missing url"
 _RENDERED = -1  # stands for the attempt number of a rendering
@@ -17,65 +19,53 @@ def company_pages(selected: DataFrame, digests: DataFrame, options: Options) ->
     """Selected pages with their records; a page never captured counts as no response."""
     records = digests.select(
         "page_url", "attempt", "status", "retries_used", "first_fetched", "last_fetched",
-        "reason", "escalated", "text", "text_len",
+        "reason", "text", "text_len",
     )
-    is_home = F.col("ord") == 0
-    unseen = F.col("status").isNull()
-    reason = F.when(unseen, "blocked").otherwise(F.col("reason")) if options.js_fallback else F.col("reason")
-    rendered_for_links = is_home & F.col("no_links")
+    unseen = "if(status IS NULL, 'blocked', reason)" if options.js_fallback else "reason"
     return (
         selected.join(records, "page_url", "left")
-        .withColumn("reason", F.coalesce(reason, F.when(rendered_for_links, "no_links")))
-        .select(
+        .withColumn("reason", expr(f"coalesce({unseen}, if(ord = 0 AND no_links, 'no_links', NULL))"))
+        .selectExpr(
             "company_key",
             "ord",
             "page_url",
-            F.when(is_home, "home").otherwise(url_slug(F.col("page_url"))).alias("page_name"),
+            f"if(ord = 0, 'home', {url_slug('page_url')}) AS page_name",
             "attempt",
-            F.coalesce("status", F.lit(0)).alias("status"),
-            F.coalesce("retries_used", F.lit(0)).alias("retries_used"),
-            F.coalesce("text", F.lit("")).alias("text"),
-            F.coalesce("text_len", F.lit(0)).alias("text_len"),
+            "coalesce(status, 0) AS status",
+            "coalesce(retries_used, 0) AS retries_used",
+            "coalesce(text, '') AS text",
+            "coalesce(text_len, 0) AS text_len",
             "reason",
-            F.col("reason").isNotNull().alias("escalated_to_js"),
+            "reason IS NOT NULL AS escalated_to_js",
             "first_fetched",
             "last_fetched",
         )
     )
 
 
-def page_error(ord_: Column, page_url: Column, status: Column, text_len: Column) -> Column:
-    """Message for a page without text, null for a page with text."""
-    message = F.when(
-        ord_ == 0, F.concat(F.lit("Homepage blocked or empty: HTTP "), status.cast("string"))
-    ).otherwise(F.concat(F.lit("No content from "), page_url))
-    return F.when(text_len == 0, message)
-
-
-def text_block(page_name: Column, text: Column) -> Column:
-    """Block of a page in the combined text, null for a page without text."""
-    return F.when(text != "", F.concat(F.lit("[Page name: "), page_name, F.lit("]\n"), text))
-
-
-def combined_text(blocks: Column, ord_: Column) -> Column:
-    """Aggregate: the blocks in page order, a blank line between them."""
-    ordered = F.array_sort(F.collect_list(F.struct(ord_.alias("ord"), blocks.alias("block"))))
-    return F.array_join(F.transform(ordered, lambda p: p["block"]), "\n\n")
+# Message of a page without text, null for a page with text.
+PAGE_ERROR: Sql = (
+    "CASE WHEN text_len > 0 THEN NULL "
+    "WHEN ord = 0 THEN concat('Homepage blocked or empty: HTTP ', status) "
+    "ELSE concat('No content from ', page_url) END"
+)
+# Block of a page in the combined text, null for a page without text.
+TEXT_BLOCK: Sql = r"if(text = '', NULL, concat('[Page name: ', page_name, ']\n', text))"
 
 
 def _tallies() -> list[Column]:
-    tried, ok = F.count("ord"), F.count_if(F.col("text_len") > 0)
-    error = page_error(F.col("ord"), F.col("page_url"), F.col("status"), F.col("text_len"))
-    seconds = (F.unix_micros(F.max("last_fetched")) - F.unix_micros(F.min("first_fetched"))) / 1e6
-    return [
-        tried.cast("int").alias("num_pages_tried"),
-        ok.cast("int").alias("num_pages_ok"),
-        F.bool_or("escalated_to_js").alias("escalated_to_js"),
-        F.sum("retries_used").cast("int").alias("retries_used"),
-        company_status(tried, ok).alias("status"),
-        F.min_by(error, F.when(error.isNotNull(), F.col("ord"))).alias("error"),
-        F.coalesce(seconds, F.lit(0.0)).alias("total_time_s"),
-    ]
+    tried, ok = "count(ord)", "count_if(text_len > 0)"
+    seconds = "(unix_micros(max(last_fetched)) - unix_micros(min(first_fetched))) / 1e6D"
+    columns = {
+        "num_pages_tried": f"CAST({tried} AS int)",
+        "num_pages_ok": f"CAST({ok} AS int)",
+        "escalated_to_js": "bool_or(escalated_to_js)",
+        "retries_used": "CAST(sum(retries_used) AS int)",
+        "status": company_status(tried, ok),
+        "error": f"min_by({PAGE_ERROR}, if(text_len > 0, NULL, ord))",
+        "total_time_s": f"coalesce({seconds}, 0D)",
+    }
+    return [expr(sql).alias(name) for name, sql in columns.items()]
 
 
 def tally(pages: DataFrame) -> DataFrame:
@@ -84,39 +74,34 @@ def tally(pages: DataFrame) -> DataFrame:
 
 
 def roll_up(pages: DataFrame) -> DataFrame:
-    """The tally of each company with its combined text and page list.
+    """The tally of each company with its combined text and page list, both in page order.
 
     What is gathered per company is bounded by the page budget.
     """
-    listed = F.array_sort(
-        F.collect_list(
-            F.struct(
-                "ord", F.col("page_url").alias("url"), "page_name", "status", "text_len",
-                "escalated_to_js",
-            )
-        )
+    blocks = f"array_sort(collect_list(struct(ord, {TEXT_BLOCK} AS block)))"
+    entry = "struct(ord, page_url AS url, page_name, status, text_len, escalated_to_js)"
+    listed = (
+        f"transform(array_sort(collect_list({entry})), p -> "
+        "struct(p.url, p.page_name, p.status, p.text_len, p.escalated_to_js))"
     )
     return pages.groupBy("company_key").agg(
         *_tallies(),
-        combined_text(text_block(F.col("page_name"), F.col("text")), F.col("ord")).alias(
-            "combined_text"
-        ),
-        F.transform(listed, lambda p: p.dropFields("ord")).alias("pages"),
+        expr(rf"array_join(transform({blocks}, p -> p.block), '\n\n')").alias("combined_text"),
+        expr(listed).alias("pages"),
     )
 
 
 def _for_each_input(companies: DataFrame, rolled: DataFrame) -> DataFrame:
     """One row per input row. A company without an address is a failed row of its own."""
-    missing = F.col("home").isNull()
     counts = ("num_pages_tried", "num_pages_ok", "retries_used")
     return companies.join(rolled, "company_key", "left").withColumns(
         {
-            "url": F.coalesce("home", "url"),
-            "escalated_to_js": F.coalesce("escalated_to_js", F.lit(False)),
-            "status": F.when(missing, "failed").otherwise(F.col("status")),
-            "error": F.when(missing, MISSING_URL).otherwise(F.col("error")),
-            "total_time_s": F.coalesce("total_time_s", F.lit(0.0)),
-            **{c: F.coalesce(c, F.lit(0)) for c in counts},
+            "url": expr("coalesce(home, url)"),
+            "escalated_to_js": expr("coalesce(escalated_to_js, false)"),
+            "status": expr("if(home IS NULL, 'failed', status)"),
+            "error": expr(f"if(home IS NULL, '{MISSING_URL}', error)"),
+            "total_time_s": expr("coalesce(total_time_s, 0D)"),
+            **{c: expr(f"coalesce({c}, 0)") for c in counts},
         }
     )
 
@@ -124,14 +109,13 @@ def _for_each_input(companies: DataFrame, rolled: DataFrame) -> DataFrame:
 def result_rows(companies: DataFrame, rolled: DataFrame, ts: Column) -> DataFrame:
     """The results table, from `roll_up`."""
     rows = _for_each_input(companies, rolled)
-    pages_type = rows.schema["pages"].dataType
     return rows.select(
         "id",
         "url",
-        F.coalesce("combined_text", F.lit("")).alias("combined_text"),
+        expr("coalesce(combined_text, '')").alias("combined_text"),
         "num_pages_tried",
         "num_pages_ok",
-        F.coalesce("pages", F.array().cast(pages_type)).alias("pages"),
+        expr("coalesce(pages, array())").alias("pages"),
         "escalated_to_js",
         "retries_used",
         "status",
@@ -148,8 +132,8 @@ def log_rows(companies: DataFrame, tallied: DataFrame, ts: Column) -> DataFrame:
         "url",
         ts.alias("ts"),
         "status",
-        F.col("num_pages_tried").alias("subpages_tried"),
-        F.col("num_pages_ok").alias("subpages_ok"),
+        expr("num_pages_tried AS subpages_tried"),
+        expr("num_pages_ok AS subpages_ok"),
         "escalated_to_js",
         "retries_used",
         "total_time_s",
@@ -169,31 +153,32 @@ def raw_rows(
     The only place where html is shuffled, so it is built only on request. Attempts and
     renderings go through one join, and company columns are attached before it.
     """
-    age, none = F.coalesce(F.unix_micros("fetched_at"), F.lit(0)), F.lit(0).cast("bigint")
     read = within_budget(attempts, options)
     if options.js_fallback:
-        read = read.where(~is_blocked(F.col("status")))
-    bodies = read.select(
-        "page_url", F.col("attempt").alias("source"), "html", F.struct(age, none, none).alias("rank")
+        read = read.where(f"NOT {is_blocked('status')}")
+    bodies = read.selectExpr(
+        "page_url", "attempt AS source", "html", f"struct({CAPTURED_AT}, 0L) AS preference"
     )
     if renders is not None:
-        size = F.struct(none, F.length("html").cast("bigint"), F.xxhash64("html"))
         bodies = bodies.union(
-            renders.select("page_url", F.lit(_RENDERED).alias("source"), "html", size)
+            renders.selectExpr(
+                "page_url", f"{_RENDERED} AS source", "html",
+                "struct(CAST(length(html) AS bigint), xxhash64(html)) AS preference",
+            )
         )
-    bodies = bodies.groupBy("page_url", "source").agg(F.max_by("html", "rank").alias("html"))
-    source = F.when(F.col("escalated_to_js"), _RENDERED).otherwise(F.col("attempt"))
+    bodies = bodies.groupBy("page_url", "source").agg(expr("max_by(html, preference)").alias("html"))
     wanted = companies.select("company_key", "id", "home").join(
-        pages.select(
-            "company_key", "page_url", source.alias("source"), "escalated_to_js", "last_fetched"
+        pages.selectExpr(
+            "company_key", "page_url", f"if(escalated_to_js, {_RENDERED}, attempt) AS source",
+            "escalated_to_js", "last_fetched",
         ),
         "company_key",
     )
-    return wanted.join(bodies, ["page_url", "source"], "left").select(
+    return wanted.join(bodies, ["page_url", "source"], "left").selectExpr(
         "id",
-        F.col("home").alias("url"),
+        "home AS url",
         "page_url",
-        F.coalesce("html", F.lit("")).alias("html"),
-        F.col("last_fetched").alias("fetched_at"),
+        "coalesce(html, '') AS html",
+        "last_fetched AS fetched_at",
         "escalated_to_js",
     )

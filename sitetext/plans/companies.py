@@ -103,7 +103,7 @@ def run_companies(
     )
     digests = staging.stage(page_digests(attempts, renders, options), "digests")
     documents = staging.stage(site_documents(digests), "documents")
-    located = keyed.where(F.col("home").isNotNull()).select("company_key", "home")
+    located = keyed.where("home IS NOT NULL").select("company_key", "home")
     selected = staging.stage(
         select_pages(discover(located, digests, documents, options), options), "selected"
     )

@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitetext.functions.urls import normalize_url
+from sitetext.functions.sql import Sql, bind
+from sitetext.functions.urls import clean_reference, normalize_url
 
 
 def read_table(spark: SparkSession, source: str, file_format: str = "parquet") -> DataFrame:
@@ -30,11 +31,13 @@ def company_rows(companies: DataFrame, id_col: str, url_col: str) -> DataFrame:
 
     `home` is the normalized address, null where there is none.
     """
-    raw = F.col(url_col).cast("string")
-    cleaned = F.regexp_replace(raw, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+    def home(address: Sql) -> Sql:
+        return f"if({address} = '', NULL, {normalize_url(address)})"
+
     return companies.select(
-        F.col(id_col).cast("string").alias("id"), raw.alias("url"), cleaned.alias("_address")
-    ).select("id", "url", F.when(F.col("_address") != "", normalize_url(F.col("_address"))).alias("home"))
+        F.col(id_col).cast("string").alias("id"), F.col(url_col).cast("string").alias("url")
+    ).selectExpr("id", "url", f"{bind(clean_reference('url'), home)} AS home")
 
 
 def with_company_key(companies: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ Malformed input gives empty lists, never an error.
 from __future__ import annotations
 
 from sitetext.config import SITEMAP_NAMESPACE
-from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep, quoted
+from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, fresh, keep, quoted
 
 # The first element of a document: prefix, local name, attributes. Declaration, document type,
 # comments and processing instructions may come before it.
@@ -67,9 +67,10 @@ def _well_formed(body: Sql, parsed: Sql) -> Sql:
     # The parser stops after the root element and takes any prefix; text behind the root and a
     # prefix without a namespace are errors all the same.
     used = f"array_distinct(regexp_extract_all({body}, {_PREFIXED_TAG}, 1))"
+    prefix = fresh()
     return (
         f"({parsed}._corrupt_record IS NULL "
-        f"AND forall({used}, prefix -> contains({body}, concat('xmlns:', prefix, '='))) "
+        f"AND forall({used}, {prefix} -> contains({body}, concat('xmlns:', {prefix}, '='))) "
         f"AND rlike(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_CLOSED}))"
     )
 

@@ -23,20 +23,27 @@ def quoted(text: str) -> Sql:
     return f"'{escaped}'"
 
 
+def fresh() -> str:
+    """A name for a lambda variable that no column or other variable has."""
+    return f"v{next(_numbers)}"
+
+
 def each(array: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """The array with `body` applied to every element."""
-    name = f"v{next(_numbers)}"
+    name = fresh()
     return f"transform({array}, {name} -> {body(name)})"
 
 
 def keep(array: Sql, condition: Callable[[Sql], Sql]) -> Sql:
     """The elements that meet the condition, in order."""
-    name = f"v{next(_numbers)}"
+    name = fresh()
     return f"filter({array}, {name} -> {condition(name)})"
 
 
 def bind(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Evaluate `value` once per row and use it many times in `body`."""
+    if value.isidentifier():
+        return body(value)
     return f"{each(f'array({value})', body)}[0]"
 
 

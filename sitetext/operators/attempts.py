@@ -16,14 +16,15 @@ _AFTER_ANY_ATTEMPT = 1_000_000
 CAPTURED_AT = "coalesce(unix_micros(fetched_at), 0)"
 
 
-def attempt_rank() -> Sql:
+def attempt_rank(content: Sql) -> Sql:
     """Sort key under which the terminal attempt of a page comes first.
 
     The first attempt that is not blocked ends the page (a 404 included); if all are blocked,
-    the last one counts. Among copies of one attempt the latest capture counts.
+    the last one counts. Among copies of one attempt the latest capture counts, and among those
+    the hash of the content decides, so that a task run again picks the same one.
     """
     order = f"if({is_blocked('status')}, {_AFTER_ANY_ATTEMPT} - attempt, attempt)"
-    return f"struct({order} AS position, -{CAPTURED_AT} AS age)"
+    return f"struct({order} AS position, -{CAPTURED_AT} AS age, {content} AS content)"
 
 
 def within_budget(attempts: DataFrame, options: Options) -> DataFrame:
@@ -45,10 +46,11 @@ def fold_attempts(
     with very many rows sends one row per task.
     """
     outcome = ", ".join(("status", "attempt AS retries_used", *payload))
+    rank = attempt_rank(f"xxhash64({', '.join(('status', *payload))})")
     return (
         within_budget(attempts, options)
         .groupBy(*keys)
-        .agg(expr(f"min_by(struct({outcome}), {attempt_rank()})").alias("o"))
+        .agg(expr(f"min_by(struct({outcome}), {rank})").alias("o"))
         .select(*keys, "o.status", *[f"o.{c}" for c in payload], "o.retries_used")
     )
 

@@ -50,6 +50,7 @@ def _reduced(rows: DataFrame, options: Options) -> DataFrame:
             "attempt",
             "status",
             "fetched_at",
+            "xxhash64(status, html) AS content",
             "if(attempt IS NULL, struct(length(html), xxhash64(html)), NULL) AS render_rank",
             f"{markup_text('markup')} AS text",
             # What discovery takes from anchors: the capped list, and for a rendered homepage
@@ -71,12 +72,13 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     escalated, text, text_len, links, all_links (of a rendering that has not been used yet),
     locs, is_index, is_markup, robots.
     """
+    rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
     captured = "struct(attempt, status, text, links, locs, is_index, is_markup, robots)"
     folded = (
         _reduced(_captured_rows(attempts, renders, options), options)
         .groupBy("page_url")
         .agg(
-            expr(f"min_by({captured}, if(attempt IS NOT NULL, {attempt_rank()}, NULL))").alias("c"),
+            expr(f"min_by({captured}, {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
             expr("max_by(struct(text, links, all_links), render_rank)").alias("r"),
             expr("min(fetched_at)").alias("first_fetched"),

@@ -157,7 +157,8 @@ def raw_rows(
     if options.js_fallback:
         read = read.where(f"NOT {is_blocked('status')}")
     bodies = read.selectExpr(
-        "page_url", "attempt AS source", "html", f"struct({CAPTURED_AT}, 0L) AS preference"
+        "page_url", "attempt AS source", "html",
+        f"struct({CAPTURED_AT}, ~xxhash64(status, html)) AS preference",
     )
     if renders is not None:
         bodies = bodies.union(

@@ -34,6 +34,7 @@ class Run:
     """
 
     options: Options
+    staging: Staging
     companies: DataFrame
     digests: DataFrame
     selected: DataFrame
@@ -109,6 +110,7 @@ def run_companies(
     )
     return Run(
         options=options,
+        staging=staging,
         companies=keyed,
         digests=digests,
         selected=selected,

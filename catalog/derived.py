@@ -141,7 +141,8 @@ def sites(source: DataFrame) -> DataFrame:
     `links` are the page's anchors as addresses of the site, each once.
     """
     own = "concat(split_part(url, '://', 1), '://p', page_id, '.', split_part(url, '://', 2))"
-    hrefs = f"array_distinct({anchor_hrefs(visible_markup('html'))})"
+    written = each(anchor_hrefs(visible_markup("html")), lambda h: f"trim(BOTH '\"' FROM {h})")
+    hrefs = f"array_distinct({written})"
     return (
         source.selectExpr(
             "page_id", "html", f"regexp_replace({own}, '/?(#.*)?$', '') AS home", f"{hrefs} AS hrefs"

@@ -393,7 +393,7 @@ SELECT url AS page_url, reason FROM judged WHERE reason IS NOT NULL AND page_id
     "page_digests": f"""
 WITH {_ATTEMPTS}, outcome AS ({_folded(5)}), texts AS (
   SELECT page_id, url, status, attempt, {_text('html')} AS own_text,
-    len(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1))) AS n_anchors
+    len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n_anchors
   FROM outcome
 ), reasons AS (
   SELECT *, CASE WHEN {_blocked('status')} THEN 'blocked' WHEN length(own_text) < 200 THEN 'thin_text' END AS reason

@@ -323,7 +323,7 @@ def page_digests_query(spark: SparkSession, folder: str) -> DataFrame:
         "escalated",
         "coalesce(reason, 'none') AS reason",
         "text_len",
-        "size(links) AS n_links",
+        "coalesce(size(anchors.hrefs), 0) AS n_links",
     )
 
 

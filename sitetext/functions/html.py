@@ -163,32 +163,30 @@ _WEB_LINK = quoted(r"^https?://[^/?#\[\]]*(?:\[[^/?#\[\]]*\][^/?#\[\]]*)?(?:[/?#
 
 
 def anchor_hrefs(markup: Sql) -> Sql:
-    """Addresses written in the anchors of visible markup, in order."""
-    return each(f"regexp_extract_all({markup}, {_href('a')}, 1)", _attribute_value)
+    """Addresses of the anchors of visible markup, in order, as they are written."""
+    return f"regexp_extract_all({markup}, {_href('a')}, 1)"
 
 
 def base_href(markup: Sql) -> Sql:
-    """Address of the page's last base element, null if it has none."""
+    """Address of the page's last base element as it is written, null if it has none."""
     found = f"regexp_extract_all({markup}, {_href('base')}, 1)"
     has_base = quoted(r"(?i)<base[ \t\n\r\f/]")
-    last = bind(found, lambda a: _attribute_value(f"get({a}, size({a}) - 1)"))
+    last = bind(found, lambda a: f"get({a}, size({a}) - 1)")
     return f"if(rlike({markup}, {has_base}), {last}, NULL)"
 
 
-def markup_links(markup: Sql, page_url: Sql) -> Sql:
-    """Absolute http(s) links of visible markup, in order, duplicates kept.
+def absolute_links(hrefs: Sql, base: Sql, page_url: Sql) -> Sql:
+    """Absolute http(s) links of a page from its `anchor_hrefs` and `base_href`, in order.
 
-    A link whose authority has an unpaired bracket is dropped.
+    Duplicates are kept. A link whose authority has an unpaired bracket is dropped.
     """
 
     def base_of(page: Sql) -> Sql:
-        return bind(
-            base_href(markup),
-            lambda own: f"if({own} IS NULL, {page}, {bind(resolve_url(page, own), base_parts)})",
-        )
+        own = bind(resolve_url(page, _attribute_value(base)), base_parts)
+        return f"if({base} IS NULL, {page}, {own})"
 
-    def resolved(base: Sql) -> Sql:
-        return each(anchor_hrefs(markup), lambda ref: resolve_url(base, ref))
+    def resolved(parts: Sql) -> Sql:
+        return each(hrefs, lambda raw: bind(_attribute_value(raw), lambda ref: resolve_url(parts, ref)))
 
     links = bind(bind(base_parts(page_url), base_of), resolved)
     on_web = keep(links, lambda u: f"rlike({u}, {_WEB_LINK})")
@@ -197,4 +195,10 @@ def markup_links(markup: Sql, page_url: Sql) -> Sql:
 
 def anchor_links(html: Sql, page_url: Sql) -> Sql:
     """Absolute http(s) links of a page's anchors, in order, duplicates kept."""
-    return bind(visible_markup(html), lambda markup: markup_links(markup, page_url))
+    return bind(
+        visible_markup(html),
+        lambda markup: bind(
+            base_href(markup),
+            lambda base: absolute_links(anchor_hrefs(markup), base, page_url),
+        ),
+    )

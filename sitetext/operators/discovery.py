@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_CHILD_SITEMAPS, MAX_RAW_LINKS, Options
+from sitetext.functions.html import absolute_links
 from sitetext.functions.links import ranked_links, site_links, without_homepage
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep
 from sitetext.functions.urls import bare_host, robots_address, site_root, sitemap_address
@@ -64,6 +65,26 @@ def site_sitemap_links(sites: DataFrame, documents: DataFrame) -> DataFrame:
     return plain.unionByName(_first_source(listed, sitemaps.select("address", "locs")))
 
 
+def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
+    """Site links in the anchors of homepages (column home): links, unused_links, escalated.
+
+    Once per address, however many companies have it as their homepage.
+    """
+
+    def links(anchors: str, limit: int | None) -> Sql:
+        found = absolute_links(f"{anchors}.hrefs", f"{anchors}.base", "home")
+        return site_links(found if limit is None else f"slice({found}, 1, {limit})", bare_host("home"))
+
+    records = digests.selectExpr("page_url AS home", "anchors", "unused_anchors", "escalated")
+    return homes.distinct().join(records, "home").selectExpr(
+        "home",
+        "escalated",
+        f"{links('anchors', MAX_RAW_LINKS)} AS links",
+        # Links of a homepage that is rendered only for them are not capped.
+        f"{links('unused_anchors', None)} AS unused_links",
+    )
+
+
 def discover(
     companies: DataFrame, digests: DataFrame, documents: DataFrame, options: Options
 ) -> DataFrame:
@@ -78,20 +99,19 @@ def discover(
     sites = site_sitemap_links(located.select("root").distinct(), documents).selectExpr(
         "root", f"{site_links('locs', bare_host('root'))} AS site_links"
     )
-    homepages = digests.selectExpr("page_url AS home", "links", "all_links", "escalated")
+    located = located.join(sites, "root", "left")
+    open_homes = located.where("site_links IS NULL OR size(site_links) = 0").select("home")
+    empty = "size(coalesce(site_links, links, array())) = 0"
     return (
-        located.join(sites, "root", "left")
-        .join(homepages, "home", "left")
-        .withColumn("found", expr(f"coalesce(site_links, links, {NO_STRINGS})"))
+        located.join(homepage_links(open_homes, digests), "home", "left")
         .withColumn(
-            "no_links",
-            expr(f"{rendering} AND NOT coalesce(escalated, {rendering}) AND size(found) = 0"),
+            "no_links", expr(f"{rendering} AND {empty} AND NOT coalesce(escalated, {rendering})")
         )
         .selectExpr(
             "company_key",
             "home",
             "no_links",
-            f"if(no_links, coalesce(all_links, {NO_STRINGS}), found) AS candidates",
+            f"coalesce(if(no_links, unused_links, coalesce(site_links, links)), {NO_STRINGS}) AS candidates",
         )
     )
 

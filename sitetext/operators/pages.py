@@ -10,17 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_RAW_LINKS, Options
-from sitetext.functions.html import markup_links, markup_text, visible_markup
+from sitetext.functions.html import anchor_hrefs, base_href, markup_text, visible_markup
 from sitetext.functions.judgement import gated_text, is_blocked, render_reason
-from sitetext.functions.links import site_links
 from sitetext.functions.sitemaps import (
     is_markup,
     is_sitemap_index,
     robots_sitemaps,
     sitemap_locs,
 )
-from sitetext.functions.sql import NO_STRINGS
-from sitetext.functions.urls import bare_host, robots_address, site_root
+from sitetext.functions.urls import robots_address, site_root
 from sitetext.operators.attempts import attempt_rank, within_budget
 
 
@@ -40,11 +38,9 @@ def _reduced(rows: DataFrame, options: Options) -> DataFrame:
     unread = f"attempt IS NOT NULL AND {is_blocked('status')}" if options.js_fallback else "false"
     # Sitemaps and robots files are fetched once, without retries.
     document = "if(attempt = 0 AND status = 200, html, NULL)"
-    host = bare_host("page_url")
     own_robots = f"page_url = {robots_address(site_root('page_url'))}"
     return (
         rows.withColumn("markup", expr(f"if({unread}, NULL, {visible_markup('html')})"))
-        .withColumn("found", expr(markup_links("markup", "page_url")))
         .selectExpr(
             "page_url",
             "attempt",
@@ -53,10 +49,8 @@ def _reduced(rows: DataFrame, options: Options) -> DataFrame:
             "xxhash64(status, html) AS content",
             "if(attempt IS NULL, struct(length(html), xxhash64(html)), NULL) AS render_rank",
             f"{markup_text('markup')} AS text",
-            # What discovery takes from anchors: the capped list, and for a rendered homepage
-            # without links the whole list.
-            f"{site_links(f'slice(found, 1, {MAX_RAW_LINKS})', host)} AS links",
-            f"if(attempt IS NULL, {site_links('found', host)}, NULL) AS all_links",
+            # Resolved by discovery, and only for the homepages that need their anchors.
+            f"struct({anchor_hrefs('markup')} AS hrefs, {base_href('markup')} AS base) AS anchors",
             f"slice({sitemap_locs(document)}, 1, {MAX_RAW_LINKS}) AS locs",
             f"{is_sitemap_index(document)} AS is_index",
             f"{is_markup(document)} AS is_markup",
@@ -69,18 +63,18 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     """One record per captured address: outcome, judged text, links, sitemap content.
 
     Columns: page_url, attempt, status, retries_used, first_fetched, last_fetched, reason,
-    escalated, text, text_len, links, all_links (of a rendering that has not been used yet),
-    locs, is_index, is_markup, robots.
+    escalated, text, text_len, anchors, unused_anchors (of a rendering that was not needed so
+    far), locs, is_index, is_markup, robots.
     """
     rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
-    captured = "struct(attempt, status, text, links, locs, is_index, is_markup, robots)"
+    captured = "struct(attempt, status, text, anchors, locs, is_index, is_markup, robots)"
     folded = (
         _reduced(_captured_rows(attempts, renders, options), options)
         .groupBy("page_url")
         .agg(
             expr(f"min_by({captured}, {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
-            expr("max_by(struct(text, links, all_links), render_rank)").alias("r"),
+            expr("max_by(struct(text, anchors), render_rank)").alias("r"),
             expr("min(fetched_at)").alias("first_fetched"),
             expr("max(fetched_at)").alias("last_fetched"),
         )
@@ -104,8 +98,8 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
             "escalated",
             "text",
             "length(text) AS text_len",
-            f"coalesce(if(escalated, r.links, c.links), {NO_STRINGS}) AS links",
-            "if(escalated, NULL, r.all_links) AS all_links",
+            "if(escalated, r.anchors, c.anchors) AS anchors",
+            "if(escalated, NULL, r.anchors) AS unused_anchors",
             "c.locs",
             "c.is_index",
             "c.is_markup",

@@ -220,7 +220,7 @@ home_outcome AS (
 ),
 home_page AS (
   SELECT site.page_id, 0 AS ord, site.home AS url, 'home' AS page_name, o.status, o.retries_used,
-    {_text('site.html')} AS own_text, page_id % 4 = 0 AS rendered, page_id AS first_second, o.last_second
+    site.html, {_text('site.html')} AS own_text, page_id % 4 = 0 AS rendered, page_id AS first_second, o.last_second
   FROM site JOIN home_outcome o USING (page_id)
 ),
 sub_page AS (
@@ -244,10 +244,10 @@ ranked AS (
   QUALIFY ord <= 3
 ),
 all_pages AS (
-  SELECT page_id, ord, url, page_name, status, retries_used, own_text, rendered, first_second, last_second
+  SELECT page_id, ord, url, page_name, status, retries_used, html, own_text, rendered, first_second, last_second
   FROM home_page
   UNION ALL
-  SELECT s.page_id, r.ord, s.link, {_slug('s.link')}, s.status, s.retries_used,
+  SELECT s.page_id, r.ord, s.link, {_slug('s.link')}, s.status, s.retries_used, s.html,
     CASE WHEN s.html IS NULL THEN '' ELSE {_text('s.html')} END,
     s.html IS NOT NULL AND s.n % 3 = 0,
     CASE WHEN s.html IS NOT NULL THEN s.n END, CASE WHEN s.html IS NOT NULL THEN s.n + s.extra END
@@ -404,6 +404,8 @@ SELECT url AS page_url, status, attempt AS retries_used, reason IS NOT NULL AS e
   length(CASE WHEN reason IS NULL THEN own_text WHEN page_id % 4 <> 0 THEN '' ELSE {_gate('own_text')} END)::INTEGER AS text_len,
   (CASE WHEN reason IS NOT NULL AND page_id % 4 <> 0 THEN 0 ELSE n_anchors END)::INTEGER AS n_links
 FROM reasons""",
+    "captured_pages": f"""
+SELECT url AS page_url, 200 AS status, 0 AS retries_used, false AS escalated, {_text('html')} AS text FROM pages""",
     "company_rollup": f"WITH {_HOST_PAGES} SELECT * EXCLUDE (error) FROM tallied",
     "first_error": f"WITH {_HOST_PAGES} SELECT company_key, error FROM tallied WHERE error IS NOT NULL",
     "company_log": f"""
@@ -470,4 +472,10 @@ FROM run_errors GROUP BY page_id""",
     "company_render_queue": f"""
 WITH {_RUN}
 SELECT url AS page_url, reason FROM run_pages WHERE reason IS NOT NULL AND NOT rendered""",
+    "company_raw_pages": f"""
+WITH {_RUN}
+SELECT r.page_id::VARCHAR AS id, h.url, r.url AS page_url,
+  md5(CASE WHEN r.escalated_to_js AND NOT r.rendered THEN '' ELSE coalesce(r.html, '') END) AS html_md5,
+  (1700000000 + r.last_second)::BIGINT AS second, r.escalated_to_js
+FROM run_pages r JOIN home_page h ON h.page_id = r.page_id""",
 }

@@ -38,7 +38,14 @@ from sitetext.operators.ranking import cap_links, site_link_rows, top_links
 from sitetext.operators.rollup import log_rows, raw_rows, roll_up, tally
 from sitetext.plans.staging import Staging
 from sitetext.sources.sinks import append, with_schema
-from sitetext.sources.tables import company_rows, pending, read_table, shard, union_shards
+from sitetext.sources.tables import (
+    captured_attempts,
+    company_rows,
+    pending,
+    read_table,
+    shard,
+    union_shards,
+)
 
 OPTIONS = Options(
     max_subpages=4,
@@ -192,6 +199,11 @@ def host_top_pages(spark: SparkSession, folder: str) -> DataFrame:
 # --- Sitemaps, robots, precedence ---------------------------------------------
 
 
+def _sites(spark: SparkSession, folder: str) -> DataFrame:
+    """The sites made of the pages, staged since several tables are derived from them."""
+    return Staging(spark).stage(d.sites(d.pages(spark, folder)), "sites")
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return d.site_documents(d.sites(d.pages(spark, folder)))
 
@@ -230,7 +242,7 @@ def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates of each site from sitemap, robots file or anchors, whichever comes first."""
-    located = d.sites(d.pages(spark, folder))
+    located = _sites(spark, folder)
     staged = Staging(spark).stage(
         page_digests(d.site_attempts(located), None, OPTIONS), "digests"
     )
@@ -327,6 +339,17 @@ def page_digests_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def captured_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain captures, each the only attempt for its page, judged without renderings."""
+    captures = d.pages(spark, folder).selectExpr(
+        "url AS page_url", "html", f"{d.at_second('page_id')} AS fetched_at"
+    )
+    digests = page_digests(
+        captured_attempts(captures), None, Options(js_fallback=False)
+    )
+    return digests.select("page_url", "status", "retries_used", "escalated", "text")
+
+
 # --- Companies --------------------------------------------------------------------
 
 
@@ -427,7 +450,7 @@ def write_read_results(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, folder: str):
-    located = d.sites(d.pages(spark, folder))
+    located = _sites(spark, folder)
     return run_companies(
         d.site_companies(located), "id", "url",
         d.site_attempts(located), d.site_renders(located), OPTIONS,
@@ -447,6 +470,14 @@ def company_render_queue(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder).render_queue
 
 
+def company_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw pages of the same run."""
+    return _run(spark, folder).raw.selectExpr(
+        "id", "url", "page_url", "md5(html) AS html_md5", "unix_seconds(fetched_at) AS second",
+        "escalated_to_js",
+    )
+
+
 QUERIES = {
     "normalize_urls": normalize_urls,
     "url_slugs": url_slugs,
@@ -471,6 +502,7 @@ QUERIES = {
     "render_queue": render_queue_query,
     "rendered_pages": rendered_pages,
     "page_digests": page_digests_query,
+    "captured_pages": captured_pages,
     "company_rollup": company_rollup,
     "first_error": first_error,
     "company_log": company_log,
@@ -483,4 +515,5 @@ QUERIES = {
     "write_read_results": write_read_results,
     "company_results": company_results,
     "company_render_queue": company_render_queue,
+    "company_raw_pages": company_raw_pages,
 }

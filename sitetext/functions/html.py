@@ -7,7 +7,7 @@ cannot exhaust the stack of the regex engine.
 
 from __future__ import annotations
 
-from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep, quoted
+from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, fresh, keep, quoted
 from sitetext.functions.urls import base_parts, clean_reference, resolve_url
 
 _ATTRS = r"(?:[ \t\n\r\f/][^<>]*)?"
@@ -56,46 +56,35 @@ NAMED_CHARACTERS = {
 }
 _REFERENCE = quoted(r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
-
-def _character(code: Sql) -> Sql:
-    """The character of a code point, null if there is none."""
-    return (
-        f"if({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111, "
-        f"decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32'), NULL)"
-    )
+_HEXADECIMAL = quoted("^#[xX]([0-9A-Fa-f]{1,6});")
+_DECIMAL = quoted("^#([0-9]{1,7});")
 
 
 def unescape(text: Sql) -> Sql:
     """Decode character references once, from left to right. Unknown ones stay."""
     listed = "\n".join(f"{name}={char}" for name, char in NAMED_CHARACTERS.items())
     names = f"str_to_map({quoted(listed)}, '\n', '=')"
+    piece, place = fresh(), fresh()
+    code = (
+        f"coalesce(CAST(conv(regexp_extract({piece}, {_HEXADECIMAL}, 1), 16, 10) AS bigint), "
+        f"try_cast(regexp_extract({piece}, {_DECIMAL}, 1) AS bigint))"
+    )
 
-    def character(name: Sql) -> Sql:
-        hexadecimal = f"CAST(conv(regexp_extract({name}, '^#.(.*)$', 1), 16, 10) AS bigint)"
-        decimal = f"CAST(regexp_extract({name}, '^#(.*)$', 1) AS bigint)"
-        return (
-            f"CASE WHEN {name} = '' THEN NULL "
-            f"WHEN rlike({name}, '^#[xX]') THEN {bind(hexadecimal, _character)} "
-            f"WHEN startswith({name}, '#') THEN {bind(decimal, _character)} "
-            f"ELSE try_element_at({names}, {name}) END"
-        )
-
-    def piece(after: Sql) -> Sql:
-        return bind(
-            f"regexp_extract({after}, {_REFERENCE}, 1)",
-            lambda name: f"coalesce(concat({character(name)}, substr({after}, length({name}) + 2)), "
-            f"concat('&', {after}))",
+    def decoded(r: Sql) -> Sql:
+        character = (
+            f"CASE WHEN {r}.name = '' THEN NULL "
+            f"WHEN {r}.code BETWEEN 1 AND 55295 OR {r}.code BETWEEN 57344 AND 1114111 "
+            f"THEN decode(unhex(lpad(hex({r}.code), 8, '0')), 'UTF-32') "
+            f"ELSE try_element_at({names}, {r}.name) END"
         )
+        rest = f"substr({piece}, length({r}.name) + 2)"
+        return f"coalesce(concat({character}, {rest}), concat('&', {piece}))"
 
-    def pieces(parts: Sql) -> Sql:
-        rest = each(f"slice({parts}, 2, size({parts}))", piece)
-        return f"concat({parts}[0], array_join({rest}, ''))"
-
-    def decoded(t: Sql) -> Sql:
-        split = f"split({t}, '&')"
-        return f"if(contains({t}, '&'), {bind(split, pieces)}, {t})"
-
-    return bind(text, decoded)
+    reference = f"named_struct('name', regexp_extract({piece}, {_REFERENCE}, 1), 'code', {code})"
+    return (
+        f"array_join(transform(split({text}, '&'), ({piece}, {place}) -> "
+        f"if({place} = 0, {piece}, {bind(reference, decoded)})), '')"
+    )
 
 
 def visible_markup(html: Sql) -> Sql:
@@ -150,12 +139,11 @@ def _href(tag: str) -> Sql:
     )
 
 
-_IN_QUOTES = quoted("^[\"']")
+_QUOTED = quoted("(?s)^([\"'])(.*)\\1$")
 
 
 def _attribute_value(raw: Sql) -> Sql:
-    value = f"if(rlike({raw}, {_IN_QUOTES}), substr({raw}, 2, length({raw}) - 2), {raw})"
-    return clean_reference(unescape(value))
+    return clean_reference(unescape(f"regexp_replace({raw}, {_QUOTED}, '$2')"))
 
 
 # An http(s) address whose authority has no bracket, or one pair of them.
@@ -175,30 +163,30 @@ def base_href(markup: Sql) -> Sql:
     return f"if(rlike({markup}, {has_base}), {last}, NULL)"
 
 
-def absolute_links(hrefs: Sql, base: Sql, page_url: Sql) -> Sql:
-    """Absolute http(s) links of a page from its `anchor_hrefs` and `base_href`, in order.
-
-    Duplicates are kept. A link whose authority has an unpaired bracket is dropped.
-    """
+def base_address(base: Sql, page_url: Sql) -> Sql:
+    """Address that the links of a page are relative to, from its `base_href`."""
+    own = bind(base_parts(page_url), lambda page: resolve_url(page, _attribute_value(base)))
+    return f"if({base} IS NULL, {page_url}, {own})"
 
-    def base_of(page: Sql) -> Sql:
-        own = bind(resolve_url(page, _attribute_value(base)), base_parts)
-        return f"if({base} IS NULL, {page}, {own})"
 
-    def resolved(parts: Sql) -> Sql:
-        return each(hrefs, lambda raw: bind(_attribute_value(raw), lambda ref: resolve_url(parts, ref)))
+def absolute_links(hrefs: Sql, base: Sql) -> Sql:
+    """Absolute http(s) links of a page from its `anchor_hrefs`, in order, duplicates kept.
 
-    links = bind(bind(base_parts(page_url), base_of), resolved)
+    `base` are the `base_parts` of its `base_address`. A link whose authority has an unpaired
+    bracket is dropped.
+    """
+    links = each(hrefs, lambda raw: bind(_attribute_value(raw), lambda ref: resolve_url(base, ref)))
     on_web = keep(links, lambda u: f"rlike({u}, {_WEB_LINK})")
     return f"coalesce({on_web}, {NO_STRINGS})"
 
 
 def anchor_links(html: Sql, page_url: Sql) -> Sql:
     """Absolute http(s) links of a page's anchors, in order, duplicates kept."""
-    return bind(
-        visible_markup(html),
-        lambda markup: bind(
-            base_href(markup),
-            lambda base: absolute_links(anchor_hrefs(markup), base, page_url),
-        ),
-    )
+
+    def links(markup: Sql) -> Sql:
+        base = bind(base_href(markup), lambda b: base_address(b, page_url))
+        return bind(
+            bind(base, base_parts), lambda parts: absolute_links(anchor_hrefs(markup), parts)
+        )
+
+    return bind(visible_markup(html), links)

@@ -5,12 +5,22 @@ Malformed input gives empty lists, never an error.
 
 from __future__ import annotations
 
+import re
+
 from sitetext.config import SITEMAP_NAMESPACE
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, fresh, keep, quoted
 
 # The first element of a document: prefix, local name, attributes. Declaration, document type,
 # comments and processing instructions may come before it.
 _ROOT = quoted(r"(?s)<(?:([A-Za-z_][\w.\-]*):)?([A-Za-z_][\w.\-]*)((?:[ \t\r\n][^<>]*)?)>")
+_NAME, _BLANK = r"[A-Za-z_][\w.\-]*", r"[ \t\r\n]"
+_NAMESPACE = rf"{_BLANK}*={_BLANK}*[\"']{re.escape(SITEMAP_NAMESPACE)}[\"']"
+# A root element that declares the namespace for its own prefix, or for none if it has none.
+_BOUND_ROOT = quoted(
+    r"^[^<]*(?:<![^<>]*>[^<]*)?"
+    rf"(?:<{_NAME}{_BLANK}(?:[^<>]*?{_BLANK})?xmlns{_NAMESPACE}"
+    rf"|<({_NAME}):{_NAME}{_BLANK}(?:[^<>]*?{_BLANK})?xmlns:\1{_NAMESPACE})"
+)
 _OUTSIDE_ROOT = quoted(r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)")
 _SITEMAP_ROOT = quoted(r"(?i)<(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n>]")
 _CLOSED = quoted(r"(?i)</(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n]*>[ \t\r\n]*$")
@@ -38,29 +48,15 @@ def _root(body: Sql, group: int) -> Sql:
 
 def _in_namespace(body: Sql) -> Sql:
     """True when the root element is bound to the sitemap namespace."""
-    around_equals = quoted(r"[ \t\r\n]*=[ \t\r\n]*")
-    attributes = f"regexp_replace({_root(body, 3)}, {around_equals}, '=')"
-    double, single = quoted(f'="{SITEMAP_NAMESPACE}"'), quoted(f"='{SITEMAP_NAMESPACE}'")
-
-    def bound(name: Sql) -> Sql:
-        return bind(
-            attributes,
-            lambda a: f"(contains({a}, concat({name}, {double})) "
-            f"OR contains({a}, concat({name}, {single})))",
-        )
-
-    own_name = bind(_root(body, 1), lambda p: f"if({p} = '', 'xmlns', concat('xmlns:', {p}))")
-    return bind(own_name, bound)
+    return f"rlike(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_BOUND_ROOT})"
 
 
 def _parsed(body: Sql) -> Sql:
     """The document without the prefix of its root element; other prefixes stay apart."""
-
-    def plain(prefix: Sql) -> Sql:
-        opened = f"replace({body}, concat('<', {prefix}, ':'), '<')"
-        return f"if({prefix} = '', {body}, replace({opened}, concat('</', {prefix}, ':'), '</'))"
-
-    return f"from_xml({bind(_root(body, 1), plain)}, {_XML}, {_XML_OPTIONS})"
+    prefix = _root(body, 1)
+    opened = f"replace({body}, concat('<', {prefix}, ':'), '<')"
+    plain = f"replace({opened}, concat('</', {prefix}, ':'), '</')"
+    return f"from_xml(if({prefix} = '', {body}, {plain}), {_XML}, {_XML_OPTIONS})"
 
 
 def _well_formed(body: Sql, parsed: Sql) -> Sql:

@@ -14,8 +14,10 @@ _URL = quoted(
     r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 )
 _SCHEME = quoted(r"^([A-Za-z][A-Za-z0-9+.\-]*):")
+_AFTER_SCHEME = quoted(r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)(.*)$")
 _AFTER_PARAMS = quoted(r";[^/]*$")
 _PARAMS = quoted(r";([^/]*)$")
+_QUERY_PART = quoted(r"(?s)^[^?#]*(\?[^#]+)?")
 _EXTENSION = quoted(rf"(?i)\.(?:{'|'.join(BINARY_EXTENSIONS)})$")
 
 
@@ -67,8 +69,14 @@ def robots_address(root: Sql) -> Sql:
     return f"concat({root}, '/robots.txt')"
 
 
-def _prefixed(prefix: str, part: Sql) -> Sql:
-    return bind(part, lambda p: f"if({p} = '', '', concat('{prefix}', {p}))")
+def _params_part(url: Sql) -> Sql:
+    """The parameters with their `;`, or nothing."""
+    return f"regexp_extract({url_full_path(url)}, ';[^/]+$', 0)"
+
+
+def _query_part(url: Sql) -> Sql:
+    """The query with its `?`, or nothing."""
+    return f"regexp_extract({url}, {_QUERY_PART}, 1)"
 
 
 def normalize_url(url: Sql) -> Sql:
@@ -80,8 +88,7 @@ def normalize_url(url: Sql) -> Sql:
             f"concat(if({scheme} = '', '', concat({scheme}, ':')), "
             # A web address has an authority even when it is empty.
             f"if({host} <> '' OR {scheme} IN ('http', 'https'), concat('//', {host}), ''), "
-            f"rtrim('/', {url_path(full)}), "
-            f"{_prefixed(';', url_params(full))}, {_prefixed('?', url_query(full))})"
+            f"rtrim('/', {url_path(full)}), {_params_part(full)}, {_query_part(full)})"
         )
 
     return bind(f"if(contains({url}, '://'), {url}, concat('https://', {url}))", rebuilt)
@@ -104,18 +111,15 @@ def score_path(path: Sql, high: Sequence[str], low: Sequence[str]) -> Sql:
     Keywords are taken as given: one with capitals never matches.
     """
 
-    def has(text: Sql, words: Sequence[str]) -> Sql:
+    def has(words: Sequence[str]) -> Sql:
         pattern = "|".join(re.escape(word) for word in words)
-        return f"rlike({text}, {quoted(pattern)})" if words else "false"
+        return f"rlike(lower({path}), {quoted(pattern)})" if words else "false"
 
-    return bind(
-        f"lower({path})",
-        lambda p: f"CASE WHEN {has(p, high)} THEN 2 WHEN {has(p, low)} THEN -1 ELSE 0 END",
-    )
+    return f"CASE WHEN {has(high)} THEN 2 WHEN {has(low)} THEN -1 ELSE 0 END"
 
 
 def path_depth(path: Sql) -> Sql:
-    return bind(path, lambda p: f"(length({p}) - length(replace({p}, '/', '')))")
+    return f"length(regexp_replace({path}, '[^/]+', ''))"
 
 
 # --- Resolving references ---------------------------------------------------
@@ -133,7 +137,7 @@ def base_parts(base: Sql) -> Sql:
     folder = f"coalesce(nullif(regexp_extract({path}, '(?s)^(.*/)', 1), ''), '/')"
     return (
         f"named_struct('url', {base}, 'scheme', {url_scheme(base)}, 'root', {site_root(base)}, "
-        f"'path', {path}, 'folder', {folder}, 'query', {_prefixed('?', url_query(base))})"
+        f"'path', {path}, 'folder', {folder}, 'query', {_query_part(base)})"
     )
 
 
@@ -146,9 +150,8 @@ def remove_dot_segments(path: Sql) -> Sql:
         "CASE segment WHEN '..' THEN slice(kept, 1, greatest(size(kept) - 1, 0)) "
         "WHEN '.' THEN kept ELSE concat(kept, array(segment)) END)"
     )
-    return bind(
-        f"array_join({kept}, '/')", lambda p: f"if(startswith({p}, '/'), {p}, concat('/', {p}))"
-    )
+    without_slash = quoted("^(?!/)")
+    return f"regexp_replace(array_join({kept}, '/'), {without_slash}, '/')"
 
 
 def _without_empty_tail(url: Sql) -> Sql:
@@ -176,24 +179,25 @@ def resolve_url(base: Sql, ref: Sql) -> Sql:
             f"{remove_dot_segments(m)}, {m})",
         )
 
-    def relative(rest: Sql) -> Sql:
-        path = f"regexp_extract({rest}, '^([^?#]*)', 1)"
-        tail = f"regexp_extract({rest}, '(?s)^[^?#]*(.*)$', 1)"
-        own_query = quoted(r"^\?")
+    def relative(r: Sql) -> Sql:
         return (
-            f"CASE WHEN startswith({rest}, '//') THEN concat({base}.scheme, ':', {rest}) "
-            f"WHEN {path} <> '' THEN concat({base}.root, {bind(path, absolute_path)}, {tail}) "
-            f"WHEN rlike({rest}, {query_only}) THEN concat({base}.root, {base}.path, {tail}) "
-            f"ELSE concat({base}.root, {base}.path, {base}.query, "
-            f"regexp_replace({tail}, {own_query}, '')) END"
+            f"CASE WHEN startswith({r}.path, '//') "
+            f"THEN concat({base}.scheme, ':', {r}.path, {r}.tail) "
+            f"WHEN {r}.path <> '' THEN concat({base}.root, {absolute_path(f'{r}.path')}, {r}.tail) "
+            f"WHEN rlike({r}.tail, {query_only}) THEN concat({base}.root, {base}.path, {r}.tail) "
+            f"ELSE concat({base}.root, {base}.path, {base}.query, ltrim('?', {r}.tail)) END"
         )
 
-    def by_scheme(scheme: Sql) -> Sql:
-        rest = f"if({scheme} = '', {ref}, regexp_replace({ref}, {_SCHEME}, ''))"
+    def by_scheme(r: Sql) -> Sql:
         return (
-            f"CASE WHEN {ref} = '' THEN {base}.url "
-            f"WHEN {scheme} NOT IN ('', {base}.scheme) THEN {ref} "
-            f"ELSE {_without_empty_tail(bind(rest, relative))} END"
+            f"CASE WHEN {r}.ref = '' THEN {base}.url "
+            f"WHEN {r}.scheme NOT IN ('', {base}.scheme) THEN {r}.ref "
+            f"ELSE {_without_empty_tail(relative(r))} END"
         )
 
-    return bind(url_scheme(ref), by_scheme)
+    parts = (
+        f"named_struct('ref', {ref}, 'scheme', {url_scheme(ref)}, "
+        f"'path', regexp_extract({ref}, {_AFTER_SCHEME}, 1), "
+        f"'tail', regexp_extract({ref}, {_AFTER_SCHEME}, 2))"
+    )
+    return bind(parts, by_scheme)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_CHILD_SITEMAPS, MAX_RAW_LINKS, Options
-from sitetext.functions.html import absolute_links
+from sitetext.functions.html import absolute_links, base_address
 from sitetext.functions.links import ranked_links, site_links, without_homepage
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep
-from sitetext.functions.urls import bare_host, robots_address, site_root, sitemap_address
+from sitetext.functions.urls import bare_host, base_parts, robots_address, site_root, sitemap_address
 from sitetext.operators.ranking import cap_links
 
 
@@ -71,17 +71,19 @@ def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
     Once per address, however many companies have it as their homepage.
     """
 
-    def links(anchors: str, limit: int | None) -> Sql:
-        found = absolute_links(f"{anchors}.hrefs", f"{anchors}.base", "home")
-        return site_links(found if limit is None else f"slice({found}, 1, {limit})", bare_host("home"))
-
     records = digests.selectExpr("page_url AS home", "anchors", "unused_anchors", "escalated")
-    return homes.distinct().join(records, "home").selectExpr(
-        "home",
-        "escalated",
-        f"{links('anchors', MAX_RAW_LINKS)} AS links",
+    anchors = homes.distinct().join(records, "home")
+    for used, capped in (("anchors", True), ("unused_anchors", False)):
         # Links of a homepage that is rendered only for them are not capped.
-        f"{links('unused_anchors', None)} AS unused_links",
+        found = absolute_links(f"{used}.hrefs", "parts")
+        raw = f"slice({found}, 1, {MAX_RAW_LINKS})" if capped else found
+        anchors = (
+            anchors.withColumn("base", expr(base_address(f"{used}.base", "home")))
+            .withColumn("parts", expr(base_parts("base")))
+            .withColumn(f"{used}_links", expr(site_links(raw, bare_host("home"))))
+        )
+    return anchors.selectExpr(
+        "home", "escalated", "anchors_links AS links", "unused_anchors_links AS unused_links"
     )
 
 

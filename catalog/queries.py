@@ -247,7 +247,8 @@ def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
         page_digests(d.site_attempts(located), None, OPTIONS), "digests"
     )
     companies = located.selectExpr("page_id AS company_key", "home")
-    return discover(companies, staged, site_documents(staged), OPTIONS).selectExpr(
+    found = discover(companies, staged, site_documents(staged), OPTIONS, companies.count())
+    return found.selectExpr(
         "company_key AS page_id", "no_links", "posexplode(candidates) AS (pos, link)"
     )
 
@@ -407,6 +408,7 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
         d.page_attempts(source),
         d.page_renders(source),
         OPTIONS,
+        source.count(),
     )
     return rows.selectExpr(
         "id", "url", "page_url", "md5(html) AS html_md5", "length(html) AS html_len", "escalated_to_js"

@@ -10,6 +10,7 @@ from sitetext.functions.html import absolute_links, base_address
 from sitetext.functions.links import ranked_links, site_links, without_homepage
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep
 from sitetext.functions.urls import bare_host, base_parts, robots_address, site_root, sitemap_address
+from sitetext.operators.joins import lookup
 from sitetext.operators.ranking import cap_links
 
 
@@ -88,24 +89,24 @@ def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 def discover(
-    companies: DataFrame, digests: DataFrame, documents: DataFrame, options: Options
+    companies: DataFrame, digests: DataFrame, documents: DataFrame, options: Options, rows: int
 ) -> DataFrame:
     """Candidate links of each company (columns company_key, home), homepage not yet excluded.
 
-    `documents` are the `site_documents` of the digests. Adds candidates, and no_links: the
-    homepage had to be rendered to get them. A source counts as empty before filtering, so a
-    sitemap of foreign links still hides the anchors.
+    `documents` are the `site_documents` of the digests, `rows` the number of companies. Adds
+    candidates, and no_links: the homepage had to be rendered to get them. A source counts as
+    empty before filtering, so a sitemap of foreign links still hides the anchors.
     """
     rendering = "true" if options.js_fallback else "false"
     located = companies.withColumn("root", expr(site_root("home")))
     sites = site_sitemap_links(located.select("root").distinct(), documents).selectExpr(
         "root", f"{site_links('locs', bare_host('root'))} AS site_links"
     )
-    located = located.join(sites, "root", "left")
+    located = lookup(located, sites, ["root"], "company_key", rows)
     open_homes = located.where("site_links IS NULL OR size(site_links) = 0").select("home")
     empty = "size(coalesce(site_links, links, array())) = 0"
     return (
-        located.join(homepage_links(open_homes, digests), "home", "left")
+        lookup(located, homepage_links(open_homes, digests), ["home"], "company_key", rows)
         .withColumn(
             "no_links", expr(f"{rendering} AND {empty} AND NOT coalesce(escalated, {rendering})")
         )

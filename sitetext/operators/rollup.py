@@ -10,20 +10,23 @@ from sitetext.functions.judgement import company_status, is_blocked
 from sitetext.functions.sql import Sql
 from sitetext.functions.urls import url_slug
 from sitetext.operators.attempts import CAPTURED_AT, within_budget
+from sitetext.operators.joins import lookup
 
 MISSING_URL = "missing url"
 _RENDERED = -1  # stands for the attempt number of a rendering
 
 
-def company_pages(selected: DataFrame, digests: DataFrame, options: Options) -> DataFrame:
-    """Selected pages with their records; a page never captured counts as no response."""
+def company_pages(
+    selected: DataFrame, digests: DataFrame, options: Options, rows: int
+) -> DataFrame:
+    """The `rows` selected pages with their records; one never captured counts as no response."""
     records = digests.select(
         "page_url", "attempt", "status", "retries_used", "first_fetched", "last_fetched",
         "reason", "text", "text_len",
     )
     unseen = "if(status IS NULL, 'blocked', reason)" if options.js_fallback else "reason"
     return (
-        selected.join(records, "page_url", "left")
+        lookup(selected, records, ["page_url"], "company_key", rows)
         .withColumn("reason", expr(f"coalesce({unseen}, if(ord = 0 AND no_links, 'no_links', NULL))"))
         .selectExpr(
             "company_key",
@@ -147,8 +150,9 @@ def raw_rows(
     attempts: DataFrame,
     renders: DataFrame | None,
     options: Options,
+    rows: int,
 ) -> DataFrame:
-    """The raw page table: the markup each selected page was judged on.
+    """The raw page table: the markup each of the `rows` selected pages was judged on.
 
     The only place where html is shuffled, so it is built only on request. Attempts and
     renderings go through one join, and company columns are attached before it.
@@ -175,7 +179,7 @@ def raw_rows(
         ),
         "company_key",
     )
-    return wanted.join(bodies, ["page_url", "source"], "left").selectExpr(
+    return lookup(wanted, bodies, ["page_url", "source"], "company_key", rows).selectExpr(
         "id",
         "home AS url",
         "page_url",

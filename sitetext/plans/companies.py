@@ -46,10 +46,15 @@ class Run:
     def _ts(self) -> Column:
         return F.timestamp_micros(F.lit(int(self.started.timestamp() * 1_000_000)))
 
+    @cached_property
+    def _rows(self) -> int:
+        """Number of selected pages; a look at the file footers of the staged table."""
+        return self.selected.count()
+
     @cached_property
     def pages(self) -> DataFrame:
         """Selected pages with their outcome and text, one row per company and page."""
-        return company_pages(self.selected, self.digests, self.options)
+        return company_pages(self.selected, self.digests, self.options, self._rows)
 
     @cached_property
     def results(self) -> DataFrame:
@@ -64,7 +69,8 @@ class Run:
     @cached_property
     def raw(self) -> DataFrame:
         rows = raw_rows(
-            self.companies, self.pages, self.attempts, self.renders, self.options
+            self.companies, self.pages, self.attempts, self.renders, self.options,
+            self._rows,
         )
         return with_schema(rows, RAW_SCHEMA)
 
@@ -106,7 +112,10 @@ def run_companies(
     documents = staging.stage(site_documents(digests), "documents")
     located = keyed.where("home IS NOT NULL").select("company_key", "home")
     selected = staging.stage(
-        select_pages(discover(located, digests, documents, options), options), "selected"
+        select_pages(
+            discover(located, digests, documents, options, keyed.count()), options
+        ),
+        "selected",
     )
     return Run(
         options=options,

@@ -16,6 +16,7 @@ from sitetext.functions.sitemaps import (
     sitemap_locs,
 )
 from sitetext.operators.attempts import fold_attempts, next_attempts
+from sitetext.operators.joins import lookup
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
 from sitetext.plans.staging import Staging
 from sitetext.sources import sinks
@@ -222,6 +223,20 @@ def test_skewed_links_match_brute_force(spark):
     assert got == expected
 
 
+def test_lookup_of_a_hot_key_matches_a_plain_join(spark):
+    left = spark.range(4000).selectExpr(
+        "id AS company_key", "if(id % 3 = 0, 'hot', if(id % 50 = 1, NULL, concat('k', id % 700))) AS key")
+    right = spark.range(0, 700, 2).selectExpr("concat('k', id) AS key", "id AS value").unionByName(
+        spark.sql("SELECT 'hot' AS key, -1L AS value"))
+    plain = left.join(right, "key", "left")
+    split = lookup(left, right, ["key"], "company_key", 4000, hot_rows=100)
+    assert sorted(split.columns) == sorted(plain.columns)
+    assert sorted(map(str, split.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    # The hot key's rows do not meet in one task.
+    tasks = split.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(t["count"] for t in tasks) == 1334
+
+
 def test_pending_and_shards(spark):
     companies = spark.createDataFrame([(n, f"{n}.com") for n in range(10)] + [(None, "n.com")], "cid int, u string")
     done = spark.createDataFrame([("3",), ("3",), ("4",)], "id string")

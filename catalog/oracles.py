@@ -360,7 +360,7 @@ WITH {_RUN}, found AS (
   FROM links l JOIN home_escalated h ON h.page_id = l.page_id AND (l.page_id % 4 <> 0 OR NOT h.escalated)
 )
 SELECT page_id, false AS no_links,
-  (row_number() OVER (PARTITION BY page_id ORDER BY place) - 1)::INTEGER AS pos, link
+  (row_number() OVER (PARTITION BY page_id ORDER BY {_score(_path('link'))} DESC, {_depth(_path('link'))}, place) - 1)::INTEGER AS pos, link
 FROM found WHERE place IS NOT NULL""".replace("CASE page_id % 4", "CASE l.page_id % 4"),
     "discovery_cap": f"""
 WITH {_ANCHORS}

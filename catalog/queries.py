@@ -241,7 +241,7 @@ def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidates of each site from sitemap, robots file or anchors, whichever comes first."""
+    """Ranked candidates of each site from sitemap, robots file or anchors, the first that has any."""
     located = _sites(spark, folder)
     staged = Staging(spark).stage(
         page_digests(d.site_attempts(located), None, OPTIONS), "digests"
@@ -249,7 +249,7 @@ def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     companies = located.selectExpr("page_id AS company_key", "home")
     found = discover(companies, staged, site_documents(staged), OPTIONS, companies.count())
     return found.selectExpr(
-        "company_key AS page_id", "no_links", "posexplode(candidates) AS (pos, link)"
+        "company_key AS page_id", "no_links", "posexplode(candidates.url) AS (pos, link)"
     )
 
 

@@ -48,3 +48,16 @@ def ranked_links(
     )
     ordered = each(f"array_sort(transform({links}, (link, pos) -> {keys}))", lambda k: f"{k}.link")
     return ordered if limit is None else f"slice({ordered}, 1, {limit})"
+
+
+def link_entries(links: Sql) -> Sql:
+    """Links with their normal form where it differs, so that it is worked out only once."""
+    return each(
+        links, lambda u: f"named_struct('url', {u}, 'normal', nullif({normalize_url(u)}, {u}))"
+    )
+
+
+def first_entries(entries: Sql, homepage: Sql, limit: int) -> Sql:
+    """The first `limit` links other than the homepage."""
+    others = keep(entries, lambda e: f"coalesce({e}.normal, {e}.url) <> {homepage}")
+    return each(f"slice({others}, 1, {limit})", lambda e: f"{e}.url")

@@ -7,8 +7,8 @@ from pyspark.sql.functions import expr
 
 from sitetext.config import MAX_CHILD_SITEMAPS, MAX_RAW_LINKS, Options
 from sitetext.functions.html import absolute_links, base_address
-from sitetext.functions.links import ranked_links, site_links, without_homepage
-from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, keep
+from sitetext.functions.links import first_entries, link_entries, ranked_links, site_links
+from sitetext.functions.sql import Sql, bind, each, keep
 from sitetext.functions.urls import bare_host, base_parts, robots_address, site_root, sitemap_address
 from sitetext.operators.joins import lookup
 from sitetext.operators.ranking import cap_links
@@ -66,12 +66,19 @@ def site_sitemap_links(sites: DataFrame, documents: DataFrame) -> DataFrame:
     return plain.unionByName(_first_source(listed, sitemaps.select("address", "locs")))
 
 
-def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
-    """Site links in the anchors of homepages (column home): links, unused_links, escalated.
+def _ranked_entries(links: Sql, host: Sql, options: Options) -> Sql:
+    """Pages of the site among raw links, best first, with their normal forms."""
+    ranked = ranked_links(
+        site_links(links, host), options.high_value_keywords, options.low_value_keywords
+    )
+    return link_entries(ranked)
+
+
+def homepage_links(homes: DataFrame, digests: DataFrame, options: Options) -> DataFrame:
+    """Ranked links in the anchors of homepages (column home): links, unused_links, escalated.
 
     Once per address, however many companies have it as their homepage.
     """
-
     records = digests.selectExpr("page_url AS home", "anchors", "unused_anchors", "escalated")
     anchors = homes.distinct().join(records, "home")
     for used, capped in (("anchors", True), ("unused_anchors", False)):
@@ -81,7 +88,7 @@ def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
         anchors = (
             anchors.withColumn("base", expr(base_address(f"{used}.base", "home")))
             .withColumn("parts", expr(base_parts("base")))
-            .withColumn(f"{used}_links", expr(site_links(raw, bare_host("home"))))
+            .withColumn(f"{used}_links", expr(_ranked_entries(raw, bare_host("home"), options)))
         )
     return anchors.selectExpr(
         "home", "escalated", "anchors_links AS links", "unused_anchors_links AS unused_links"
@@ -91,7 +98,10 @@ def homepage_links(homes: DataFrame, digests: DataFrame) -> DataFrame:
 def discover(
     companies: DataFrame, digests: DataFrame, documents: DataFrame, options: Options, rows: int
 ) -> DataFrame:
-    """Candidate links of each company (columns company_key, home), homepage not yet excluded.
+    """Ranked candidates of each company (columns company_key, home), homepage not yet excluded.
+
+    Filtering, ranking and normal forms are worked out once per site or homepage; a company's
+    own row costs a comparison per link.
 
     `documents` are the `site_documents` of the digests, `rows` the number of companies. Adds
     candidates, and no_links: the homepage had to be rendered to get them. A source counts as
@@ -100,13 +110,13 @@ def discover(
     rendering = "true" if options.js_fallback else "false"
     located = companies.withColumn("root", expr(site_root("home")))
     sites = site_sitemap_links(located.select("root").distinct(), documents).selectExpr(
-        "root", f"{site_links('locs', bare_host('root'))} AS site_links"
+        "root", f"{_ranked_entries('locs', bare_host('root'), options)} AS site_links"
     )
     located = lookup(located, sites, ["root"], "company_key", rows)
     open_homes = located.where("site_links IS NULL OR size(site_links) = 0").select("home")
     empty = "size(coalesce(site_links, links, array())) = 0"
     return (
-        lookup(located, homepage_links(open_homes, digests), ["home"], "company_key", rows)
+        lookup(located, homepage_links(open_homes, digests, options), ["home"], "company_key", rows)
         .withColumn(
             "no_links", expr(f"{rendering} AND {empty} AND NOT coalesce(escalated, {rendering})")
         )
@@ -114,19 +124,14 @@ def discover(
             "company_key",
             "home",
             "no_links",
-            f"coalesce(if(no_links, unused_links, coalesce(site_links, links)), {NO_STRINGS}) AS candidates",
+            "coalesce(if(no_links, unused_links, coalesce(site_links, links)), array()) AS candidates",
         )
     )
 
 
 def select_pages(discovered: DataFrame, options: Options) -> DataFrame:
     """Pages of each company in order: the homepage, ord 0, then its best subpages."""
-    best = ranked_links(
-        without_homepage("candidates", "home"),
-        options.high_value_keywords,
-        options.low_value_keywords,
-        options.max_subpages - 1,
-    )
+    best = first_entries("candidates", "home", options.max_subpages - 1)
     return discovered.selectExpr(
         "company_key", "no_links", f"posexplode(concat(array(home), {best})) AS (ord, page_url)"
     )

@@ -88,7 +88,7 @@ def normalize_url(url: Sql) -> Sql:
             f"concat(if({scheme} = '', '', concat({scheme}, ':')), "
             # A web address has an authority even when it is empty.
             f"if({host} <> '' OR {scheme} IN ('http', 'https'), concat('//', {host}), ''), "
-            f"rtrim('/', {url_path(full)}), {_params_part(full)}, {_query_part(full)})"
+            f"trim(TRAILING '/' FROM {url_path(full)}), {_params_part(full)}, {_query_part(full)})"
         )
 
     return bind(f"if(contains({url}, '://'), {url}, concat('https://', {url}))", rebuilt)
@@ -96,7 +96,7 @@ def normalize_url(url: Sql) -> Sql:
 
 def url_slug(url: Sql) -> Sql:
     """Last path segment, `home` when there is none."""
-    segment = f"regexp_extract(rtrim('/', {url_path(url)}), '([^/]*)$', 1)"
+    segment = f"regexp_extract(trim(TRAILING '/' FROM {url_path(url)}), '([^/]*)$', 1)"
     return f"coalesce(nullif({segment}, ''), 'home')"
 
 
@@ -185,7 +185,7 @@ def resolve_url(base: Sql, ref: Sql) -> Sql:
             f"THEN concat({base}.scheme, ':', {r}.path, {r}.tail) "
             f"WHEN {r}.path <> '' THEN concat({base}.root, {absolute_path(f'{r}.path')}, {r}.tail) "
             f"WHEN rlike({r}.tail, {query_only}) THEN concat({base}.root, {base}.path, {r}.tail) "
-            f"ELSE concat({base}.root, {base}.path, {base}.query, ltrim('?', {r}.tail)) END"
+            f"ELSE concat({base}.root, {base}.path, {base}.query, trim(LEADING '?' FROM {r}.tail)) END"
         )
 
     def by_scheme(r: Sql) -> Sql:

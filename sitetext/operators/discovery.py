@@ -112,11 +112,12 @@ def discover(
     sites = site_sitemap_links(located.select("root").distinct(), documents).selectExpr(
         "root", f"{_ranked_entries('locs', bare_host('root'), options)} AS site_links"
     )
-    located = lookup(located, sites, ["root"], "company_key", rows)
-    open_homes = located.where("site_links IS NULL OR size(site_links) = 0").select("home")
+    on_sites = lookup(located, sites, ["root"], "company_key", rows)
+    open_homes = on_sites.where("site_links IS NULL OR size(site_links) = 0").select("home")
     empty = "size(coalesce(site_links, links, array())) = 0"
+    homepages = homepage_links(open_homes, digests, options)
     return (
-        lookup(located, homepage_links(open_homes, digests, options), ["home"], "company_key", rows)
+        lookup(on_sites, homepages, ["home"], "company_key", rows, counted=located)
         .withColumn(
             "no_links", expr(f"{rendering} AND {empty} AND NOT coalesce(escalated, {rendering})")
         )

@@ -20,6 +20,7 @@ def lookup(
     spread_by: str,
     left_rows: int,
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a side with one row per key, when many left rows may share a key.
 
@@ -27,13 +28,15 @@ def lookup(
     does not see how many there are. Keys with many rows are counted instead: their left rows
     are spread by the hash of `spread_by`, and their right row is copied once per part.
     `left_rows` is the number of left rows; it sets the count from which a key is hot so that
-    there are no more than MAX_HOT_KEYS of them.
+    there are no more than MAX_HOT_KEYS of them. `counted` is a cheaper frame to count them in,
+    with the same keys row by row.
     """
     hot_from = max(hot_rows or HOT_ROWS, left_rows // MAX_HOT_KEYS)
     if left_rows <= hot_from:
         return left.join(right, list(keys), "left")
     hot = (
-        left.groupBy(*keys)
+        (left if counted is None else counted)
+        .groupBy(*keys)
         .count()
         .where(f"count > {hot_from}")
         .select(*keys, expr(f"CAST(ceil(count / {hot_from}) AS int) AS parts"))

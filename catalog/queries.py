@@ -242,12 +242,11 @@ def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     """Ranked candidates of each site from sitemap, robots file or anchors, the first that has any."""
-    located = _sites(spark, folder)
-    staged = Staging(spark).stage(
-        page_digests(d.site_attempts(located), None, OPTIONS), "digests"
-    )
+    located, staging = _sites(spark, folder), Staging(spark)
+    digests = staging.stage(page_digests(d.site_attempts(located), None, OPTIONS), "digests")
+    documents = staging.stage(site_documents(digests), "documents")
     companies = located.selectExpr("page_id AS company_key", "home")
-    found = discover(companies, staged, site_documents(staged), OPTIONS, companies.count())
+    found = discover(companies, digests, documents, OPTIONS, companies.count())
     return found.selectExpr(
         "company_key AS page_id", "no_links", "posexplode(candidates.url) AS (pos, link)"
     )

@@ -23,6 +23,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _KEYS = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
+#: Another key per byte, for a second hash that is independent of the first.
+OTHER_KEYS = np.random.default_rng(20240301).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _LOW = 1 << 16
 
@@ -118,7 +120,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray = _KEYS
+) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, the same wherever the span lies."""
     lengths = ends - starts
     out = np.zeros(len(starts), np.uint64)
@@ -127,7 +131,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         sizes = lengths[some]
         heads = np.cumsum(sizes) - sizes
         within = np.arange(heads[-1] + sizes[-1]) - np.repeat(heads, sizes)
-        values = _KEYS[data[within + np.repeat(starts[some], sizes)]]
+        values = keys[data[within + np.repeat(starts[some], sizes)]]
         with np.errstate(over="ignore"):
             values *= _POWERS[within & (_LOW - 1)]
             if sizes.max() > _LOW:

@@ -81,7 +81,7 @@ def component_labels(links: DataFrame, staging: Staging, name: str) -> DataFrame
         passed = labels.join(better, "node", "left").selectExpr(
             "node", "least(label, coalesce(least, label)) AS label"
         )
-        up = passed.withColumnsRenamed({"node": "label", "label": "up"})
+        up = passed.selectExpr("node AS label", "label AS up")
         labels = staging.stage(
             passed.join(up, "label").selectExpr("node", "least(label, up) AS label"),
             f"{name}_labels_{step}",

@@ -198,7 +198,8 @@ def contamination(
     window: int = WINDOW,
     near: int = NEAR,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items, contaminated and n_near_items.
+    """One row per document: doc_id, n_words, n_hit, n_items, items, contaminated, n_near_items and
+    text_key, a hash of the text that tells rows without doc_id apart.
 
     Words are runs of digits, letters and characters beyond ASCII, with A-Z in lower case. A word
     is hit if it lies in an occurrence of a window, which is `window` consecutive words of an item,
@@ -279,5 +280,22 @@ def contamination(
             "coalesce(items, array()) AS items",
             "coalesce(n_hit, 0L) > 0 AND 20 * coalesce(n_hit, 0L) >= n_words AS contaminated",
             "coalesce(n_near_items, 0L) AS n_near_items",
+            "text_key",
         )
     )
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, that are not contaminated."""
+    bad = (
+        contamination(docs, benchmark, id_col, text_col)
+        .where("contaminated")
+        .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text"))
+    )
+    own_id = docs[id_col].cast("bigint")
+    own_text = F.xxhash64(own_id.isNull(), docs[text_col])
+    return docs.join(
+        bad, own_id.eqNullSafe(bad["_bad_id"]) & (own_text == bad["_bad_text"]), "left_anti"
+    )

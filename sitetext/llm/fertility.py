@@ -160,63 +160,90 @@ def _scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.argmax([_in_rows(x, offsets) for x in (latin, alphabets, rest)], axis=0)
 
 
+def measure(
+    texts_: pa.Array, langs: list[str | None], vocabulary, bands: Mapping[str, Band]
+) -> Iterator[tuple[int, dict[str, object]]]:
+    """First row and measures of each piece of a column of texts."""
+    symbol = np.zeros(256, bool)
+    symbol[list(SYMBOLS.encode())] = True
+    for first, end, data, offsets in texts.pieces(texts_):
+        n = end - first
+        starts, ends, rows = texts.word_spans(data, offsets)
+        words = texts.span_hashes(data, starts, ends)
+        n_words = np.bincount(rows, minlength=n)
+        chars = _in_rows(((data & 0xC0) != 0x80) & ~texts.is_space(data), offsets)
+        repeated = _repeated_words(words, rows, n, WINDOW)
+        n_tokens, byte_share, entropy = _token_counts(data, starts, ends, words, rows, n, vocabulary)
+        per_token = chars / np.maximum(n_tokens, 1)
+        failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEATED_PERCENT * n_words)
+        names = [
+            lang if lang in bands else ("latin", "alphabetic", "other")[script]
+            for lang, script in zip(langs[first:end], _scripts(data, offsets))
+        ]
+        limits = [bands[name] for name in names]
+        of = lambda field: np.array([getattr(b, field) for b in limits])
+        most = np.log2(np.clip(n_tokens, 2, of("full_at")))
+        yield (
+            first,
+            {
+                "n_words": n_words,
+                "word_chars": chars,
+                "n_symbols": _in_rows(symbol[data], offsets),
+                "n_dup_lines": _duplicate_lines(data, offsets, n),
+                "n_repeat_words": repeated,
+                "n_tokens": n_tokens,
+                "chars_per_token": per_token,
+                "byte_share": byte_share,
+                "token_entropy": entropy,
+                "band": names,
+                "base_failed": failed,
+                "kept": ~failed
+                & (per_token >= of("min_chars_per_token"))
+                & (per_token <= of("max_chars_per_token"))
+                & (byte_share <= of("max_byte_share"))
+                & (entropy >= of("min_entropy_share") * most),
+            },
+        )
+
+
 def _measured(path: str | None, bands: Mapping[str, Band]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path or default_path())
-        symbol = np.zeros(256, bool)
-        symbol[list(SYMBOLS.encode())] = True
         for batch in batches:
-            ids, langs = batch.column(0), batch.column(2).to_pylist()
-            for first, end, data, offsets in texts.pieces(batch.column(1)):
-                n = end - first
-                starts, ends, rows = texts.word_spans(data, offsets)
-                words = texts.span_hashes(data, starts, ends)
-                n_words = np.bincount(rows, minlength=n)
-                chars = _in_rows(((data & 0xC0) != 0x80) & ~texts.is_space(data), offsets)
-                symbols = _in_rows(symbol[data], offsets)
-                repeated = _repeated_words(words, rows, n, WINDOW)
-                n_tokens, byte_share, entropy = _token_counts(
-                    data, starts, ends, words, rows, n, vocabulary
-                )
-                per_token = chars / np.maximum(n_tokens, 1)
-                failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEATED_PERCENT * n_words)
-                scripts = _scripts(data, offsets)
-                names = [
-                    lang if lang in bands else ("latin", "alphabetic", "other")[script]
-                    for lang, script in zip(langs[first:end], scripts)
-                ]
-                limits = [bands[name] for name in names]
-                of = lambda field: np.array([getattr(b, field) for b in limits])
-                most = np.log2(np.clip(n_tokens, 2, of("full_at")))
-                kept = (
-                    ~failed
-                    & (per_token >= of("min_chars_per_token"))
-                    & (per_token <= of("max_chars_per_token"))
-                    & (byte_share <= of("max_byte_share"))
-                    & (entropy >= of("min_entropy_share") * most)
-                )
-                yield texts.pack(
-                    {
-                        "doc_id": ids.slice(first, n),
-                        "n_words": n_words,
-                        "word_chars": chars,
-                        "n_symbols": symbols,
-                        "n_dup_lines": _duplicate_lines(data, offsets, n),
-                        "n_repeat_words": repeated,
-                        "n_tokens": n_tokens,
-                        "chars_per_token": per_token,
-                        "byte_share": byte_share,
-                        "token_entropy": entropy,
-                        "band": names,
-                        "base_failed": failed,
-                        "kept": kept,
-                    },
-                    SCHEMA,
-                )
+            langs = batch.column(2).to_pylist()
+            for first, found in measure(batch.column(1), langs, vocabulary, bands):
+                ids = batch.column(0).slice(first, len(found["kept"]))
+                yield texts.pack({"doc_id": ids} | found, SCHEMA)
+
+    return run
+
+
+def _filtered(at: int, lang_at: int | None, path: str | None, bands: Mapping[str, Band]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(path or default_path())
+        for batch in batches:
+            n = batch.num_rows
+            langs = [None] * n if lang_at is None else batch.column(lang_at).to_pylist()
+            for first, found in measure(batch.column(at), langs, vocabulary, bands):
+                yield batch.slice(first, len(found["kept"])).filter(pa.array(found["kept"]))
 
     return run
 
 
+def keep_good(
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str | None = "lang",
+    path: str | None = None,
+    bands: Mapping[str, Band] = BANDS,
+) -> DataFrame:
+    """The rows that `quality_rules` keeps, with all their columns and without a shuffle."""
+    lang_at = docs.columns.index(lang_col) if lang_col else None
+    return texts.map_batches(
+        docs, _filtered(docs.columns.index(text_col), lang_at, path, dict(bands)), docs.schema
+    )
+
+
 def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -14,6 +14,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sitetext.llm import bloom, texts
@@ -111,63 +112,65 @@ def _suspects(min_chars: int, filter_bits):
     return run
 
 
+def _without(
+    texts_: pa.Array, drops: pa.Array, min_chars: int
+) -> Iterator[tuple[int, np.ndarray, list[int], pa.Array]]:
+    """First row, number of lines, dropped lines and remaining texts of each piece."""
+    for first, end, data, offsets in texts.pieces(texts_):
+        low, a, b, rows, long, (starts, ends) = _keys(data, offsets, min_chars)
+        raw, low = data.tobytes(), low.tobytes()
+        borders = np.searchsorted(rows, np.arange(end - first + 1)).tolist()
+        kept, n_dropped = [], []
+        for i in range(end - first):
+            x, y = borders[i], borders[i + 1]
+            gone = drops[first + i].as_py()
+            if not gone:
+                kept.append(raw[offsets[i] : offsets[i + 1]])
+                n_dropped.append(0)
+                continue
+            gone = set(gone)
+            lines = [
+                raw[starts[k] : ends[k]]
+                for k in range(x, y)
+                if not (long[k] and _digest(low[a[k] : b[k]]) in gone)
+            ]
+            kept.append(b"\n".join(lines))
+            n_dropped.append(y - x - len(lines))
+        yield first, np.diff(borders), n_dropped, pa.array(kept, pa.binary()).cast(pa.string())
+
+
 def _drop(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, drops = batch.column(0), batch.column(2)
-            for first, end, data, offsets in texts.pieces(batch.column(1)):
-                low, a, b, rows, long, (starts, ends) = _keys(data, offsets, min_chars)
-                raw, low = data.tobytes(), low.tobytes()
-                borders = np.searchsorted(rows, np.arange(end - first + 1)).tolist()
-                kept, n_dropped = [], []
-                for i in range(end - first):
-                    x, y = borders[i], borders[i + 1]
-                    gone = drops[first + i].as_py()
-                    if not gone:
-                        kept.append(raw[offsets[i] : offsets[i + 1]])
-                        n_dropped.append(0)
-                        continue
-                    gone = set(gone)
-                    lines = [
-                        raw[starts[k] : ends[k]]
-                        for k in range(x, y)
-                        if not (long[k] and _digest(low[a[k] : b[k]]) in gone)
-                    ]
-                    kept.append(b"\n".join(lines))
-                    n_dropped.append(y - x - len(lines))
+            for first, n_lines, n_dropped, kept in _without(batch.column(1), batch.column(2), min_chars):
+                ids = batch.column(0).slice(first, len(kept))
                 yield texts.pack(
-                    {
-                        "doc_id": ids.slice(first, end - first),
-                        "n_lines": np.diff(borders),
-                        "n_dropped": n_dropped,
-                        "text": pa.array(kept, pa.binary()).cast(pa.string()),
-                    },
-                    KEPT,
+                    {"doc_id": ids, "n_lines": n_lines, "n_dropped": n_dropped, "text": kept}, KEPT
                 )
 
     return run
 
 
-def drop_repeated_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    min_chars: int = MIN_KEY_CHARS,
-    blocks: int = BLOCKS,
-) -> DataFrame:
-    """One row per document: doc_id, n_lines before dropping, n_dropped, and the text that stays.
+def _replace(at: int, min_chars: int):
+    """All columns of a batch but the last, with the text at `at` replaced; null texts stay."""
 
-    A line's key is the line without white space at its ends and with A-Z in lower case. Keys of
-    at least `min_chars` characters that at least two doc_ids hold lose all their lines except in
-    the smallest doc_id. Rows with equal doc_id are one holder and are treated alike. A document
-    without doc_id holds nothing and stays as it is. A null or empty text is one empty line. An
-    empty table gives none, and other columns are not read.
-    """
-    staging = Staging(docs.sparkSession)
-    source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, drops = batch.columns[:-1], batch.columns[-1]
+            for first, n_lines, _, kept in _without(own[at], drops, min_chars):
+                part = [c.slice(first, len(n_lines)) for c in own]
+                part[at] = pc.if_else(pc.is_null(part[at]), None, kept.cast(part[at].type))
+                yield pa.RecordBatch.from_arrays(part, names=batch.schema.names[:-1])
+
+    return run
+
+
+def _repeats(source: DataFrame, min_chars: int, blocks: int) -> DataFrame:
+    """Digests of the lines that each doc_id loses, from (doc_id, text) rows."""
+    spark, staging = source.sparkSession, Staging(source.sparkSession)
     known = source.where("doc_id IS NOT NULL")
     keys = texts.map_batches(known, _filter_keys(min_chars, blocks), bloom.KEY_ROWS)
-    bits = docs.sparkSession.sparkContext.broadcast(bloom.twice_filter(keys, blocks))
+    bits = spark.sparkContext.broadcast(bloom.twice_filter(keys, blocks))
     suspects = staging.stage(
         texts.map_batches(known, _suspects(min_chars, bits), "doc_id bigint, digest binary"),
         "suspects",
@@ -178,15 +181,52 @@ def drop_repeated_lines(
         .where("first_id < last_id")
         .select("digest", "first_id")
     )
-    drops = staging.stage(
+    return staging.stage(
         lookup(suspects, repeated, ["digest"], "doc_id", suspects.count())
         .where("doc_id <> first_id")
         .groupBy("doc_id")
         .agg(F.collect_set("digest").alias("drops")),
         "drops",
     )
+
+
+def drop_repeated_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_KEY_CHARS,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """One row per document: doc_id, n_lines before dropping, n_dropped, and the text that stays.
+
+    A line's key is the line without white space at its ends and with A-Z in lower case. Keys of
+    at least `min_chars` characters that at least two doc_ids hold lose all their lines except in
+    the smallest doc_id. Rows with equal doc_id are one holder and are treated alike. A document
+    without doc_id holds nothing and stays as it is. A null or empty text is one empty line. An
+    empty table gives none, and other columns are not read.
+    """
+    source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
+    drops = _repeats(source, min_chars, blocks)
     return texts.map_batches(
         source.join(drops, "doc_id", "left"),
         _drop(min_chars),
         "doc_id bigint, n_lines bigint, n_dropped bigint, text string",
     )
+
+
+def without_repeated_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_KEY_CHARS,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """The rows of `docs` with all their columns, their texts without repeated lines."""
+    source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
+    drops = _repeats(source, min_chars, blocks).withColumnsRenamed(
+        {"doc_id": "_lines_of", "drops": "_lines_gone"}
+    )
+    joined = docs.join(drops, docs[id_col].cast("bigint") == drops["_lines_of"], "left")
+    return texts.map_batches(
+        joined.drop(drops["_lines_of"]), _replace(docs.columns.index(text_col), min_chars), docs.schema
+    )

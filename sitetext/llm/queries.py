@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitetext.llm.attention import language_model_scores
 from sitetext.llm.bpe import encode_documents
 from sitetext.llm.chunk_dedup import repeated_passages
+from sitetext.llm.contextual_pii import personal_data
 from sitetext.llm.decontamination import contamination
 from sitetext.llm.fertility import quality_rules
 from sitetext.llm.guess_cost import secret_spans
@@ -83,6 +84,22 @@ def op7_superminhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_documents(spark, folder), width=3, percent=85)
 
 
+def op8_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data by pattern, and identifiers in the same contexts."""
+    written = "transform({}, s -> concat_ws(':', s.kind, s.start, s.end))"
+    base = written.format("filter(spans, s -> s.rank < 4)")
+    return personal_data(_documents(spark, folder)).selectExpr(
+        "doc_id",
+        *(
+            f"CAST(size(filter(spans, s -> s.rank = {rank})) AS bigint) AS n_{kind}"
+            for rank, kind in enumerate(("email", "ip", "card", "phone"))
+        ),
+        f"sha2(CAST(array_join({base}, ',') AS BINARY), 256) AS base_sha256",
+        f"array_join({written.format('spans')}, ',') AS spans",
+        "CAST(size(filter(spans, s -> s.rank >= 4)) AS bigint) AS n_found",
+    )
+
+
 def op9_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines per document before and after repeated lines are dropped, and what stays."""
     return drop_repeated_lines(_documents(spark, folder)).selectExpr(
@@ -106,6 +123,7 @@ QUERIES = {
     "op5_bpe_codec": op5_bpe_codec,
     "op6_nbsvm_quality": op6_nbsvm_quality,
     "op7_superminhash_groups": op7_superminhash_groups,
+    "op8_contextual_pii": op8_contextual_pii,
     "op9_bloom_line_dedup": op9_bloom_line_dedup,
     "op10_gear_chunks": op10_gear_chunks,
 }

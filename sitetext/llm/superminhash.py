@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sitetext.llm import texts
 from sitetext.llm.components import component_labels
@@ -317,3 +317,31 @@ def near_duplicates(
         "if(doc_id IS NULL, NULL, coalesce(component_id, doc_id)) AS component_id",
         "doc_id IS NULL OR doc_id = coalesce(component_id, doc_id) AS kept",
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, that are the first of their group.
+
+    Of rows with equal doc_id one stays. Rows without doc_id stay.
+    """
+    kept = (
+        near_duplicates(docs, id_col, text_col, width, percent)
+        .where("kept AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_kept_id"))
+        .distinct()
+    )
+    own = docs[id_col].cast("bigint")
+    one = Window.partitionBy(own).orderBy(F.lit(1))
+    firsts = (
+        docs.join(kept, own == kept["_kept_id"], "left_semi")
+        .withColumn("_copy", F.row_number().over(one))
+        .where("_copy = 1")
+        .drop("_copy")
+    )
+    return firsts.unionByName(docs.where(own.isNull()))

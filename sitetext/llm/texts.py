@@ -13,6 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Bytes of text that are worked on at once.
 PIECE_BYTES = 1 << 22
@@ -38,7 +39,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS = _powers(_BASE, _LOW)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """`df.mapInArrow`, with this package importable in the workers of a local session."""
     environment = df.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(":")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -29,17 +30,18 @@ from sitetext.llm import texts
 from sitetext.plans.staging import Staging
 
 #: Ids of a window, and of its beginning that the window before has scored.
-WINDOW, OVERLAP = 32, 8
+WINDOW, OVERLAP = 16, 4
 #: Width of the model, classes of one id, and ids with an input vector of their own.
 WIDTH, SINGLES, INPUTS = 16, 126, 4096
 #: Ids without an input vector of their own share this many.
 SHARED = 64
-SAMPLE_EVERY, ROUNDS, BATCH, RATE = 32, 3, 64, 0.01
+SAMPLE_EVERY, ROUNDS, BATCH, RATE = 48, 3, 64, 0.01
 #: Most words whose counts are sent to every task. Rarer words are looked up by a join.
 HEAD_WORDS = 400_000
 _BLOCKS = 8
 _BEGIN, _END = 1, 2
 _KEYS_AT_ONCE = 1 << 20
+_IDS_AT_ONCE = 1 << 19
 
 
 def default_path() -> str:
@@ -61,45 +63,51 @@ class Piece:
         self.n = len(offsets) - 1
         starts, ends, self.rows = texts.word_spans(data, offsets)
         self.words = texts.span_hashes(data, starts, ends)
-        self.first, self.kind = texts.distinct(self.words)
+        first, kind = texts.distinct(self.words)
         raw = data.tobytes()
         of_word = _vocabulary(path or default_path()).encode(
-            [raw[a:b].decode() for a, b in zip(starts[self.first].tolist(), ends[self.first].tolist())],
+            [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())],
             num_threads=1,
         )
-        sizes = np.array([len(x) for x in of_word] or [0], np.int64)
-        flat = np.fromiter((i for x in of_word for i in x), np.int64, int(sizes.sum()))
+        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
+        flat = np.fromiter(chain.from_iterable(of_word), np.int32, int(sizes.sum()))
         heads = np.cumsum(sizes) - sizes
-        n_ids = sizes[self.kind]
-        #: Where each row's ids start in `ids`; each row has its ids and the end id.
+        n_ids = sizes[kind]
         per_row = np.bincount(self.rows, weights=n_ids, minlength=self.n).astype(np.int64) + 1
+        #: Where each row's ids start in `ids`; each row has its ids and the end id.
         self.borders = np.concatenate([[0], np.cumsum(per_row)])
-        self.ids = np.full(int(self.borders[-1]), _END, np.int64)
+        self.ids = np.full(int(self.borders[-1]), _END, np.int32)
         inside = np.ones(len(self.ids), bool)
         inside[self.borders[1:] - 1] = False
         until = np.cumsum(n_ids)
         total = int(until[-1]) if len(until) else 0
-        at = np.arange(total) - np.repeat(until - n_ids, n_ids) + np.repeat(heads[self.kind], n_ids)
-        self.ids[inside] = flat[at]
-
-    def windows(self, every: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs and targets of windows, and the row of each; -1 stands after the end of a row."""
-        sizes = np.diff(self.borders)
-        step = WINDOW - OVERLAP
-        n = 1 + np.maximum(0, -(-(sizes - WINDOW) // step))
-        rows = np.repeat(np.arange(self.n), n)
-        heads = np.cumsum(n) - n
-        number = np.arange(len(rows)) - np.repeat(heads, n)
-        if every > 1:
-            chosen = number % every == (rows % every) % n[rows]
-            rows, number = rows[chosen], number[chosen]
-        start = number * step
-        places = start[:, None] + np.arange(WINDOW)
-        whole = places < sizes[rows][:, None]
-        at = np.where(whole, self.borders[rows][:, None] + places, 0)
-        targets = np.where(whole, self.ids[at], -1)
-        inputs = np.where(places == 0, _BEGIN, self.ids[np.maximum(at - 1, 0)])
-        return np.where(whole, inputs, _END), targets, rows
+        self.ids[inside] = flat[np.arange(total) + np.repeat(heads[kind] - until + n_ids, n_ids)]
+
+
+def windows(
+    ids: np.ndarray, borders: np.ndarray, every: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs and targets of windows, and the row of each; -1 stands after the end of a row.
+
+    Row i has ids[borders[i]:borders[i + 1]]. With `every`, one window in so many of each row.
+    """
+    sizes = np.diff(borders)
+    step = WINDOW - OVERLAP
+    n = 1 + np.maximum(0, -(-(sizes - WINDOW) // step))
+    rows = np.repeat(np.arange(len(sizes)), n)
+    number = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+    if every > 1:
+        chosen = number % every == (rows % every) % n[rows]
+        rows, number = rows[chosen], number[chosen]
+    first = np.full(len(ids) + WINDOW + 1, _BEGIN, np.int32)
+    first[1 : len(ids) + 1] = ids
+    taken = first[(borders[rows] + number * step)[:, None] + np.arange(WINDOW + 1)]
+    inputs, targets = taken[:, :-1], taken[:, 1:].copy()
+    inputs[number == 0, 0] = _BEGIN
+    left = sizes[rows] - number * step
+    for w in np.flatnonzero(left < WINDOW):
+        targets[w, left[w] :] = -1
+    return inputs, targets, rows
 
 
 class Model:
@@ -133,6 +141,7 @@ class Model:
         }
         self.p["bias"] = np.log(np.maximum(totals, 0.5) / totals.sum()).astype(np.float32)
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+        self._fast = None
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in self.NAMES])
@@ -143,6 +152,7 @@ class Model:
             size = self.p[k].size
             self.p[k] = flat[at : at + size].reshape(self.p[k].shape).astype(np.float32)
             at += size
+        self._fast = None
 
     def hidden(self, inputs: np.ndarray):
         """What attention makes of windows of input vectors, with what is needed to go back."""
@@ -157,17 +167,45 @@ class Model:
         return x + mixed @ p["out"], (x, q, k, v, weights, mixed)
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray):
-        """Natural logarithm of the probability of each scored target of a batch of windows."""
-        h, _ = self.hidden(self.input_of[inputs])
+        """Natural logarithm of the probability of each scored target of a batch of windows.
+
+        The same numbers as from `hidden`, with the matrices multiplied beforehand and the weights
+        divided by their sum after they are used.
+        """
+        if self._fast is None:
+            p = self.p
+            self._fast = (
+                (p["query"] @ p["key"].T * np.float32(WIDTH**-0.5)),
+                p["value"] @ p["out"],
+                np.vstack([p["classes"], p["bias"]]),
+                np.tril(np.ones((WINDOW, WINDOW), np.float32)),
+                self.input_of.astype(np.int32),
+                self.class_of.astype(np.int32),
+            )
+        pair, value, classes, seen, input_of, class_of = self._fast
+        x = self.p["embed"][input_of[inputs]] + self.p["place"]
+        weights = np.matmul(x @ pair, x.transpose(0, 2, 1))
+        np.minimum(weights, 60, out=weights)
+        np.exp(weights, out=weights)
+        weights *= seen
+        values = np.empty((*x.shape[:2], WIDTH + 1), np.float32)
+        values[:, :, :WIDTH], values[:, :, WIDTH] = x @ value, 1
+        got = np.matmul(weights, values)
+        h = np.ones((int(scored.sum()), WIDTH + 1), np.float32)
+        h[:, :WIDTH] = (x + got[:, :, :WIDTH] / got[:, :, WIDTH:])[scored]
         ids = targets[scored]
-        logits = h[scored] @ self.p["classes"]
-        logits += self.p["bias"]
-        of = self.class_of[ids]
-        chosen = logits[np.arange(len(ids)), of].astype(np.float64)
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        total = np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64)) + top
-        return chosen - total + self.within[ids]
+        logits = h @ classes
+        chosen = logits[np.arange(len(ids)), class_of[ids]].astype(np.float64)
+        top = logits.max(initial=-np.inf)
+        logits -= top
+        total = np.exp(logits).sum(axis=1).astype(np.float64)
+        # A row far below the top of its batch is summed on its own.
+        low = np.flatnonzero(total < 1e-20)
+        if len(low):
+            own = logits[low].astype(np.float64)
+            peak = own.max(axis=1)
+            total[low] = np.exp(np.maximum(peak, -700)) * np.exp(own - peak[:, None]).sum(axis=1)
+        return chosen - np.log(total) - top + self.within[ids]
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean loss of a batch; targets of -1 don't count."""
@@ -216,47 +254,72 @@ class _Adam:
 
 # --- Counts ------------------------------------------------------------------
 
-_COUNT_DDL = "words array<bigint>, word_counts array<bigint>, ids binary, windows binary"
+_FIRST_DDL = (
+    "id_key bigint, text_key bigint, text_ids binary, words array<bigint>, "
+    "word_counts array<bigint>, id_counts binary, windows binary"
+)
+_FIRST = pa.schema(
+    [("id_key", pa.int64()), ("text_key", pa.int64()), ("text_ids", pa.binary()),
+     ("words", pa.list_(pa.int64())), ("word_counts", pa.list_(pa.int64())),
+     ("id_counts", pa.binary()), ("windows", pa.binary())]
+)
+
+
+def _rows_of(n: int, **columns) -> pa.RecordBatch:
+    return texts.pack({f.name: columns.get(f.name, pa.nulls(n, f.type)) for f in _FIRST}, _FIRST)
 
 
-def _counts(path: str | None):
-    """Word counts, subword counts and training windows of a task."""
+def _first_pass(path: str | None):
+    """Subword ids of every text, and the counts and windows of a task's training texts."""
 
-    def rows(parts: list[np.ndarray], ids: np.ndarray, windows: list[np.ndarray]):
+    def rows(parts: list[np.ndarray], ids: np.ndarray, sampled: list[np.ndarray]):
         words, counts = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_counts=True)
-        stacked = np.concatenate([*windows, np.zeros((0, 2 * WINDOW), np.int32)])
+        stacked = np.concatenate([*sampled, np.zeros((0, 2 * WINDOW), np.int32)])
         n = max(1, ceil(len(words) / 50_000), ceil(len(stacked) / 20_000))
         split = lambda a: np.array_split(a, n)
         for i, (w, c, s) in enumerate(zip(split(words), split(counts), split(stacked))):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "words": pa.array([w.view(np.int64)], pa.list_(pa.int64())),
-                    "word_counts": pa.array([c], pa.list_(pa.int64())),
-                    "ids": [ids.tobytes() if i == 0 else b""],
-                    "windows": [s.astype(np.int32).tobytes()],
-                }
+            yield _rows_of(
+                1,
+                words=[w.view(np.int64)],
+                word_counts=[c],
+                id_counts=[ids.tobytes() if i == 0 else b""],
+                windows=[s.astype(np.int32).tobytes()],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = _vocabulary(path or default_path()).vocab_size()
-        parts, ids, windows, n = [], np.zeros(size, np.int64), [], 0
+        parts, ids, sampled, n = [], np.zeros(size, np.int64), [], 0
         for batch in batches:
-            for _, _, data, offsets in texts.pieces(batch.column(0)):
+            trains = batch.column(3).to_numpy(zero_copy_only=False)
+            for first, end, data, offsets in texts.pieces(batch.column(2)):
                 piece = Piece(data, offsets, path)
-                parts.append(piece.words)
-                ids += np.bincount(piece.ids, minlength=size)
-                inputs, targets, _ = piece.windows(SAMPLE_EVERY)
-                windows.append(np.concatenate([inputs, targets], axis=1).astype(np.int32))
-                n += len(piece.words)
+                raw = piece.ids.astype(_id_type(size)).tobytes()
+                at = (piece.borders * np.dtype(_id_type(size)).itemsize).tolist()
+                yield _rows_of(
+                    piece.n,
+                    id_key=batch.column(0).slice(first, piece.n),
+                    text_key=batch.column(1).slice(first, piece.n),
+                    text_ids=[raw[a:b] for a, b in zip(at[:-1], at[1:])],
+                )
+                own = trains[first:end]
+                parts.append(piece.words[own[piece.rows]])
+                ids += np.bincount(piece.ids[np.repeat(own, np.diff(piece.borders))], minlength=size)
+                inputs, targets, of = windows(piece.ids, piece.borders, SAMPLE_EVERY)
+                sampled.append(np.concatenate([inputs, targets], axis=1)[own[of]])
+                n += len(parts[-1])
                 if n >= 4 * _KEYS_AT_ONCE:
-                    yield from rows(parts, ids, windows)
-                    parts, ids, windows, n = [], np.zeros(size, np.int64), [], 0
+                    yield from rows(parts, ids, sampled)
+                    parts, ids, sampled, n = [], np.zeros(size, np.int64), [], 0
         if ids.any():
-            yield from rows(parts, ids, windows)
+            yield from rows(parts, ids, sampled)
 
     return run
 
 
+def _id_type(vocabulary_size: int) -> str:
+    return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
+
+
 def _sum_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = 0
     for batch in batches:
@@ -312,70 +375,95 @@ def _averaged(table: pa.Table) -> pa.Table:
 
 # --- Scores -------------------------------------------------------------------
 
-_ROWS = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
-     ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-     ("n_subwords", pa.int64()), ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64()))]
+_BASE = pa.schema(
+    [("row", pa.int64()), ("doc_id", pa.int64()), ("id_key", pa.int64()), ("text_key", pa.int64()),
+     ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
+     ("rare", pa.list_(pa.int64())), ("rare_n", pa.list_(pa.int64()))]
 )
-_ROWS_DDL = (
-    "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-    "n_subwords bigint, rare array<bigint>, rare_n array<bigint>"
+_BASE_DDL = (
+    "row bigint, doc_id bigint, id_key bigint, text_key bigint, n_tokens bigint, n_known bigint, "
+    "base double, rare array<bigint>, rare_n array<bigint>"
 )
 
 
-def _window_scores(model: Model, piece: Piece, at_once: int = 128) -> np.ndarray:
-    """log10 of the probability of each row's ids."""
-    inputs, targets, rows = piece.windows()
+def window_scores(
+    model: Model, ids: np.ndarray, borders: np.ndarray, at_once: int = 128
+) -> np.ndarray:
+    """log10 of the probability of each row's ids; every id is scored in one window."""
+    n = len(borders) - 1
+    inputs, targets, rows = windows(ids, borders)
     first = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
     scored = targets >= 0
     scored[~first, :OVERLAP] = False
-    out = np.zeros(piece.n)
+    out = np.zeros(n)
     for at in range(0, len(rows), at_once):
         part = slice(at, at + at_once)
         mask = scored[part]
         found = model.log_probabilities(inputs[part], targets[part], mask)
-        of = np.broadcast_to(rows[part][:, None], mask.shape)[mask]
-        out += np.bincount(of, weights=found, minlength=piece.n)
+        out += np.bincount(np.repeat(rows[part], mask.sum(axis=1)), weights=found, minlength=n)
     return out / np.log(10)
 
 
-def _scored(path: str | None, sent):
+def _model_scores(model_sent, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, head, head_counts, total, kinds, end_count = sent.value
+        model = model_sent.value
+        for batch in batches:
+            column = batch.column(2).cast(pa.large_binary())
+            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            width = np.dtype(_id_type(size)).itemsize
+            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
+            ids = data.view(_id_type(size)).astype(np.int32)
+            borders = (offsets - offsets[0]) // width
+            scores = np.zeros(len(column))
+            lo = 0
+            while lo < len(column):
+                hi = max(lo + 1, int(np.searchsorted(borders, borders[lo] + _IDS_AT_ONCE, "right")) - 1)
+                own = borders[lo : hi + 1]
+                scores[lo:hi] = window_scores(model, ids[own[0] : own[-1]], own - own[0])
+                lo = hi
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(scores), pa.array(np.diff(borders))],
+                names=["id_key", "text_key", "score", "n_subwords"],
+            )
+
+    return run
+
+
+def _base_scores(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, head_counts, total, kinds, end_count = sent.value
         base_of = lambda c: np.log10((c + 0.5) / (total + 0.5 * (kinds + 1)))
+        head_logs = base_of(head_counts) if len(head) else np.zeros(0)
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids = batch.column(0)
-            for first, end, data, offsets in texts.pieces(batch.column(1)):
-                piece = Piece(data, offsets, path)
-                n = piece.n
-                of_kind = piece.words[piece.first]
-                at = np.minimum(np.searchsorted(head, of_kind), max(0, len(head) - 1))
-                in_head = head[at] == of_kind if len(head) else np.zeros(len(of_kind), bool)
-                counts = np.where(in_head, head_counts[at] if len(head) else 0, 0)
-                logs = np.where(in_head, base_of(counts), 0.0)
-                n_words = np.bincount(piece.rows, minlength=n)
-                known = np.bincount(piece.rows, weights=in_head[piece.kind], minlength=n)
-                base = np.bincount(piece.rows, weights=logs[piece.kind], minlength=n)
-                rare = np.flatnonzero(~in_head[piece.kind])
-                pairs = piece.rows[rare] * len(of_kind) + piece.kind[rare]
-                pairs, times = np.unique(pairs, return_counts=True)
-                borders = np.searchsorted(pairs, np.arange(n + 1) * max(1, len(of_kind)))
-                words = of_kind[pairs % max(1, len(of_kind))].view(np.int64)
-                lists = lambda x: pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(x, pa.int64()))
+            for first, end, data, offsets in texts.pieces(batch.column(3)):
+                n = end - first
+                data = texts.lowered(data)
+                starts, ends, rows = texts.word_spans(data, offsets)
+                words = texts.span_hashes(data, starts, ends)
+                at = np.minimum(np.searchsorted(head, words), max(0, len(head) - 1))
+                known = head[at] == words if len(head) else np.zeros(len(words), bool)
+                rare = np.flatnonzero(~known)
+                order = np.lexsort((words[rare], rows[rare]))
+                w, r = words[rare][order], rows[rare][order]
+                new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (r[1:] != r[:-1])][: len(w)])
+                times = np.diff(new, append=len(w))
+                borders = pa.array(np.searchsorted(r[new], np.arange(n + 1)), pa.int32())
+                lists = lambda x: pa.ListArray.from_arrays(borders, pa.array(x, pa.int64()))
+                logs = np.bincount(rows[known], weights=head_logs[at[known]], minlength=n)
                 yield texts.pack(
                     {
                         "row": np.arange(row, row + n),
-                        "doc_id": ids.slice(first, n),
-                        "n_tokens": n_words + 1,
-                        "n_known": known.astype(np.int64) + int(end_count > 0),
-                        "base": base + float(base_of(np.float64(end_count))),
-                        "score": _window_scores(model, piece),
-                        "n_subwords": np.diff(piece.borders),
-                        "rare": lists(words),
+                        "doc_id": batch.column(0).slice(first, n),
+                        "id_key": batch.column(1).slice(first, n),
+                        "text_key": batch.column(2).slice(first, n),
+                        "n_tokens": np.bincount(rows, minlength=n) + 1,
+                        "n_known": np.bincount(rows[known], minlength=n) + int(end_count > 0),
+                        "base": logs + float(base_of(np.float64(end_count))),
+                        "rare": lists(w[new].view(np.int64)),
                         "rare_n": lists(times),
                     },
-                    _ROWS,
+                    _BASE,
                 )
                 row += n
 
@@ -400,36 +488,45 @@ def language_model_scores(
     """
     spark = docs.sparkSession
     staging = Staging(spark)
-    source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
     held_out = "coalesce(crc32(CAST(doc_id AS STRING)) % 5 = 1, false)"
-    training = source.where(f"NOT {held_out}").select("text")
-    counted = staging.stage(texts.map_batches(training, _counts(path), _COUNT_DDL), "counted")
+    source = docs.selectExpr(
+        f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text"
+    ).selectExpr(
+        "doc_id", "coalesce(doc_id, 0L) AS id_key", "xxhash64(doc_id IS NULL, text) AS text_key",
+        "text", f"NOT {held_out} AS trains",
+    )
+    vocabulary = _vocabulary(path or default_path())
+    size = vocabulary.vocab_size()
+    first = staging.stage(
+        texts.map_batches(
+            source.select("id_key", "text_key", "text", "trains"), _first_pass(path), _FIRST_DDL
+        ),
+        "first",
+    )
+    counted = first.where("words IS NOT NULL")
     words = staging.stage(
         counted.select(F.explode(F.arrays_zip("words", "word_counts")).alias("w"))
         .groupBy(F.col("w.words").alias("word"))
         .agg(F.sum("w.word_counts").alias("c")),
         "words",
     )
-    of_ids = texts.map_batches(counted.where("length(ids) > 0").select("ids"), _sum_ids, "ids binary")
-    vocabulary = _vocabulary(path or default_path())
-    id_counts = np.zeros(vocabulary.vocab_size(), np.int64)
+    of_ids = texts.map_batches(
+        counted.where("length(id_counts) > 0").select("id_counts"), _sum_ids, "ids binary"
+    )
+    id_counts = np.zeros(size, np.int64)
     for row in of_ids.toLocalIterator():
         id_counts += np.frombuffer(row["ids"], np.int64)
     end_count = int(id_counts[_END])
     n_words, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, kinds = int(n_words) + end_count, int(kinds) + (end_count > 0)
 
-    continues = np.array(
-        [not vocabulary.id_to_piece(i).startswith("▁") for i in range(len(id_counts))]
-    )
+    continues = np.array([not vocabulary.id_to_piece(i).startswith("▁") for i in range(size)])
     model = Model(id_counts, continues)
-    windows = staging.stage(
-        counted.where("length(windows) > 0").select("windows"), "windows"
-    )
+    sampled = counted.where("length(windows) > 0").select("windows")
     for turn in range(1, ROUNDS + 1):
         means = (
             texts.map_batches(
-                windows, _trained(spark.sparkContext.broadcast(model), turn),
+                sampled, _trained(spark.sparkContext.broadcast(model), turn),
                 "block int, sums binary, seen bigint",
             )
             .groupBy("block")
@@ -439,6 +536,15 @@ def language_model_scores(
         if means:
             means = sorted(means, key=lambda r: r["block"])
             model.load(np.concatenate([np.frombuffer(r["mean"], np.float32) for r in means]))
+    scores = (
+        texts.map_batches(
+            first.where("text_ids IS NOT NULL").select("id_key", "text_key", "text_ids"),
+            _model_scores(spark.sparkContext.broadcast(model), size),
+            "id_key bigint, text_key bigint, score double, n_subwords bigint",
+        )
+        .groupBy("id_key", "text_key")
+        .agg(F.max("score").alias("score"), F.max("n_subwords").alias("n_subwords"))
+    )
 
     sizes = words.groupBy("c").count().orderBy(F.desc("c"))
     running, least = 0, None
@@ -451,11 +557,16 @@ def language_model_scores(
     keys = head["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     sent = spark.sparkContext.broadcast(
-        (model, keys[order], head["c"].to_numpy(np.int64)[order], total, kinds, end_count)
+        (keys[order], head["c"].to_numpy(np.int64)[order], total, kinds, end_count)
+    )
+    base = staging.stage(
+        texts.map_batches(
+            source.select("doc_id", "id_key", "text_key", "text"), _base_scores(sent), _BASE_DDL
+        ),
+        "base",
     )
-    scored = staging.stage(texts.map_batches(source, _scored(path, sent), _ROWS_DDL), "scored")
     rare = (
-        scored.where("size(rare) > 0")
+        base.where("size(rare) > 0")
         .select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w"))
         .selectExpr("row", "w.rare AS word", "w.rare_n AS times")
         .join(words, "word", "left")
@@ -469,13 +580,18 @@ def language_model_scores(
             ).alias("more_base"),
         )
     )
-    return scored.drop("rare", "rare_n").join(rare, "row", "left").selectExpr(
-        "doc_id",
-        f"{held_out} AS held_out",
-        "n_tokens",
-        "n_known + coalesce(more_known, 0L) AS n_known",
-        f"{total}L AS train_tokens",
-        "base + coalesce(more_base, 0D) AS base_score",
-        "score",
-        "n_subwords",
+    return (
+        base.drop("rare", "rare_n")
+        .join(rare, "row", "left")
+        .join(scores, ["id_key", "text_key"], "left")
+        .selectExpr(
+            "doc_id",
+            f"{held_out} AS held_out",
+            "n_tokens",
+            "n_known + coalesce(more_known, 0L) AS n_known",
+            f"{total}L AS train_tokens",
+            "base + coalesce(more_base, 0D) AS base_score",
+            "score",
+            "n_subwords",
+        )
     )

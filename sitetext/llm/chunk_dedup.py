@@ -26,10 +26,12 @@ GEAR_WINDOW = 32
 #: A border needs this many bytes without another since the last; longer chunks than MAX are cut.
 MIN_BYTES, MAX_BYTES = 12, 1024
 #: Fewest words of joined chunks that make a passage.
-MIN_WORDS = 16
+MIN_WORDS = 20
 
 #: Blocks of 8 KB of the filter of repeated digests. A fuller filter lets more chunks through.
 BLOCKS = 1024
+#: Rows of a digest from which a lookup splits them.
+_HOT_ROWS = 2_000
 
 _GEAR = np.random.default_rng(19937).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -188,7 +190,7 @@ def repeated_passages(
         texts.map_batches(source, _suspects(zero_bits, bits), _CHUNKS_DDL), "suspects"
     )
     held = (
-        lookup(suspects, repeated, ["high", "low"], "doc_id", suspects.count())
+        lookup(suspects, repeated, ["high", "low"], "doc_id", suspects.count(), _HOT_ROWS)
         .where("first_id IS NOT NULL")
         .drop("high", "low")
         .distinct()

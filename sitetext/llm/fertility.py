@@ -41,11 +41,11 @@ class Band:
 
 #: By language, and by script for other languages.
 BANDS: dict[str, Band] = {
-    "en": Band(1.7, 8.0, 0.1, 0.5),
-    "de": Band(1.7, 8.0, 0.1, 0.5),
-    "fr": Band(1.5, 8.0, 0.1, 0.5),
-    "es": Band(1.5, 8.0, 0.1, 0.5),
-    "latin": Band(1.2, 10.0, 0.2, 0.4),
+    "en": Band(1.2, 8.0, 0.1, 0.685),
+    "de": Band(1.2, 8.0, 0.1, 0.677),
+    "fr": Band(1.2, 8.0, 0.1, 0.665),
+    "es": Band(1.2, 8.0, 0.1, 0.668),
+    "latin": Band(1.0, 10.0, 0.2, 0.5),
     "alphabetic": Band(0.8, 10.0, 0.6, 0.35),
     "other": Band(),
 }

@@ -25,6 +25,8 @@ from sitetext.plans.staging import Staging
 MIN_KEY_CHARS = 10
 #: Size of the filter in blocks of 8 KB: 8 MB, sent to the driver once and to every executor once.
 BLOCKS = 1024
+#: Rows of a digest from which a lookup splits them.
+_HOT_ROWS = 2_000
 #: Keys a task gathers before it sends them on.
 _KEYS_AT_ONCE = 1 << 20
 
@@ -182,7 +184,7 @@ def _repeats(source: DataFrame, min_chars: int, blocks: int) -> DataFrame:
         .select("digest", "first_id")
     )
     return staging.stage(
-        lookup(suspects, repeated, ["digest"], "doc_id", suspects.count())
+        lookup(suspects, repeated, ["digest"], "doc_id", suspects.count(), _HOT_ROWS)
         .where("doc_id <> first_id")
         .groupBy("doc_id")
         .agg(F.collect_set("digest").alias("drops")),

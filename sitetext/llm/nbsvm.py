@@ -259,14 +259,11 @@ def quality_scores(
         _fit(ratios),
         "weights binary, bias double, slope double, offset double",
     ).first()
+    if fitted is None:
+        fitted = {"weights": bytes(4 * DIMENSIONS), "bias": 0.0, "slope": 1.0, "offset": 0.0}
+    weights = np.frombuffer(fitted["weights"], np.float32)
     model = spark.sparkContext.broadcast(
-        (
-            ratios.value,
-            np.frombuffer(fitted["weights"], np.float32),
-            fitted["bias"],
-            fitted["slope"],
-            fitted["offset"],
-        )
+        (ratios.value, weights, fitted["bias"], fitted["slope"], fitted["offset"])
     )
     scored = texts.map_batches(source, _scored(model), "doc_id bigint, score double")
     return scored.selectExpr(

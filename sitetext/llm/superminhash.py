@@ -6,9 +6,9 @@ smallest offer. The ranks of one shingle are correlated over the slots, which lo
 against independent hashes, and a document stops as soon as the next rank can't improve any slot.
 
 Documents with equal shingle sets are one node. Nodes that agree on a band of slots meet in a
-bucket. A bucket doesn't pair all its nodes: they are compared with a centre, linked ones become
-one component, and only what is left in other components of the bucket is compared further, until
-no pair of a bucket is both unlinked and unchecked.
+bucket. A bucket doesn't pair all its nodes: they are compared with a centre and linked ones become one
+component. Buckets that still hold several components are compared with other centres while that
+links much, and what is left is settled exactly by the rarest elements of the sets.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ BANDS, ROWS = 20, 5
 _AT_ONCE = 300_000
 #: Bytes kept of each shingle hash in a set that is compared.
 _SET_BYTES = 6
-#: Pairs of different components are listed when there are at most so many per node, or after so
-#: many rounds with centres.
-_PAIRS_PER_NODE, _CENTRE_ROUNDS = 4, 6
+#: Most rounds with new centres, and nodes per link below which another round isn't worth it.
+_CENTRE_ROUNDS, _FEW_LINKS = 6, 50
+#: Rows of a key from which a lookup splits them.
+_HOT_ROWS = 2_000
 _MULTIPLIERS = np.array(
     [0x9FB21C651E98DF25, 0xA24BAED4963EE407, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F,
      0x8CB92BA72F3D8DD7, 0xE7037ED1A0B428DB, 0xF1357AEA2E62A9C5, 0xABC98388FB8FAC03],
@@ -162,14 +163,15 @@ def _sets(width: int):
     return run
 
 
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _SET_BYTES, 8), np.uint8)
+    out[:, :_SET_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _SET_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
 def _similar(percent: int):
     """Pairs of nodes whose sets share at least `percent` in a hundred of their union."""
 
-    def unpack(raw: bytes) -> np.ndarray:
-        out = np.zeros((len(raw) // _SET_BYTES, 8), np.uint8)
-        out[:, :_SET_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _SET_BYTES)
-        return out.view("<u8").reshape(-1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_raw, last = None, None
         for batch in batches:
@@ -178,8 +180,8 @@ def _similar(percent: int):
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = x.as_py(), y.as_py()
                 if x != last_raw:
-                    last_raw, last = x, unpack(x)
-                other = unpack(y)
+                    last_raw, last = x, _unpack(x)
+                other = _unpack(y)
                 shared = len(np.intersect1d(last, other, assume_unique=True))
                 good.append(100 * shared >= percent * (len(last) + len(other) - shared))
             good = pa.array(good, pa.bool_())
@@ -199,6 +201,82 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets whose nodes are not all in one component: bucket, node, n, label.
+
+    Of two nodes one was the centre of the other, so buckets of two are settled.
+    """
+    marked = members.join(labels, "node", "left").selectExpr(
+        "bucket", "node", "n", "coalesce(label, node) AS label"
+    )
+    mixed = (
+        marked.groupBy("bucket")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+        .where("low <> high AND size > 2")
+        .select("bucket")
+    )
+    return marked.join(mixed, "bucket")
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per element of each set: node, label, n, element."""
+    for batch in batches:
+        items = [_unpack(x.as_py()).view(np.int64) for x in batch.column(3)]
+        sizes = np.array([len(x) for x in items], np.int64)
+        at = pa.array(np.repeat(np.arange(len(items)), sizes))
+        for first in range(0, len(at), 1 << 16):
+            part = at.slice(first, 1 << 16)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(i).take(part) for i in range(3)),
+                    pa.array(np.concatenate(items)[first : first + len(part)]),
+                ],
+                names=["node", "label", "n", "element"],
+            )
+
+
+def _alike_by_prefix(left: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> DataFrame:
+    """All pairs (a, b) of nodes of different labels that can be alike, by their rarest elements.
+
+    With the elements of every set in one order, rare ones first, two sets that share enough have
+    their first common element early in both: behind it there must be enough elements left for
+    the overlap. Texts that share a common passage and differ elsewhere don't meet this way, for
+    what they share comes late in the order.
+    """
+    elements = staging.stage(
+        texts.map_batches(
+            left.join(sets, "node").select("node", "label", "n", "items"),
+            _elements,
+            "node binary, label binary, n bigint, element bigint",
+        ),
+        "elements",
+    )
+    counts = elements.groupBy("element").agg(F.count("*").alias("held"))
+    in_order = Window.partitionBy("node").orderBy("held", "element")
+    early = staging.stage(
+        elements.join(counts, "element")
+        .withColumn("place", F.row_number().over(in_order) - 1)
+        .where(f"held > 1 AND 100 * (n - place) >= {percent} * n")
+        .select("element", "node", "label", "n", "place"),
+        "early",
+    )
+    other = early.selectExpr(
+        "element", "node AS b", "label AS b_label", "n AS b_n", "place AS b_place"
+    )
+    return (
+        early.join(
+            other,
+            (early["element"] == other["element"])
+            & F.expr(
+                f"label < b_label AND 100 * least(n, b_n) >= {percent} * greatest(n, b_n) AND "
+                f"{100 + percent} * least(n - place, b_n - b_place) >= {percent} * (n + b_n)"
+            ),
+        )
+        .selectExpr("node AS a", "b")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -255,42 +333,17 @@ def near_duplicates(
     pairs = members.where("node <> centre").selectExpr("centre AS a", "node AS b").distinct()
     links = staging.stage(_links(pairs, sets, percent), "links_0")
     labels = component_labels(links, staging, "components_0")
-    for turn in range(1, _CENTRE_ROUNDS + 1):
-        marked = members.join(labels, "node", "left").selectExpr(
-            "bucket", "node", "n", "coalesce(label, node) AS label"
-        )
-        open_buckets = (
-            marked.groupBy("bucket")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-            .where("low <> high AND size > 2")
-        )
-        still = staging.stage(
-            marked.join(open_buckets.select("bucket"), "bucket"), f"open_{turn}"
-        )
-        groups = still.groupBy("bucket", "label").agg(F.count("*").alias("k"))
-        per_bucket = groups.groupBy("bucket").agg(
-            F.expr("(sum(k) * sum(k) - sum(k * k)) / 2").alias("pairs")
-        )
-        todo = per_bucket.agg(F.sum("pairs")).first()[0]
-        if not todo:
+    for turn in range(1, _CENTRE_ROUNDS + 2):
+        still = staging.stage(_open_members(members, labels), f"open_{turn}")
+        if still.isEmpty():
             break
-        listed = todo <= _PAIRS_PER_NODE * n_members or turn == _CENTRE_ROUNDS
-        if listed:
-            other = still.selectExpr("bucket", "node AS b", "n AS b_n", "label AS b_label")
-            pairs = (
-                still.join(other, "bucket")
-                .where(
-                    f"label < b_label AND 100 * least(n, b_n) >= {percent} * greatest(n, b_n)"
-                )
-                .selectExpr("node AS a", "b")
-                .distinct()
-            )
-        else:
+        last = turn == _CENTRE_ROUNDS + 1
+        if not last:
             centres = still.groupBy("bucket").agg(
                 F.min(F.expr(f"struct(xxhash64(node, {turn}) AS h, node, label, n)")).alias("c")
             )
             pairs = (
-                lookup(still, centres, ["bucket"], "node", n_members)
+                lookup(still, centres, ["bucket"], "node", n_members, _HOT_ROWS)
                 .where(
                     "label <> c.label AND "
                     f"100 * least(n, c.n) >= {percent} * greatest(n, c.n)"
@@ -298,11 +351,19 @@ def near_duplicates(
                 .selectExpr("c.node AS a", "node AS b")
                 .distinct()
             )
-        found = staging.stage(_links(pairs, sets, percent), f"links_{turn}")
-        links = links.unionByName(found)
-        if not found.isEmpty():
-            labels = component_labels(links, staging, f"components_{turn}")
-        if listed:
+            found = staging.stage(_links(pairs, sets, percent), f"links_{turn}")
+            # Few links are left to find by centres: the rest is settled pair by pair.
+            n_found = found.count()
+            last = _FEW_LINKS * n_found <= still.select("node").distinct().count()
+            if n_found:
+                links = links.unionByName(found)
+                labels = component_labels(links, staging, f"components_{turn}")
+        if last:
+            left = _open_members(members, labels).select("node", "label", "n").distinct()
+            pairs = _alike_by_prefix(staging.stage(left, "left"), sets, percent, staging)
+            found = staging.stage(_links(pairs, sets, percent), "links_left")
+            if not found.isEmpty():
+                labels = component_labels(links.unionByName(found), staging, "components_left")
             break
     marked = nodes.select("node", "rep").join(labels, "node", "left").selectExpr(
         "node", "rep", "coalesce(label, node) AS label"
@@ -310,7 +371,8 @@ def near_duplicates(
     firsts = marked.groupBy("label").agg(F.min("rep").alias("component_id"))
     reached = staging.stage(marked.join(firsts, "label").select("node", "component_id"), "reached")
     return lookup(
-        signed.select("doc_id", "n_shingles", "node"), reached, ["node"], "doc_id", signed.count()
+        signed.select("doc_id", "n_shingles", "node"), reached, ["node"], "doc_id", signed.count(),
+        _HOT_ROWS,
     ).selectExpr(
         "doc_id",
         "n_shingles",

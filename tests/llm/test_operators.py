@@ -238,7 +238,7 @@ def test_model_scores_every_id_once_and_sums_to_one():
     piece = a.Piece(data, offsets, None)
     counts = np.bincount(piece.ids, minlength=32000)
     model = a.Model(counts, np.arange(32000) % 3 == 0)
-    inputs, targets, rows_ = piece.windows()
+    inputs, targets, rows_ = a.windows(piece.ids, piece.borders)
     first = np.r_[True, rows_[1:] != rows_[:-1]]
     scored = targets >= 0
     scored[~first, : a.OVERLAP] = False
@@ -261,6 +261,7 @@ def test_gradients_match_differences():
     grads = model.gradients(inputs, targets)
 
     def loss() -> float:
+        model._fast = None
         found = model.log_probabilities(inputs, targets, targets >= 0)
         return float(-(found - model.within[targets[targets >= 0]]).mean())
 
@@ -428,11 +429,13 @@ def chains() -> list[tuple[int, str]]:
     return out
 
 
-@pytest.mark.parametrize("pairs_per_node", [4, 0])
-def test_chains_and_full_buckets(spark, monkeypatch, pairs_per_node):
+@pytest.mark.parametrize(("rounds", "few"), [(6, 50), (0, 50), (2, 10**9)])
+def test_chains_and_full_buckets(spark, monkeypatch, rounds, few):
+    """Rounds with centres until few links are found, no round, and rounds without such a stop."""
     from sitetext.llm import superminhash as s
 
-    monkeypatch.setattr(s, "_PAIRS_PER_NODE", pairs_per_node)
+    monkeypatch.setattr(s, "_CENTRE_ROUNDS", rounds)
+    monkeypatch.setattr(s, "_FEW_LINKS", few)
     docs = spark.createDataFrame(chains(), "doc_id bigint, text string")
     got = {r["doc_id"]: r["component_id"] for r in s.near_duplicates(docs, width=3, percent=85).collect()}
     assert got == components({i: shingles(t, 3) for i, t in chains()}, 85)
@@ -533,7 +536,7 @@ def test_repeated_passages(docs, empty):
     by_doc = defaultdict(list)
     for r in found:
         piece = whole[r["doc_id"]][r["start"] : r["end"]]
-        assert r["n_words"] >= 16 and r["first_id"] <= r["doc_id"]
+        assert r["n_words"] >= 20 and r["first_id"] <= r["doc_id"]
         by_doc[r["doc_id"]].append(piece)
         others = " ".join(t or "" for i, t in enumerate(whole) if i != r["doc_id"])
         assert piece in others or len(by_doc[r["doc_id"]]) > 1 or r["n_chunks"] > 1

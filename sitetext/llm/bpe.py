@@ -38,12 +38,13 @@ SCHEMA = pa.schema(
 WORD_END = "</w>"
 #: A symbol that ends a word is written this far above the plain one.
 _END_SHIFT = 0x1000
-_CACHED_WORDS = 200_000
-_CACHED_PAIRS = 1_000_000
+_CACHED_WORDS = 100_000
+_CACHED_PAIRS = 500_000
 _KEPT_WORDS = 200_000
 _NEVER = 1 << 60
 #: Words up to this character need no composing, and lower case by character is lower case.
 _LAST_SIMPLE = "\u024f"
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
 _SIMPLE_WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\x20\x09-\x0D\x85\xA0\p{L}\p{N}]+"
 )
@@ -86,8 +87,7 @@ class PrefixEncoder:
             pair = vocabulary[left], vocabulary[right]
             self._merge[pair] = rank
             parts[by_symbols[symbols[pair[0]] + symbols[pair[1]]]] = (*pair, rank)
-        self._left = {i: self._spine(parts, i, 0) for i in symbols}
-        self._right = {i: self._spine(parts, i, 1) for i in symbols}
+        self._parts = parts
         automaton = ahocorasick.Automaton()
         for i, s in symbols.items():
             if len(s) == 1 or i in parts:
@@ -95,6 +95,7 @@ class PrefixEncoder:
         automaton.make_automaton()
         self._matches = automaton.iter
         self._fits: dict[int, bool] = {}
+        self._recent: dict[str, list[int]] = {}
         self._byte_chars = _byte_characters()
 
     @staticmethod
@@ -104,13 +105,12 @@ class PrefixEncoder:
         body = token[: -len(WORD_END)]
         return body[:-1] + chr(ord(body[-1]) + _END_SHIFT)
 
-    @staticmethod
-    def _spine(parts: dict, token: int, side: int) -> list[tuple[int, int]]:
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The pieces at one edge of a token, each with the rank of the merge that ends it."""
         out, until = [(token, _NEVER)], _NEVER
-        while token in parts:
-            until = parts[token][2]
-            token = parts[token][side]
+        while token in self._parts:
+            until = self._parts[token][2]
+            token = self._parts[token][side]
             out.append((token, until))
         return out
 
@@ -119,8 +119,8 @@ class PrefixEncoder:
         merge = self._merge
         return all(
             (rank := merge.get((x, y))) is None or rank >= x_until or rank > y_until
-            for x, x_until in self._right[a]
-            for y, y_until in self._left[b]
+            for x, x_until in self._edge(a, 1)
+            for y, y_until in self._edge(b, 0)
         )
 
     def _encode(self, word: str) -> list[int]:
@@ -154,9 +154,16 @@ class PrefixEncoder:
             fits.clear()
         return out
 
-    @lru_cache(maxsize=_CACHED_WORDS)
     def word(self, word: str) -> list[int]:
-        return self._encode(word)
+        """Ids of one word, from those met lately if it is among them."""
+        got = self._recent.get(word)
+        if got is None:
+            got = self._encode(word)
+            if len(word) < 64:
+                if len(self._recent) >= _CACHED_WORDS:
+                    self._recent.clear()
+                self._recent[word] = got
+        return got
 
     def encode(self, text: str) -> list[int]:
         """Ids of any text."""
@@ -171,10 +178,18 @@ class PrefixEncoder:
         return out + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[int]:
-        if text and max(text) <= _LAST_SIMPLE:
-            words = _SIMPLE_WORDS.findall(text.lower())
-            if not text.isascii() or not text.isprintable():
+        if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return self._encode(text)
+            words = _ASCII_WORDS.findall(text)
+            if not text.isprintable():
                 words = [w.encode().decode("latin-1").translate(self._byte_chars) for w in words]
+        elif max(text) <= _LAST_SIMPLE:
+            words = [
+                w.encode().decode("latin-1").translate(self._byte_chars)
+                for w in _SIMPLE_WORDS.findall(text.lower())
+            ]
         else:
             words = [w for w, _ in self._cut(self._normalize(text))]
         if len(words) == 1:

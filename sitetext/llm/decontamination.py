@@ -23,13 +23,22 @@ NEAR = 8
 #: Up to so many rows of benchmark words are broadcast; more are joined by shuffling.
 MAX_BROADCAST_WORDS = 500_000
 
-_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between words, in texts with capitals.
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _lowered(word: str) -> str:
+    """A-Z in lower case. Slow for whole texts: it is applied to words that a join has found."""
+    return f"translate({word}, '{_UPPER}', '{_LOWER}')"
+
+
 def _with_words(df: DataFrame, text: str, keep: list[str], end: bool = False) -> DataFrame:
-    """The lower-case words of a text as an array; `end` adds an empty one after the last."""
-    split = F.split(F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER), _BETWEEN)
+    """The words of a text, as they are written, as an array; `end` adds an empty one at the end.
+
+    Explode it as outer: else a filter on its size is put below, which splits the text again.
+    """
+    split = F.split(F.coalesce(F.col(text), F.lit("")), _BETWEEN)
     parts = df.select(*keep, split.alias("parts"))
     first = "if(parts[0] = '', 2, 1)"
     last = "if(size(parts) > 1 AND parts[size(parts) - 1] = '', size(parts) - 1, size(parts))"
@@ -53,10 +62,24 @@ def _document_words(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
-    """How often each of the given words occurs in the documents."""
-    places = _with_words(docs, "text", []).select(F.explode("words").alias("word"))
-    found = places.join(_small(words, n_words), "word").groupBy("word").agg(F.count("*").alias("n"))
-    return words.join(found, "word", "left").selectExpr("word", "coalesce(n, 0L) AS n")
+    """How often each of the given words occurs in the documents, in whatever case.
+
+    The count only ranks words, so those that differ in the case of letters beyond ASCII share it;
+    `lower` is fast on whole tables.
+    """
+    places = _with_words(docs, "text", []).select(F.explode_outer("words").alias("word"))
+    keys = words.selectExpr("lower(word) AS key").distinct()
+    found = (
+        places.selectExpr("lower(word) AS key")
+        .join(_small(keys, n_words), "key")
+        .groupBy("key")
+        .agg(F.count("*").alias("n"))
+    )
+    return (
+        words.withColumn("key", F.expr("lower(word)"))
+        .join(found, "key", "left")
+        .selectExpr("word", "coalesce(n, 0L) AS n")
+    )
 
 
 def window_pairs(items: DataFrame, counts: DataFrame, window: int, n_words: int) -> DataFrame:
@@ -96,17 +119,23 @@ def build_index(docs: DataFrame, chosen: DataFrame, n_chosen: int, window: int)
     """
     reach = window - 1
     places = _document_words(docs).select(
-        "id_key", "text_key", "no_id", "words", F.posexplode("words").alias("place", "word")
+        "id_key", "text_key", "no_id", "words", F.posexplode_outer("words").alias("place", "written")
     )
     before = f"least(place, {reach})"
-    return places.join(_small(chosen, n_chosen), "word").selectExpr(
-        "word",
-        "id_key",
-        "text_key",
-        "no_id",
-        "place",
-        f"CASE WHEN full THEN {before} END AS before",
-        f"CASE WHEN full THEN slice(words, place - {before} + 1, {before} + {window}) END AS around",
+    around = f"slice(words, place - {before} + 1, {before} + {window})"
+    return (
+        places.withColumn("key", F.expr("lower(written)"))
+        .join(_small(chosen.withColumn("key", F.expr("lower(word)")), n_chosen), "key")
+        .where(f"{_lowered('written')} = word")
+        .selectExpr(
+            "word",
+            "id_key",
+            "text_key",
+            "no_id",
+            "place",
+            f"CASE WHEN full THEN {before} END AS before",
+            f"CASE WHEN full THEN transform({around}, w -> {_lowered('w')}) END AS around",
+        )
     )
 
 
@@ -221,7 +250,9 @@ def contamination(
             given.where("item IS NOT NULL").selectExpr("struct(item, xxhash64(text) AS h) AS item_id", "text").distinct(),
             "text",
             ["item_id"],
-        ).where("size(words) > 0"),
+        )
+        .where("size(words) > 0")
+        .selectExpr("item_id", f"transform(words, w -> {_lowered('w')}) AS words"),
         "items",
     )
     words = staging.stage(items.select(F.explode("words").alias("word")).distinct(), "words")

@@ -17,7 +17,8 @@ from sitetext.sources.tables import read_captures
 HIGH = ("the", "en")
 LOW = ("de", "html")
 CHALLENGE = ("gegen", "leur")
-PER_COMPANY = 8
+# Numbers of pages that are one company where all pages of a host are gathered.
+CHUNK = 40
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,7 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return read_captures(spark, f"{folder}/pages.parquet")
+    """The pages as the file is split; `catalog.partitions` deals them out, as the bench does,
+    whose file is one row group."""
+    partitions = spark.conf.get("catalog.partitions", None)
+    return read_captures(
+        spark, f"{folder}/pages.parquet", partitions=int(partitions) if partitions else None
+    )
 
 
 def status_of(number: Sql) -> Sql:
@@ -73,7 +79,9 @@ def judged_pages(source: DataFrame) -> DataFrame:
     text = "if(escalated_to_js, if(page_id % 4 = 0, own_text, ''), own_text)"
     return (
         source.selectExpr(
-            "page_id", "url", f"{status_of('page_id')} AS status", f"{extract_text('html')} AS own_text"
+            "page_id", "url", f"{status_of('page_id')} AS status", f"{extract_text('html')} AS own_text",
+            f"xxhash64({status_of('page_id')}, html) AS content",
+            "if(page_id % 4 = 0, xxhash64(html), NULL) AS render_content",
         )
         .withColumn("reason", F.expr(render_reason("status", "own_text")))
         .withColumn("escalated_to_js", F.expr("reason IS NOT NULL"))
@@ -82,17 +90,23 @@ def judged_pages(source: DataFrame) -> DataFrame:
 
 
 def host_pages(source: DataFrame) -> DataFrame:
-    """Judged pages as pages of one company per host, the smallest page_id its homepage."""
+    """Judged pages as pages of one company per host, the smallest page_id its homepage.
+
+    Homepages are found on narrow rows and joined by page_id, so no host gathers its text.
+    """
     host = f"{url_host('url')} AS company_key"
     homes = source.selectExpr(host, "page_id").groupBy("company_key").agg(
         F.min("page_id").alias("home_id")
     )
-    return judged_pages(source).selectExpr("*", host).join(homes, "company_key").selectExpr(
+    marked = judged_pages(source).selectExpr("*", host).join(
+        homes.select("home_id"), F.col("page_id") == F.col("home_id"), "left"
+    )
+    return marked.selectExpr(
         "company_key",
-        "if(page_id = home_id, 0, page_id + 1) AS ord",
+        "if(home_id IS NOT NULL, 0, page_id + 1) AS ord",
         "page_id",
         "url AS page_url",
-        f"if(page_id = home_id, 'home', {url_slug('url')}) AS page_name",
+        f"if(home_id IS NOT NULL, 'home', {url_slug('url')}) AS page_name",
         "status",
         "CAST(page_id % 3 AS int) AS retries_used",
         "text",
@@ -101,9 +115,16 @@ def host_pages(source: DataFrame) -> DataFrame:
         "escalated_to_js",
         f"{at_second('page_id')} AS first_fetched",
         f"{at_second('page_id + 5')} AS last_fetched",
+        "if(escalated_to_js, render_content, content) AS content",
     )
 
 
+def host_chunks(source: DataFrame) -> DataFrame:
+    """All host pages, as companies of at most CHUNK pages: a host's pages by page_id."""
+    key = f"concat(company_key, '/', page_id DIV {CHUNK})"
+    return host_pages(source).withColumn("company_key", F.expr(key))
+
+
 def host_companies(source: DataFrame) -> DataFrame:
     """One company per host: company_key, id, url, home."""
     hosts = source.selectExpr(f"{url_host('url')} AS company_key").distinct()
@@ -189,7 +210,10 @@ def site_documents(located: DataFrame) -> DataFrame:
 
 
 def site_subpages(located: DataFrame) -> DataFrame:
-    """page_id, pos, page_url, html: the n-th link answers with the page's n-th paragraph."""
+    """page_id, pos, page_url, html: the n-th link answers with the page's n-th paragraph.
+
+    A subpage holds that one paragraph only; whole pages are read as homepages.
+    """
     paragraphs = "regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1)"
     return (
         located.selectExpr("page_id", "links", f"{paragraphs} AS paragraphs")

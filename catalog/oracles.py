@@ -136,11 +136,8 @@ tallied AS (
     arg_min(message, ord) FILTER (WHERE message IS NOT NULL) AS error
   FROM errors GROUP BY company_key
 )"""
-_FIRST_EIGHT = f"""{_HOST_PAGES},
-picked AS (
-  SELECT * FROM host_pages
-  QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY ord) <= 8
-)"""
+_HOST_CHUNKS = f"""{_HOST_PAGES},
+picked AS (SELECT * REPLACE (company_key || '/' || page_id // 40 AS company_key) FROM host_pages)"""
 _ATTEMPTS = f"""firsts AS (
   SELECT page_id, url, html, {_status('page_id')} AS first,
     CASE WHEN {_blocked(_status('page_id'))} THEN page_id % 5 ELSE 0 END AS repeats
@@ -197,7 +194,6 @@ links AS (
 _PLACE = """CASE page_id % 4
     WHEN 1 THEN -pos
     WHEN 2 THEN (pos % 2) * 1000000 + pos
-    WHEN 3 THEN CASE WHEN pos < 6 THEN pos END
     ELSE pos END"""
 
 # The run over these sites, up to one row per page: see the steps below.
@@ -287,6 +283,8 @@ SELECT {_root('url')} AS root, {_root('url')} || '/sitemap.xml' AS sitemap,
   {_root('url')} || '/robots.txt' AS robots, count(*) AS n_pages
 FROM pages GROUP BY 1, 2, 3""",
     "anchor_links": f"WITH {_ANCHORS} SELECT page_id, pos, link FROM anchors",
+    "anchor_links_quoted": f"WITH {_ANCHORS} SELECT page_id, pos, link FROM anchors",
+    "quoted_text": f"SELECT page_id, {_text('html')} AS text FROM pages",
     "resolved_links": f"""
 WITH {_HREFS}, based AS (
   SELECT page_id, pos, href, substr(href, 2) AS word, {_root('url')} AS root, {_normal('url')} AS base FROM hrefs
@@ -313,7 +311,8 @@ WITH {_HREFS}, made AS (
 SELECT page_id, link, min(pos) AS pos FROM made GROUP BY page_id, link""",
     "scored_links": f"""
 WITH {_ANCHORS}
-SELECT page_id, pos, link, {_score(_path('link'))} AS score, {_depth(_path('link'))} AS depth, false AS is_file
+SELECT page_id, pos, CASE WHEN pos % 5 = 3 THEN link || '.PDF' ELSE link END AS link,
+  {_score(_path('link'))} AS score, {_depth(_path('link'))} AS depth, pos % 5 = 3 AS is_file
 FROM anchors""",
     "candidate_links": f"""
 WITH {_CANDIDATES}
@@ -350,6 +349,9 @@ SELECT page_id, address, is_index, pos::INTEGER AS pos, link FROM listed""",
 WITH {_SITES}
 SELECT page_id, (pos // 2)::INTEGER AS child_pos, (pos % 2)::INTEGER AS pos, link
 FROM links WHERE page_id % 4 = 3 AND pos < 6""",
+    "sitemap_variants": """
+SELECT page_id, n::INTEGER AS pos, 'https://' || page_id || '.example/' || n || '?a=1&b=2' AS link
+FROM (SELECT page_id, unnest(range(page_id % 7 + 1)) AS n FROM pages)""",
     "robots_sitemaps": f"""
 WITH {_SITES}
 SELECT page_id, (pos % 2)::INTEGER AS line, (pos // 2)::INTEGER AS pos, link FROM links WHERE page_id % 4 = 2""",
@@ -364,8 +366,8 @@ SELECT page_id, false AS no_links,
 FROM found WHERE place IS NOT NULL""".replace("CASE page_id % 4", "CASE l.page_id % 4"),
     "discovery_cap": f"""
 WITH {_ANCHORS}
-SELECT {_host('url')} AS host, page_id, pos, link FROM anchors
-QUALIFY row_number() OVER (PARTITION BY {_host('url')} ORDER BY page_id, pos) <= 200""",
+SELECT 'site' || page_id % 4 || '.example' AS host, page_id, pos, link FROM anchors
+QUALIFY row_number() OVER (PARTITION BY page_id % 4 ORDER BY page_id, pos) <= 200""",
     "fold_attempts": f"WITH {_ATTEMPTS}, "
     + ", ".join(f"by_{mode} AS ({_folded(budget)})" for mode, budget in _MODES)
     + " UNION ALL ".join(
@@ -413,13 +415,13 @@ WITH {_HOST_PAGES}
 SELECT company_key AS id, 'https://' || company_key AS url, status, num_pages_tried AS subpages_tried,
   num_pages_ok AS subpages_ok, escalated_to_js, retries_used, total_time_s, error FROM tallied""",
     "combined_text": f"""
-WITH {_FIRST_EIGHT}
+WITH {_HOST_CHUNKS}
 SELECT company_key, (count(*) FILTER (WHERE text <> ''))::INTEGER AS num_pages_ok,
   coalesce(string_agg('[Page name: ' || page_name || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY ord)
     FILTER (WHERE text <> ''), '') AS combined_text
 FROM picked GROUP BY company_key""",
     "pages_array": f"""
-WITH {_FIRST_EIGHT}
+WITH {_HOST_CHUNKS}
 SELECT company_key, (row_number() OVER (PARTITION BY company_key ORDER BY ord) - 1)::INTEGER AS pos,
   page_url AS url, page_name, status, text_len, escalated_to_js FROM picked""",
     "document_rollup": f"""
@@ -472,6 +474,14 @@ FROM run_errors GROUP BY page_id""",
     "company_render_queue": f"""
 WITH {_RUN}
 SELECT url AS page_url, reason FROM run_pages WHERE reason IS NOT NULL AND NOT rendered""",
+    "link_less_homepages": f"""
+SELECT 'https://h' || page_id || '.example' AS page_url,
+  CASE WHEN length({_text('html')}) < 200 THEN 'thin_text' ELSE 'no_links' END AS reason
+FROM pages WHERE length({_text('html')}) < 200 OR page_id % 2 = 0 OR NOT contains(html, '<a href')""",
+    "hot_site_pages": f"""
+SELECT k.page_id, k.key, length({_text('p.html')})::INTEGER AS text_len
+FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1 ELSE page_id END AS key FROM pages) k
+LEFT JOIN pages p ON p.page_id = k.key""",
     "company_raw_pages": f"""
 WITH {_RUN}
 SELECT r.page_id::VARCHAR AS id, h.url, r.url AS page_url,

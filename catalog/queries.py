@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import derived as d
 from sitetext import Options, run_companies
-from sitetext.config import LOG_SCHEMA, MAX_CHILD_SITEMAPS, MAX_RAW_LINKS
+from sitetext.config import LOG_SCHEMA, SITEMAP_NAMESPACE
 from sitetext.functions.html import anchor_links, extract_text
 from sitetext.functions.judgement import is_blocked
 from sitetext.functions.links import ranked_links, site_links, without_homepage
@@ -32,6 +32,7 @@ from sitetext.functions.urls import (
 )
 from sitetext.operators.attempts import fold_attempts, next_attempts
 from sitetext.operators.discovery import discover, site_documents
+from sitetext.operators.joins import lookup
 from sitetext.operators.pages import page_digests
 from sitetext.operators.pages import render_queue as queue_of
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
@@ -47,6 +48,9 @@ from sitetext.sources.tables import (
     union_shards,
 )
 
+# Limits that two queries are about; no other query cuts links.
+MAX_RAW_LINKS, MAX_CHILD_SITEMAPS = 200, 3
+
 OPTIONS = Options(
     max_subpages=4,
     high_value_keywords=d.HIGH,
@@ -112,6 +116,23 @@ def anchor_links_query(spark: SparkSession, folder: str) -> DataFrame:
     return _anchors(d.pages(spark, folder)).drop("url")
 
 
+def anchor_links_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors behind attributes whose quoted values hold marks and another href."""
+    before = '<a title="a > b, see href=/no" onclick="if(a<b){go(1)}" data-href=\'/no\' x=1'
+    quoted_pages = d.pages(spark, folder).withColumn(
+        "html", F.replace(F.col("html"), F.lit("<a "), F.lit(before + " "))
+    )
+    return _anchors(quoted_pages).drop("url")
+
+
+def quoted_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Prose of the same pages with marks in quoted values of anchors: none of it leaks."""
+    before = '<a title="a > b" onclick="if(a<b){go(1)}" '
+    return d.pages(spark, folder).withColumn(
+        "html", F.replace(F.col("html"), F.lit("<a "), F.lit(before))
+    ).selectExpr("page_id", f"{extract_text('html')} AS text")
+
+
 def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
     """Anchors rewritten as seven kinds of relative reference, resolved against their page."""
     ref = (
@@ -153,8 +174,12 @@ def filtered_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Score, depth and kind of all links; every fifth is made a file."""
     path = url_path("link")
-    return _anchors(d.pages(spark, folder)).selectExpr(
+    links = _anchors(d.pages(spark, folder)).withColumn(
+        "link", F.expr("if(pos % 5 = 3, concat(link, '.PDF'), link)")
+    )
+    return links.selectExpr(
         "page_id",
         "pos",
         "link",
@@ -165,10 +190,10 @@ def scored_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _candidates(source: DataFrame) -> DataFrame:
-    links = f"slice({anchor_links('html', 'home')}, 1, {MAX_RAW_LINKS})"
+    links = site_links(anchor_links("html", "home"), bare_host("home"))
     return (
         source.selectExpr("page_id", "html", f"{normalize_url('url')} AS home")
-        .selectExpr("page_id", "home", f"{site_links(links, bare_host('home'))} AS links")
+        .selectExpr("page_id", "home", f"{links} AS links")
         .selectExpr("page_id", f"{without_homepage('links', 'home')} AS candidates")
     )
 
@@ -230,6 +255,36 @@ def sitemap_index_first3(spark: SparkSession, folder: str) -> DataFrame:
     return children.join(locs, "address").select("page_id", "child_pos", "pos", "link")
 
 
+def sitemap_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses read back from sitemaps in three ways of writing them.
+
+    By page_id % 3: entries of both kinds in one document, with loc at different depths; a prefix
+    for the namespace, another prefix with blanks round its equals sign, and comments; and
+    sections of character data that hold markup.
+    """
+    ns = SITEMAP_NAMESPACE
+    url = "concat('https://', page_id, '.example', '/', n, '?a=1&b=2')"
+    escaped = f"replace({url}, '&', '&amp;')"
+    mixed = (
+        f"if(n % 2 = 0, concat('<url><loc>', {escaped}, '</loc></url>'), "
+        f"concat('<group><sitemap><loc> ', {escaped}, '\n</loc></sitemap></group>'))"
+    )
+    prefixed = f"concat('<s:url><s:loc>', {escaped}, '</s:loc><i:loc>no</i:loc><!-- <s:loc>no</s:loc> --></s:url>')"
+    section = f"concat('<url><loc><![CDATA[', {url}, ']]></loc><note><![CDATA[<x:loc>no</x:loc><loc>no</loc>]]></note></url>')"
+    body = (
+        f"CASE page_id % 3 WHEN 0 THEN concat('<urlset xmlns=\"{ns}\">', entries, '</urlset>') "
+        f"WHEN 1 THEN concat('<s:feed xmlns:s = \"{ns}\" xmlns:i = \"urn:i\">', entries, '</s:feed>') "
+        f"ELSE concat('<urlset xmlns=\"{ns}\">', entries, '</urlset>') END"
+    )
+    entry = f"CASE page_id % 3 WHEN 0 THEN {mixed} WHEN 1 THEN {prefixed} ELSE {section} END"
+    bodies = (
+        d.pages(spark, folder)
+        .selectExpr("page_id", f"array_join(transform(sequence(0, CAST(page_id % 7 AS int)), n -> {entry}), '') AS entries")
+        .selectExpr("page_id", f"{body} AS body")
+    )
+    return bodies.selectExpr("page_id", f"posexplode({sitemap_locs('body')}) AS (pos, link)")
+
+
 def robots_sitemaps_query(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses in the sitemaps that robots files name, in order."""
     documents = _documents(spark, folder)
@@ -246,16 +301,16 @@ def discovery_precedence(spark: SparkSession, folder: str) -> DataFrame:
     digests = staging.stage(page_digests(d.site_attempts(located), None, OPTIONS), "digests")
     documents = staging.stage(site_documents(digests), "documents")
     companies = located.selectExpr("page_id AS company_key", "home")
-    found = discover(companies, digests, documents, OPTIONS, companies.count())
+    found = discover(companies, digests, documents, OPTIONS, companies.count(), staging)
     return found.selectExpr(
         "company_key AS page_id", "no_links", "posexplode(candidates.url) AS (pos, link)"
     )
 
 
 def discovery_cap(spark: SparkSession, folder: str) -> DataFrame:
-    """The first two hundred raw links of each host, before any filter."""
+    """The first raw links of each of four sites made of all pages, before any filter."""
     rows = _anchors(d.pages(spark, folder)).selectExpr(
-        f"{url_host('url')} AS host", "page_id", "pos", "link"
+        "concat('site', page_id % 4, '.example') AS host", "page_id", "pos", "link"
     )
     return cap_links(rows, "host", ["page_id", "pos"], MAX_RAW_LINKS)
 
@@ -372,22 +427,16 @@ def company_log(spark: SparkSession, folder: str) -> DataFrame:
     return with_schema(rows, LOG_SCHEMA).drop("ts")
 
 
-def _selected_host_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The homepage of each host and its next pages, up to the page budget."""
-    pages = d.host_pages(d.pages(spark, folder))
-    return cap_links(pages, "company_key", ["ord"], d.PER_COMPANY)
-
-
 def combined_text_query(spark: SparkSession, folder: str) -> DataFrame:
-    """The text of each host in the combined format."""
-    return roll_up(_selected_host_pages(spark, folder)).select(
+    """The text of all pages of each host in the combined format, in bounded companies."""
+    return roll_up(d.host_chunks(d.pages(spark, folder))).select(
         "company_key", "num_pages_ok", "combined_text"
     )
 
 
 def pages_array(spark: SparkSession, folder: str) -> DataFrame:
-    """The page lists of the results, one row per entry."""
-    rolled = roll_up(_selected_host_pages(spark, folder))
+    """The page lists of the results over all pages, one row per entry."""
+    rolled = roll_up(d.host_chunks(d.pages(spark, folder)))
     return rolled.selectExpr("company_key", "posexplode(pages) AS (pos, page)").select(
         "company_key", "pos", "page.*"
     )
@@ -471,6 +520,28 @@ def company_render_queue(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder).render_queue
 
 
+def link_less_homepages(spark: SparkSession, folder: str) -> DataFrame:
+    """Render queue of a run over all pages as homepages, every other one without anchors."""
+    source = d.pages(spark, folder)
+    bare = "if(page_id % 2 = 0, regexp_replace(html, '<a [^>]*>', '<b>'), html)"
+    attempts = source.selectExpr(
+        "concat('https://h', page_id, '.example') AS page_url", "0 AS attempt", "200 AS status",
+        f"{bare} AS html", f"{d.at_second('page_id')} AS fetched_at",
+    )
+    companies = source.selectExpr("page_id AS id", "concat('h', page_id, '.example') AS url")
+    return run_companies(
+        companies, "id", "url", attempts, options=Options(max_subpages=1)
+    ).render_queue
+
+
+def hot_site_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies with a third of them on one page, looked up over several tasks."""
+    source = d.pages(spark, folder)
+    ids = source.selectExpr("page_id", "if(page_id % 3 = 0, 1, page_id) AS key")
+    texts = source.selectExpr("page_id AS key", f"length({extract_text('html')}) AS text_len")
+    return lookup(ids, texts, ["key"], "page_id", source.count(), hot_rows=10)
+
+
 def company_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Raw pages of the same run."""
     return _run(spark, folder).raw.selectExpr(
@@ -485,6 +556,8 @@ QUERIES = {
     "url_parts": url_parts,
     "site_addresses": site_addresses,
     "anchor_links": anchor_links_query,
+    "anchor_links_quoted": anchor_links_quoted,
+    "quoted_text": quoted_text,
     "resolved_links": resolved_links,
     "filtered_links": filtered_links,
     "scored_links": scored_links,
@@ -493,6 +566,7 @@ QUERIES = {
     "host_top_pages": host_top_pages,
     "sitemap_roundtrip": sitemap_roundtrip,
     "sitemap_index_first3": sitemap_index_first3,
+    "sitemap_variants": sitemap_variants,
     "robots_sitemaps": robots_sitemaps_query,
     "discovery_precedence": discovery_precedence,
     "discovery_cap": discovery_cap,
@@ -517,4 +591,6 @@ QUERIES = {
     "company_results": company_results,
     "company_render_queue": company_render_queue,
     "company_raw_pages": company_raw_pages,
+    "link_less_homepages": link_less_homepages,
+    "hot_site_pages": hot_site_pages,
 }

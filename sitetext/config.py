@@ -25,8 +25,12 @@ CHALLENGE_PHRASES = (
 SITEMAP_NAMESPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
 
 MIN_TEXT_LENGTH = 200
-MAX_RAW_LINKS = 200
-MAX_CHILD_SITEMAPS = 3
+
+# Messages and the heading of a page in the combined text.
+MISSING_URL = "missing url"
+EMPTY_HOMEPAGE = "Homepage blocked or empty: HTTP "
+EMPTY_PAGE = "No content from "
+BLOCK_TITLE = "[Page name: "
 
 HIGH_VALUE_KEYWORDS = (
     "about", "about-us", "company", "who-we-are", "what-we-do",
@@ -70,9 +74,16 @@ RENDERS_SCHEMA = "page_url string, html string"
 
 @dataclass(frozen=True)
 class Options:
-    """Options of one run. Everything here becomes a literal in the plan."""
+    """Options of one run. Everything here becomes a literal in the plan.
+
+    `max_raw_links` keeps the first so many links that a site's source gives, before any filter,
+    and `max_child_sitemaps` reads the first so many children of a sitemap index; None, the
+    default, takes all.
+    """
 
     max_subpages: int = 8
+    max_raw_links: int | None = None
+    max_child_sitemaps: int | None = None
     high_value_keywords: tuple[str, ...] = HIGH_VALUE_KEYWORDS
     low_value_keywords: tuple[str, ...] = LOW_VALUE_KEYWORDS
     retry_mode: str = "full"
@@ -85,9 +96,11 @@ class Options:
 
     def __post_init__(self) -> None:
         if self.persist_raw_html and not self.output_path:
-            raise ValueError("persist_raw_html=True requires output_path to be set")
+            raise ValueError("raw pages have no target: persist_raw_html needs output_path")
         if self.max_subpages < 1:
             raise ValueError("max_subpages counts the homepage and must be at least 1")
+        if any(n is not None and n < 0 for n in (self.max_raw_links, self.max_child_sitemaps)):
+            raise ValueError("max_raw_links and max_child_sitemaps must not be negative")
         for name in ("high_value_keywords", "low_value_keywords", "challenge_phrases"):
             words = getattr(self, name)
             if isinstance(words, str):

@@ -1,16 +1,22 @@
 """Expressions over page markup, as SQL text: visible text, prose extraction, anchors.
 
 Every pattern runs in time linear in the page: an element that is never closed reaches to the
-end of the page, and a tag never runs past the next `<`. None repeats a group, so a long page
-cannot exhaust the stack of the regex engine.
+end of the page, and a tag never runs past the next `<` outside a quoted value. Groups are repeated
+possessively, which the regex engine does in a loop, so a long page cannot exhaust its stack.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, fresh, keep, quoted
 from sitetext.functions.urls import base_parts, clean_reference, resolve_url
 
-_ATTRS = r"(?:[ \t\n\r\f/][^<>]*)?"
+_SPACE = r"[ \t\n\r\f]"
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+')"
+# A quote opens a value only behind an equals sign; elsewhere it is an ordinary character.
+_IN_TAG = rf"(?:[^<>=]++|={_SPACE}*+{_VALUE}?+)*+"
+_ATTRS = rf"(?:[ \t\n\r\f/]{_IN_TAG})?"
 
 
 def _element(name: str) -> str:
@@ -28,6 +34,13 @@ _BOILERPLATE = (
     "title", "noscript", "template", "iframe", "svg", "nav", "footer", "aside",
 )
 _BOILERPLATE_PATTERN = quoted(rf"(?is)<(?:{_elements(_BOILERPLATE)})")
+# Elements of these that stand inside another of their kind; they go first.
+_NESTING = ("nav", "footer", "aside")
+_INNERMOST_PATTERN = quoted(
+    rf"(?is)<({'|'.join(_NESTING)}){_ATTRS}>(?:[^<]++|<(?!/?\1[ \t\n\r\f/>]))*+</\1{_ATTRS}>"
+)
+# An article or main element is a teaser if the page has so many times its text, and this much.
+_TEASER_TIMES, _PAGE_CHARACTERS = 5, 400
 # Tags that end a line of text.
 _BLOCK_TAGS = (
     "address", "article", "blockquote", "body", "br", "caption", "center", "dd", "details",
@@ -37,23 +50,13 @@ _BLOCK_TAGS = (
     "tfoot", "th", "thead", "tr", "ul",
 )
 _BLOCK_PATTERN = quoted(rf"(?i)</?(?:{'|'.join(_BLOCK_TAGS)}){_ATTRS}>")
-_TAG_PATTERN = quoted(r"</?[A-Za-z!?][^<>]*>")
+_TAG_PATTERN = quoted(rf"</?[A-Za-z!?]{_IN_TAG}>")
 _BLANK = r"\u00a0\t\r\f"
 
-# The character references decoded in text and in attribute values.
-NAMED_CHARACTERS = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "iexcl": "¡", "cent": "¢", "pound": "£", "yen": "¥", "sect": "§", "copy": "©",
-    "laquo": "«", "raquo": "»", "reg": "®", "deg": "°", "plusmn": "±", "para": "¶",
-    "middot": "·", "iquest": "¿", "times": "×", "divide": "÷", "euro": "€", "trade": "™",
-    "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
-    "sbquo": "‚", "ldquo": "“", "rdquo": "”", "bdquo": "„", "szlig": "ß",
-    "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü",
-    "agrave": "à", "aacute": "á", "acirc": "â", "aring": "å", "aelig": "æ", "ccedil": "ç",
-    "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "iacute": "í", "icirc": "î",
-    "iuml": "ï", "ntilde": "ñ", "oacute": "ó", "ocirc": "ô", "oslash": "ø", "ugrave": "ù",
-    "uacute": "ú", "ucirc": "û", "Eacute": "É", "Agrave": "À", "Ccedil": "Ç",
-}
+# The character references decoded in text and in attribute values, and what the numbers 128 to
+# 159 stand for.
+NAMED_CHARACTERS = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+_WINDOWS = {i: bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)}
 _REFERENCE = quoted(r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 _HEXADECIMAL = quoted("^#[xX]([0-9A-Fa-f]{1,6});")
@@ -64,6 +67,8 @@ def unescape(text: Sql) -> Sql:
     """Decode character references once, from left to right. Unknown ones stay."""
     listed = "\n".join(f"{name}={char}" for name, char in NAMED_CHARACTERS.items())
     names = f"str_to_map({quoted(listed)}, '\n', '=')"
+    numbers = "\n".join(f"{code}={char}" for code, char in _WINDOWS.items())
+    windows = f"str_to_map({quoted(numbers)}, '\n', '=')"
     piece, place = fresh(), fresh()
     code = (
         f"coalesce(CAST(conv(regexp_extract({piece}, {_HEXADECIMAL}, 1), 16, 10) AS bigint), "
@@ -73,6 +78,7 @@ def unescape(text: Sql) -> Sql:
     def decoded(r: Sql) -> Sql:
         character = (
             f"CASE WHEN {r}.name = '' THEN NULL "
+            f"WHEN {r}.code BETWEEN 128 AND 159 THEN try_element_at({windows}, CAST({r}.code AS string)) "
             f"WHEN {r}.code BETWEEN 1 AND 55295 OR {r}.code BETWEEN 57344 AND 1114111 "
             f"THEN decode(unhex(lpad(hex({r}.code), 8, '0')), 'UTF-32') "
             f"ELSE try_element_at({names}, {r}.name) END"
@@ -107,17 +113,29 @@ def _inner(markup: Sql, tag: str) -> Sql:
 
 
 def _main_content(markup: Sql) -> Sql:
-    """The article or main element where the page has one, else the whole page."""
-    return bind(
-        markup,
-        lambda m: f"CASE WHEN rlike({m}, {_opens('article')}) THEN {_inner(m, 'article')} "
-        f"WHEN rlike({m}, {_opens('main')}) THEN {_inner(m, 'main')} ELSE {m} END",
-    )
+    """The article or main element where the page has one that is no teaser, else the page."""
+
+    def size(part: Sql) -> Sql:
+        return f"length(regexp_replace({part}, {_TAG_PATTERN}, ''))"
+
+    def chosen(part: Sql, page: Sql) -> Sql:
+        teaser = (
+            f"length({part}) * {_TEASER_TIMES} < length({page}) "
+            f"AND {size(page)} >= greatest({_PAGE_CHARACTERS}, {_TEASER_TIMES} * {size(part)})"
+        )
+        return f"if({teaser}, NULL, {part})"
+
+    def inner(page: Sql, tag: str) -> Sql:
+        part = bind(_inner(page, tag), lambda v: chosen(v, page))
+        return f"if(rlike({page}, {_opens(tag)}), {part}, NULL)"
+
+    return bind(markup, lambda m: f"coalesce({inner(m, 'article')}, {inner(m, 'main')}, {m})")
 
 
 def markup_text(markup: Sql) -> Sql:
     """Prose of visible markup, one block per line; `''` when there is none."""
-    prose = _main_content(rf"regexp_replace({markup}, {_BOILERPLATE_PATTERN}, '\n')")
+    shallow = rf"regexp_replace({markup}, {_INNERMOST_PATTERN}, '\n')"
+    prose = _main_content(rf"regexp_replace({shallow}, {_BOILERPLATE_PATTERN}, '\n')")
     lines = rf"regexp_replace(replace({prose}, '\n', ' '), {_BLOCK_PATTERN}, '\n')"
     plain = unescape(f"regexp_replace({lines}, {_TAG_PATTERN}, '')")
     blanks = quoted(f"[ {_BLANK}]{{2,}}|[{_BLANK}]")
@@ -133,9 +151,12 @@ def extract_text(html: Sql) -> Sql:
 
 
 def _href(tag: str) -> Sql:
+    """The tag with its first href; attributes before it are passed over whole."""
+    sign = rf"{_SPACE}*+={_SPACE}*+"
+    other = rf"(?!href{_SPACE}*=)[^ \t\n\r\f/<>=]++(?:{sign}(?:{_VALUE}|[^ \t\n\r\f<>\"']++)?+)?+"
     return quoted(
-        rf"(?i)<{tag}(?:[ \t\n\r\f/][^<>]*?)?[ \t\n\r\f/\"']href[ \t\n\r\f]*=[ \t\n\r\f]*"
-        r"(\"[^\"<>]*\"|'[^'<>]*'|[^ \t\n\r\f\"'<>]+)"
+        rf"(?i)<{tag}(?=[ \t\n\r\f/])(?:[ \t\n\r\f/=]++|{other})*+href{sign}"
+        rf"({_VALUE}|[^ \t\n\r\f\"'<>]+)"
     )
 
 

@@ -8,91 +8,105 @@ from __future__ import annotations
 import re
 
 from sitetext.config import SITEMAP_NAMESPACE
+from sitetext.functions.html import unescape
 from sitetext.functions.sql import NO_STRINGS, Sql, bind, each, fresh, keep, quoted
 
-# The first element of a document: prefix, local name, attributes. Declaration, document type,
-# comments and processing instructions may come before it.
-_ROOT = quoted(r"(?s)<(?:([A-Za-z_][\w.\-]*):)?([A-Za-z_][\w.\-]*)((?:[ \t\r\n][^<>]*)?)>")
 _NAME, _BLANK = r"[A-Za-z_][\w.\-]*", r"[ \t\r\n]"
-_NAMESPACE = rf"{_BLANK}*={_BLANK}*[\"']{re.escape(SITEMAP_NAMESPACE)}[\"']"
-# A root element that declares the namespace for its own prefix, or for none if it has none.
-_BOUND_ROOT = quoted(
-    r"^[^<]*(?:<![^<>]*>[^<]*)?"
-    rf"(?:<{_NAME}{_BLANK}(?:[^<>]*?{_BLANK})?xmlns{_NAMESPACE}"
-    rf"|<({_NAME}):{_NAME}{_BLANK}(?:[^<>]*?{_BLANK})?xmlns:\1{_NAMESPACE})"
-)
-_OUTSIDE_ROOT = quoted(r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)")
-_SITEMAP_ROOT = quoted(r"(?i)<(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n>]")
-_CLOSED = quoted(r"(?i)</(?:[A-Za-z_][\w.\-]*:)?(?:urlset|sitemapindex)[ \t\r\n]*>[ \t\r\n]*$")
-_PREFIXED_TAG = quoted(r"<([A-Za-z_][\w.\-]*):")
-_XML = quoted(
-    "url array<struct<loc:array<string>>>, sitemap array<struct<loc:array<string>>>, "
-    "_corrupt_record string"  # must come last, or the other columns shift
+# The first element of a document: prefix and local name. Declaration and document type may come
+# before it; comments and processing instructions are taken out first.
+_ROOT = quoted(rf"<(?:({_NAME}):)?({_NAME})(?=[ \t\r\n/>])")
+_OUTSIDE = quoted(r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)")
+_SECTION = r"<!\[CDATA\[(?:[^\]]++|\](?!\]>))*+\]\]>"
+_SECTIONS = quoted(_SECTION)
+_BINDING = quoted(
+    rf"{_BLANK}xmlns(?::({_NAME}))?{_BLANK}*={_BLANK}*[\"']{re.escape(SITEMAP_NAMESPACE)}[\"']"
 )
+_PREFIXED_TAG = quoted(rf"</?({_NAME}):")
+# A section of character data, or a loc element up to the first tag in it.
+_TOKEN = quoted(rf"{_SECTION}|<(?:{_NAME}:)?loc(?:{_BLANK}[^<>]*+)?>(?:[^<]++|{_SECTION})*+")
+_LOC = quoted(rf"^<(?:({_NAME}):)?loc(?:{_BLANK}[^<>]*+)?>")
+_EMPTY_LOC = quoted("^<[^<>]*/>")
+_SECTION_TEXT = quoted(r"(?s)<!\[CDATA\[(.*?)\]\]>")
+_INDEX_ROOT = quoted(rf"(?i)<(?:{_NAME}:)?sitemapindex[ \t\r\n/>]")
+# The parser only tells whether a document is well formed; no column of it is filled.
+_XML = quoted("unused string, _corrupt_record string")
 _XML_OPTIONS = "map('columnNameOfCorruptRecord', '_corrupt_record')"
 
 
 def strip_blanks(text: Sql) -> Sql:
-    blanks = quoted(r"^\s+|\s+$")
-    return f"regexp_replace({text}, {blanks}, '')"
+    return rf"trim(BOTH ' \t\n\u000b\u000c\r' FROM {text})"
 
 
-def looks_like_sitemap(body: Sql) -> Sql:
+def _may_be_sitemap(body: Sql) -> Sql:
     """Cheap test that spares every other body the XML parser."""
-    return f"rlike({body}, {_SITEMAP_ROOT})"
+    return f"({body} LIKE '%{SITEMAP_NAMESPACE}%' OR rlike({body}, {_INDEX_ROOT}))"
 
 
-def _root(body: Sql, group: int) -> Sql:
-    return f"regexp_extract(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_ROOT}, {group})"
+def _well_formed(body: Sql, plain: Sql) -> Sql:
+    """Whether a document is well formed; `plain` is its markup without comments and sections."""
+    # The parser stops after the root element and takes any prefix; text behind the root and a
+    # prefix without a namespace are errors all the same.
+    used, prefix = f"array_distinct(regexp_extract_all({plain}, {_PREFIXED_TAG}, 1))", fresh()
+    root = f"regexp_extract({plain}, {_ROOT}, 0)"
+    closing = quoted(rf"{_BLANK}*>{_BLANK}*$")
+    return (
+        f"(from_xml({body}, {_XML}, {_XML_OPTIONS})._corrupt_record IS NULL "
+        f"AND forall({used}, {prefix} -> rlike({plain}, concat('xmlns:', {prefix}, '[ \\t\\r\\n]*='))) "
+        f"AND (rlike({plain}, concat('</', substr({root}, 2), {closing})) "
+        f"OR rlike({plain}, {quoted(rf'/>{_BLANK}*$')})))"
+    )
 
 
-def _in_namespace(body: Sql) -> Sql:
-    """True when the root element is bound to the sitemap namespace."""
-    return f"rlike(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_BOUND_ROOT})"
+def _locs(markup: Sql, plain: Sql) -> Sql:
+    """Text of every loc element in the sitemap namespace, in order, trimmed."""
 
+    def of_prefix(prefixes: Sql) -> Sql:
+        tokens = keep(
+            f"regexp_extract_all({markup}, {_TOKEN}, 0)",
+            lambda t: f"NOT startswith({t}, '<!') AND NOT rlike({t}, {_EMPTY_LOC}) "
+            f"AND array_contains({prefixes}, regexp_extract({t}, {_LOC}, 1))",
+        )
+        return each(tokens, lambda t: bind(f"regexp_replace({t}, {_LOC}, '')", _loc_text))
 
-def _parsed(body: Sql) -> Sql:
-    """The document without the prefix of its root element; other prefixes stay apart."""
-    prefix = _root(body, 1)
-    opened = f"replace({body}, concat('<', {prefix}, ':'), '<')"
-    plain = f"replace({opened}, concat('</', {prefix}, ':'), '</')"
-    return f"from_xml(if({prefix} = '', {body}, {plain}), {_XML}, {_XML_OPTIONS})"
+    found = bind(f"array_distinct(regexp_extract_all({plain}, {_BINDING}, 1))", of_prefix)
+    return keep(found, lambda u: f"{u} <> ''")
 
 
-def _well_formed(body: Sql, parsed: Sql) -> Sql:
-    # The parser stops after the root element and takes any prefix; text behind the root and a
-    # prefix without a namespace are errors all the same.
-    used = f"array_distinct(regexp_extract_all({body}, {_PREFIXED_TAG}, 1))"
-    prefix = fresh()
-    return (
-        f"({parsed}._corrupt_record IS NULL "
-        f"AND forall({used}, {prefix} -> contains({body}, concat('xmlns:', {prefix}, '='))) "
-        f"AND rlike(regexp_replace({body}, {_OUTSIDE_ROOT}, ''), {_CLOSED}))"
-    )
+def _loc_text(raw: Sql) -> Sql:
+    sections = f"regexp_replace({raw}, {_SECTION_TEXT}, '$1')"
+    return strip_blanks(f"if(contains({raw}, '<!['), {sections}, {unescape(raw)})")
 
 
-def sitemap_locs(body: Sql) -> Sql:
-    """Addresses of a sitemap or of a sitemap index, in order, trimmed.
+def sitemap(body: Sql) -> Sql:
+    """What a body is as a sitemap: locs, the addresses of its loc elements in the sitemap
+    namespace at any depth, and is_index, whether its root is a sitemap index in any namespace.
 
-    Reads the entries of `urlset` and of `sitemapindex`; empty unless the document is well
-    formed and in the sitemap namespace.
+    One pass of the XML parser; both are empty or false unless the document is well formed.
     """
 
-    def locs(parsed: Sql) -> Sql:
-        entries = f"coalesce({parsed}.url, {parsed}.sitemap)"
-        lists = each(entries, lambda e: f"coalesce({e}.loc, {NO_STRINGS})")
-        found = keep(each(f"flatten({lists})", strip_blanks), lambda u: f"{u} <> ''")
-        return f"if({_well_formed(body, parsed)} AND {_in_namespace(body)}, {found}, NULL)"
+    def read(markup: Sql) -> Sql:
+        def by_plain(plain: Sql) -> Sql:
+            index = f"lower(regexp_extract({plain}, {_ROOT}, 2)) = 'sitemapindex'"
+            return (
+                f"if({_well_formed(body, plain)}, "
+                f"named_struct('locs', {_locs(markup, plain)}, 'is_index', {index}), NULL)"
+            )
+
+        return bind(f"regexp_replace({markup}, {_SECTIONS}, '')", by_plain)
 
-    found = f"if({looks_like_sitemap(body)}, {bind(_parsed(body), locs)}, NULL)"
-    return f"coalesce({found}, {NO_STRINGS})"
+    nothing = f"named_struct('locs', {NO_STRINGS}, 'is_index', false)"
+    found = bind(f"regexp_replace({body}, {_OUTSIDE}, '')", read)
+    return f"coalesce(if({_may_be_sitemap(body)}, {found}, NULL), {nothing})"
+
+
+def sitemap_locs(body: Sql) -> Sql:
+    """Addresses of a sitemap or of a sitemap index, in order."""
+    return f"{sitemap(body)}.locs"
 
 
 def is_sitemap_index(body: Sql) -> Sql:
     """True for a well-formed document whose root is a sitemap index, in any namespace."""
-    well_formed = bind(_parsed(body), lambda p: _well_formed(body, p))
-    named = f"lower({_root(body, 2)}) = 'sitemapindex'"
-    return f"coalesce(if({looks_like_sitemap(body)}, {named} AND {well_formed}, false), false)"
+    return f"{sitemap(body)}.is_index"
 
 
 def is_markup(body: Sql) -> Sql:

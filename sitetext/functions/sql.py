@@ -40,6 +40,11 @@ def keep(array: Sql, condition: Callable[[Sql], Sql]) -> Sql:
     return f"filter({array}, {name} -> {condition(name)})"
 
 
+def head(array: Sql, limit: int | None) -> Sql:
+    """The first `limit` elements, all if there is no limit."""
+    return array if limit is None else f"slice({array}, 1, {limit})"
+
+
 def bind(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Evaluate `value` once per row and use it many times in `body`."""
     if value.isidentifier():

@@ -125,10 +125,13 @@ def path_depth(path: Sql) -> Sql:
 # --- Resolving references ---------------------------------------------------
 
 
+# Space and the control characters before it, as a string literal.
+_CONTROLS = "'" + "".join(f"\\u{i:04x}" for i in range(33)) + "'"
+
+
 def clean_reference(ref: Sql) -> Sql:
     """Strip blanks and control characters round the reference, and line breaks inside it."""
-    outside = quoted(r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]")
-    return f"regexp_replace({ref}, {outside}, '')"
+    return rf"translate(trim(BOTH {_CONTROLS} FROM {ref}), '\t\r\n', '')"
 
 
 def base_parts(base: Sql) -> Sql:

@@ -28,8 +28,10 @@ def attempt_rank(content: Sql) -> Sql:
 
 
 def within_budget(attempts: DataFrame, options: Options) -> DataFrame:
-    """Attempts the retry mode allows, with a missing status read as no response."""
-    return attempts.where(f"attempt < {options.attempt_budget}").withColumn(
+    """Attempts the retry mode allows. A missing number is read as the first attempt, a missing
+    status as no response."""
+    numbered = attempts.withColumn("attempt", expr("coalesce(attempt, 0)"))
+    return numbered.where(f"attempt < {options.attempt_budget}").withColumn(
         "status", expr("coalesce(status, 0)")
     )
 

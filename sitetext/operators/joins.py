@@ -32,20 +32,18 @@ def lookup(
     with the same keys row by row.
     """
     hot_from = max(hot_rows or HOT_ROWS, left_rows // MAX_HOT_KEYS)
-    if left_rows <= hot_from:
-        return left.join(right, list(keys), "left")
     hot = (
         (left if counted is None else counted)
         .groupBy(*keys)
         .count()
         .where(f"count > {hot_from}")
-        .select(*keys, expr(f"CAST(ceil(count / {hot_from}) AS int) AS parts"))
+        .select(*keys, expr(f"CAST(ceil(count / {hot_from}) AS int) AS _parts"))
     )
     spread = left.join(broadcast(hot), list(keys), "left").withColumn(
-        "part", expr(f"CAST(pmod(xxhash64({spread_by}), coalesce(parts, 1)) AS int)")
+        "_part", expr(f"CAST(pmod(xxhash64({spread_by}), coalesce(_parts, 1)) AS int)")
     )
     copies = right.join(broadcast(hot), list(keys), "left").withColumn(
-        "part", expr("explode(sequence(0, coalesce(parts, 1) - 1))")
+        "_part", expr("explode(sequence(0, coalesce(_parts, 1) - 1))")
     )
-    joined = spread.drop("parts").join(copies.drop("parts"), [*keys, "part"], "left")
-    return joined.drop("part")
+    joined = spread.drop("_parts").join(copies.drop("_parts"), [*keys, "_part"], "left")
+    return joined.drop("_part")

@@ -9,16 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
-from sitetext.config import MAX_RAW_LINKS, Options
+from sitetext.config import Options
 from sitetext.functions.html import anchor_hrefs, base_href, markup_text, visible_markup
 from sitetext.functions.judgement import gated_text, is_blocked, render_reason
-from sitetext.functions.sitemaps import (
-    is_markup,
-    is_sitemap_index,
-    robots_sitemaps,
-    sitemap_locs,
-)
-from sitetext.functions.urls import robots_address, site_root
+from sitetext.functions.sitemaps import is_markup, robots_sitemaps, sitemap
+from sitetext.functions.sql import head
+from sitetext.functions.urls import has_binary_extension, robots_address, site_root
 from sitetext.operators.attempts import attempt_rank, within_budget
 
 
@@ -39,20 +35,24 @@ def _reduced(rows: DataFrame, options: Options) -> DataFrame:
     # Sitemaps and robots files are fetched once, without retries.
     document = "if(attempt = 0 AND status = 200, html, NULL)"
     own_robots = f"page_url = {robots_address(site_root('page_url'))}"
+    # A sitemap at the address of a file is never a page, so no prose is read from it.
+    file_sitemap = f"(size(sitemap.locs) > 0 AND {has_binary_extension('page_url')})"
+    visible = f"if({unread} OR {file_sitemap}, NULL, {visible_markup('html')})"
     return (
-        rows.withColumn("markup", expr(f"if({unread}, NULL, {visible_markup('html')})"))
+        rows.withColumn("sitemap", expr(sitemap(document)))
+        .withColumn("markup", expr(visible))
         .selectExpr(
             "page_url",
             "attempt",
             "status",
             "fetched_at",
             "xxhash64(status, html) AS content",
-            "if(attempt IS NULL, struct(length(html), xxhash64(html)), NULL) AS render_rank",
+            "if(attempt IS NULL, struct(length(html) AS size, xxhash64(html) AS content), NULL) AS render_rank",
             f"{markup_text('markup')} AS text",
             # Resolved by discovery, and only for the homepages that need their anchors.
             f"struct({anchor_hrefs('markup')} AS hrefs, {base_href('markup')} AS base) AS anchors",
-            f"slice({sitemap_locs(document)}, 1, {MAX_RAW_LINKS}) AS locs",
-            f"{is_sitemap_index(document)} AS is_index",
+            f"{head('sitemap.locs', options.max_raw_links)} AS locs",
+            "sitemap.is_index AS is_index",
             f"{is_markup(document)} AS is_markup",
             f"if({own_robots}, {robots_sitemaps(document)}, NULL) AS robots",
         )
@@ -64,17 +64,18 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
 
     Columns: page_url, attempt, status, retries_used, first_fetched, last_fetched, reason,
     escalated, text, text_len, anchors, unused_anchors (of a rendering that was not needed so
-    far), locs, is_index, is_markup, robots.
+    far), content and render_content (hashes of the attempt and the rendering that count), locs,
+    is_index, is_markup, robots.
     """
     rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
-    captured = "struct(attempt, status, text, anchors, locs, is_index, is_markup, robots)"
+    captured = "struct(attempt, status, content, text, anchors, locs, is_index, is_markup, robots)"
     folded = (
         _reduced(_captured_rows(attempts, renders, options), options)
         .groupBy("page_url")
         .agg(
             expr(f"min_by({captured}, {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
-            expr("max_by(struct(text, anchors), render_rank)").alias("r"),
+            expr("max_by(struct(text, anchors, render_rank.content), render_rank)").alias("r"),
             expr("min(fetched_at)").alias("first_fetched"),
             expr("max(fetched_at)").alias("last_fetched"),
         )
@@ -100,6 +101,8 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
             "length(text) AS text_len",
             "if(escalated, r.anchors, c.anchors) AS anchors",
             "if(escalated, NULL, r.anchors) AS unused_anchors",
+            "c.content AS content",
+            "r.content AS render_content",
             "c.locs",
             "c.is_index",
             "c.is_markup",
@@ -109,8 +112,11 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
 
 
 def render_queue(judged: DataFrame, renders: DataFrame | None = None) -> DataFrame:
-    """Pages that need rendering and why; those with a rendering already are left out."""
+    """Pages that need rendering and why, each once; those with a rendering are left out.
+
+    Companies share pages, so they are made distinct, in the tasks first, before the join.
+    """
     wanted = judged.where("reason IS NOT NULL").select("page_url", "reason")
     if renders is None:
-        return wanted
-    return wanted.join(renders.select("page_url"), "page_url", "left_anti")
+        return wanted.distinct()
+    return wanted.distinct().join(renders.select("page_url"), "page_url", "left_anti")

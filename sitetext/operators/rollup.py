@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import expr
 
-from sitetext.config import Options
+from sitetext.config import BLOCK_TITLE, EMPTY_HOMEPAGE, EMPTY_PAGE, MISSING_URL, Options
 from sitetext.functions.judgement import company_status, is_blocked
 from sitetext.functions.sql import Sql
 from sitetext.functions.urls import url_slug
-from sitetext.operators.attempts import CAPTURED_AT, within_budget
+from sitetext.operators.attempts import within_budget
 from sitetext.operators.joins import lookup
 
-MISSING_URL = "missing url"
 _RENDERED = -1  # stands for the attempt number of a rendering
 
 
@@ -22,7 +21,7 @@ def company_pages(
     """The `rows` selected pages with their records; one never captured counts as no response."""
     records = digests.select(
         "page_url", "attempt", "status", "retries_used", "first_fetched", "last_fetched",
-        "reason", "text", "text_len",
+        "reason", "text", "text_len", "content", "render_content",
     )
     unseen = "if(status IS NULL, 'blocked', reason)" if options.js_fallback else "reason"
     return (
@@ -42,6 +41,7 @@ def company_pages(
             "reason IS NOT NULL AS escalated_to_js",
             "first_fetched",
             "last_fetched",
+            "if(reason IS NOT NULL, render_content, content) AS content",
         )
     )
 
@@ -49,11 +49,11 @@ def company_pages(
 # Message of a page without text, null for a page with text.
 PAGE_ERROR: Sql = (
     "CASE WHEN text_len > 0 THEN NULL "
-    "WHEN ord = 0 THEN concat('Homepage blocked or empty: HTTP ', status) "
-    "ELSE concat('No content from ', page_url) END"
+    f"WHEN ord = 0 THEN concat('{EMPTY_HOMEPAGE}', status) "
+    f"ELSE concat('{EMPTY_PAGE}', page_url) END"
 )
 # Block of a page in the combined text, null for a page without text.
-TEXT_BLOCK: Sql = r"if(text = '', NULL, concat('[Page name: ', page_name, ']\n', text))"
+TEXT_BLOCK: Sql = rf"if(text = '', NULL, concat('{BLOCK_TITLE}', page_name, ']\n', text))"
 
 
 def _tallies() -> list[Column]:
@@ -154,32 +154,39 @@ def raw_rows(
 ) -> DataFrame:
     """The raw page table: the markup each of the `rows` selected pages was judged on.
 
-    The only place where html is shuffled, so it is built only on request. Attempts and
-    renderings go through one join, and company columns are attached before it.
+    The only place where html is shuffled, so it is built only on request. The record of a page
+    holds the hash of the content it was judged on, and rows of html are first reduced to those
+    that a page names by address, attempt and hash. Copies of one of them are equal.
     """
+    wanted = companies.select("company_key", "id", "home").join(
+        pages.selectExpr(
+            "company_key", "page_url", f"if(escalated_to_js, {_RENDERED}, attempt) AS source",
+            "content", "escalated_to_js", "last_fetched",
+        ),
+        "company_key",
+    )
+    keys = ["page_url", "source", "content"]
+    named = wanted.where("content IS NOT NULL").select(*keys).distinct()
     read = within_budget(attempts, options)
     if options.js_fallback:
         read = read.where(f"NOT {is_blocked('status')}")
     bodies = read.selectExpr(
-        "page_url", "attempt AS source", "html",
-        f"struct({CAPTURED_AT}, ~xxhash64(status, html)) AS preference",
+        "page_url", "attempt AS source", "xxhash64(status, html) AS content", "html"
     )
     if renders is not None:
         bodies = bodies.union(
             renders.selectExpr(
-                "page_url", f"{_RENDERED} AS source", "html",
-                "struct(CAST(length(html) AS bigint), xxhash64(html)) AS preference",
+                "page_url", f"{_RENDERED} AS source", "xxhash64(html) AS content", "html"
             )
         )
-    bodies = bodies.groupBy("page_url", "source").agg(expr("max_by(html, preference)").alias("html"))
-    wanted = companies.select("company_key", "id", "home").join(
-        pages.selectExpr(
-            "company_key", "page_url", f"if(escalated_to_js, {_RENDERED}, attempt) AS source",
-            "escalated_to_js", "last_fetched",
-        ),
-        "company_key",
+    one = Window.partitionBy(*keys).orderBy(F.lit(1))
+    bodies = (
+        bodies.join(named, keys, "left_semi")
+        .withColumn("_n", F.row_number().over(one))
+        .where("_n = 1")
+        .drop("_n")
     )
-    return lookup(wanted, bodies, ["page_url", "source"], "company_key", rows).selectExpr(
+    return lookup(wanted, bodies, keys, "company_key", rows).selectExpr(
         "id",
         "home AS url",
         "page_url",

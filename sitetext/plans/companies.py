@@ -20,7 +20,7 @@ from sitetext.operators.rollup import (
     tally,
 )
 from sitetext.plans.staging import Staging
-from sitetext.sources.sinks import append, with_schema
+from sitetext.sources.sinks import append, append_new, with_schema
 from sitetext.sources.tables import company_rows, with_company_key
 
 
@@ -77,17 +77,25 @@ class Run:
     @cached_property
     def render_queue(self) -> DataFrame:
         """Pages of this run that wait for a rendering."""
-        return render_queue(self.pages, self.renders).distinct()
+        return render_queue(self.pages, self.renders)
 
-    def write(self) -> None:
-        """Append results, raw pages and log, in this order, to the targets that are set."""
-        options = self.options
-        if options.output_path:
-            append(self.results, options.output_path, options.file_format)
+    def write(self, resume: bool = False) -> None:
+        """Append raw pages, log and results, in this order, to the targets that are set.
+
+        Results come last: an id among them has its rows in the other targets. With `resume`,
+        ids that a target has already are left out there.
+        """
+        options, put = self.options, append_new if resume else append
         if options.raw_path:
-            append(self.raw, options.raw_path, options.file_format)
+            put(self.raw, options.raw_path, options.file_format)
         if options.log_path:
-            append(self.log, options.log_path, options.file_format)
+            put(self.log, options.log_path, options.file_format)
+        if options.output_path:
+            put(self.results, options.output_path, options.file_format)
+
+    def close(self) -> None:
+        """Remove the staged tables; the tables of the run can't be read any more."""
+        self.staging.remove()
 
 
 def run_companies(
@@ -113,7 +121,7 @@ def run_companies(
     located = keyed.where("home IS NOT NULL").select("company_key", "home")
     selected = staging.stage(
         select_pages(
-            discover(located, digests, documents, options, keyed.count()), options
+            discover(located, digests, documents, options, keyed.count(), staging), options
         ),
         "selected",
     )

@@ -9,17 +9,26 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN = "sitetext.local.folder"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only in local mode."""
+    """The folder named in spark.checkpoint.dir.
+
+    Where it is unset, as in tests, a local session sets one of its own, once; on a cluster this
+    is an error, since executors do not share local folders.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="sitetext-")
+    spark.conf.set(_OWN, own := spark.conf.get(_OWN, None) or tempfile.mkdtemp(prefix="sitetext-"))
+    return own
 
 
 class Staging:
@@ -33,3 +42,11 @@ class Staging:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder of this run. Tables staged in it can't be read any more."""
+        if "://" in self.folder or self.folder.startswith("file:"):
+            system, path = FileSystem.from_uri(self.folder)
+        else:
+            system, path = LocalFileSystem(), self.folder
+        system.delete_dir(path)

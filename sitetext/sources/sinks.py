@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 CONFLICT = "ConcurrentAppendException"
@@ -34,3 +35,28 @@ def append(
             if wait is None or CONFLICT not in str(error):
                 raise
             sleep(wait + random.uniform(0, 0.5))
+
+
+def existing(spark: SparkSession, target: str, file_format: str = "parquet") -> DataFrame | None:
+    """The rows of a target so far, None before its first append."""
+    if "/" not in target:
+        return spark.table(target) if spark.catalog.tableExists(target) else None
+    try:
+        return spark.read.format(file_format).load(target)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def append_new(df: DataFrame, target: str, file_format: str = "parquet") -> None:
+    """Append the rows whose id the target does not have yet.
+
+    An append lands whole or not at all, so after a failure between two targets a repeated run
+    fills up those that lack its rows.
+    """
+    done = existing(df.sparkSession, target, file_format)
+    if done is not None:
+        ids = done.selectExpr("id AS _done").distinct()
+        df = df.join(ids, df["id"] == ids["_done"], "left_anti")
+    append(df, target, file_format)

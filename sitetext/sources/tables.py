@@ -15,15 +15,17 @@ def read_table(spark: SparkSession, source: str, file_format: str = "parquet") -
     return spark.read.format(file_format).load(source) if "/" in source else spark.table(source)
 
 
-def read_captures(spark: SparkSession, source: str, file_format: str = "parquet") -> DataFrame:
-    """Captured pages, read by at least as many tasks as there are cores.
-
-    Reading markup is bound by the processor, and a few files with one row group each would
-    leave most cores idle. Large inputs have more splits than cores and are not shuffled.
+def read_captures(
+    spark: SparkSession, source: str, file_format: str = "parquet", partitions: int | None = None
+) -> DataFrame:
+    """Captured pages, as the files are split.
+
+    Reading markup is bound by the processor: set `spark.sql.files.maxPartitionBytes` low.
+    `partitions` deals the rows out anew, for a few files of one row group each; it shuffles the
+    markup once for every use of the frame.
     """
     rows = read_table(spark, source, file_format)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows if partitions is None else rows.repartition(partitions)
 
 
 def company_rows(companies: DataFrame, id_col: str, url_col: str) -> DataFrame:

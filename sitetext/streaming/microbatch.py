@@ -4,26 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from sitetext.config import Options
 from sitetext.plans.companies import run_companies
-from sitetext.sources.tables import pending, read_table
+from sitetext.sources.sinks import existing
+from sitetext.sources.tables import pending
 
 Captures = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
 
 
-def results_so_far(spark: SparkSession, options: Options) -> DataFrame | None:
-    """The results table, None before its first append."""
-    if "/" not in options.output_path:
-        exists = spark.catalog.tableExists(options.output_path)
-    else:
-        path = spark._jvm.org.apache.hadoop.fs.Path(options.output_path)
-        exists = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-    return read_table(spark, options.output_path, options.file_format) if exists else None
-
-
 def start_runs(
     companies: DataFrame,
     id_col: str,
@@ -36,16 +27,20 @@ def start_runs(
     """Run every micro-batch of a stream of companies and append its results.
 
     `captures` gives the attempts and renders for the companies of a batch. Ids that are in the
-    results already are skipped, so a batch that is run again after a failure adds nothing twice.
+    results already are skipped. Results are written last, and every target skips the ids that it
+    has, so a batch that is run again after a failure adds what is missing and nothing twice. The
+    staged tables of a batch are removed when it is written.
     """
     if not options.output_path:
         raise ValueError("a stream of companies needs output_path")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        done = results_so_far(batch.sparkSession, options)
+        done = existing(batch.sparkSession, options.output_path, options.file_format)
         todo = batch if done is None else pending(batch, done, id_col)
         attempts, renders = captures(todo)
-        run_companies(todo, id_col, url_col, attempts, renders, options).write()
+        run = run_companies(todo, id_col, url_col, attempts, renders, options)
+        run.write(resume=True)
+        run.close()
 
     return (
         companies.writeStream.foreachBatch(run_batch)

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -38,3 +40,23 @@ def test_query(spark, duck, name):
     rows = expected.fetchall()
     assert rows
     assert ordered(frame.columns, frame.collect()) == ordered(expected.columns, rows)
+
+
+HIDDEN = """
+import sys
+
+class Hide:
+    def find_spec(self, name, path=None, target=None):
+        if name in ("corpus_pipeline", "sitetext.llm"):
+            raise ModuleNotFoundError(name, name=name)
+
+sys.meta_path.insert(0, Hide())
+import __spark_entry__ as entry
+from catalog.queries import QUERIES
+assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
+"""
+
+
+def test_entry_without_the_llm_package():
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", HIDDEN], cwd=root, check=True)

@@ -250,10 +250,11 @@ def quality_scores(
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
     )
-    labelled = source.join(known, "doc_id")
+    # Labels grow with the documents: the join is the same at every size.
+    labelled = source.join(known.hint("merge"), "doc_id")
     ratios = spark.sparkContext.broadcast(log_count_ratios(labelled.select("text", "label")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = source.join(chosen, "doc_id").select("text", "label", "doc_id")
+    sample = source.join(F.broadcast(chosen), "doc_id").select("text", "label", "doc_id")
     fitted = texts.map_batches(
         sample.repartition(1),
         _fit(ratios),

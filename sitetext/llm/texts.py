@@ -121,6 +121,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of spans that are hashed at once; a longer span is a block of its own.
+_HASHED_BYTES = 1 << 21
+
+
 def span_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray = _KEYS
 ) -> np.ndarray:
@@ -128,21 +132,32 @@ def span_hashes(
     lengths = ends - starts
     out = np.zeros(len(starts), np.uint64)
     some = np.flatnonzero(lengths > 0)
-    if len(some):
-        sizes = lengths[some]
-        heads = np.cumsum(sizes) - sizes
-        within = np.arange(heads[-1] + sizes[-1]) - np.repeat(heads, sizes)
-        values = keys[data[within + np.repeat(starts[some], sizes)]]
-        with np.errstate(over="ignore"):
-            values *= _POWERS[within & (_LOW - 1)]
-            if sizes.max() > _LOW:
-                step = pow(_BASE, _LOW, 2**64)
-                values *= _powers(step, int(sizes.max() >> 16) + 1)[within >> 16]
-            out[some] = np.add.reduceat(values, heads)
+    until = np.cumsum(lengths[some])
+    first = 0
+    while first < len(some):
+        before = until[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(until, before + _HASHED_BYTES, "right")))
+        block = some[first:end]
+        out[block] = _block_hashes(data, starts[block], lengths[block], keys)
+        first = end
     with np.errstate(over="ignore"):
         return mixed(out + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def _block_hashes(
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray
+) -> np.ndarray:
+    heads = np.cumsum(sizes) - sizes
+    within = np.arange(heads[-1] + sizes[-1]) - np.repeat(heads, sizes)
+    values = keys[data[within + np.repeat(starts, sizes)]]
+    with np.errstate(over="ignore"):
+        values *= _POWERS[within & (_LOW - 1)]
+        if sizes.max() > _LOW:
+            step = pow(_BASE, _LOW, 2**64)
+            values *= _powers(step, int(sizes.max() >> 16) + 1)[within >> 16]
+        return np.add.reduceat(values, heads)
+
+
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the first of each distinct hash, and for each hash the number of its kind."""
     _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)

@@ -32,10 +32,10 @@ from sitetext.plans.staging import Staging
 #: Ids of a window, and of its beginning that the window before has scored.
 WINDOW, OVERLAP = 16, 4
 #: Width of the model, classes of one id, and ids with an input vector of their own.
-WIDTH, SINGLES, INPUTS = 16, 126, 4096
+WIDTH, SINGLES, INPUTS = 16, 110, 4096
 #: Ids without an input vector of their own share this many.
 SHARED = 64
-SAMPLE_EVERY, ROUNDS, BATCH, RATE = 48, 3, 64, 0.01
+SAMPLE_EVERY, ROUNDS, BATCH, RATE = 48, 2, 64, 0.01
 #: Most words whose counts are sent to every task. Rarer words are looked up by a join.
 HEAD_WORDS = 400_000
 _BLOCKS = 8

@@ -16,6 +16,7 @@ weighted by their windows, after each round.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from functools import lru_cache
 from itertools import chain
 from math import ceil
@@ -334,8 +335,9 @@ def _trained(model_sent, turn: int):
     """A copy trained on the windows of a task, as parameter sums weighted by its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = model_sent.value
-        start = model.flat()
+        # The worker keeps the broadcast model for other tasks, so a copy is trained.
+        model: Model = copy(model_sent.value)
+        model.p = {k: v.copy() for k, v in model.p.items()}
         adam, rng, seen = _Adam(model, RATE * 0.5 ** (turn - 1)), np.random.default_rng(turn), 0
         for batch in batches:
             for raw in batch.column(0):
@@ -354,7 +356,6 @@ def _trained(model_sent, turn: int):
                     "seen": pa.array([seen] * _BLOCKS, pa.int64()),
                 }
             )
-        model.load(start)
 
     return run
 

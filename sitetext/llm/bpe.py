@@ -38,9 +38,9 @@ SCHEMA = pa.schema(
 WORD_END = "</w>"
 #: A symbol that ends a word is written this far above the plain one.
 _END_SHIFT = 0x1000
-_CACHED_WORDS = 100_000
-_CACHED_PAIRS = 500_000
-_KEPT_WORDS = 200_000
+_CACHED_WORDS = 60_000
+_CACHED_PAIRS = 300_000
+_KEPT_WORDS = 150_000
 _NEVER = 1 << 60
 #: Words up to this character need no composing, and lower case by character is lower case.
 _LAST_SIMPLE = "\u024f"
@@ -165,6 +165,10 @@ class PrefixEncoder:
                 self._recent[word] = got
         return got
 
+    def forget(self) -> None:
+        """Empty what is kept of words met lately."""
+        self._recent, self._fits = {}, {}
+
     def encode(self, text: str) -> list[int]:
         """Ids of any text."""
         if "<|" not in text:
@@ -219,6 +223,11 @@ class _Words:
         self._known: dict[bytes, tuple[bytes, str]] = {}
         self._older: dict[bytes, tuple[bytes, str]] = {}
 
+    def forget(self) -> None:
+        """Give the memory back; a worker may go on with quite other tasks."""
+        self._known, self._older = {}, {}
+        self._bpe.forget()
+
     def of(self, word: bytes) -> tuple[bytes, str]:
         got = self._known.get(word)
         if got is None:
@@ -263,6 +272,7 @@ def _encoded(path: str | None):
                     },
                     SCHEMA,
                 )
+        words.forget()
 
     return run
 

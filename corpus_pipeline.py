@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, as little-endian unsigned 32-bit integers."""
-    return encode_documents(docs).select("doc_id", "n_tokens", "ids")
+    return encode_documents(docs, decode=False).select("doc_id", "n_tokens", "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

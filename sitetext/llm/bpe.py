@@ -40,7 +40,7 @@ WORD_END = "</w>"
 _END_SHIFT = 0x1000
 _CACHED_WORDS = 60_000
 _CACHED_PAIRS = 300_000
-_KEPT_WORDS = 150_000
+_KEPT_WORDS = 200_000
 _NEVER = 1 << 60
 #: Words up to this character need no composing, and lower case by character is lower case.
 _LAST_SIMPLE = "\u024f"
@@ -211,15 +211,15 @@ def encoder(path: str) -> PrefixEncoder:
 
 
 @lru_cache(maxsize=2)
-def known_words(path: str) -> _Words:
-    return _Words(encoder(path))
+def known_words(path: str, decode: bool) -> _Words:
+    return _Words(encoder(path), decode)
 
 
 class _Words:
     """Ids and decoded text of the words met lately."""
 
-    def __init__(self, bpe: PrefixEncoder) -> None:
-        self._bpe = bpe
+    def __init__(self, bpe: PrefixEncoder, decode: bool) -> None:
+        self._bpe, self._decode = bpe, decode
         self._known: dict[bytes, tuple[bytes, str]] = {}
         self._older: dict[bytes, tuple[bytes, str]] = {}
 
@@ -234,7 +234,7 @@ class _Words:
             got = self._older.get(word)
             if got is None:
                 ids = self._bpe.encode(word.decode())
-                got = array("I", ids).tobytes(), self._bpe.decode(ids)
+                got = array("I", ids).tobytes(), self._bpe.decode(ids) if self._decode else ""
             if len(word) < 64:
                 if len(self._known) >= _KEPT_WORDS:
                     self._older, self._known = self._known, {}
@@ -242,9 +242,9 @@ class _Words:
         return got
 
 
-def _encoded(path: str | None):
+def _encoded(path: str | None, decode: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known_words(path or default_path())
+        words = known_words(path or default_path(), decode)
         for batch in batches:
             doc_ids = batch.column(0)
             for first, end, data, offsets in texts.pieces(batch.column(1)):
@@ -262,13 +262,14 @@ def _encoded(path: str | None):
                 for a, b in zip(borders[:-1], borders[1:], strict=True):
                     of = kinds[a:b]
                     packed.append(b"".join([ids[i] for i in of]))
-                    decoded.append(" ".join([s for i in of if (s := strings[i])]))
+                    if decode:
+                        decoded.append(" ".join([s for i in of if (s := strings[i])]))
                 yield texts.pack(
                     {
                         "doc_id": doc_ids.slice(first, end - first),
                         "n_tokens": [len(x) // 4 for x in packed],
                         "ids": packed,
-                        "decoded": decoded,
+                        "decoded": decoded if decode else pa.nulls(end - first, pa.string()),
                     },
                     SCHEMA,
                 )
@@ -278,11 +279,16 @@ def _encoded(path: str | None):
 
 
 def encode_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    path: str | None = None,
+    decode: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids and decoded.
 
-    `ids` holds the ids as little-endian unsigned 32-bit integers, `decoded` the decoded text.
+    `ids` holds the ids as little-endian unsigned 32-bit integers, `decoded` the decoded text, null
+    unless `decode`.
     `path` names a tokenizer file that the executors can read; by default the public one with word
     ends. A null or empty text, or one of white space only, has no ids and decodes to an empty
     text. Rows are independent: repeated rows give equal results, a null id stays null, an empty
@@ -290,5 +296,5 @@ def encode_documents(
     """
     source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
     return texts.map_batches(
-        source, _encoded(path), "doc_id bigint, n_tokens bigint, ids binary, decoded string"
+        source, _encoded(path, decode), "doc_id bigint, n_tokens bigint, ids binary, decoded string"
     )

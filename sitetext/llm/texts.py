@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text that are worked on at once.
 PIECE_BYTES = 1 << 22
+#: Rows of a batch that are copied at once.
+_ROWS_AT_ONCE = 4096
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 _SPACE = np.zeros(256, bool)
@@ -66,13 +68,15 @@ def pieces(
     texts: pa.Array, limit: int = PIECE_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, row after the last, bytes and offsets of each piece of a string column."""
-    data, offsets = as_bytes(texts)
-    first, n = 0, len(offsets) - 1
-    while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        end = min(n, max(first + 1, end))
-        yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
-        first = end
+    for begin in range(0, len(texts), _ROWS_AT_ONCE):
+        data, offsets = as_bytes(texts.slice(begin, _ROWS_AT_ONCE))
+        first, n = 0, len(offsets) - 1
+        while first < n:
+            end = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
+            end = min(n, max(first + 1, end))
+            part = data[offsets[first] : offsets[end]]
+            yield begin + first, begin + end, part, offsets[first : end + 1] - offsets[first]
+            first = end
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

@@ -1,16 +1,16 @@
 """Language-model scores: a small causal self-attention model over subword ids, in numpy.
 
 Words, with A-Z in lower case, are cut into subword ids by a public vocabulary, each with the blank
-before it; a text ends with one end id. The model predicts the class of the next id from the ids of
-its window: frequent ids are a class each, and the others share one class of word beginnings and
-one of continuations, inside which they have their training frequency. So the probabilities of all
-ids sum to one. Windows overlap: each id is scored once, in the window where it has the most ids
-before it. Windows are scored in batches with one masked attention step.
+before it; a text ends with one end id. The model predicts the next id from the ids of its window in
+two steps: its class, and the id among the members of the class, both from the same hidden state.
+Classes hold word beginnings or continuations of neighbouring frequency, few frequent ids or many
+rare ones; inside a class ids start from their training frequency. So the probabilities of all ids
+sum to one. Windows overlap: each id is scored once, in the window where it has the most ids before
+it. Windows are scored in batches with one masked attention step.
 
 Training covers all training documents: word and subword counts use every token, and the model
-learns from every SAMPLE_EVERY-th window of each document, at least one per document, so what it
-sees grows with the input. Tasks train copies on their own windows, and the copies are averaged,
-weighted by their windows, after each round.
+learns from every window, each in one of the rounds. Tasks train copies on their own windows, and
+the copies are averaged, weighted by their windows, after each round.
 """
 
 from __future__ import annotations
@@ -31,15 +31,17 @@ from sitetext.llm import texts
 from sitetext.plans.staging import Staging
 
 #: Ids of a window, and of its beginning that the window before has scored.
-WINDOW, OVERLAP = 16, 4
-#: Width of the model, classes of one id, and ids with an input vector of their own.
-WIDTH, SINGLES, INPUTS = 16, 110, 4096
+WINDOW, OVERLAP = 32, 8
+#: Width of the model, and ids with an input vector of their own.
+WIDTH, INPUTS = 16, 4096
+#: Members of the classes of the most frequent ids, and how much larger each next class is.
+SMALLEST, GROWTH = 8, 1.08
 #: Ids without an input vector of their own share this many.
 SHARED = 64
-SAMPLE_EVERY, ROUNDS, BATCH, RATE = 48, 2, 64, 0.01
+ROUNDS, BATCH, RATE = 3, 64, 0.01
 #: Most words whose counts are sent to every task. Rarer words are looked up by a join.
 HEAD_WORDS = 400_000
-_BLOCKS = 8
+_BLOCKS = 64
 _BEGIN, _END = 1, 2
 _KEYS_AT_ONCE = 1 << 20
 _IDS_AT_ONCE = 1 << 19
@@ -86,11 +88,12 @@ class Piece:
 
 
 def windows(
-    ids: np.ndarray, borders: np.ndarray, every: int = 1
+    ids: np.ndarray, borders: np.ndarray, every: int = 1, share: np.ndarray | int = 0
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and targets of windows, and the row of each; -1 stands after the end of a row.
 
-    Row i has ids[borders[i]:borders[i + 1]]. With `every`, one window in so many of each row.
+    Row i has ids[borders[i]:borders[i + 1]]. With `every`, the windows of each row whose number
+    leaves the row's `share` when divided by it, so the shares together have every window once.
     """
     sizes = np.diff(borders)
     step = WINDOW - OVERLAP
@@ -98,7 +101,7 @@ def windows(
     rows = np.repeat(np.arange(len(sizes)), n)
     number = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
     if every > 1:
-        chosen = number % every == (rows % every) % n[rows]
+        chosen = number % every == np.broadcast_to(share, len(sizes))[rows] % every
         rows, number = rows[chosen], number[chosen]
     first = np.full(len(ids) + WINDOW + 1, _BEGIN, np.int32)
     first[1 : len(ids) + 1] = ids
@@ -111,27 +114,43 @@ def windows(
     return inputs, targets, rows
 
 
+def _class_sizes(n: int) -> np.ndarray:
+    """Sizes of the classes of n ids in order of frequency."""
+    sizes, size = [], float(SMALLEST)
+    while sum(sizes) < n:
+        sizes.append(min(int(size), n - sum(sizes)))
+        size *= GROWTH
+    return np.array(sizes, np.int64)
+
+
 class Model:
-    """Parameters and tables of a model; the tables map ids to input vectors and classes."""
+    """Parameters and tables of a model; the tables map ids to input vectors, classes and members.
+
+    Members are numbered class by class: class c has borders[c]:borders[c + 1].
+    """
 
-    NAMES = ("embed", "place", "query", "key", "value", "out", "classes", "bias")
+    NAMES = ("embed", "place", "query", "key", "value", "out", "classes", "bias", "members")
 
     def __init__(self, counts: np.ndarray, continues: np.ndarray) -> None:
         n = len(counts)
         order = np.lexsort((np.arange(n), -counts))
         self.input_of = INPUTS + np.arange(n) % SHARED
         self.input_of[order[:INPUTS]] = np.arange(min(INPUTS, n))
-        rest = order[SINGLES:]
-        self.class_of = np.where(continues, SINGLES + 1, SINGLES)
-        self.class_of[order[:SINGLES]] = np.arange(min(SINGLES, n))
-        self.within = np.zeros(n)
+        kinds = [order[~continues[order]], order[continues[order]]]
+        by_member = np.concatenate(kinds)
+        sizes = np.concatenate([_class_sizes(len(k)) for k in kinds])
+        self.borders = np.concatenate([[0], np.cumsum(sizes)])
+        self.member_of = np.empty(n, np.int64)
+        self.member_of[by_member] = np.arange(n)
+        self.class_of = np.empty(n, np.int16)
+        self.class_of[by_member] = np.repeat(np.arange(len(sizes)), sizes)
         smoothed = counts + 0.5
-        for c in (SINGLES, SINGLES + 1):
-            members = rest[self.class_of[rest] == c]
-            self.within[members] = np.log(smoothed[members] / smoothed[members].sum())
-        rng = np.random.default_rng(11)
-        d, n_classes = WIDTH, SINGLES + 2
+        d, n_classes = WIDTH, len(sizes)
         totals = np.bincount(self.class_of, weights=smoothed, minlength=n_classes)
+        #: Natural logarithm of an id's training frequency in its class, where its member starts.
+        self.within = np.log(smoothed / totals[self.class_of])
+        self.member_start = self.within[by_member].astype(np.float32)
+        rng = np.random.default_rng(11)
         shapes = {
             "embed": (INPUTS + SHARED, d), "place": (WINDOW, d), "query": (d, d), "key": (d, d),
             "value": (d, d), "out": (d, d), "classes": (d, n_classes),
@@ -141,6 +160,7 @@ class Model:
             for k, s in shapes.items()
         }
         self.p["bias"] = np.log(np.maximum(totals, 0.5) / totals.sum()).astype(np.float32)
+        self.p["members"] = np.zeros((n, d), np.float32)
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
         self._fast = None
 
@@ -181,7 +201,7 @@ class Model:
                 np.vstack([p["classes"], p["bias"]]),
                 np.tril(np.ones((WINDOW, WINDOW), np.float32)),
                 self.input_of.astype(np.int32),
-                self.class_of.astype(np.int32),
+                self.class_of,
             )
         pair, value, classes, seen, input_of, class_of = self._fast
         x = self.p["embed"][input_of[inputs]] + self.p["place"]
@@ -206,22 +226,60 @@ class Model:
             own = logits[low].astype(np.float64)
             peak = own.max(axis=1)
             total[low] = np.exp(np.maximum(peak, -700)) * np.exp(own - peak[:, None]).sum(axis=1)
-        return chosen - np.log(total) - top + self.within[ids]
+        found = chosen - np.log(total) - top
+        h = h[:, :WIDTH]
+        for at, lo, hi in self._by_class(ids):
+            logits = self._member_logits(h[at], lo, hi)
+            own = logits[np.arange(len(at)), self.member_of[ids[at]] - lo]
+            found[at] += own - np.log(np.exp(logits).sum(axis=1))
+        return found
+
+    def _by_class(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+        """Places of the ids of each class that occurs, and the borders of its members."""
+        classes = self.class_of[ids]
+        order = np.argsort(classes, kind="stable")
+        ends = np.cumsum(np.bincount(classes, minlength=len(self.borders) - 1))
+        begin = 0
+        for c, end in enumerate(ends.tolist()):
+            if end > begin:
+                yield order[begin:end], int(self.borders[c]), int(self.borders[c + 1])
+            begin = end
+
+    def _member_logits(self, h: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """Logits of the members of a class, the largest of each row zero."""
+        logits = h @ self.p["members"][lo:hi].T
+        logits += self.member_start[lo:hi]
+        logits -= logits.max(axis=1, keepdims=True)
+        return logits
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean loss of a batch; targets of -1 don't count."""
+        """Gradients of the mean loss of a batch; targets of -1 don't count. Those of the members are
+        the members they are for and the values."""
         p, rows = self.p, self.input_of[inputs]
         h, (x, q, k, v, weights, mixed) = self.hidden(rows)
-        counts = targets >= 0
-        logits = h @ p["classes"] + p["bias"]
-        logits -= logits.max(axis=2, keepdims=True)
-        e = np.exp(logits)
-        e /= e.sum(axis=2, keepdims=True)
-        b, t = np.nonzero(counts)
-        e[b, t, self.class_of[targets[b, t]]] -= 1
-        e *= counts[:, :, None] / np.float32(max(1, len(b)))
-        g = {"classes": np.einsum("btd,btc->dc", h, e, optimize=True), "bias": e.sum(axis=(0, 1))}
-        dh = e @ p["classes"].T
+        b, t = np.nonzero(targets >= 0)
+        ids, own = targets[b, t], h[b, t]
+        share = np.float32(1 / max(1, len(ids)))
+        e = own @ p["classes"] + p["bias"]
+        e -= e.max(axis=1, keepdims=True)
+        np.exp(e, out=e)
+        e /= e.sum(axis=1, keepdims=True)
+        e[np.arange(len(ids)), self.class_of[ids]] -= 1
+        e *= share
+        g = {"classes": own.T @ e, "bias": e.sum(axis=0)}
+        back = e @ p["classes"].T
+        touched, values = [np.zeros(0, np.int64)], [np.zeros((0, WIDTH), np.float32)]
+        for at, lo, hi in self._by_class(ids):
+            e, of = np.exp(self._member_logits(own[at], lo, hi)), own[at]
+            e /= e.sum(axis=1, keepdims=True)
+            e[np.arange(len(at)), self.member_of[ids[at]] - lo] -= 1
+            e *= share
+            touched.append(np.arange(lo, hi))
+            values.append(e.T @ of)
+            back[at] += e @ p["members"][lo:hi]
+        g["members"] = np.concatenate(touched), np.concatenate(values)
+        dh = np.zeros_like(h)
+        dh[b, t] = back
         flat = lambda a: a.reshape(-1, a.shape[-1])
         g["out"] = flat(mixed).T @ flat(dh)
         d_mixed = dh @ p["out"].T
@@ -234,7 +292,10 @@ class Model:
         dx = dh + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
         g["place"] = dx.sum(axis=0)
         g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], rows.reshape(-1), flat(dx))
+        order = np.argsort(rows, axis=None, kind="stable")
+        sorted_rows = rows.reshape(-1)[order]
+        heads = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
+        g["embed"][sorted_rows[heads]] = np.add.reduceat(flat(dx)[order], heads, axis=0)
         return g
 
 
@@ -248,21 +309,24 @@ class _Adam:
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
         for k, x in g.items():
-            self.m[k] += 0.1 * (x - self.m[k])
-            self.v[k] += 0.01 * (x * x - self.v[k])
-            self.model.p[k] -= np.float32(scale) * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
+            at, x = x if isinstance(x, tuple) else (slice(None), x)
+            m, v = self.m[k][at], self.v[k][at]
+            m = m + np.float32(0.1) * (x - m)
+            v = v + np.float32(0.01) * (x * x - v)
+            self.m[k][at], self.v[k][at] = m, v
+            self.model.p[k][at] -= np.float32(scale) * m / (np.sqrt(v) + np.float32(1e-8))
 
 
 # --- Counts ------------------------------------------------------------------
 
 _FIRST_DDL = (
-    "id_key bigint, text_key bigint, text_ids binary, words array<bigint>, "
-    "word_counts array<bigint>, id_counts binary, windows binary"
+    "id_key bigint, text_key bigint, trains boolean, text_ids binary, words array<bigint>, "
+    "word_counts array<bigint>, id_counts binary"
 )
 _FIRST = pa.schema(
-    [("id_key", pa.int64()), ("text_key", pa.int64()), ("text_ids", pa.binary()),
-     ("words", pa.list_(pa.int64())), ("word_counts", pa.list_(pa.int64())),
-     ("id_counts", pa.binary()), ("windows", pa.binary())]
+    [("id_key", pa.int64()), ("text_key", pa.int64()), ("trains", pa.bool_()),
+     ("text_ids", pa.binary()), ("words", pa.list_(pa.int64())),
+     ("word_counts", pa.list_(pa.int64())), ("id_counts", pa.binary())]
 )
 
 
@@ -271,25 +335,22 @@ def _rows_of(n: int, **columns) -> pa.RecordBatch:
 
 
 def _first_pass(path: str | None):
-    """Subword ids of every text, and the counts and windows of a task's training texts."""
+    """Subword ids of every text, and the counts of a task's training texts."""
 
-    def rows(parts: list[np.ndarray], ids: np.ndarray, sampled: list[np.ndarray]):
+    def rows(parts: list[np.ndarray], ids: np.ndarray):
         words, counts = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_counts=True)
-        stacked = np.concatenate([*sampled, np.zeros((0, 2 * WINDOW), np.int32)])
-        n = max(1, ceil(len(words) / 50_000), ceil(len(stacked) / 20_000))
-        split = lambda a: np.array_split(a, n)
-        for i, (w, c, s) in enumerate(zip(split(words), split(counts), split(stacked))):
+        n = max(1, ceil(len(words) / 50_000))
+        for i, (w, c) in enumerate(zip(np.array_split(words, n), np.array_split(counts, n))):
             yield _rows_of(
                 1,
                 words=[w.view(np.int64)],
                 word_counts=[c],
                 id_counts=[ids.tobytes() if i == 0 else b""],
-                windows=[s.astype(np.int32).tobytes()],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = _vocabulary(path or default_path()).vocab_size()
-        parts, ids, sampled, n = [], np.zeros(size, np.int64), [], 0
+        parts, ids, n = [], np.zeros(size, np.int64), 0
         for batch in batches:
             trains = batch.column(3).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in texts.pieces(batch.column(2)):
@@ -300,19 +361,18 @@ def _first_pass(path: str | None):
                     piece.n,
                     id_key=batch.column(0).slice(first, piece.n),
                     text_key=batch.column(1).slice(first, piece.n),
+                    trains=batch.column(3).slice(first, piece.n),
                     text_ids=[raw[a:b] for a, b in zip(at[:-1], at[1:])],
                 )
                 own = trains[first:end]
                 parts.append(piece.words[own[piece.rows]])
                 ids += np.bincount(piece.ids[np.repeat(own, np.diff(piece.borders))], minlength=size)
-                inputs, targets, of = windows(piece.ids, piece.borders, SAMPLE_EVERY)
-                sampled.append(np.concatenate([inputs, targets], axis=1)[own[of]])
                 n += len(parts[-1])
                 if n >= 4 * _KEYS_AT_ONCE:
-                    yield from rows(parts, ids, sampled)
-                    parts, ids, sampled, n = [], np.zeros(size, np.int64), [], 0
+                    yield from rows(parts, ids)
+                    parts, ids, n = [], np.zeros(size, np.int64), 0
         if ids.any():
-            yield from rows(parts, ids, sampled)
+            yield from rows(parts, ids)
 
     return run
 
@@ -331,8 +391,28 @@ def _sum_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"ids": [total.tobytes()]})
 
 
-def _trained(model_sent, turn: int):
-    """A copy trained on the windows of a task, as parameter sums weighted by its windows."""
+def _id_pieces(
+    column: pa.Array, size: int
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, row after the last, ids and borders of pieces of a column of ids as bytes."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    ids = data.view(_id_type(size)).astype(np.int32)
+    borders = (offsets - offsets[0]) // np.dtype(_id_type(size)).itemsize
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(borders, borders[lo] + _IDS_AT_ONCE, "right")) - 1)
+        own = borders[lo : hi + 1]
+        yield lo, hi, ids[own[0] : own[-1]], own - own[0]
+        lo = hi
+
+
+def _trained(model_sent, turn: int, size: int):
+    """A copy trained on a task's windows of this turn, as parameter sums weighted by its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The worker keeps the broadcast model for other tasks, so a copy is trained.
@@ -340,15 +420,16 @@ def _trained(model_sent, turn: int):
         model.p = {k: v.copy() for k, v in model.p.items()}
         adam, rng, seen = _Adam(model, RATE * 0.5 ** (turn - 1)), np.random.default_rng(turn), 0
         for batch in batches:
-            for raw in batch.column(0):
-                rows = np.frombuffer(raw.as_py(), np.int32).reshape(-1, 2 * WINDOW)
-                rows = rows[rng.permutation(len(rows))]
-                for at in range(0, len(rows), BATCH):
-                    part = rows[at : at + BATCH].astype(np.int64)
-                    adam.step(model.gradients(part[:, :WINDOW], part[:, WINDOW:]))
-                seen += len(rows)
+            keys = batch.column(0).to_numpy()
+            for lo, hi, ids, borders in _id_pieces(batch.column(1), size):
+                inputs, targets, _ = windows(ids, borders, ROUNDS, keys[lo:hi] + turn)
+                order = rng.permutation(len(inputs))
+                for at in range(0, len(order), BATCH):
+                    part = order[at : at + BATCH]
+                    adam.step(model.gradients(inputs[part], targets[part]))
+                seen += len(order)
         if seen:
-            sums = np.array_split(model.flat().astype(np.float64) * seen, _BLOCKS)
+            sums = np.array_split(model.flat() * np.float32(seen), _BLOCKS)
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array(range(_BLOCKS), pa.int32()),
@@ -364,7 +445,7 @@ def _averaged(table: pa.Table) -> pa.Table:
     total, seen = 0, 0
     for batch in table.to_batches():
         for sums, n in zip(batch.column(1), batch.column(2)):
-            total = total + np.frombuffer(sums.as_py(), np.float64)
+            total = total + np.frombuffer(sums.as_py(), np.float32).astype(np.float64)
             seen += n.as_py()
     return pa.table(
         {
@@ -388,7 +469,7 @@ _BASE_DDL = (
 
 
 def window_scores(
-    model: Model, ids: np.ndarray, borders: np.ndarray, at_once: int = 128
+    model: Model, ids: np.ndarray, borders: np.ndarray, at_once: int = 256
 ) -> np.ndarray:
     """log10 of the probability of each row's ids; every id is scored in one window."""
     n = len(borders) - 1
@@ -409,21 +490,12 @@ def _model_scores(model_sent, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_sent.value
         for batch in batches:
-            column = batch.column(2).cast(pa.large_binary())
-            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-            width = np.dtype(_id_type(size)).itemsize
-            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
-            ids = data.view(_id_type(size)).astype(np.int32)
-            borders = (offsets - offsets[0]) // width
-            scores = np.zeros(len(column))
-            lo = 0
-            while lo < len(column):
-                hi = max(lo + 1, int(np.searchsorted(borders, borders[lo] + _IDS_AT_ONCE, "right")) - 1)
-                own = borders[lo : hi + 1]
-                scores[lo:hi] = window_scores(model, ids[own[0] : own[-1]], own - own[0])
-                lo = hi
+            scores, n_ids = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
+            for lo, hi, ids, borders in _id_pieces(batch.column(2), size):
+                scores[lo:hi] = window_scores(model, ids, borders)
+                n_ids[lo:hi] = np.diff(borders)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores), pa.array(np.diff(borders))],
+                [batch.column(0), batch.column(1), pa.array(scores), pa.array(n_ids)],
                 names=["id_key", "text_key", "score", "n_subwords"],
             )
 
@@ -523,11 +595,14 @@ def language_model_scores(
 
     continues = np.array([not vocabulary.id_to_piece(i).startswith("▁") for i in range(size)])
     model = Model(id_counts, continues)
-    sampled = counted.where("length(windows) > 0").select("windows")
+    # The share of a text's windows that a round trains on follows from its keys.
+    training = first.where("text_ids IS NOT NULL AND trains").selectExpr(
+        f"pmod(xxhash64(id_key, text_key), {ROUNDS}) AS share", "text_ids"
+    )
     for turn in range(1, ROUNDS + 1):
         means = (
             texts.map_batches(
-                sampled, _trained(spark.sparkContext.broadcast(model), turn),
+                training, _trained(spark.sparkContext.broadcast(model), turn, size),
                 "block int, sums binary, seen bigint",
             )
             .groupBy("block")

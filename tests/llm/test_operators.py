@@ -277,6 +277,49 @@ def test_gradients_match_differences():
         assert isclose((up - down) / (2 * float(eps)), grads[name].reshape(-1)[k], rel_tol=0.05, abs_tol=2e-4)
 
 
+def test_every_window_trains_in_one_round():
+    import numpy as np
+    from sitetext.llm import attention as a
+
+    sizes = np.array([1, 5, a.WINDOW, a.WINDOW + 1, 700, 0, 90])
+    borders = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.arange(borders[-1], dtype=np.int32) + 3
+    pack = lambda x: Counter((r, *i, *t) for i, t, r in zip(x[0].tolist(), x[1].tolist(), x[2].tolist()))
+    rounds = sum((pack(a.windows(ids, borders, a.ROUNDS, np.arange(len(sizes)) + k)) for k in range(1, a.ROUNDS + 1)), Counter())
+    assert rounds == pack(a.windows(ids, borders))
+
+
+def test_rare_ids_of_a_class_are_told_apart_by_context():
+    import numpy as np
+    from sitetext.llm import attention as a
+
+    counts = np.zeros(32000, np.int64)
+    counts[:3000] = 100
+    counts[[20000, 20002]] = 5
+    model = a.Model(counts, np.arange(32000) % 2 == 1)
+    assert model.class_of[20000] == model.class_of[20002]
+    inputs = np.full((2, a.WINDOW), 4)
+    inputs[0, 1:], inputs[1, 1:] = 6, 8
+    targets = np.full((2, a.WINDOW), 20000)
+    targets[1] = 20002
+    grads, eps = model.gradients(inputs, targets), np.float32(1e-2)
+    every = np.ones(inputs.shape, bool)
+    loss = lambda: float(-model.log_probabilities(inputs, targets, every).mean())
+    members, values = grads["members"]
+    at, d = np.unravel_index(np.abs(values).argmax(), values.shape)
+    model.p["members"][members[at], d] += eps
+    up = loss()
+    model.p["members"][members[at], d] -= 2 * eps
+    assert isclose((up - loss()) / (2 * float(eps)), values[at, d], rel_tol=0.05, abs_tol=2e-4)
+    adam = a._Adam(model, 0.02)
+    for _ in range(200):
+        adam.step(model.gradients(inputs, targets))
+    model._fast = None
+    right = model.log_probabilities(inputs, targets, every).reshape(2, -1)[:, 5:]
+    wrong = model.log_probabilities(inputs, targets[::-1], every).reshape(2, -1)[:, 5:]
+    assert (right > wrong + 1).all()
+
+
 # --- 4 -----------------------------------------------------------------------
 
 

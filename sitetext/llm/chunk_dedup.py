@@ -4,12 +4,14 @@ A gear hash rolls over the bytes of a text: each byte shifts the hash by one bit
 number, so the hash depends on the last 32 bytes only. A chunk ends where the upper bits are zero.
 An insertion moves the borders near it and no others, so a passage has the same chunks wherever it
 stands. Chunks are compared by digest; neighbouring chunks that other documents hold as well join
-to passages.
+to runs. A run is a seed: both its ends are extended by comparing the text there with the text around
+the same chunk in the first and the last document that hold it, so passages are reported whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,9 @@ ZERO_BITS = 5
 GEAR_WINDOW = 32
 #: A border needs this many bytes without another since the last; longer chunks than MAX are cut.
 MIN_BYTES, MAX_BYTES = 12, 1024
-#: Fewest words of joined chunks that make a passage.
+#: Bytes of a passage before its first border that may have borders of one document only.
+_HEAD_BYTES = GEAR_WINDOW + MIN_BYTES + 4
+#: Fewest words of an extended run that make a passage.
 MIN_WORDS = 20
 
 #: Blocks of 8 KB of the filter of repeated digests. A fuller filter lets more chunks through.
@@ -37,9 +41,22 @@ _GEAR = np.random.default_rng(19937).integers(0, 2**32, 256, dtype=np.uint32)
 
 _CHUNKS = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-     ("n_words", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]
+     ("n_words", pa.int32()), ("high", pa.int64()), ("low", pa.int64()),
+     ("before", pa.string()), ("after", pa.string())]
 )
-_CHUNKS_DDL = "doc_id bigint, start bigint, end bigint, n_words int, high bigint, low bigint"
+_CHUNKS_DDL = (
+    "doc_id bigint, start bigint, end bigint, n_words int, high bigint, low bigint, "
+    "before string, after string"
+)
+_HELD = pa.schema(
+    [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int32()),
+     ("first_id", pa.int64()), ("more_before", pa.int64()), ("words_before", pa.int64()),
+     ("more_after", pa.int64()), ("words_after", pa.int64())]
+)
+_HELD_DDL = (
+    "doc_id bigint, start bigint, end bigint, n_words int, first_id bigint, more_before bigint, "
+    "words_before bigint, more_after bigint, words_after bigint"
+)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -133,19 +150,33 @@ def _suspects(zero_bits: int, filter_bits):
             for first, _, data, offsets in texts.pieces(batch.column(1)):
                 starts, ends, rows, high, low = _chunk_rows(data, offsets, zero_bits)
                 some = np.flatnonzero(bloom.may_contain(bits, high))
+                # A passage begins in the chunk before its first one or less than _HEAD_BYTES
+                # before that chunk, and ends in the chunk after its last one.
+                heads, tails = offsets[rows], offsets[rows + 1]
+                lows = np.maximum(heads, np.r_[0, starts[:-1]][: len(starts)] - _HEAD_BYTES)
+                highs = np.minimum(tails, np.r_[ends[1:], len(data)][: len(ends)])
+                raw = data.tobytes()
+                before = [raw[a:b].decode(errors="ignore") for a, b in zip(lows[some].tolist(), starts[some].tolist())]
+                # The last character of the chunk tells whether a word begins after it.
+                lasts = ends[some] - 1
+                for _ in range(3):
+                    lasts = lasts - ((data[lasts] & 0xC0) == 0x80)
+                after = [raw[a:b].decode() for a, b in zip(lasts.tolist(), highs[some].tolist())]
                 starts, ends, rows = starts[some], ends[some], rows[some]
                 chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 word_starts = texts.word_spans(data, offsets)[0]
                 words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
-                before = chars[offsets[rows]]
+                skipped = chars[offsets[rows]]
                 yield texts.pack(
                     {
                         "doc_id": ids.take(pa.array(rows + first)),
-                        "start": chars[starts] - before,
-                        "end": chars[ends] - before,
+                        "start": chars[starts] - skipped,
+                        "end": chars[ends] - skipped,
                         "n_words": words,
                         "high": high[some].view(np.int64),
                         "low": low[some].view(np.int64),
+                        "before": before,
+                        "after": after,
                     },
                     _CHUNKS,
                 )
@@ -153,6 +184,43 @@ def _suspects(zero_bits: int, filter_bits):
     return run
 
 
+def _n_words(text: str, previous: str) -> int:
+    """Words that begin in a text after this character; none is the beginning of a document."""
+    n, space = 0, not previous or previous in _BLANKS
+    for c in text:
+        blank = c in _BLANKS
+        n += space and not blank
+        space = blank
+    return n
+
+
+_BLANKS = frozenset(" \t\n\x0b\x0c\r")
+
+
+def _extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How far the text on either side of each chunk is that of another document, and its words."""
+    for batch in batches:
+        found = []
+        columns = (batch.column(n).to_pylist() for n in ("doc_id", "before", "after", "a", "b"))
+        for doc_id, before, after, a, b in zip(*columns):
+            others = [x for x in (a, b) if x["doc_id"] != doc_id]
+            back = before[::-1]
+            left = max(len(commonprefix([back, x["before"][::-1]])) for x in others)
+            right = max(len(commonprefix([after, x["after"]])) for x in others)
+            at = len(before) - left
+            found.append(
+                (
+                    left,
+                    _n_words(before[at:], before[at - 1 : at] if at else ""),
+                    right - 1,
+                    _n_words(after[1:right], after[0]),
+                )
+            )
+        names = ("more_before", "words_before", "more_after", "words_after")
+        own = {n: batch.column(n) for n in ("doc_id", "start", "end", "n_words", "first_id")}
+        yield texts.pack(own | {n: [x[i] for x in found] for i, n in enumerate(names)}, _HELD)
+
+
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -163,8 +231,9 @@ def repeated_passages(
     """One row per passage that other documents hold as well: doc_id, start, end (code points,
     end exclusive), n_words, n_chunks and first_id, the smallest doc_id that holds a chunk of it.
 
-    A passage is a run of neighbouring chunks that at least two doc_ids hold, with at least
-    `min_words` words that begin in it. The document with first_id gets a row too; the passage can
+    A passage is a run of neighbouring chunks that at least two doc_ids hold, extended at both ends
+    as far as the text is that of the first or the last other doc_id that holds the chunk there,
+    with at least `min_words` words that begin in it. The document with first_id gets a row too; the passage can
     stay there and go elsewhere. Rows with equal doc_id are one document. Null, empty and short
     texts have no passages; a document without doc_id is left out. An empty table gives none, and
     other columns are not read.
@@ -181,7 +250,7 @@ def repeated_passages(
         digests.groupBy("high", "low")
         .agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
         .where("first_id < last_id")
-        .select("high", "low", "first_id"),
+        .select("high", "low"),
         "repeated",
     )
     keys = texts.map_batches(repeated.select("high"), _filter_rows, bloom.KEY_ROWS)
@@ -189,11 +258,24 @@ def repeated_passages(
     suspects = staging.stage(
         texts.map_batches(source, _suspects(zero_bits, bits), _CHUNKS_DDL), "suspects"
     )
-    held = (
-        lookup(suspects, repeated, ["high", "low"], "doc_id", suspects.count(), _HOT_ROWS)
-        .where("first_id IS NOT NULL")
+    place = F.struct("doc_id", "start", "before", "after")
+    holders = staging.stage(
+        suspects.groupBy("high", "low")
+        .agg(F.min(place).alias("a"), F.max(place).alias("b"))
+        .where("a.doc_id < b.doc_id"),
+        "holders",
+    )
+    pairs = (
+        lookup(suspects, holders, ["high", "low"], "doc_id", suspects.count(), _HOT_ROWS)
+        .where("a IS NOT NULL")
+        .withColumn("first_id", F.col("a.doc_id"))
         .drop("high", "low")
-        .distinct()
+    )
+    held = texts.map_batches(pairs, _extensions, _HELD_DDL).groupBy(
+        "doc_id", "start", "end", "n_words", "first_id"
+    ).agg(
+        F.max(F.struct("more_before", "words_before")).alias("left"),
+        F.max(F.struct("more_after", "words_after")).alias("right"),
     )
     along = Window.partitionBy("doc_id").orderBy("start", "end")
     runs = held.withColumn(
@@ -202,12 +284,19 @@ def repeated_passages(
     return (
         runs.groupBy("doc_id", "run")
         .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
+            F.min(F.struct("start", "left")).alias("head"),
+            F.max(F.struct("end", "right")).alias("tail"),
             F.sum("n_words").cast("bigint").alias("n_words"),
             F.count("*").alias("n_chunks"),
             F.min("first_id").alias("first_id"),
         )
+        .selectExpr(
+            "doc_id",
+            "head.start - head.left.more_before AS start",
+            "tail.end + tail.right.more_after AS end",
+            "n_words + head.left.words_before + tail.right.words_after AS n_words",
+            "n_chunks",
+            "first_id",
+        )
         .where(f"n_words >= {min_words}")
-        .select("doc_id", "start", "end", "n_words", "n_chunks", "first_id")
     )

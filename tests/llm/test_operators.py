@@ -589,6 +589,28 @@ def test_repeated_passages(docs, empty):
     assert repeated_passages(empty).count() == 0
 
 
+def test_passages_just_over_fifty_words_are_found_whole(spark):
+    from random import Random
+    from sitetext.llm.chunk_dedup import repeated_passages
+
+    rng = Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    planted, docs_ = {}, []
+    for i in range(400):
+        passage = some(51)
+        for doc_id in (2 * i, 2 * i + 1):
+            before, after = some(80), some(80)
+            docs_.append((doc_id, f"{before} é|{passage}|{after}"))
+            planted[doc_id] = (len(before) + 3, len(before) + 3 + len(passage))
+    # Neighbours that happen to agree belong to the passage, so a span may be longer.
+    found = defaultdict(list)
+    for r in repeated_passages(spark.createDataFrame(docs_, "doc_id bigint, text string"), min_words=50).collect():
+        found[r["doc_id"]].append((r["start"], r["end"]))
+    whole = [d for d, (a, b) in planted.items() if any(a - 8 <= x <= a and b <= y <= b + 8 for x, y in found[d])]
+    assert len(whole) >= 0.99 * len(planted)
+
+
 def test_chunks_resist_insertions():
     import pyarrow as pa
     from sitetext.llm import texts as t

@@ -76,7 +76,12 @@ def all_matches(docs: DataFrame) -> DataFrame:
         .select("row", "k.kind", "k.parts")
     )
     gap = f"substring_index({{}}, '{_CLOSE}', -1)"
-    before = gap.format("get(parts, i - 1)")
+    # Context reaches over other matches of the kind. Each part has at least two characters and one
+    # mark, so this many parts hold all characters of it, and of a part no more are needed than:
+    parts, chars = CONTEXT_CHARS // 2, CONTEXT_CHARS + 1
+    joined = f"translate(array_join(transform(slice(parts, {{}}), x -> {{}}(x, {chars})), ''), '{_CLOSE}', '')"
+    before = joined.format(f"greatest(i - {parts}, 0) + 1, least(i, {parts})", "right")
+    behind = joined.format(f"i + 2, {parts}", "left")
     rows = cut.select("row", "kind", "parts", F.posexplode("parts").alias("i", "part")).selectExpr(
         "row",
         "kind",
@@ -84,7 +89,7 @@ def all_matches(docs: DataFrame) -> DataFrame:
         f"if(i = 0, '', substring_index(part, '{_CLOSE}', 1)) AS value",
         f"length({gap.format('part')}) AS gap",
         f"if(i = 0, '', right({before}, {CONTEXT_CHARS})) AS left_text",
-        f"left({gap.format('part')}, {CONTEXT_CHARS}) AS right_text",
+        f"left(concat(left({gap.format('part')}, {CONTEXT_CHARS}), {behind}), {CONTEXT_CHARS}) AS right_text",
     )
     # Equal rows share their key: every i comes once per copy, and the frame takes in its equals.
     along = "OVER (PARTITION BY row, kind ORDER BY i)"

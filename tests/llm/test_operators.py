@@ -543,6 +543,16 @@ def test_context_finds_unseen_identifiers(spark):
     assert all(len(got[i]) == 1 for i in range(12))
 
 
+def test_context_reaches_over_neighbouring_identifiers(spark):
+    from sitetext.llm.contextual_pii import personal_data
+
+    seeds = [f"{10025 + i} user{i}@site{i}.example.org {90817 + i} x" for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate([*seeds, "10077 bob77@intranet 90855 x"])), "doc_id bigint, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in personal_data(docs).collect()}
+    assert got[12] == [("ctx_email", 6, 20)]
+    assert all(len(got[i]) == 1 for i in range(12))
+
+
 # --- 9 -----------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from sitetext.llm.fertility import quality_rules
 from sitetext.llm.guess_cost import secret_spans
 from sitetext.llm.line_dedup import drop_repeated_lines
 from sitetext.llm.nbsvm import quality_scores
+from sitetext.llm.packing import packed_pieces
 from sitetext.llm.superminhash import near_duplicates
 
 
@@ -115,6 +116,11 @@ def op10_gear_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(_documents(spark, folder))
 
 
+def op13_monotone_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packed_pieces(_documents(spark, folder))
+
+
 QUERIES = {
     "op1_guess_cost_secrets": op1_guess_cost_secrets,
     "op2_tokenizer_fertility": op2_tokenizer_fertility,
@@ -126,6 +132,7 @@ QUERIES = {
     "op8_contextual_pii": op8_contextual_pii,
     "op9_bloom_line_dedup": op9_bloom_line_dedup,
     "op10_gear_chunks": op10_gear_chunks,
+    "op13_monotone_packing": op13_monotone_packing,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

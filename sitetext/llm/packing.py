@@ -32,7 +32,7 @@ from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from sitetext.llm import texts
 from sitetext.llm.bpe import _byte_characters, default_path
-from sitetext.llm.span_ids import SpanIds, gathered
+from sitetext.llm.span_ids import Ids, SpanIds, gathered
 
 #: Tokens of a full sequence.
 WINDOW = 2048
@@ -91,7 +91,7 @@ class WordTokens:
             text = body.decode("utf-8", "replace").rstrip(_CLOSING)
             self.ends_sentence[i] = text.endswith(tuple(_ENDS))
 
-    def _ids_of_cut(self, pattern, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids_of_cut(self, pattern, words: list[str]) -> Ids:
         """Ids of all words from one call, with a special token between neighbours."""
         text = " ".join(pattern.findall("\n".join(words).lower()))
         if not text.isascii():
@@ -103,7 +103,9 @@ class WordTokens:
         lengths = np.diff(np.concatenate([[-1], marks, [len(flat)]])) - 1
         return np.delete(flat, marks), lengths
 
-    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, words: list[bytes]) -> tuple[Ids]:
+        if not words:
+            return ((np.zeros(0, np.uint32), np.zeros(0, np.int64)),)
         joined = b"\n".join(words)
         strings = joined.decode().split("\n")
         kinds = self._kinds(joined, strings)
@@ -122,7 +124,7 @@ class WordTokens:
         for of, flat, sizes in found:
             lengths[of], heads[of] = sizes, np.cumsum(sizes) - sizes + before
             before += len(flat)
-        return gathered(np.concatenate([x[1] for x in found]), heads, lengths), lengths
+        return ((gathered(np.concatenate([x[1] for x in found]), heads, lengths), lengths),)
 
     def _kinds(self, joined: bytes, words: list[str]) -> np.ndarray:
         """Per word 0: visible ASCII, 1: letters that need no composing, 2: any other."""
@@ -311,7 +313,7 @@ def _pack(
         for first, end, data, offsets in texts.pieces(batch.column(1)):
             starts, ends, rows = parts_of_words(data, *texts.word_spans(data, offsets))
             hashes = texts.span_hashes(data, starts, ends)
-            flat, lengths = tokens.words.of(data.tobytes(), starts, ends, hashes)
+            [(flat, lengths)] = tokens.words.of(data.tobytes(), starts, ends, hashes)
             sizes = np.bincount(rows, weights=lengths, minlength=end - first).astype(np.int64) + 1
             ids = np.full(len(flat) + end - first, END_ID, np.uint32)
             inside = np.ones(len(ids), bool)

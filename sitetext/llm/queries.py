@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitetext.llm.alignment import aligned_tokens
 from sitetext.llm.attention import language_model_scores
 from sitetext.llm.bpe import encode_documents
 from sitetext.llm.chunk_dedup import repeated_passages
@@ -116,6 +117,11 @@ def op10_gear_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(_documents(spark, folder))
 
 
+def op11_lockstep_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every text."""
+    return aligned_tokens(_documents(spark, folder))
+
+
 def op13_monotone_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     return packed_pieces(_documents(spark, folder))
@@ -132,6 +138,7 @@ QUERIES = {
     "op8_contextual_pii": op8_contextual_pii,
     "op9_bloom_line_dedup": op9_bloom_line_dedup,
     "op10_gear_chunks": op10_gear_chunks,
+    "op11_lockstep_alignment": op11_lockstep_alignment,
     "op13_monotone_packing": op13_monotone_packing,
 }
 

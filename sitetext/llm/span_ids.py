@@ -15,6 +15,7 @@ import pandas as pd
 #: Distinct spans that a worker keeps before it starts anew.
 KEPT_SPANS = 400_000
 
+#: Ids of spans one after the other, and how many each span has.
 Ids = tuple[np.ndarray, np.ndarray]
 
 
@@ -34,37 +35,41 @@ def kinds_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SpanIds:
-    """Ids of distinct spans, by the hash of the span."""
+    """Ids of distinct spans under one or more vocabularies, by the hash of the span."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Ids], kept: int = KEPT_SPANS) -> None:
+    def __init__(
+        self, encode: Callable[[list[bytes]], tuple[Ids, ...]], kept: int = KEPT_SPANS
+    ) -> None:
         self._encode, self._kept = encode, kept
         self.forget()
 
     def forget(self) -> None:
         """Give the memory back."""
         self._slots: dict[int, int] = {}
-        self._flat = np.zeros(0, np.uint32)
-        self._lengths = np.zeros(0, np.int64)
+        self._known: list[Ids] = []
 
     def of(
         self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all spans one after the other, and how many each span has."""
-        if not len(starts):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    ) -> list[Ids]:
+        """For each vocabulary, the ids of all spans and how many each span has."""
         kind, first = kinds_of(hashes)
         if len(self._slots) > self._kept:
             self.forget()
         keys = hashes[first].tolist()
         slots = np.fromiter(map(self._slots.get, keys, repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(slots < 0)
-        if len(new):
+        if len(new) or not self._known:
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            flat, lengths = self._encode([raw[a:b] for a, b in spans])
-            slots[new] = np.arange(len(new)) + len(self._lengths)
-            self._flat = np.concatenate([self._flat, flat.astype(np.uint32)])
-            self._lengths = np.concatenate([self._lengths, lengths])
+            found = self._encode([raw[a:b] for a, b in spans])
+            slots[new] = np.arange(len(new)) + len(self._slots)
             self._slots.update((keys[i], s) for i, s in zip(new.tolist(), slots[new].tolist()))
-        lengths = self._lengths[slots][kind]
-        heads = (np.cumsum(self._lengths) - self._lengths)[slots][kind]
-        return gathered(self._flat, heads, lengths), lengths
+            if self._known:
+                pairs = zip(self._known, found, strict=True)
+                found = [tuple(map(np.concatenate, zip(a, b, strict=True))) for a, b in pairs]
+            self._known = list(found)
+        out = []
+        for flat, sizes in self._known:
+            lengths = sizes[slots][kind]
+            heads = (np.cumsum(sizes) - sizes)[slots][kind]
+            out.append((gathered(flat, heads, lengths), lengths))
+        return out

@@ -15,6 +15,7 @@ from sitetext.llm.guess_cost import secret_spans
 from sitetext.llm.line_dedup import drop_repeated_lines
 from sitetext.llm.nbsvm import quality_scores
 from sitetext.llm.packing import packed_pieces
+from sitetext.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_beginnings
 from sitetext.llm.superminhash import near_duplicates
 
 
@@ -122,6 +123,12 @@ def op11_lockstep_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return aligned_tokens(_documents(spark, folder))
 
 
+def op12_range_minimum_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt to share beginnings."""
+    turns = turn_sequences(_table(spark, folder, "conversations"))
+    return prefix_trie(with_shared_beginnings(turns))
+
+
 def op13_monotone_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     return packed_pieces(_documents(spark, folder))
@@ -139,12 +146,53 @@ QUERIES = {
     "op9_bloom_line_dedup": op9_bloom_line_dedup,
     "op10_gear_chunks": op10_gear_chunks,
     "op11_lockstep_alignment": op11_lockstep_alignment,
+    "op12_range_minimum_trie": op12_range_minimum_trie,
     "op13_monotone_packing": op13_monotone_packing,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# The bits of crc32 of a decimal number, one character after the other.
+_CRC32 = """xor(list_reduce(
+  list_prepend(4294967295, list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
 ORACLES: dict[str, str] = {
+    "op12_range_minimum_trie": rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  WHERE conv_id IS NOT NULL
+), original AS (
+  SELECT conv_id, list(sha256(length(r) || ':' || r || x) ORDER BY turn NULLS FIRST,
+      sha256(length(r) || ':' || r || x)) AS s,
+    list(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) ORDER BY turn NULLS FIRST,
+      sha256(length(r) || ':' || r || x)) AS w
+  FROM t GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(b.s, [])[1:c.h] || c.s[c.h + 1:] AS s,
+    coalesce(b.w, [])[1:c.h] || c.w[c.h + 1:] AS w
+  FROM (SELECT *, CAST({_CRC32.format("conv_id")} % 4 AS INT) AS h FROM original) c
+  LEFT JOIN original b ON b.conv_id = c.conv_id - c.conv_id % 20
+), member AS (
+  SELECT conv_id, unnest(range(0, len(s) + 1)) AS d, s, w FROM rebuilt
+), node AS (
+  SELECT s[1:d] AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN d = 0 THEN 0 ELSE any_value(w[d]) END AS words,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(s) = d), '') AS ends
+  FROM member GROUP BY s[1:d], d
+), child AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+under AS (
+  SELECT a.p, sum((b.n_convs - 1) * b.words) AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM node) b JOIN node a ON a.p = b.p[1:k]
+  LEFT JOIN child c ON c.p = b.p GROUP BY a.p
+)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs,
+  coalesce(c.n, 0) AS n_children, u.leaves AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM node n JOIN under u ON u.p = n.p LEFT JOIN child c ON c.p = n.p
+LEFT JOIN node q ON n.depth > 0 AND q.p = n.p[1:n.depth - 1]
+""",
     "op4_positional_index": rf"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w

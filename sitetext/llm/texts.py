@@ -64,6 +64,16 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def as_bytes_of_binary(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column and the offsets of its rows; null counts as empty."""
+    filled = values.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = filled.buffers()
+    n = len(filled)
+    offsets = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + n + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def pieces(
     texts: pa.Array, limit: int = PIECE_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -41,7 +41,8 @@ RUN_TOKENS = 1 << 20
 #: What a sequence costs besides padding, and a cut at the end of a sentence and anywhere else,
 #: in tokens of padding.
 SEQUENCE_COST, SENTENCE_COST, PLAIN_COST = 8, 2, 32
-#: Candidates between tokens stand this far apart where no sentence ends.
+#: Candidates between tokens stand this far apart, or a window if that is less, where no sentence
+#: ends.
 PLAIN_STEP = 64
 #: The id after each document.
 END_ID = 1
@@ -199,10 +200,10 @@ def candidates(
     cost[sentence_ends] = SENTENCE_COST
     cost[doc_ends] = cost[0] = 0
     given = np.flatnonzero(cost >= 0)
-    gaps = np.diff(given)
-    wide = np.flatnonzero(gaps > PLAIN_STEP)
+    gaps, step = np.diff(given), min(PLAIN_STEP, window)
+    wide = np.flatnonzero(gaps > step)
     for a, gap in zip(given[wide].tolist(), gaps[wide].tolist(), strict=True):
-        cost[a + PLAIN_STEP : a + gap : PLAIN_STEP] = PLAIN_COST
+        cost[a + step : a + gap : step] = PLAIN_COST
     places = np.flatnonzero(cost >= 0)
     return places, cost[places]
 
@@ -213,7 +214,7 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, window: int = WINDOW) -> np
     index = np.full(int(places[-1]) + 1, -1, np.int64)
     index[places] = np.arange(n)
     came, went = [], []
-    for power in range(window.bit_length() - 1):
+    for power in range(max(1, window.bit_length() - 1)):
         size = 1 << power
         ends = np.flatnonzero(places >= size)
         starts = index[places[ends] - size]

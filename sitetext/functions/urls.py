@@ -15,6 +15,8 @@ _URL = quoted(
 )
 _SCHEME = quoted(r"^([A-Za-z][A-Za-z0-9+.\-]*):")
 _AFTER_SCHEME = quoted(r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)(.*)$")
+# Slashes that open an authority which is empty.
+_EMPTY_AUTHORITY = quoted(r"^//(?=/|$)")
 _AFTER_PARAMS = quoted(r";[^/]*$")
 _PARAMS = quoted(r";([^/]*)$")
 _QUERY_PART = quoted(r"(?s)^[^?#]*(\?[^#]+)?")
@@ -167,7 +169,7 @@ def resolve_url(base: Sql, ref: Sql) -> Sql:
     """Absolute form of a cleaned reference; `base` is a `base_parts` struct.
 
     Follows RFC 3986 section 5.2, with the common leniency that a reference repeating the
-    base's scheme without an authority is relative.
+    base's scheme without an authority is relative, and so is one with an empty authority.
     """
     has_dots, query_only = quoted(r"/\.\.?(/|$)"), quoted(r"^\?[^#]")
 
@@ -184,7 +186,7 @@ def resolve_url(base: Sql, ref: Sql) -> Sql:
 
     def relative(r: Sql) -> Sql:
         return (
-            f"CASE WHEN startswith({r}.path, '//') "
+            f"CASE WHEN {r}.has_host "
             f"THEN concat({base}.scheme, ':', {r}.path, {r}.tail) "
             f"WHEN {r}.path <> '' THEN concat({base}.root, {absolute_path(f'{r}.path')}, {r}.tail) "
             f"WHEN rlike({r}.tail, {query_only}) THEN concat({base}.root, {base}.path, {r}.tail) "
@@ -198,9 +200,11 @@ def resolve_url(base: Sql, ref: Sql) -> Sql:
             f"ELSE {_without_empty_tail(relative(r))} END"
         )
 
+    path = f"regexp_extract({ref}, {_AFTER_SCHEME}, 1)"
     parts = (
         f"named_struct('ref', {ref}, 'scheme', {url_scheme(ref)}, "
-        f"'path', regexp_extract({ref}, {_AFTER_SCHEME}, 1), "
+        f"'has_host', rlike({path}, '^//[^/]'), "
+        f"'path', regexp_replace({path}, {_EMPTY_AUTHORITY}, ''), "
         f"'tail', regexp_extract({ref}, {_AFTER_SCHEME}, 2))"
     )
     return bind(parts, by_scheme)

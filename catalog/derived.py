@@ -12,6 +12,7 @@ from sitetext.functions.html import anchor_hrefs, extract_text, visible_markup
 from sitetext.functions.judgement import gated_text, is_blocked, render_reason
 from sitetext.functions.sql import Sql, each, quoted
 from sitetext.functions.urls import site_root, url_host, url_slug
+from sitetext.sources.places import has_places
 from sitetext.sources.tables import read_captures
 
 HIGH = ("the", "en")
@@ -25,13 +26,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def pages(spark: SparkSession, folder: str) -> DataFrame:
+def pages(spark: SparkSession, folder: str, places: bool = False) -> DataFrame:
     """The pages as the file is split; `catalog.partitions` deals them out, as the bench does,
-    whose file is one row group."""
-    partitions = spark.conf.get("catalog.partitions", None)
+    whose file is one row group. With `places` they stay where they are, to be read from there."""
+    partitions = None if places else spark.conf.get("catalog.partitions", None)
     return read_captures(
-        spark, f"{folder}/pages.parquet", partitions=int(partitions) if partitions else None
-    )
+        spark, f"{folder}/pages.parquet", places=places,
+        partitions=int(partitions) if partitions else None,
+    )
 
 
 def status_of(number: Sql) -> Sql:
@@ -50,11 +52,14 @@ def at_second(second: Sql) -> Sql:
 def page_attempts(source: DataFrame) -> DataFrame:
     """Fetch log of each page: a blocked answer is repeated, then even pages succeed.
 
-    Columns page_id, page_url, attempt, status, html, fetched_at.
+    Columns page_id, page_url, attempt, status, html, fetched_at, and place if pages have one.
     """
     blocked = is_blocked("first")
+    place = ["place"] if has_places(source) else []
     return (
-        source.selectExpr("page_id", "url AS page_url", "html", f"{status_of('page_id')} AS first")
+        source.selectExpr(
+            "page_id", "url AS page_url", "html", f"{status_of('page_id')} AS first", *place
+        )
         .withColumn("repeats", F.expr(f"if({blocked}, CAST(page_id % 5 AS int), 0)"))
         .withColumn("last", F.expr(f"repeats + if({blocked} AND page_id % 2 = 0, 1, 0)"))
         .selectExpr("*", "explode(sequence(0, last)) AS attempt")
@@ -65,13 +70,15 @@ def page_attempts(source: DataFrame) -> DataFrame:
             "if(attempt > repeats, 200, first) AS status",
             "html",
             f"{at_second('page_id + attempt')} AS fetched_at",
+            *place,
         )
     )
 
 
 def page_renders(source: DataFrame) -> DataFrame:
     """Renderings of every fourth page."""
-    return source.where("page_id % 4 = 0").selectExpr("url AS page_url", "html")
+    place = ["place"] if has_places(source) else []
+    return source.where("page_id % 4 = 0").selectExpr("url AS page_url", "html", *place)
 
 
 def judged_pages(source: DataFrame) -> DataFrame:
@@ -82,6 +89,7 @@ def judged_pages(source: DataFrame) -> DataFrame:
             "page_id", "url", f"{status_of('page_id')} AS status", f"{extract_text('html')} AS own_text",
             f"xxhash64({status_of('page_id')}, html) AS content",
             "if(page_id % 4 = 0, xxhash64(html), NULL) AS render_content",
+            *(["place"] if has_places(source) else []),
         )
         .withColumn("reason", F.expr(render_reason("status", "own_text")))
         .withColumn("escalated_to_js", F.expr("reason IS NOT NULL"))
@@ -116,6 +124,7 @@ def host_pages(source: DataFrame) -> DataFrame:
         f"{at_second('page_id')} AS first_fetched",
         f"{at_second('page_id + 5')} AS last_fetched",
         "if(escalated_to_js, render_content, content) AS content",
+        *(["if(escalated_to_js AND page_id % 4 > 0, NULL, place) AS place"] if has_places(source) else []),
     )
 
 

@@ -489,3 +489,20 @@ SELECT r.page_id::VARCHAR AS id, h.url, r.url AS page_url,
   (1700000000 + r.last_second)::BIGINT AS second, r.escalated_to_js
 FROM run_pages r JOIN home_page h ON h.page_id = r.page_id""",
 }
+ORACLES["page_digests_unplaced"] = ORACLES["page_digests"]
+ORACLES["raw_pages_unplaced"] = ORACLES["raw_pages"]
+ORACLES["host_boilerplate"] = f"""
+WITH t AS (
+  SELECT page_id, {_bare('url')} AS host, {_text("replace(html, '</article>', '<p>Notice of ' || " + _bare('url')
+    + " || '</p><p>Part ' || page_id % 7 || '</p></article>')")} AS text
+  FROM pages
+), l AS (
+  SELECT page_id, host, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM t
+), r AS (
+  SELECT host, line, true AS repeated FROM l WHERE line <> '' GROUP BY host, line HAVING count(DISTINCT page_id) >= 3
+)
+SELECT page_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE repeated IS NULL), '') AS text,
+  count(repeated)::INTEGER AS n_dropped
+FROM l LEFT JOIN r USING (host, line) GROUP BY page_id"""

@@ -31,6 +31,7 @@ from sitetext.functions.urls import (
     url_slug,
 )
 from sitetext.operators.attempts import fold_attempts, next_attempts
+from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
 from sitetext.operators.discovery import discover, site_documents
 from sitetext.operators.joins import lookup
 from sitetext.operators.pages import page_digests
@@ -38,6 +39,7 @@ from sitetext.operators.pages import render_queue as queue_of
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
 from sitetext.operators.rollup import log_rows, raw_rows, roll_up, tally
 from sitetext.plans.staging import Staging
+from sitetext.sources.places import with_places
 from sitetext.sources.sinks import append, with_schema
 from sitetext.sources.tables import (
     captured_attempts,
@@ -379,7 +381,15 @@ def rendered_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_digests_query(spark: SparkSession, folder: str) -> DataFrame:
     """Page records from fetch log and renderings, without their sitemap content."""
-    source = d.pages(spark, folder)
+    return _page_digests(d.pages(spark, folder, places=True))
+
+
+def page_digests_unplaced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of captures that don't name their places: every row is read."""
+    return _page_digests(d.pages(spark, folder))
+
+
+def _page_digests(source: DataFrame) -> DataFrame:
     digests = page_digests(
         d.page_attempts(source).drop("page_id"), d.page_renders(source), OPTIONS
     )
@@ -448,8 +458,16 @@ def document_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Markup each page was judged on, with its host as the company."""
-    source = d.pages(spark, folder)
+    """Markup each page was judged on, with its host as the company, read from its place."""
+    return _raw_pages(d.pages(spark, folder, places=True))
+
+
+def raw_pages_unplaced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of captures that don't name their places: wanted markup is joined."""
+    return _raw_pages(d.pages(spark, folder))
+
+
+def _raw_pages(source: DataFrame) -> DataFrame:
     rows = raw_rows(
         d.host_companies(source),
         d.host_pages(source).withColumn("attempt", F.lit(0)),
@@ -499,12 +517,16 @@ def write_read_results(spark: SparkSession, folder: str) -> DataFrame:
 # --- The whole run ------------------------------------------------------------------
 
 
-def _run(spark: SparkSession, folder: str):
+def _run(spark: SparkSession, folder: str, stored: bool = False):
+    """A run over sites made of the pages; `stored` writes the captures first and reads them by
+    their places, as a run over files of captures does."""
     located = _sites(spark, folder)
-    return run_companies(
-        d.site_companies(located), "id", "url",
-        d.site_attempts(located), d.site_renders(located), OPTIONS,
-    )
+    attempts, renders = d.site_attempts(located), d.site_renders(located)
+    if stored:
+        staging = Staging(spark)
+        attempts = with_places(staging.stage(attempts, "attempts"))
+        renders = with_places(staging.stage(renders, "renders"))
+    return run_companies(d.site_companies(located), "id", "url", attempts, renders, OPTIONS)
 
 
 def company_results(spark: SparkSession, folder: str) -> DataFrame:
@@ -542,9 +564,22 @@ def hot_site_pages(spark: SparkSession, folder: str) -> DataFrame:
     return lookup(ids, texts, ["key"], "page_id", source.count(), hot_rows=10)
 
 
+def host_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
+    """Page texts without the lines that three pages of the host share; each page gets two more."""
+    added = (
+        f"concat('<p>Notice of ', {bare_host('url')}, '</p><p>Part ', page_id % 7, '</p></article>')"
+    )
+    text = extract_text(f"replace(html, '</article>', {added})")
+    texts = d.pages(spark, folder).selectExpr("page_id", "url AS page_url", f"{text} AS text")
+    staging = Staging(spark)
+    texts = staging.stage(texts, "texts")
+    repeated = staging.stage(repeated_blocks(texts, min_pages=3), "repeated")
+    return without_boilerplate(texts, repeated).select("page_id", "text", "n_dropped")
+
+
 def company_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw pages of the same run."""
-    return _run(spark, folder).raw.selectExpr(
+    """Raw pages of the same run, read from the files of its captures."""
+    return _run(spark, folder, stored=True).raw.selectExpr(
         "id", "url", "page_url", "md5(html) AS html_md5", "unix_seconds(fetched_at) AS second",
         "escalated_to_js",
     )
@@ -577,6 +612,7 @@ QUERIES = {
     "render_queue": render_queue_query,
     "rendered_pages": rendered_pages,
     "page_digests": page_digests_query,
+    "page_digests_unplaced": page_digests_unplaced,
     "captured_pages": captured_pages,
     "company_rollup": company_rollup,
     "first_error": first_error,
@@ -585,6 +621,7 @@ QUERIES = {
     "pages_array": pages_array,
     "document_rollup": document_rollup,
     "raw_pages": raw_pages,
+    "raw_pages_unplaced": raw_pages_unplaced,
     "pending_companies": pending_companies,
     "shard_union": shard_union,
     "write_read_results": write_read_results,
@@ -593,4 +630,5 @@ QUERIES = {
     "company_raw_pages": company_raw_pages,
     "link_less_homepages": link_less_homepages,
     "hot_site_pages": hot_site_pages,
+    "host_boilerplate": host_boilerplate,
 }

@@ -78,12 +78,14 @@ class Options:
 
     `max_raw_links` keeps the first so many links that a site's source gives, before any filter,
     and `max_child_sitemaps` reads the first so many children of a sitemap index; None, the
-    default, takes all.
+    default, takes all. `boilerplate_pages` drops lines that so many pages of a host share from the
+    texts of pages, after they are judged; None, the default, keeps them.
     """
 
     max_subpages: int = 8
     max_raw_links: int | None = None
     max_child_sitemaps: int | None = None
+    boilerplate_pages: int | None = None
     high_value_keywords: tuple[str, ...] = HIGH_VALUE_KEYWORDS
     low_value_keywords: tuple[str, ...] = LOW_VALUE_KEYWORDS
     retry_mode: str = "full"
@@ -101,6 +103,8 @@ class Options:
             raise ValueError("max_subpages counts the homepage and must be at least 1")
         if any(n is not None and n < 0 for n in (self.max_raw_links, self.max_child_sitemaps)):
             raise ValueError("max_raw_links and max_child_sitemaps must not be negative")
+        if self.boilerplate_pages is not None and self.boilerplate_pages < 2:
+            raise ValueError("boilerplate_pages must be at least 2")
         for name in ("high_value_keywords", "low_value_keywords", "challenge_phrases"):
             words = getattr(self, name)
             if isinstance(words, str):

@@ -1,7 +1,8 @@
 """From captured markup to one judged record per page.
 
 This is the only step that reads html, and the markup ends here: each row is reduced to its text
-and links in the task that scanned it, and only those are shuffled.
+and links in the task that read it, and only those are shuffled. Where captures carry their places,
+the rows that count are found first and only these are read.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from sitetext.functions.sitemaps import is_markup, robots_sitemaps, sitemap
 from sitetext.functions.sql import head
 from sitetext.functions.urls import has_binary_extension, robots_address, site_root
 from sitetext.operators.attempts import attempt_rank, within_budget
+from sitetext.sources.places import has_places, read_at
 
 
 def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
@@ -28,8 +30,8 @@ def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Opti
     return rows.unionByName(renders.select("page_url", "html"), allowMissingColumns=True)
 
 
-def _reduced(rows: DataFrame, options: Options) -> DataFrame:
-    """Text, links and sitemap content of each row, in place of its html."""
+def _reduced(rows: DataFrame, options: Options, *kept: str) -> DataFrame:
+    """Text, links and sitemap content of each row, in place of its html; `kept` stay too."""
     # The body of a blocked page is replaced by its rendering, so it need not be read.
     unread = f"attempt IS NOT NULL AND {is_blocked('status')}" if options.js_fallback else "false"
     # Sitemaps and robots files are fetched once, without retries.
@@ -55,32 +57,81 @@ def _reduced(rows: DataFrame, options: Options) -> DataFrame:
             "sitemap.is_index AS is_index",
             f"{is_markup(document)} AS is_markup",
             f"if({own_robots}, {robots_sitemaps(document)}, NULL) AS robots",
+            *kept,
         )
     )
 
 
-def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
-    """One record per captured address: outcome, judged text, links, sitemap content.
+_CAPTURED = "attempt, status, content, text, anchors, locs, is_index, is_markup, robots"
+_RENDERED = "text, anchors, render_rank.content"
 
-    Columns: page_url, attempt, status, retries_used, first_fetched, last_fetched, reason,
-    escalated, text, text_len, anchors, unused_anchors (of a rendering that was not needed so
-    far), content and render_content (hashes of the attempt and the rendering that count), locs,
-    is_index, is_markup, robots.
-    """
+
+def _folded_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+    """Every row reduced, then one per page kept: for captures without places."""
     rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
-    captured = "struct(attempt, status, content, text, anchors, locs, is_index, is_markup, robots)"
-    folded = (
+    return (
         _reduced(_captured_rows(attempts, renders, options), options)
         .groupBy("page_url")
         .agg(
-            expr(f"min_by({captured}, {rank})").alias("c"),
+            expr(f"min_by(struct({_CAPTURED}), {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
-            expr("max_by(struct(text, anchors, render_rank.content), render_rank)").alias("r"),
+            expr(f"max_by(struct({_RENDERED}), render_rank)").alias("r"),
+            expr("min(fetched_at)").alias("first_fetched"),
+            expr("max(fetched_at)").alias("last_fetched"),
+        )
+    )
+
+
+def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+    """The attempt and the rendering that count are found by their places, and only these are read.
+
+    No row with text is sorted: what is folded is narrow, and texts of attempts meet those of
+    renderings, one row per page each, in a hash join.
+    """
+    rank = attempt_rank("xxhash64(place.file, place.row)")
+    named = (
+        within_budget(attempts, options)
+        .groupBy("page_url")
+        .agg(
+            expr(f"min_by(struct(attempt, status, place), {rank})").alias("o"),
             expr("min(fetched_at)").alias("first_fetched"),
             expr("max(fetched_at)").alias("last_fetched"),
         )
-        .withColumn("status", expr("coalesce(c.status, 0)"))
-        .withColumn("own_text", expr("coalesce(c.text, '')"))
+        .select("page_url", "first_fetched", "last_fetched", "o.*")
+    )
+    own = _reduced(
+        read_at(named).withColumn("fetched_at", expr("last_fetched")), options,
+        "place", "first_fetched", "last_fetched",
+    ).selectExpr("page_url", f"struct({_CAPTURED}, place) AS c", "first_fetched", "last_fetched")
+    if renders is None or not options.js_fallback:
+        nothing = "struct(CAST(NULL AS string) AS text, c.anchors AS anchors, 0L AS content, c.place AS place)"
+        return own.withColumn("r", expr(f"if(true, NULL, {nothing})"))
+    longest = renders.groupBy("page_url").agg(
+        expr("max_by(place, struct(length(html), xxhash64(html)))").alias("place")
+    )
+    none = "CAST(NULL AS int) AS attempt", "CAST(NULL AS int) AS status", "CAST(NULL AS timestamp) AS fetched_at"
+    shown = _reduced(read_at(longest).selectExpr("*", *none), options, "place").selectExpr(
+        "page_url", f"struct({_RENDERED}, place) AS r"
+    )
+    return own.join(shown.hint("shuffle_hash"), "page_url", "full")
+
+
+def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+    """One record per captured address: outcome, judged text, links, sitemap content.
+
+    Columns: page_url, attempt, status, retries_used, first_fetched, last_fetched, reason,
+    escalated, text, text_len, anchors, unused_anchors (of a rendering that was not needed so
+    far), content and render_content (hashes of the attempt and the rendering that count), locs,
+    is_index, is_markup, robots.
+
+    Where attempts and renders have places (see `sources.places`), only the rows that count are
+    read, and their places stay in the record, as place and render_place. Among copies of one
+    attempt the hash of the content decides without places, and the hash of the place with them.
+    """
+    by_place = has_places(attempts, renders)
+    folded = (_folded_places if by_place else _folded_rows)(attempts, renders, options)
+    folded = folded.withColumn("status", expr("coalesce(c.status, 0)")).withColumn(
+        "own_text", expr("coalesce(c.text, '')")
     )
     reason = render_reason("status", "own_text") if options.js_fallback else "CAST(NULL AS string)"
     text = "if(escalated, coalesce(r.text, ''), own_text)"
@@ -107,6 +158,7 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
             "c.is_index",
             "c.is_markup",
             "c.robots",
+            *(("c.place AS place", "r.place AS render_place") if by_place else ()),
         )
     )
 

@@ -11,6 +11,7 @@ from sitetext.functions.sql import Sql
 from sitetext.functions.urls import url_slug
 from sitetext.operators.attempts import within_budget
 from sitetext.operators.joins import lookup
+from sitetext.sources.places import has_places, read_at
 
 _RENDERED = -1  # stands for the attempt number of a rendering
 
@@ -19,9 +20,10 @@ def company_pages(
     selected: DataFrame, digests: DataFrame, options: Options, rows: int
 ) -> DataFrame:
     """The `rows` selected pages with their records; one never captured counts as no response."""
+    places = ["place", "render_place"] if has_places(digests) else []
     records = digests.select(
         "page_url", "attempt", "status", "retries_used", "first_fetched", "last_fetched",
-        "reason", "text", "text_len", "content", "render_content",
+        "reason", "text", "text_len", "content", "render_content", *places,
     )
     unseen = "if(status IS NULL, 'blocked', reason)" if options.js_fallback else "reason"
     return (
@@ -42,6 +44,7 @@ def company_pages(
             "first_fetched",
             "last_fetched",
             "if(reason IS NOT NULL, render_content, content) AS content",
+            *(["if(reason IS NOT NULL, render_place, place) AS place"] if places else []),
         )
     )
 
@@ -154,10 +157,21 @@ def raw_rows(
 ) -> DataFrame:
     """The raw page table: the markup each of the `rows` selected pages was judged on.
 
-    The only place where html is shuffled, so it is built only on request. The record of a page
-    holds the hash of the content it was judged on, and rows of html are first reduced to those
-    that a page names by address, attempt and hash. Copies of one of them are equal.
+    Where the pages carry the places of their markup, it is read from there and never shuffled.
+    Otherwise this is the only place where html is shuffled, so it is built only on request: the
+    record of a page holds the hash of the content it was judged on, and rows of html are first
+    reduced to those that a page names by address, attempt and hash. Copies of one are equal.
     """
+    raw = [
+        "id", "home AS url", "page_url", "coalesce(html, '') AS html",
+        "last_fetched AS fetched_at", "escalated_to_js",
+    ]
+    if has_places(pages):
+        named = companies.select("company_key", "id", "home").join(
+            pages.select("company_key", "page_url", "place", "escalated_to_js", "last_fetched"),
+            "company_key",
+        )
+        return read_at(named).selectExpr(*raw)
     wanted = companies.select("company_key", "id", "home").join(
         pages.selectExpr(
             "company_key", "page_url", f"if(escalated_to_js, {_RENDERED}, attempt) AS source",
@@ -186,11 +200,4 @@ def raw_rows(
         .where("_n = 1")
         .drop("_n")
     )
-    return lookup(wanted, bodies, keys, "company_key", rows).selectExpr(
-        "id",
-        "home AS url",
-        "page_url",
-        "coalesce(html, '') AS html",
-        "last_fetched AS fetched_at",
-        "escalated_to_js",
-    )
+    return lookup(wanted, bodies, keys, "company_key", rows).selectExpr(*raw)

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitetext.config import LOG_SCHEMA, RAW_SCHEMA, RESULTS_SCHEMA, Options
+from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
 from sitetext.operators.discovery import discover, select_pages, site_documents
 from sitetext.operators.pages import page_digests, render_queue
 from sitetext.operators.rollup import (
@@ -117,6 +118,10 @@ def run_companies(
         with_company_key(company_rows(companies, id_col, url_col)), "companies"
     )
     digests = staging.stage(page_digests(attempts, renders, options), "digests")
+    if options.boilerplate_pages is not None:
+        repeated = staging.stage(repeated_blocks(digests, options.boilerplate_pages), "repeated")
+        cleaned = without_boilerplate(digests, repeated).drop("n_dropped")
+        digests = staging.stage(cleaned.withColumn("text_len", F.length("text")), "cleaned")
     documents = staging.stage(site_documents(digests), "documents")
     located = keyed.where("home IS NOT NULL").select("company_key", "home")
     selected = staging.stage(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitetext.functions.sql import Sql, bind
 from sitetext.functions.urls import clean_reference, normalize_url
+from sitetext.sources.places import has_places, with_places
 
 
 def read_table(spark: SparkSession, source: str, file_format: str = "parquet") -> DataFrame:
@@ -16,15 +17,17 @@ def read_table(spark: SparkSession, source: str, file_format: str = "parquet") -
 
 
 def read_captures(
-    spark: SparkSession, source: str, file_format: str = "parquet", partitions: int | None = None
-) -> DataFrame:
-    """Captured pages, as the files are split.
+    spark: SparkSession, source: str, file_format: str = "parquet",
+    partitions: int | None = None, places: bool = False,
+) -> DataFrame:
+    """Captured pages, as the files are split; with `places`, Parquet rows name their place.
 
     Reading markup is bound by the processor: set `spark.sql.files.maxPartitionBytes` low.
     `partitions` deals the rows out anew, for a few files of one row group each; it shuffles the
     markup once for every use of the frame.
     """
     rows = read_table(spark, source, file_format)
+    rows = with_places(rows) if places else rows
     return rows if partitions is None else rows.repartition(partitions)
 
 
@@ -59,6 +62,7 @@ def captured_attempts(captures: DataFrame) -> DataFrame:
         status.cast("int").alias("status"),
         "html",
         "fetched_at",
+        *(["place"] if has_places(captures) else []),
     )
 
 

@@ -506,3 +506,34 @@ WITH t AS (
 SELECT page_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE repeated IS NULL), '') AS text,
   count(repeated)::INTEGER AS n_dropped
 FROM l LEFT JOIN r USING (host, line) GROUP BY page_id"""
+_WITH_TAIL = (
+    "replace(html, '</article>', '<ul><li><a href=/1>Link ' || page_id || '</a></li><li><a href=/2>All of the others"
+    "</a>, next</li></ul><a href=/3><div>First half of a card</div><div>and its second half of ' || "
+    "repeat('card ', 20) || '</div></a><div>by the <b>card</b></div><p>' || repeat('a long end ', "
+    "(page_id % 12)::INTEGER) || '<a href=/4>with a link</a></p><p>The <a href=/5> end</a> .</p></article>')"
+)
+_WITH_MARKS = f"replace(regexp_replace({_WITH_TAIL}, '<a [^>]*>', '⟦', 'g'), '</a>', '⟧')"
+ORACLES["dense_text"] = f"""
+WITH t AS (SELECT page_id, {_text(_WITH_MARKS)} AS text FROM pages), l AS (
+  SELECT page_id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM t
+), s AS (
+  SELECT *, coalesce(sum(len(string_split(line, '⟦')) - len(string_split(line, '⟧')))
+    OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open
+  FROM l
+), w AS (
+  SELECT page_id, i, trim(regexp_replace(translate(line, '⟦⟧', ''), ' {{2,}}', ' ', 'g')) AS plain,
+    length(translate(line, '⟦⟧', '')) AS n,
+    coalesce(length(array_to_string(regexp_extract_all(CASE WHEN open > 0 THEN '⟦' ELSE '' END || line, '⟦([^⟧]*)', 1), '')), 0) AS links
+  FROM s
+), c AS (
+  SELECT *, 2 * links <= n AS is_prose, 2 * links <= n AND n >= 80 AS is_long FROM w WHERE plain <> ''
+), k AS (
+  SELECT *, is_prose AND (is_long OR NOT bool_or(is_long) OVER (PARTITION BY page_id)
+    OR coalesce(lag(is_long) OVER (PARTITION BY page_id ORDER BY i), false)
+    OR coalesce(lead(is_long) OVER (PARTITION BY page_id ORDER BY i), false)) AS kept
+  FROM c
+)
+SELECT t.page_id, coalesce(string_agg(plain, chr(10) ORDER BY i) FILTER (WHERE kept), '') AS text
+FROM t LEFT JOIN k ON k.page_id = t.page_id GROUP BY t.page_id"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import derived as d
 from sitetext import Options, run_companies
 from sitetext.config import LOG_SCHEMA, SITEMAP_NAMESPACE
-from sitetext.functions.html import anchor_links, extract_text
+from sitetext.functions.html import anchor_links, dense_text, extract_text
 from sitetext.functions.judgement import is_blocked
 from sitetext.functions.links import ranked_links, site_links, without_homepage
 from sitetext.functions.sitemaps import is_sitemap_index, robots_sitemaps, sitemap_locs
@@ -352,6 +352,18 @@ def extract_text_query(spark: SparkSession, folder: str) -> DataFrame:
     return d.pages(spark, folder).selectExpr("page_id", f"{extract_text('html')} AS text")
 
 
+def dense_text_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Prose of pages that end in a list of links, a card that is one link, and a caption."""
+    tail = (
+        "concat('<ul><li><a href=/1>Link ', page_id, '</a></li><li><a href=/2>All of the others"
+        "</a>, next</li></ul><a href=/3><div>First half of a card</div><div>and its second half of ', "
+        "repeat('card ', 20), '</div></a><div>by the <b>card</b></div><p>', repeat('a long end ', "
+        "CAST(page_id % 12 AS int)), '<a href=/4>with a link</a></p><p>The <a href=/5> end</a> .</p></article>')"
+    )
+    text = dense_text(f"replace(html, '</article>', {tail})")
+    return d.pages(spark, folder).selectExpr("page_id", f"{text} AS text")
+
+
 def page_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Pages by status and reason for rendering: how many, how many usable, how much text."""
     judged = d.judged_pages(d.pages(spark, folder))
@@ -608,6 +620,7 @@ QUERIES = {
     "fold_attempts": fold_attempts_query,
     "next_attempts": next_attempts_query,
     "extract_text": extract_text_query,
+    "dense_text": dense_text_query,
     "page_quality": page_quality,
     "render_queue": render_queue_query,
     "rendered_pages": rendered_pages,

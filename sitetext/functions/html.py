@@ -132,10 +132,14 @@ def _main_content(markup: Sql) -> Sql:
     return bind(markup, lambda m: f"coalesce({inner(m, 'article')}, {inner(m, 'main')}, {m})")
 
 
-def markup_text(markup: Sql) -> Sql:
-    """Prose of visible markup, one block per line; `''` when there is none."""
+def _prose(markup: Sql) -> Sql:
+    """The main part of visible markup, boilerplate elements taken out."""
     shallow = rf"regexp_replace({markup}, {_INNERMOST_PATTERN}, '\n')"
-    prose = _main_content(rf"regexp_replace({shallow}, {_BOILERPLATE_PATTERN}, '\n')")
+    return _main_content(rf"regexp_replace({shallow}, {_BOILERPLATE_PATTERN}, '\n')")
+
+
+def _text_of(prose: Sql) -> Sql:
+    """Text of markup, one block per line."""
     lines = rf"regexp_replace(replace({prose}, '\n', ' '), {_BLOCK_PATTERN}, '\n')"
     plain = unescape(f"regexp_replace({lines}, {_TAG_PATTERN}, '')")
     blanks = quoted(f"[ {_BLANK}]{{2,}}|[{_BLANK}]")
@@ -145,6 +149,84 @@ def markup_text(markup: Sql) -> Sql:
     return rf"coalesce(trim(BOTH ' \n' FROM regexp_replace({tidy}, '\n\n+', '\n')), '')"
 
 
+def markup_text(markup: Sql) -> Sql:
+    """Prose of visible markup, one block per line; `''` when there is none."""
+    return _text_of(_prose(markup))
+
+
+# Private characters that stand for the start and the end of an anchor while blocks are weighed.
+_LINK, _NO_LINK = "\ue000", "\ue001"
+_LINK_TEXT = quoted(f"{_LINK}[^{_NO_LINK}]*{_NO_LINK}?")
+_MARKS = f"'{_LINK}{_NO_LINK}'"
+# A block of this many characters is prose if links are at most this share of it.
+_LONG_BLOCK, _LINK_PERCENT = 80, 50
+
+
+def weighed_blocks(markup: Sql) -> Sql:
+    """Blocks of visible markup in order: array of text, chars and link_chars.
+
+    An anchor reaches over blocks up to its end, the next anchor or the end of the page, so each
+    block knows how much of it is link.
+    """
+    prose = _prose(f"translate({markup}, {_MARKS}, '')")
+    opened = f"regexp_replace({prose}, {_opens('a')}, '{_LINK}')"
+    closing = quoted(rf"(?i)</a{_ATTRS}>")
+    text = _text_of(f"regexp_replace({opened}, {closing}, '{_NO_LINK}')")
+
+    def reopened(part: Sql) -> Sql:
+        """A part that starts in an anchor, with the anchor opened again on every line of it."""
+        inside = f"split_part({part}, '{_NO_LINK}', 1)"
+        after = f"substr({part}, length({inside}) + 2)"
+        return (
+            rf"concat('{_LINK}', replace({inside}, '\n', '{_NO_LINK}\n{_LINK}'), '{_NO_LINK}', {after})"
+        )
+
+    part, place = fresh(), fresh()
+    marked = (
+        f"array_join(transform(split({text}, '{_LINK}'), ({part}, {place}) -> "
+        f"if({place} = 0, {part}, {reopened(part)})), '')"
+    )
+
+    def weighed(line: Sql) -> Sql:
+        plain = f"translate({line}, {_MARKS}, '')"
+        outside = f"translate(regexp_replace({line}, {_LINK_TEXT}, ''), {_MARKS}, '')"
+        return (
+            f"named_struct('text', trim(regexp_replace({plain}, ' {{2,}}', ' ')), "
+            f"'chars', length({plain}), 'link_chars', length({plain}) - length({outside}))"
+        )
+
+    return keep(each(rf"split({marked}, '\n')", weighed), lambda b: f"{b}.text <> ''")
+
+
+def dense_text(html: Sql) -> Sql:
+    """Prose of a page without its lists of links; `''`, never null, when there is none.
+
+    Blocks that are mostly links go. A long block stays, and a short one, such as a heading or a
+    caption, stays next to a long one; where no block is long, all that are not links stay.
+    """
+
+    def chosen(blocks: Sql) -> Sql:
+        def is_prose(b: Sql) -> Sql:
+            return f"100 * {b}.link_chars <= {_LINK_PERCENT} * {b}.chars"
+
+        def is_long(b: Sql) -> Sql:
+            return f"({b}.chars >= {_LONG_BLOCK} AND {is_prose(b)})"
+
+        block, place, any_block = fresh(), fresh(), fresh()
+        beside = " OR ".join(
+            f"coalesce({is_long(f'get({blocks}, {place} {step} 1)')}, false)" for step in "-+"
+        )
+        some_long = f"exists({blocks}, {any_block} -> {is_long(any_block)})"
+        kept = (
+            f"filter({blocks}, ({block}, {place}) -> {is_prose(block)} AND "
+            f"({is_long(block)} OR NOT {some_long} OR {beside}))"
+        )
+        return rf"array_join({each(kept, lambda b: f'{b}.text')}, '\n')"
+
+    blocks = bind(visible_markup(html), weighed_blocks)
+    return f"coalesce({bind(blocks, chosen)}, '')"
+
+
 def extract_text(html: Sql) -> Sql:
     """Prose of a page; `''`, never null, when there is none."""
     return markup_text(visible_markup(html))

@@ -23,8 +23,9 @@ from pyspark.sql.types import StructType
 from sitetext.plans.workers import map_in_workers
 
 PLACE = "place struct<file: string, row: bigint>"
-#: Neighbouring rows of a file that one task reads.
-_ROWS_OF_A_TASK = 20_000
+#: Neighbouring rows of a file that one task reads, unless the session sets it: about those of a
+#: row group, since a task decodes every row group that holds one of its rows.
+ROWS_OF_A_TASK, ROWS_SETTING = 2_000, "sitetext.rows.of.a.task"
 #: Rows that are decoded at once.
 _ROWS_AT_ONCE = 256
 
@@ -116,7 +117,8 @@ def read_at(wanted: DataFrame, column: str = "html") -> DataFrame:
     Only `wanted` is shuffled, by file and neighbourhood. A row without a place gets null; a place
     may occur in any number of rows. Files must be readable by address from the executors.
     """
-    near = expr(f"CAST(floor(place.row / {_ROWS_OF_A_TASK}) AS bigint)")
+    rows = int(wanted.sparkSession.conf.get(ROWS_SETTING, str(ROWS_OF_A_TASK)))
+    near = expr(f"place.row DIV {rows}")
     in_order = wanted.repartition(
         _partitions(wanted.sparkSession), expr("place.file"), near
     ).sortWithinPartitions("place.file", "place.row")

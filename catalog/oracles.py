@@ -537,3 +537,38 @@ WITH t AS (SELECT page_id, {_text(_WITH_MARKS)} AS text FROM pages), l AS (
 )
 SELECT t.page_id, coalesce(string_agg(plain, chr(10) ORDER BY i) FILTER (WHERE kept), '') AS text
 FROM t LEFT JOIN k ON k.page_id = t.page_id GROUP BY t.page_id"""
+ORACLES["stable_keys"] = f"""
+WITH g AS (
+  SELECT CASE WHEN page_id % 3 = 0 THEN 'same' ELSE (page_id % 50)::VARCHAR END AS id,
+    CASE WHEN page_id % 3 = 0 THEN 'x.example' ELSE {_host('url')} END AS url
+  FROM pages
+)
+SELECT id, url, md5(length(id) || ':' || id || '/=' || url) || '-' || (row_number() OVER (PARTITION BY id, url) - 1)
+  AS company_key FROM g"""
+ORACLES["balanced_shards"] = """
+SELECT 8::BIGINT AS n_shards, count(*) AS n_pages, sum(strlen(html))::BIGINT AS n_bytes, true AS balanced FROM pages"""
+ORACLES["rejected_pages"] = """
+WITH f AS (
+  SELECT CASE WHEN page_id % 9 > 0 THEN url WHEN page_id % 2 > 0 THEN '  ' END AS page_url,
+    (CASE page_id % 9 WHEN 1 THEN -1 ELSE 0 END)::INTEGER AS attempt,
+    (CASE WHEN page_id % 9 = 2 THEN 999 WHEN page_id % 9 = 8 AND page_id % 2 = 0 THEN 404 ELSE 200 END)::INTEGER AS status,
+    1700000000 + page_id AS second,
+    CASE page_id % 9 WHEN 0 THEN 'no_address' WHEN 1 THEN 'bad_attempt' WHEN 2 THEN 'bad_status' WHEN 3 THEN 'no_markup'
+      WHEN 4 THEN 'unclosed' WHEN 5 THEN 'unclosed' WHEN 6 THEN 'broken_xml'
+      WHEN 8 THEN CASE WHEN page_id % 2 > 0 THEN 'no_markup' END END AS faults,
+    page_id % 9 < 3 AS fatal
+  FROM pages
+)
+SELECT * FROM f WHERE faults IS NOT NULL"""
+ORACLES["attempt_times"] = f"""
+WITH {_ATTEMPTS}, a AS (
+  SELECT page_id, url, attempt, status, page_id + attempt AS second FROM attempts WHERE attempt < 5
+  UNION ALL SELECT page_id, url, 4, 404, page_id + 9000 FROM pages WHERE page_id % 3 = 1
+), t AS (
+  SELECT url, coalesce(min(attempt) FILTER (WHERE NOT {_blocked('status')}), max(attempt)) AS terminal FROM a GROUP BY url
+)
+SELECT url AS page_url, terminal::INTEGER AS retries_used, 1700000000 + min(second) AS first,
+  1700000000 + max(second) AS last
+FROM a JOIN t USING (url) WHERE attempt <= terminal GROUP BY url, terminal"""
+ORACLES["checked_options"] = """
+SELECT page_id, CASE WHEN page_id % 7 IN (0, 2) THEN 'taken' ELSE 'refused' END AS answer FROM pages"""

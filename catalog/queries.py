@@ -37,17 +37,20 @@ from sitetext.operators.joins import lookup
 from sitetext.operators.pages import page_digests
 from sitetext.operators.pages import render_queue as queue_of
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
+from sitetext.operators.rejects import rejected_captures
 from sitetext.operators.rollup import log_rows, raw_rows, roll_up, tally
 from sitetext.plans.staging import Staging
 from sitetext.sources.places import with_places
 from sitetext.sources.sinks import append, with_schema
 from sitetext.sources.tables import (
+    balanced_shards,
     captured_attempts,
     company_rows,
     pending,
     read_table,
     shard,
     union_shards,
+    with_company_key,
 )
 
 # Limits that two queries are about; no other query cuts links.
@@ -529,6 +532,83 @@ def write_read_results(spark: SparkSession, folder: str) -> DataFrame:
 # --- The whole run ------------------------------------------------------------------
 
 
+def stable_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of companies of which many are copies, dealt out anew before they are keyed."""
+    given = d.pages(spark, folder).selectExpr(
+        "if(page_id % 3 = 0, 'same', CAST(page_id % 50 AS string)) AS id",
+        f"if(page_id % 3 = 0, 'x.example', {url_host('url')}) AS url",
+    )
+    keyed = with_company_key(company_rows(given.repartition(7), "id", "url"))
+    return keyed.select("id", "url", "company_key")
+
+
+def balanced_shards_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight shards of pages as companies, weighed by the bytes captured for them."""
+    weighed = d.pages(spark, folder).selectExpr("page_id", "octet_length(html) AS bytes")
+    sums = balanced_shards(weighed, "page_id", "bytes", 8).groupBy("shard").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("widest")
+    )
+    # Which shard a row falls in depends on a hash; sizes and totals don't.
+    return sums.agg(
+        F.count("*").alias("n_shards"), F.sum("n").alias("n_pages"), F.sum("bytes").alias("n_bytes"),
+        F.expr("max(bytes) <= sum(bytes) / 8 + max(widest)").alias("balanced"),
+    )
+
+
+def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Captured rows with faults, when pages are spoilt in seven ways; the rest have none."""
+    spoilt = (
+        "CASE page_id % 9 WHEN 3 THEN repeat(' \n', 500000) WHEN 4 THEN concat(html, '<script>if(a<b)') "
+        "WHEN 5 THEN concat(html, '<!-- end') "
+        f"WHEN 6 THEN concat('<urlset xmlns=', char(34), '{SITEMAP_NAMESPACE}', char(34), '><url><loc>', url, '</url>') "
+        "WHEN 7 THEN concat(repeat('<div><b>', 5000), html) WHEN 8 THEN NULL ELSE html END"
+    )
+    attempts = d.pages(spark, folder).selectExpr(
+        "if(page_id % 9 = 0, if(page_id % 2 = 0, NULL, '  '), url) AS page_url",
+        "CAST(if(page_id % 9 = 1, -1, 0) AS int) AS attempt",
+        "CAST(CASE WHEN page_id % 9 = 2 THEN 999 WHEN page_id % 9 = 8 AND page_id % 2 = 0 THEN 404 ELSE 200 END AS int) AS status",
+        f"{spoilt} AS html",
+        f"{d.at_second('page_id')} AS fetched_at",
+    )
+    return rejected_captures(attempts).selectExpr(
+        "page_url", "attempt", "status", "unix_seconds(fetched_at) AS second",
+        "array_join(faults, ',') AS faults", "fatal",
+    )
+
+
+def attempt_times(spark: SparkSession, folder: str) -> DataFrame:
+    """When pages were captured first and last, up to the attempt that counts; later ones follow."""
+    source = d.pages(spark, folder)
+    attempts = d.page_attempts(source).drop("page_id")
+    after = source.where("page_id % 3 = 1").selectExpr(
+        "url AS page_url", "4 AS attempt", "404 AS status", "html",
+        f"{d.at_second('page_id + 9000')} AS fetched_at",
+    )
+    digests = page_digests(attempts.unionByName(after), None, OPTIONS)
+    return digests.selectExpr(
+        "page_url", "retries_used", "unix_seconds(first_fetched) AS first",
+        "unix_seconds(last_fetched) AS last",
+    )
+
+
+def checked_options(spark: SparkSession, folder: str) -> DataFrame:
+    """What each page's options would be answered with: which are refused before anything is read."""
+    kinds = [
+        {}, {"persist_raw_html": True}, {"persist_raw_html": True, "output_path": "/out/x"},
+        {"max_subpages": 0}, {"max_raw_links": -1}, {"high_value_keywords": "about"}, {"boilerplate_pages": 1},
+    ]
+    answers = []
+    for n, kind in enumerate(kinds):
+        try:
+            Options(**kind)
+            answers.append(f"WHEN {n} THEN 'taken'")
+        except ValueError:
+            answers.append(f"WHEN {n} THEN 'refused'")
+    return d.pages(spark, folder).selectExpr(
+        "page_id", f"CASE page_id % {len(kinds)} {' '.join(answers)} END AS answer"
+    )
+
+
 def _run(spark: SparkSession, folder: str, stored: bool = False):
     """A run over sites made of the pages; `stored` writes the captures first and reads them by
     their places, as a run over files of captures does."""
@@ -644,4 +724,9 @@ QUERIES = {
     "link_less_homepages": link_less_homepages,
     "hot_site_pages": hot_site_pages,
     "host_boilerplate": host_boilerplate,
+    "stable_keys": stable_keys,
+    "balanced_shards": balanced_shards_query,
+    "rejected_pages": rejected_pages,
+    "attempt_times": attempt_times,
+    "checked_options": checked_options,
 }

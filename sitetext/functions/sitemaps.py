@@ -99,6 +99,19 @@ def sitemap(body: Sql) -> Sql:
     return f"coalesce(if({_may_be_sitemap(body)}, {found}, NULL), {nothing})"
 
 
+def is_broken_sitemap(body: Sql) -> Sql:
+    """True for a body that means to be a sitemap and is not well formed."""
+
+    def broken(markup: Sql) -> Sql:
+        return bind(
+            f"regexp_replace({markup}, {_SECTIONS}, '')",
+            lambda plain: f"NOT {_well_formed(body, plain)}",
+        )
+
+    found = bind(f"regexp_replace({body}, {_OUTSIDE}, '')", broken)
+    return f"coalesce({_may_be_sitemap(body)} AND {is_markup(body)} AND {found}, false)"
+
+
 def sitemap_locs(body: Sql) -> Sql:
     """Addresses of a sitemap or of a sitemap index, in order."""
     return f"{sitemap(body)}.locs"

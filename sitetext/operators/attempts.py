@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.functions import expr
 
 from sitetext.config import Options
@@ -27,6 +27,28 @@ def attempt_rank(content: Sql) -> Sql:
     return f"struct({order} AS position, -{CAPTURED_AT} AS age, {content} AS content)"
 
 
+def times_by_attempt(options: Options) -> list[Column]:
+    """Aggregates for `first_and_last`: capture times of the attempts up to each number."""
+
+    def upto(function: str) -> Column:
+        times = ", ".join(
+            f"{function}(if(attempt <= {n}, fetched_at, NULL))" for n in range(options.attempt_budget)
+        )
+        return expr(f"array({times})").alias(f"_{function}_times")
+
+    return [upto("min"), upto("max")]
+
+
+def first_and_last(terminal: Sql) -> tuple[Sql, Sql]:
+    """Times of the first and last capture of a page up to its terminal attempt; later attempts
+    don't count."""
+    number = f"CAST({terminal} AS int)"
+    return (
+        f"get(_min_times, {number}) AS first_fetched",
+        f"get(_max_times, {number}) AS last_fetched",
+    )
+
+
 def within_budget(attempts: DataFrame, options: Options) -> DataFrame:
     """Attempts the retry mode allows. A missing number is read as the first attempt, a missing
     status as no response."""

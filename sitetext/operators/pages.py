@@ -16,13 +16,19 @@ from sitetext.functions.judgement import gated_text, is_blocked, render_reason
 from sitetext.functions.sitemaps import is_markup, robots_sitemaps, sitemap
 from sitetext.functions.sql import head
 from sitetext.functions.urls import has_binary_extension, robots_address, site_root
-from sitetext.operators.attempts import attempt_rank, within_budget
+from sitetext.operators.attempts import (
+    attempt_rank,
+    first_and_last,
+    times_by_attempt,
+    within_budget,
+)
+from sitetext.operators.rejects import usable
 from sitetext.sources.places import has_places, read_at
 
 
 def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
     """Attempts and renders as one table, so that both go through one scan and one shuffle."""
-    rows = within_budget(attempts, options).select(
+    rows = within_budget(usable(attempts), options).select(
         "page_url", "attempt", "status", "html", "fetched_at"
     )
     if renders is None or not options.js_fallback:
@@ -76,9 +82,9 @@ def _folded_rows(attempts: DataFrame, renders: DataFrame | None, options: Option
             expr(f"min_by(struct({_CAPTURED}), {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
             expr(f"max_by(struct({_RENDERED}), render_rank)").alias("r"),
-            expr("min(fetched_at)").alias("first_fetched"),
-            expr("max(fetched_at)").alias("last_fetched"),
+            *times_by_attempt(options),
         )
+        .selectExpr("page_url", "c", "r", *first_and_last("c.attempt"))
     )
 
 
@@ -90,14 +96,13 @@ def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Opti
     """
     rank = attempt_rank("xxhash64(place.file, place.row)")
     named = (
-        within_budget(attempts, options)
+        within_budget(usable(attempts), options)
         .groupBy("page_url")
         .agg(
             expr(f"min_by(struct(attempt, status, place), {rank})").alias("o"),
-            expr("min(fetched_at)").alias("first_fetched"),
-            expr("max(fetched_at)").alias("last_fetched"),
+            *times_by_attempt(options),
         )
-        .select("page_url", "first_fetched", "last_fetched", "o.*")
+        .selectExpr("page_url", *first_and_last("o.attempt"), "o.*")
     )
     own = _reduced(
         read_at(named).withColumn("fetched_at", expr("last_fetched")), options,
@@ -124,6 +129,9 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     far), content and render_content (hashes of the attempt and the rendering that count), locs,
     is_index, is_markup, robots.
 
+    Rows without an address, and with an impossible attempt number or status, take no part (see
+    `operators.rejects`).
+
     Where attempts and renders have places (see `sources.places`), only the rows that count are
     read, and their places stay in the record, as place and render_place. Among copies of one
     attempt the hash of the content decides without places, and the hash of the place with them.

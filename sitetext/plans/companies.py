@@ -12,6 +12,7 @@ from sitetext.config import LOG_SCHEMA, RAW_SCHEMA, RESULTS_SCHEMA, Options
 from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
 from sitetext.operators.discovery import discover, select_pages, site_documents
 from sitetext.operators.pages import page_digests, render_queue
+from sitetext.operators.rejects import rejected_captures
 from sitetext.operators.rollup import (
     company_pages,
     log_rows,
@@ -80,6 +81,11 @@ class Run:
         """Pages of this run that wait for a rendering."""
         return render_queue(self.pages, self.renders)
 
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """Captured rows with faults and the reasons; reads all markup once more."""
+        return rejected_captures(self.attempts)
+
     def write(self, resume: bool = False) -> None:
         """Append raw pages, log and results, in this order, to the targets that are set.
 

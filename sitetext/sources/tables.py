@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sitetext.functions.sql import Sql, bind
 from sitetext.functions.urls import clean_reference, normalize_url
@@ -45,12 +45,29 @@ def company_rows(companies: DataFrame, id_col: str, url_col: str) -> DataFrame:
     ).selectExpr("id", "url", f"{bind(clean_reference('url'), home)} AS home")
 
 
+#: Copies of one input row that are numbered at once.
+_COPIES_AT_ONCE = 10_000
+
+
 def with_company_key(companies: DataFrame) -> DataFrame:
-    """A key per input row, so that equal rows stay apart.
+    """id, url, home and a key per input row, so that equal rows stay apart.
 
-    The key depends on how the input is split: stage the result before it is used twice.
+    The key is a digest of id and url, and a number among rows that have both in common. It does
+    not depend on how the input is split or ordered. Equal rows are counted, which tasks do before
+    the shuffle, and written out again, so any share of the input may be copies of one row.
     """
-    return companies.withColumn("company_key", F.monotonically_increasing_id())
+    given = "concat(coalesce(concat(length(id), ':', id), ''), '/', coalesce(concat('=', url), ''))"
+    return (
+        companies.groupBy("id", "url", "home")
+        .count()
+        .selectExpr("*", f"explode(sequence(0L, (count - 1) DIV {_COPIES_AT_ONCE})) AS _block")
+        .selectExpr(
+            "*",
+            f"explode(sequence(_block * {_COPIES_AT_ONCE}, "
+            f"least(count, (_block + 1) * {_COPIES_AT_ONCE}) - 1)) AS _copy",
+        )
+        .selectExpr("id", "url", "home", f"concat(md5({given}), '-', _copy) AS company_key")
+    )
 
 
 def captured_attempts(captures: DataFrame) -> DataFrame:
@@ -79,5 +96,51 @@ def shard(companies: DataFrame, count: int, index: int, key: str) -> DataFrame:
     return companies.where(F.pmod(F.xxhash64(key), F.lit(count)) == index)
 
 
+#: Keys are summed up in so many parts.
+_SUMMED_PARTS = 4096
+
+
+def balanced_shards(companies: DataFrame, key: str, weight: str, count: int) -> DataFrame:
+    """The companies with a column `shard` from 0 to `count` - 1, of about equal sums of `weight`.
+
+    `weight`, such as captured bytes, is a number of at least 0 per row; null counts as 0. `key`
+    differs from row to row. Rows lie in the order of the hash of their key; the sum up to each row
+    decides its shard. The sum is taken in two steps: over parts, of which there are a fixed
+    number, and within each part. A shard is larger than the others by one row at most. If all
+    weights are 0, rows count.
+    """
+    parted = companies.withColumns(
+        {
+            "_part": F.expr(f"CAST(pmod(xxhash64({key}), {_SUMMED_PARTS}) AS int)"),
+            "_weight": F.expr(f"CAST(coalesce({weight}, 0) AS double)"),
+        }
+    )
+    sums = parted.groupBy("_part").agg(F.sum("_weight").alias("_sum"), F.count("*").alias("_rows"))
+    # As many rows as there are parts.
+    everything = Window.partitionBy(F.lit(0))
+    before = everything.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.select(
+        "_part",
+        F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_before"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+        F.sum("_sum").over(everything).alias("_total"),
+        F.sum("_rows").over(everything).alias("_all_rows"),
+    )
+    within = Window.partitionBy("_part").orderBy(F.xxhash64(key), key)
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The middle of a row decides, so a heavy row falls to the shard that holds most of it.
+    share = (
+        "if(_total > 0, (_before + _upto - _weight / 2) / _total, "
+        "(_rows_before + _number - 0.5D) / _all_rows)"
+    )
+    return (
+        parted.withColumn("_upto", F.sum("_weight").over(upto))
+        .withColumn("_number", F.row_number().over(within))
+        .join(F.broadcast(placed), "_part")
+        .withColumn("shard", F.expr(f"CAST(least({count} - 1, floor({count} * {share})) AS int)"))
+        .select(*companies.columns, "shard")
+    )
+
+
 def union_shards(shards: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, shards)

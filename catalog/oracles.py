@@ -572,3 +572,8 @@ SELECT url AS page_url, terminal::INTEGER AS retries_used, 1700000000 + min(seco
 FROM a JOIN t USING (url) WHERE attempt <= terminal GROUP BY url, terminal"""
 ORACLES["checked_options"] = """
 SELECT page_id, CASE WHEN page_id % 7 IN (0, 2) THEN 'taken' ELSE 'refused' END AS answer FROM pages"""
+ORACLES["incremental_records"] = ORACLES["page_digests"]
+ORACLES["grouped_commit"] = f"""
+WITH {_HOST_PAGES}
+SELECT target, company_key AS id, status, num_pages_tried AS subpages_tried
+FROM tallied, (SELECT unnest(['raw', 'log', 'results']) AS target)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import derived as d
@@ -39,7 +41,9 @@ from sitetext.operators.pages import render_queue as queue_of
 from sitetext.operators.ranking import cap_links, site_link_rows, top_links
 from sitetext.operators.rejects import rejected_captures
 from sitetext.operators.rollup import log_rows, raw_rows, roll_up, tally
+from sitetext.plans.records import RecordStore
 from sitetext.plans.staging import Staging
+from sitetext.sources.commits import commit, committed
 from sitetext.sources.places import with_places
 from sitetext.sources.sinks import append, with_schema
 from sitetext.sources.tables import (
@@ -399,6 +403,21 @@ def page_digests_query(spark: SparkSession, folder: str) -> DataFrame:
     return _page_digests(d.pages(spark, folder, places=True))
 
 
+def incremental_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The same records from a store that took the captures in three times, as they came."""
+    source = d.pages(spark, folder)
+    attempts = d.page_attempts(source).drop("page_id")
+    staging = Staging(spark)
+    log, shown = f"{staging.folder}/attempts", f"{staging.folder}/renders"
+    store = RecordStore(spark, f"{staging.folder}/store", OPTIONS)
+    d.page_renders(source).write.parquet(shown)
+    store.add(shown, renders=True)
+    for arrived in ("attempt = 1", "attempt <> 1 AND status <> 200", "status = 200 AND attempt <> 1"):
+        append(attempts.where(arrived), log)
+        store.add(log)
+    return _columns_of_digests(store.digests())
+
+
 def page_digests_unplaced(spark: SparkSession, folder: str) -> DataFrame:
     """The same of captures that don't name their places: every row is read."""
     return _page_digests(d.pages(spark, folder))
@@ -408,6 +427,10 @@ def _page_digests(source: DataFrame) -> DataFrame:
     digests = page_digests(
         d.page_attempts(source).drop("page_id"), d.page_renders(source), OPTIONS
     )
+    return _columns_of_digests(digests)
+
+
+def _columns_of_digests(digests: DataFrame) -> DataFrame:
     return digests.selectExpr(
         "page_url",
         "status",
@@ -532,6 +555,40 @@ def write_read_results(spark: SparkSession, folder: str) -> DataFrame:
 # --- The whole run ------------------------------------------------------------------
 
 
+def grouped_commit(spark: SparkSession, folder: str) -> DataFrame:
+    """What readers see of three targets after two writers at the same time, a run that failed
+    between its targets, and one that was repeated."""
+    source = d.pages(spark, folder)
+    rows = with_schema(
+        log_rows(d.host_companies(source), tally(d.host_pages(source)), F.expr(d.at_second("0"))),
+        LOG_SCHEMA,
+    )
+    base = Staging(spark).folder
+    runs, targets = f"{base}/runs", [f"{base}/{name}" for name in ("raw", "log", "results")]
+    fails = rows.withColumn("error", F.raise_error(F.lit("the writer stops")).cast("string"))
+
+    def write(part: int, last: DataFrame | None = None) -> None:
+        half = shard(rows, 2, part, "id")
+        commit(dict(zip(targets, (half, half, half if last is None else last))), runs, f"run-{part}")
+
+    try:
+        write(1, last=fails)
+    except Exception as error:
+        if "the writer stops" not in str(error):
+            raise
+    with ThreadPoolExecutor(2) as writers:
+        list(writers.map(write, (0, 1)))
+    write(0)
+    return union_shards(
+        [
+            committed(spark, target, runs, LOG_SCHEMA).selectExpr(
+                f"'{target.split('/')[-1]}' AS target", "id", "status", "subpages_tried"
+            )
+            for target in targets
+        ]
+    )
+
+
 def stable_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Keys of companies of which many are copies, dealt out anew before they are keyed."""
     given = d.pages(spark, folder).selectExpr(
@@ -706,6 +763,7 @@ QUERIES = {
     "rendered_pages": rendered_pages,
     "page_digests": page_digests_query,
     "page_digests_unplaced": page_digests_unplaced,
+    "incremental_records": incremental_records,
     "captured_pages": captured_pages,
     "company_rollup": company_rollup,
     "first_error": first_error,
@@ -724,6 +782,7 @@ QUERIES = {
     "link_less_homepages": link_less_homepages,
     "hot_site_pages": hot_site_pages,
     "host_boilerplate": host_boilerplate,
+    "grouped_commit": grouped_commit,
     "stable_keys": stable_keys,
     "balanced_shards": balanced_shards_query,
     "rejected_pages": rejected_pages,

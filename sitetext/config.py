@@ -124,3 +124,8 @@ class Options:
     def raw_path(self) -> str | None:
         """Target of the raw page table, or None when raw pages are not kept."""
         return f"{self.output_path}_raw" if self.persist_raw_html else None
+
+    @property
+    def runs_path(self) -> str:
+        """Manifests of committed runs."""
+        return f"{self.output_path}_runs"

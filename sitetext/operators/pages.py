@@ -36,7 +36,7 @@ def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Opti
     return rows.unionByName(renders.select("page_url", "html"), allowMissingColumns=True)
 
 
-def _reduced(rows: DataFrame, options: Options, *kept: str) -> DataFrame:
+def reduced_rows(rows: DataFrame, options: Options, *kept: str) -> DataFrame:
     """Text, links and sitemap content of each row, in place of its html; `kept` stay too."""
     # The body of a blocked page is replaced by its rendering, so it need not be read.
     unread = f"attempt IS NOT NULL AND {is_blocked('status')}" if options.js_fallback else "false"
@@ -68,20 +68,21 @@ def _reduced(rows: DataFrame, options: Options, *kept: str) -> DataFrame:
     )
 
 
-_CAPTURED = "attempt, status, content, text, anchors, locs, is_index, is_markup, robots"
-_RENDERED = "text, anchors, render_rank.content"
+#: What a record keeps of the attempt and of the rendering that count, from `reduced_rows`.
+CAPTURED = "attempt, status, content, text, anchors, locs, is_index, is_markup, robots"
+RENDERED = "text, anchors, render_rank.content"
 
 
 def _folded_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
     """Every row reduced, then one per page kept: for captures without places."""
     rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
     return (
-        _reduced(_captured_rows(attempts, renders, options), options)
+        reduced_rows(_captured_rows(attempts, renders, options), options)
         .groupBy("page_url")
         .agg(
-            expr(f"min_by(struct({_CAPTURED}), {rank})").alias("c"),
+            expr(f"min_by(struct({CAPTURED}), {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
-            expr(f"max_by(struct({_RENDERED}), render_rank)").alias("r"),
+            expr(f"max_by(struct({RENDERED}), render_rank)").alias("r"),
             *times_by_attempt(options),
         )
         .selectExpr("page_url", "c", "r", *first_and_last("c.attempt"))
@@ -104,10 +105,10 @@ def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Opti
         )
         .selectExpr("page_url", *first_and_last("o.attempt"), "o.*")
     )
-    own = _reduced(
+    own = reduced_rows(
         read_at(named).withColumn("fetched_at", expr("last_fetched")), options,
         "place", "first_fetched", "last_fetched",
-    ).selectExpr("page_url", f"struct({_CAPTURED}, place) AS c", "first_fetched", "last_fetched")
+    ).selectExpr("page_url", f"struct({CAPTURED}, place) AS c", "first_fetched", "last_fetched")
     if renders is None or not options.js_fallback:
         nothing = "struct(CAST(NULL AS string) AS text, c.anchors AS anchors, 0L AS content, c.place AS place)"
         return own.withColumn("r", expr(f"if(true, NULL, {nothing})"))
@@ -115,8 +116,8 @@ def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Opti
         expr("max_by(place, struct(length(html), xxhash64(html)))").alias("place")
     )
     none = "CAST(NULL AS int) AS attempt", "CAST(NULL AS int) AS status", "CAST(NULL AS timestamp) AS fetched_at"
-    shown = _reduced(read_at(longest).selectExpr("*", *none), options, "place").selectExpr(
-        "page_url", f"struct({_RENDERED}, place) AS r"
+    shown = reduced_rows(read_at(longest).selectExpr("*", *none), options, "place").selectExpr(
+        "page_url", f"struct({RENDERED}, place) AS r"
     )
     return own.join(shown.hint("shuffle_hash"), "page_url", "full")
 
@@ -137,7 +138,12 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     attempt the hash of the content decides without places, and the hash of the place with them.
     """
     by_place = has_places(attempts, renders)
-    folded = (_folded_places if by_place else _folded_rows)(attempts, renders, options)
+    fold = _folded_places if by_place else _folded_rows
+    return judged_records(fold(attempts, renders, options), options, by_place)
+
+
+def judged_records(folded: DataFrame, options: Options, places: bool) -> DataFrame:
+    """Records from the attempt `c` and the rendering `r` that count for each page."""
     folded = folded.withColumn("status", expr("coalesce(c.status, 0)")).withColumn(
         "own_text", expr("coalesce(c.text, '')")
     )
@@ -166,7 +172,7 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
             "c.is_index",
             "c.is_markup",
             "c.robots",
-            *(("c.place AS place", "r.place AS render_place") if by_place else ()),
+            *(("c.place AS place", "r.place AS render_place") if places else ()),
         )
     )
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sitetext.config import LOG_SCHEMA, RAW_SCHEMA, RESULTS_SCHEMA, Options
 from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
@@ -22,6 +22,7 @@ from sitetext.operators.rollup import (
     tally,
 )
 from sitetext.plans.staging import Staging
+from sitetext.sources.commits import commit, committed
 from sitetext.sources.sinks import append, append_new, with_schema
 from sitetext.sources.tables import company_rows, with_company_key
 
@@ -100,11 +101,34 @@ class Run:
         if options.output_path:
             put(self.results, options.output_path, options.file_format)
 
+    def commit(self, run_id: str) -> bool:
+        """Write all targets that are set so that readers of `read_committed` see all or none.
+
+        A run id that is committed already writes nothing and gives False; one whose try failed is
+        written anew.
+        """
+        options = self.options
+        if not options.output_path:
+            raise ValueError("a commit needs output_path")
+        targets = {options.raw_path: "raw", options.log_path: "log", options.output_path: "results"}
+        frames = {target: getattr(self, name) for target, name in targets.items() if target}
+        return commit(frames, options.runs_path, run_id, options.file_format)
+
     def close(self) -> None:
         """Remove the staged tables; the tables of the run can't be read any more."""
         self.staging.remove()
 
 
+def read_committed(spark: SparkSession, options: Options, table: str) -> DataFrame:
+    """Rows of all committed runs in `results`, `log` or `raw`, with their run_id."""
+    target, ddl = {
+        "results": (options.output_path, RESULTS_SCHEMA),
+        "log": (options.log_path, LOG_SCHEMA),
+        "raw": (options.raw_path, RAW_SCHEMA),
+    }[table]
+    return committed(spark, target, options.runs_path, ddl, options.file_format)
+
+
 def run_companies(
     companies: DataFrame,
     id_col: str,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import expr
@@ -38,12 +40,13 @@ class RecordStore:
 
     def new_files(self, source: str) -> list[str]:
         """Addresses of the files of a source whose rows are not in the store."""
-        files = self._spark.read.parquet(source).inputFiles()
+        files = {_address(f): f for f in self._spark.read.parquet(source).inputFiles()}
         known = existing(self._spark, self._captures)
-        seen = set()
         if known is not None:
-            seen = {r.file for r in known.select("file").distinct().toLocalIterator()}
-        return sorted(set(files) - seen)
+            for row in known.select("file").distinct().toLocalIterator():
+                files.pop(_address(row.file), None)
+        # File addresses come escaped, and paths to read are not.
+        return sorted(map(unquote, files.values()))
 
     def add(self, source: str, renders: bool = False) -> int:
         """Take in the new files of a table of attempts, or of renders; gives their number."""
@@ -100,6 +103,11 @@ class RecordStore:
         return judged_records(folded.join(shown, "page_url", "full"), self._options, places=True)
 
 
+def _address(file: str) -> str:
+    """A file's address written one way: local ones come with one slash or with three."""
+    return re.sub("^file:/+", "file:/", file)
+
+
 def _key() -> Sql:
     """Digest of what a capture is read from; equal captures have one."""
     parts = "page_url, '\\n', coalesce(attempt, -1), '\\n', coalesce(status, -1), '\\n', coalesce(html, '')"

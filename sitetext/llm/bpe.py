@@ -6,17 +6,18 @@ with the last token of the prefix before it is stored, and following the stored
 the end of the word gives the ids. Two adjacent tokens are compatible if no merge across their
 border comes before the merges that build them, so no merge loop runs over the text.
 
-Normalizing and cutting into words follow the tokenizer file. Words repeat, so they are encoded
-once per piece of text, and the results of recent ones are kept in the worker.
+Normalizing and cutting into words follow the tokenizer file. Words and marks repeat, so each is
+encoded once per piece of text, and the ids of recent ones are kept in the worker. The matches of
+the automaton come from a library for sets of words (Aho-Corasick).
 """
 
 from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from sitetext.llm import texts
+from sitetext.llm.span_ids import Ids, SpanIds, gathered, parts_of_words
 
 SCHEMA = pa.schema(
     [
@@ -40,7 +42,8 @@ WORD_END = "</w>"
 _END_SHIFT = 0x1000
 _CACHED_WORDS = 60_000
 _CACHED_PAIRS = 300_000
-_KEPT_WORDS = 200_000
+#: Bytes of text that are encoded at once.
+_PIECE_BYTES = 1 << 21
 _NEVER = 1 << 60
 #: Words up to this character need no composing, and lower case by character is lower case.
 _LAST_SIMPLE = "\u024f"
@@ -210,70 +213,77 @@ def encoder(path: str) -> PrefixEncoder:
     return PrefixEncoder(path)
 
 
-@lru_cache(maxsize=2)
-def known_words(path: str, decode: bool) -> _Words:
-    return _Words(encoder(path), decode)
-
-
-class _Words:
-    """Ids and decoded text of the words met lately."""
+class _Codec:
+    """Ids of the spans met lately, and the strings of all ids for decoding."""
 
-    def __init__(self, bpe: PrefixEncoder, decode: bool) -> None:
-        self._bpe, self._decode = bpe, decode
-        self._known: dict[bytes, tuple[bytes, str]] = {}
-        self._older: dict[bytes, tuple[bytes, str]] = {}
+    def __init__(self, path: str) -> None:
+        self._bpe = encoder(path)
+        self.spans = SpanIds(self._encode)
+        strings = self._bpe.strings
+        written = [strings.get(i, "").encode() + b" " for i in range(max(strings) + 1)]
+        self.data = np.frombuffer(b"".join(written), np.uint8)
+        self.sizes = np.array([len(w) for w in written], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _encode(self, spans: list[bytes]) -> tuple[Ids]:
+        encode = self._bpe.encode
+        found = [encode(s.decode()) for s in spans]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        return ((flat, lengths),)
 
     def forget(self) -> None:
         """Give the memory back; a worker may go on with quite other tasks."""
-        self._known, self._older = {}, {}
+        self.spans.forget()
         self._bpe.forget()
 
-    def of(self, word: bytes) -> tuple[bytes, str]:
-        got = self._known.get(word)
-        if got is None:
-            got = self._older.get(word)
-            if got is None:
-                ids = self._bpe.encode(word.decode())
-                got = array("I", ids).tobytes(), self._bpe.decode(ids) if self._decode else ""
-            if len(word) < 64:
-                if len(self._known) >= _KEPT_WORDS:
-                    self._older, self._known = self._known, {}
-                self._known[word] = got
-        return got
+
+@lru_cache(maxsize=2)
+def _codec(path: str) -> _Codec:
+    return _Codec(path)
+
+
+def _decoded(codec: _Codec, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Decoded text of each document, which is the strings of its ids with blanks between them."""
+    sizes = codec.sizes[ids]
+    written = gathered(codec.data, codec.starts[ids], sizes)
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+    # The blank after the last id of a document goes.
+    inside = np.ones(len(written), bool)
+    some = counts > 0
+    inside[ends[some] - 1] = False
+    offsets = np.concatenate([[0], ends - np.cumsum(some)]).astype(np.int64)
+    data = pa.py_buffer(written[inside])
+    text = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(offsets), data)
+    return text.cast(pa.string())
 
 
 def _encoded(path: str | None, decode: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known_words(path or default_path(), decode)
+        codec = _codec(path or default_path())
         for batch in batches:
             doc_ids = batch.column(0)
-            for first, end, data, offsets in texts.pieces(batch.column(1)):
-                starts, ends, rows = texts.word_spans(data, offsets)
-                some, kind = texts.distinct(texts.span_hashes(data, starts, ends))
-                raw = data.tobytes()
-                found = [
-                    words.of(raw[a:b])
-                    for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)
-                ]
-                ids, strings = [x[0] for x in found], [x[1] for x in found]
-                borders = np.searchsorted(rows, np.arange(end - first + 1)).tolist()
-                kinds = kind.tolist()
-                packed, decoded = [], []
-                for a, b in zip(borders[:-1], borders[1:], strict=True):
-                    of = kinds[a:b]
-                    packed.append(b"".join([ids[i] for i in of]))
-                    if decode:
-                        decoded.append(" ".join([s for i in of if (s := strings[i])]))
+            for first, end, data, offsets in texts.pieces(batch.column(1), _PIECE_BYTES):
+                starts, ends, rows = parts_of_words(data, *texts.word_spans(data, offsets))
+                hashes = texts.span_hashes(data, starts, ends)
+                [(ids, lengths)] = codec.spans.of(data.tobytes(), starts, ends, hashes)
+                counts = np.bincount(rows, lengths, end - first).astype(np.int64)
+                packed = pa.py_buffer(ids.astype("<u4"))
+                bounds = np.concatenate([[0], np.cumsum(4 * counts)]).astype(np.int32)
                 yield texts.pack(
                     {
                         "doc_id": doc_ids.slice(first, end - first),
-                        "n_tokens": [len(x) // 4 for x in packed],
-                        "ids": packed,
-                        "decoded": decoded if decode else pa.nulls(end - first, pa.string()),
+                        "n_tokens": counts,
+                        "ids": pa.BinaryArray.from_buffers(
+                            pa.binary(), len(counts), [None, pa.py_buffer(bounds), packed]
+                        ),
+                        "decoded": _decoded(codec, ids, counts)
+                        if decode
+                        else pa.nulls(end - first, pa.string()),
                     },
                     SCHEMA,
                 )
-        words.forget()
+        codec.forget()
 
     return run
 

@@ -32,7 +32,7 @@ from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from sitetext.llm import texts
 from sitetext.llm.bpe import _byte_characters, default_path
-from sitetext.llm.span_ids import Ids, SpanIds, gathered
+from sitetext.llm.span_ids import Ids, SpanIds, gathered, parts_of_words
 
 #: Tokens of a full sequence.
 WINDOW = 2048
@@ -145,45 +145,6 @@ class WordTokens:
         return kinds
 
 
-#: Marks between ASCII letters and these never share a token; an apostrophe may.
-_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
-_MARK[[*range(33, 127)]] = True
-_MARK[[39, *range(65, 91), *range(97, 123)]] = False
-
-
-def parts_of_words(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spans of words, cut where an ASCII letter meets an ASCII mark or digit.
-
-    Such parts repeat more than words do and are encoded independently. Words with "<|" stay whole.
-    """
-    letter, mark = _LETTER[data], _MARK[data]
-    cut = np.zeros(len(data) + 1, bool)
-    cut[1:-1] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
-    odd = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)) if len(data) else data
-    for word in np.unique(np.searchsorted(starts, odd, "right") - 1).tolist():
-        cut[starts[word] : ends[word]] = False
-    cuts = np.flatnonzero(cut)
-    if not len(cuts):
-        return starts, ends, rows
-    of = np.searchsorted(starts, cuts, "right") - 1
-    order = np.searchsorted(cuts, starts, "left")
-    at = np.arange(len(starts)) + order
-    new_starts = np.empty(len(starts) + len(cuts), np.int64)
-    is_word = np.zeros(len(new_starts), bool)
-    is_word[at] = True
-    new_starts[is_word], new_starts[~is_word] = starts, cuts
-    new_rows = np.empty(len(new_starts), rows.dtype)
-    new_rows[is_word], new_rows[~is_word] = rows, rows[of]
-    new_ends = np.empty(len(new_starts), np.int64)
-    new_ends[:-1] = new_starts[1:]
-    last = np.append(is_word[1:], True)
-    new_ends[last] = ends
-    return new_starts, new_ends, new_rows
-
-
 @lru_cache(maxsize=2)
 def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)

@@ -18,6 +18,8 @@ from sitetext.plans.staging import Staging
 
 #: Words of a window.
 WINDOW = 13
+#: Words of a text that are posted together.
+BLOCK = 32
 #: Distance in words within which the two rarest words of an item count as near each other.
 NEAR = 8
 #: Up to so many rows of benchmark words are broadcast; more are joined by shuffling.
@@ -118,11 +120,22 @@ def build_index(docs: DataFrame, chosen: DataFrame, n_chosen: int, window: int)
     The empty word is posted at the place after the last word, so it holds a document's length.
     """
     reach = window - 1
-    places = _document_words(docs).select(
-        "id_key", "text_key", "no_id", "words", F.posexplode_outer("words").alias("place", "written")
+    # Each word carries the words around it. It takes them from a block of neighbouring words, so
+    # what it carries does not grow with the text.
+    lead = f"least(b * {BLOCK}, {reach})"
+    blocks = (
+        f"transform(sequence(0, (size(words) - 1) DIV {BLOCK}), b -> named_struct('base', b * {BLOCK}, "
+        f"'lead', {lead}, 'words', slice(words, b * {BLOCK} - {lead} + 1, {lead} + {BLOCK} + {reach})))"
     )
-    before = f"least(place, {reach})"
-    around = f"slice(words, place - {before} + 1, {before} + {window})"
+    keys = ["id_key", "text_key", "no_id"]
+    in_blocks = _document_words(docs).select(*keys, F.explode_outer(F.expr(blocks)).alias("block"))
+    places = in_blocks.selectExpr(
+        *keys, "block", f"posexplode_outer(slice(block.words, block.lead + 1, {BLOCK})) AS (i, written)"
+    ).selectExpr(
+        *keys, "written", "block.base + i AS place", "block.lead + i AS here", "block.words AS words"
+    )
+    before = f"least(here, {reach})"
+    around = f"slice(words, here - {before} + 1, {before} + {window})"
     return (
         places.withColumn("key", F.expr("lower(written)"))
         .join(_small(chosen.withColumn("key", F.expr("lower(word)")), n_chosen), "key")

@@ -82,14 +82,17 @@ def all_matches(docs: DataFrame) -> DataFrame:
     joined = f"translate(array_join(transform(slice(parts, {{}}), x -> {{}}(x, {chars})), ''), '{_CLOSE}', '')"
     before = joined.format(f"greatest(i - {parts}, 0) + 1, least(i, {parts})", "right")
     behind = joined.format(f"i + 2, {parts}", "left")
-    rows = cut.select("row", "kind", "parts", F.posexplode("parts").alias("i", "part")).selectExpr(
-        "row",
-        "kind",
-        "i",
-        f"if(i = 0, '', substring_index(part, '{_CLOSE}', 1)) AS value",
-        f"length({gap.format('part')}) AS gap",
-        f"if(i = 0, '', right({before}, {CONTEXT_CHARS})) AS left_text",
-        f"left(concat(left({gap.format('part')}, {CONTEXT_CHARS}), {behind}), {CONTEXT_CHARS}) AS right_text",
+    # A part takes its context along before it becomes a row, so rows don't grow with the text.
+    fields = {
+        "i": "i",
+        "value": f"if(i = 0, '', substring_index(part, '{_CLOSE}', 1))",
+        "gap": f"length({gap.format('part')})",
+        "left_text": f"if(i = 0, '', right({before}, {CONTEXT_CHARS}))",
+        "right_text": f"left(concat(left({gap.format('part')}, {CONTEXT_CHARS}), {behind}), {CONTEXT_CHARS})",
+    }
+    struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    rows = cut.selectExpr(
+        "row", "kind", f"inline(transform(parts, (part, i) -> named_struct({struct})))"
     )
     # Equal rows share their key: every i comes once per copy, and the frame takes in its equals.
     along = "OVER (PARTITION BY row, kind ORDER BY i)"

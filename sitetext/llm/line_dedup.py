@@ -225,10 +225,9 @@ def without_repeated_lines(
 ) -> DataFrame:
     """The rows of `docs` with all their columns, their texts without repeated lines."""
     source = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
-    drops = _repeats(source, min_chars, blocks).withColumnsRenamed(
-        {"doc_id": "_lines_of", "drops": "_lines_gone"}
-    )
-    joined = docs.join(drops, docs[id_col].cast("bigint") == drops["_lines_of"], "left")
+    names = {"doc_id": texts.free_name(docs, "of"), "drops": texts.free_name(docs, "gone")}
+    drops = _repeats(source, min_chars, blocks).withColumnsRenamed(names)
+    joined = docs.join(drops, docs[id_col].cast("bigint") == drops[names["doc_id"]], "left")
     return texts.map_batches(
-        joined.drop(drops["_lines_of"]), _replace(docs.columns.index(text_col), min_chars), docs.schema
+        joined.drop(names["doc_id"]), _replace(docs.columns.index(text_col), min_chars), docs.schema
     )

@@ -390,20 +390,22 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of `docs`, with all their columns, that are the first of their group.
 
-    Of rows with equal doc_id one stays. Rows without doc_id stay.
+    Of rows with equal doc_id and text one stays, chosen by the hash of the row; rows with equal
+    doc_id and different texts stay or go together. Rows without doc_id stay.
     """
+    kept_id, copy = texts.free_name(docs, "kept_id"), texts.free_name(docs, "copy")
     kept = (
         near_duplicates(docs, id_col, text_col, width, percent)
         .where("kept AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("_kept_id"))
+        .select(F.col("doc_id").alias(kept_id))
         .distinct()
     )
     own = docs[id_col].cast("bigint")
-    one = Window.partitionBy(own).orderBy(F.lit(1))
+    same = Window.partitionBy(own, F.md5(docs[text_col])).orderBy(F.xxhash64(*docs.columns))
     firsts = (
-        docs.join(kept, own == kept["_kept_id"], "left_semi")
-        .withColumn("_copy", F.row_number().over(one))
-        .where("_copy = 1")
-        .drop("_copy")
+        docs.join(kept, own == kept[kept_id], "left_semi")
+        .withColumn(copy, F.row_number().over(same))
+        .where(F.col(copy) == 1)
+        .drop(copy)
     )
     return firsts.unionByName(docs.where(own.isNull()))

@@ -50,6 +50,14 @@ def map_batches(df: DataFrame, function: Callable, schema: str | StructType) ->
     return df.mapInArrow(function, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -145,28 +145,87 @@ def plain_cost(value: str, segments) -> float:
     return costs[0]
 
 
-@pytest.mark.parametrize("value", ["password1999", "qwertyqwerty", "aaaa1234zz", "xK9!mon", "drowssap42"])
+VALUES = ["password1999", "qwertyqwerty", "aaaa1234zz", "xK9!mon", "drowssap42", "aabaabaabaab", "hOuSe!31.12.1999",
+          "zaq1zaq1mkO", "p4ssw0rdp4ssw0rd", "ababab1ababab", "ÀÉa", "1234567890qwer", "!!!!!!!?", "asdsasdsa"]
+
+
+@pytest.mark.parametrize("value", VALUES)
 def test_guess_cost_is_the_least_of_all_cuts(value):
     from sitetext.llm import guess_cost as g
 
+    words = g.Words(["house", "mon"])
+    low = "".join(c.lower() for c in value)
     options: dict = {}
+
+    def offer(a, b, cost):
+        options[a, b] = min(options.get((a, b), float("inf")), cost)
+
+    sizes = ((str.isdigit, 10), (str.islower, 26), (str.isupper, 26), (lambda c: not c.isalnum(), 33))
     for a in range(len(value)):
         for b in range(a + 1, len(value) + 1):
-            options[a, b] = g._brute_cost(value[a:b])
-    for b, found in g._words(value).items():
-        for _, a, cost in found:
-            options[a, b] = min(options[a, b], cost)
-    for _, a, b, cost in g._walks(value) + g._repeats(value):
-        options[a, b] = min(options[a, b], cost)
-    for a in range(len(value)):
+            piece = value[a:b]
+            kinds = {next((n for n, (is_kind, _) in enumerate(sizes) if is_kind(c) and c.isascii()), 3) for c in piece}
+            offer(a, b, len(piece) * log10(max(10, sum(sizes[k][1] for k in kinds))))
+            # Walks, step by step.
+            keys, cost, way = low[a:b], log10(g._KEYS), None
+            for i, key in enumerate(keys):
+                cost += log10(2) * piece[i].isupper()
+                if key not in g._PLACE or (i and key not in g._NEAR[keys[i - 1]]):
+                    break
+                if i:
+                    now = tuple(p - q for p, q in zip(g._PLACE[key], g._PLACE[keys[i - 1]]))
+                    cost += g.STEP_COST + log10(g._DEGREE) * (now != way)
+                    way = now
+            else:
+                if len(keys) >= 3:
+                    offer(a, b, cost)
+            if len(piece) >= 3:
+                plain = "".join(g.SUBSTITUTES.get(c, c) for c in low[a:b])
+                cost = words.word_cost(piece, low[a:b], plain)
+                if cost is not None:
+                    offer(a, b, cost)
+            # Repeats of as many units as fit, from the first period of a stretch on.
+            for u in range(1, len(piece) // 2 + 1):
+                whole = len(piece) % u == 0 and piece == piece[:u] * (len(piece) // u)
+                further = b + u <= len(value) and value[b : b + u] == piece[:u]
+                start = a
+                while start and value[start - 1] == value[start - 1 + u]:
+                    start -= 1
+                primitive = not any(u % v == 0 and piece[:u] == piece[:v] * (u // v) for v in range(1, u))
+                if whole and not further and a - start < u and primitive and len(piece) >= 3:
+                    offer(a, b, words.segments(piece[:u])[0] + log10(len(piece) // u))
         if m := g._DATE.match(value, a):
-            cost = log10(365 * 120) if m.end() - a > 4 else log10(120)
-            options[a, m.end()] = min(options[a, m.end()], cost)
-    cost, cut = g.segments(value)
+            offer(a, m.end(), log10(365 * 120) if m.end() - a > 4 else log10(120))
+    cost, cut = words.segments(value)
     assert isclose(cost, plain_cost(value, options))
     assert "".join(value[a:b] for _, a, b in cut) == value
 
 
+PROSE_SECRETS = [
+    "the token is issued", "login is required", "password is mandatory", "auth: handled", "secret: please",
+    "login: " + "*" * 70, "login: " + "*" * 700, "token: " + "house" * 13, "password: aabaabaabaab", "secret: " + "_." * 99,
+]
+
+
+def test_ordinary_words_are_no_secrets(spark):
+    from sitetext.llm.guess_cost import secret_spans
+
+    real = ["secret: 8fK2#pQz!w9", "token: " + "".join(chr(33 + i * 7 % 60) for i in range(200))]
+    frame = spark.createDataFrame(list(enumerate(PROSE_SECRETS + real)), "doc_id bigint, text string")
+    got = {r.doc_id: [s.kind for s in r.spans if s.kind == "guess"] for r in secret_spans(frame).collect()}
+    assert [i for i, kinds in got.items() if kinds] == [len(PROSE_SECRETS), len(PROSE_SECRETS) + 1]
+
+
+def test_words_of_the_documents_are_ranked(spark):
+    from sitetext.llm.guess_cost import frequent_words
+    from sitetext.plans.staging import Staging
+
+    rows = [("zyx " * 9 + "wvu",), ("Zyx wvu tsr a bc",), (None,), ("",)]
+    frame = spark.createDataFrame(rows, "text string")
+    for limit, expected in ((10, ["zyx", "wvu", "tsr"]), (2, ["zyx", "wvu"]), (0, [])):
+        assert frequent_words(frame, "text", Staging(spark), limit) == expected
+
+
 # --- 2 -----------------------------------------------------------------------
 
 
@@ -639,3 +698,56 @@ def test_chunks_resist_insertions():
     assert len(set(before) - set(after)) <= 6
     chunks("é" * 5000)
     chunks("x" * 5000)
+
+
+# --- Dense long texts -----------------------------------------------------------
+
+
+def test_a_megabyte_of_addresses(spark):
+    from time import perf_counter
+
+    from sitetext.llm.contextual_pii import personal_data
+
+    n = 125_000
+    docs = spark.createDataFrame([(1, "1.2.3.4 " * n), (2, "a b")], "doc_id bigint, text string")
+    began = perf_counter()
+    got = {r.doc_id: r.n for r in personal_data(docs).selectExpr("doc_id", "size(spans) AS n").collect()}
+    assert got == {1: n, 2: 0}
+    assert perf_counter() - began < 60
+
+
+def test_very_many_benchmark_words_in_a_text(spark, monkeypatch):
+    from time import perf_counter
+
+    from sitetext.llm import decontamination
+
+    words = prose(3, 40).split()
+    docs = spark.createDataFrame([(1, " ".join(words * 5000)), (2, " ".join(words[:13]))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    for rows in (decontamination.MAX_BROADCAST_WORDS, 0):
+        monkeypatch.setattr(decontamination, "MAX_BROADCAST_WORDS", rows)
+        began = perf_counter()
+        got = {r.doc_id: (r.n_words, r.n_hit) for r in decontamination.contamination(docs, items).collect()}
+        assert got == {1: (200_000, 200_000), 2: (13, 13)}
+        assert perf_counter() - began < 60
+
+
+def test_names_of_other_columns_do_not_matter(spark):
+    from sitetext.llm.line_dedup import without_repeated_lines
+    from sitetext.llm.superminhash import without_near_duplicates
+
+    names = ["_copy", "copy", "Kept_ID", "kept_id_", "_kept_id", "of", "_of", "gone", "_lines_gone", "_lines_of",
+             "drops", "digest", "node", "label", "component_id", "kept", "n_lines", "first_id"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names)
+    extra = tuple("x" for _ in names)
+    text, other = prose(1, 60), prose(2, 60)
+    # One id with two texts, one of them twice, and a copy under another id.
+    rows = [(1, text), (1, other), (1, other), (2, text), (3, prose(3, 50)), (None, text)]
+    docs = spark.createDataFrame([(*r, *extra) for r in rows], schema)
+    near = without_near_duplicates(docs)
+    assert near.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=str) == sorted(
+        [(1, text), (1, other), (3, rows[4][1]), (None, text)], key=str
+    )
+    lines = without_repeated_lines(docs)
+    assert lines.columns == docs.columns and lines.count() == len(rows)

@@ -25,8 +25,10 @@ NEAR = 8
 #: Up to so many rows of benchmark words are broadcast; more are joined by shuffling.
 MAX_BROADCAST_WORDS = 500_000
 
-# What stands between words, in texts with capitals.
-_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What stands between words, in texts with capitals, and a block of words.
+_MARKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+_BETWEEN = rf"[{_MARKS}]+"
+_BLOCK = rf"(?:[^{_MARKS}]++[{_MARKS}]*+){{1,{BLOCK}}}"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,8 +37,8 @@ def _lowered(word: str) -> str:
     return f"translate({word}, '{_UPPER}', '{_LOWER}')"
 
 
-def _with_words(df: DataFrame, text: str, keep: list[str], end: bool = False) -> DataFrame:
-    """The words of a text, as they are written, as an array; `end` adds an empty one at the end.
+def _with_words(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The words of a text, as they are written, as an array.
 
     Explode it as outer: else a filter on its size is put below, which splits the text again.
     """
@@ -45,8 +47,6 @@ def _with_words(df: DataFrame, text: str, keep: list[str], end: bool = False) ->
     first = "if(parts[0] = '', 2, 1)"
     last = "if(size(parts) > 1 AND parts[size(parts) - 1] = '', size(parts) - 1, size(parts))"
     words = f"slice(parts, {first}, greatest({last} - {first} + 1, 0))"
-    if end:
-        words = f"concat({words}, array(''))"
     return parts.select(*keep, F.expr(words).alias("words"))
 
 
@@ -54,13 +54,12 @@ def _small(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= MAX_BROADCAST_WORDS else df
 
 
-def _document_words(docs: DataFrame) -> DataFrame:
-    """Keys of a document and its words; rows with equal id and text share their keys."""
-    keyed = docs.selectExpr(
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Keys of a document and its text; rows with equal id and text share their keys."""
+    return docs.selectExpr(
         "coalesce(doc_id, 0) AS id_key", "xxhash64(doc_id IS NULL, text) AS text_key",
         "doc_id IS NULL AS no_id", "text",
     )
-    return _with_words(keyed, "text", ["id_key", "text_key", "no_id"], end=True)
 
 
 def word_counts(docs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
@@ -120,26 +119,45 @@ def build_index(docs: DataFrame, chosen: DataFrame, n_chosen: int, window: int)
     The empty word is posted at the place after the last word, so it holds a document's length.
     """
     reach = window - 1
-    # Each word carries the words around it. It takes them from a block of neighbouring words, so
-    # what it carries does not grow with the text.
-    lead = f"least(b * {BLOCK}, {reach})"
-    blocks = (
-        f"transform(sequence(0, (size(words) - 1) DIV {BLOCK}), b -> named_struct('base', b * {BLOCK}, "
-        f"'lead', {lead}, 'words', slice(words, b * {BLOCK} - {lead} + 1, {lead} + {BLOCK} + {reach})))"
-    )
     keys = ["id_key", "text_key", "no_id"]
-    in_blocks = _document_words(docs).select(*keys, F.explode_outer(F.expr(blocks)).alias("block"))
-    places = in_blocks.selectExpr(
-        *keys, "block", f"posexplode_outer(slice(block.words, block.lead + 1, {BLOCK})) AS (i, written)"
-    ).selectExpr(
-        *keys, "written", "block.base + i AS place", "block.lead + i AS here", "block.words AS words"
+    # Each word carries the few words of its block and of the blocks beside it, so what it carries
+    # does not grow with the text. The empty block at the end stands for the empty word.
+    blocks = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_BLOCK), F.lit(0))
+    beside = (
+        "inline_outer(transform(blocks, (x, k) -> named_struct('k', k, 'previous', "
+        "coalesce(get(blocks, k - 1), ''), 'block', x, 'following', coalesce(get(blocks, k + 1), ''))))"
     )
-    before = f"least(here, {reach})"
-    around = f"slice(words, here - {before} + 1, {before} + {window})"
-    return (
+    words_of = lambda c: F.array_remove(F.split(c, _BETWEEN), "")
+    is_end = F.col("block") == ""
+    places = (
+        _keyed(docs)
+        .select(*keys, F.concat(blocks, F.array(F.lit(""))).alias("blocks"))
+        .selectExpr(*keys, beside)
+        .select(
+            *keys, "k", "previous", "block", "following",
+            F.posexplode_outer(
+                F.when(is_end, F.array(F.lit(""))).otherwise(words_of("block"))
+            ).alias("i", "written"),
+        )
+    )
+    place = F.when(~is_end, F.col("k") * BLOCK + F.col("i")).otherwise(
+        F.when(F.col("k") == 0, 0).otherwise((F.col("k") - 1) * BLOCK + F.size(words_of("previous")))
+    )
+    before = f"least(place, {reach})"
+    here = f"least(size(previous_words), {reach}) + i"
+    near = f"concat(slice(previous_words, -least(size(previous_words), {reach}), {reach}), block_words, following_words)"
+    near = f"if(size(previous_words) = 0, concat(block_words, following_words), {near})"
+    around = f"slice(near, here - {before} + 1, {before} + {window})"
+    found = (
         places.withColumn("key", F.expr("lower(written)"))
         .join(_small(chosen.withColumn("key", F.expr("lower(word)")), n_chosen), "key")
         .where(f"{_lowered('written')} = word")
+        .withColumn("place", place)
+    )
+    sides = {f"{c}_words": F.when(F.col("full"), words_of(c)) for c in ("previous", "block", "following")}
+    return (
+        found.withColumns(sides)
+        .withColumns({"here": F.expr(here), "near": F.expr(near)})
         .selectExpr(
             "word",
             "id_key",

@@ -48,15 +48,11 @@ _CHUNKS_DDL = (
     "doc_id bigint, start bigint, end bigint, n_words int, high bigint, low bigint, "
     "before string, after string"
 )
-_HELD = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int32()),
-     ("first_id", pa.int64()), ("more_before", pa.int64()), ("words_before", pa.int64()),
-     ("more_after", pa.int64()), ("words_after", pa.int64())]
+_EDGES = pa.schema(
+    [("doc_id", pa.int64()), ("run", pa.int64()), ("side", pa.int32()), ("more", pa.int64()),
+     ("words", pa.int64())]
 )
-_HELD_DDL = (
-    "doc_id bigint, start bigint, end bigint, n_words int, first_id bigint, more_before bigint, "
-    "words_before bigint, more_after bigint, words_after bigint"
-)
+_EDGES_DDL = "doc_id bigint, run bigint, side int, more bigint, words bigint"
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -198,27 +194,95 @@ _BLANKS = frozenset(" \t\n\x0b\x0c\r")
 
 
 def _extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How far the text on either side of each chunk is that of another document, and its words."""
+    """How far the text at the edge of each run is that of another document, and its words.
+
+    Side 0 is before the run, side 1 after it; the latter's texts begin with the last character of
+    the run.
+    """
     for batch in batches:
         found = []
-        columns = (batch.column(n).to_pylist() for n in ("doc_id", "before", "after", "a", "b"))
-        for doc_id, before, after, a, b in zip(*columns):
-            others = [x for x in (a, b) if x["doc_id"] != doc_id]
-            back = before[::-1]
-            left = max(len(commonprefix([back, x["before"][::-1]])) for x in others)
-            right = max(len(commonprefix([after, x["after"]])) for x in others)
-            at = len(before) - left
-            found.append(
-                (
-                    left,
-                    _n_words(before[at:], before[at - 1 : at] if at else ""),
-                    right - 1,
-                    _n_words(after[1:right], after[0]),
-                )
-            )
-        names = ("more_before", "words_before", "more_after", "words_after")
-        own = {n: batch.column(n) for n in ("doc_id", "start", "end", "n_words", "first_id")}
-        yield texts.pack(own | {n: [x[i] for x in found] for i, n in enumerate(names)}, _HELD)
+        columns = (batch.column(n).to_pylist() for n in ("side", "own", "others"))
+        for side, own, others in zip(*columns, strict=True):
+            if side == 0:
+                back = own[::-1]
+                more = max(len(commonprefix([back, x[::-1]])) for x in others)
+                at = len(own) - more
+                found.append((more, _n_words(own[at:], own[at - 1 : at] if at else "")))
+            else:
+                more = max(len(commonprefix([own, x])) for x in others)
+                found.append((more - 1, _n_words(own[1:more], own[0])))
+        given = {n: batch.column(n) for n in ("doc_id", "run", "side")}
+        yield texts.pack(given | {n: [x[i] for x in found] for i, n in enumerate(("more", "words"))}, _EDGES)
+
+
+def _place_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = _hashed_places(batch)
+        yield bloom.key_rows(keys[:0], keys, BLOCKS)
+
+
+def _hashed_places(batch: pa.RecordBatch) -> np.ndarray:
+    doc_ids, starts = (batch.column(c).to_numpy().view(np.uint64) for c in ("doc_id", "start"))
+    with np.errstate(over="ignore"):
+        return texts.mixed(texts.mixed(doc_ids) + starts)
+
+
+def _at_places(filter_bits):
+    """The rows whose place may be wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = filter_bits.value
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.may_contain(bits, _hashed_places(batch))))
+
+    return run
+
+
+def _edge_extensions(
+    runs: DataFrame, suspects: DataFrame, staging: Staging, later_only: bool
+) -> DataFrame:
+    """For each run and side, how far it goes on as in the first or the last holder of its last
+    chunk on that side; `later_only` looks at the first. Texts are read at the places of such
+    chunks only."""
+    spark = runs.sparkSession
+    refs = staging.stage(
+        runs.selectExpr("doc_id", "run", "posexplode(array(head.chunk, tail.chunk)) AS (side, c)")
+        .selectExpr(
+            "doc_id AS of", "run", "side",
+            "inline(array(struct(0 AS role, doc_id, c.start AS start), "
+            "struct(1 AS role, c.a.doc_id AS doc_id, c.a.start AS start), "
+            "struct(2 AS role, c.b.doc_id AS doc_id, c.b.start AS start)))",
+        )
+        .where("role = 0 OR doc_id <> of")
+        .where(f"role < {2 if later_only else 3}"),
+        "refs",
+    )
+    wanted = staging.stage(refs.select("doc_id", "start").distinct(), "places")
+    keys = texts.map_batches(wanted, _place_keys, bloom.KEY_ROWS)
+    bits = spark.sparkContext.broadcast(bloom.twice_filter(keys, BLOCKS))
+    columns = "doc_id", "start", "before", "after"
+    near = texts.map_batches(
+        suspects.select(*columns), _at_places(bits),
+        "doc_id bigint, start bigint, before string, after string",
+    )
+    # Rows with equal doc_id are one document; of their texts at a place one is taken.
+    edges = staging.stage(
+        near.join(wanted, ["doc_id", "start"], "left_semi")
+        .groupBy("doc_id", "start")
+        .agg(F.min(F.struct("before", "after")).alias("t"))
+        .select("doc_id", "start", "t.before", "t.after"),
+        "edges",
+    )
+    found = (
+        lookup(refs, edges, ["doc_id", "start"], "struct(of, run, side)", refs.count(), _HOT_ROWS)
+        .selectExpr("of AS doc_id", "run", "side", "role", "if(side = 0, before, after) AS text")
+        .groupBy("doc_id", "run", "side")
+        .agg(
+            F.expr("max(text) FILTER (WHERE role = 0)").alias("own"),
+            F.expr("collect_list(text) FILTER (WHERE role > 0)").alias("others"),
+        )
+    )
+    return texts.map_batches(found, _extensions, _EDGES_DDL)
 
 
 def repeated_passages(
@@ -227,14 +291,16 @@ def repeated_passages(
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     zero_bits: int = ZERO_BITS,
+    later_only: bool = False,
 ) -> DataFrame:
     """One row per passage that other documents hold as well: doc_id, start, end (code points,
     end exclusive), n_words, n_chunks and first_id, the smallest doc_id that holds a chunk of it.
 
     A passage is a run of neighbouring chunks that at least two doc_ids hold, extended at both ends
     as far as the text is that of the first or the last other doc_id that holds the chunk there,
-    with at least `min_words` words that begin in it. The document with first_id gets a row too; the passage can
-    stay there and go elsewhere. Rows with equal doc_id are one document. Null, empty and short
+    with at least `min_words` words that begin in it. The document with first_id gets a row too. With
+    `later_only`, passages are made of chunks that a smaller doc_id holds, and extended as in the
+    smallest, so that all of them can go and every text stays somewhere. Rows with equal doc_id are one document. Null, empty and short
     texts have no passages; a document without doc_id is left out. An empty table gives none, and
     other columns are not read.
     """
@@ -258,45 +324,80 @@ def repeated_passages(
     suspects = staging.stage(
         texts.map_batches(source, _suspects(zero_bits, bits), _CHUNKS_DDL), "suspects"
     )
-    place = F.struct("doc_id", "start", "before", "after")
+    narrow = suspects.drop("before", "after")
+    place = F.struct("doc_id", "start")
     holders = staging.stage(
-        suspects.groupBy("high", "low")
+        narrow.groupBy("high", "low")
         .agg(F.min(place).alias("a"), F.max(place).alias("b"))
         .where("a.doc_id < b.doc_id"),
         "holders",
     )
-    pairs = (
-        lookup(suspects, holders, ["high", "low"], "doc_id", suspects.count(), _HOT_ROWS)
+    held = (
+        lookup(narrow, holders, ["high", "low"], "doc_id", suspects.count(), _HOT_ROWS)
         .where("a IS NOT NULL")
-        .withColumn("first_id", F.col("a.doc_id"))
-        .drop("high", "low")
-    )
-    held = texts.map_batches(pairs, _extensions, _HELD_DDL).groupBy(
-        "doc_id", "start", "end", "n_words", "first_id"
-    ).agg(
-        F.max(F.struct("more_before", "words_before")).alias("left"),
-        F.max(F.struct("more_after", "words_after")).alias("right"),
+        .groupBy("doc_id", "start", "end", "n_words")
+        .agg(F.min("a.doc_id").alias("first_id"), F.min(F.struct("a", "b")).alias("c"))
     )
+    if later_only:
+        held = held.where("first_id < doc_id")
     along = Window.partitionBy("doc_id").orderBy("start", "end")
-    runs = held.withColumn(
+    parts = held.withColumn(
         "begins", F.expr("start <> lag(end, 1, -1) OVER (PARTITION BY doc_id ORDER BY start, end)")
-    ).withColumn("run", F.sum(F.col("begins").cast("int")).over(along))
-    return (
-        runs.groupBy("doc_id", "run")
-        .agg(
-            F.min(F.struct("start", "left")).alias("head"),
-            F.max(F.struct("end", "right")).alias("tail"),
+    ).withColumn("run", F.sum(F.col("begins").cast("bigint")).over(along))
+    chunk = F.struct("start", "c.a", "c.b").alias("chunk")
+    runs = staging.stage(
+        parts.groupBy("doc_id", "run").agg(
+            F.min(F.struct("start", chunk)).alias("head"),
+            F.max(F.struct("end", chunk)).alias("tail"),
             F.sum("n_words").cast("bigint").alias("n_words"),
             F.count("*").alias("n_chunks"),
             F.min("first_id").alias("first_id"),
+        ),
+        "runs",
+    )
+    sides = _edge_extensions(runs, suspects, staging, later_only).groupBy("doc_id", "run").agg(
+        *(
+            F.expr(f"max({value}) FILTER (WHERE side = {side})").alias(f"{value}_{side}")
+            for side in (0, 1)
+            for value in ("more", "words")
         )
+    )
+    return (
+        runs.join(sides, ["doc_id", "run"])
         .selectExpr(
             "doc_id",
-            "head.start - head.left.more_before AS start",
-            "tail.end + tail.right.more_after AS end",
-            "n_words + head.left.words_before + tail.right.words_after AS n_words",
+            "head.start - more_0 AS start",
+            "tail.end + more_1 AS end",
+            "n_words + words_0 + words_1 AS n_words",
             "n_chunks",
             "first_id",
         )
         .where(f"n_words >= {min_words}")
     )
+
+
+def without_repeated_passages(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    zero_bits: int = ZERO_BITS,
+) -> DataFrame:
+    """The rows of `docs` with all their columns, their texts without passages that a smaller doc_id
+    holds. Rows with equal doc_id lose the same places; rows without doc_id or text stay."""
+    of, gone = texts.free_name(docs, "of"), texts.free_name(docs, "gone")
+    spans = (
+        repeated_passages(docs, id_col, text_col, min_words, zero_bits, later_only=True)
+        .groupBy(F.col("doc_id").alias(of))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(gone))
+    )
+    text = f"`{text_col}`"
+    upto = f"substring({text}, CAST(k.at AS int) + 1, CAST(greatest(s.start - k.at, 0) AS int))"
+    kept = (
+        f"aggregate({gone}, named_struct('at', 0L, 'parts', CAST(array() AS array<string>)), "
+        f"(k, s) -> named_struct('at', greatest(k.at, s.end), 'parts', concat(k.parts, array({upto}))), "
+        f"k -> concat(array_join(k.parts, ''), substring({text}, CAST(k.at AS int) + 1)))"
+    )
+    joined = docs.join(spans, docs[id_col].cast("bigint") == spans[of], "left")
+    changed = joined.withColumn(text_col, F.expr(f"if({gone} IS NULL, {text}, {kept})"))
+    return changed.select(*[f"`{c}`" for c in docs.columns])

@@ -3,7 +3,9 @@
 The vocabulary was made for ordinary text, so what it does to a text says how ordinary the text
 is: characters per token fall in shouting, tables and symbol noise, bytes that no token covers are
 written one by one, and the token entropy falls where a few tokens are repeated. Each language, or
-else each script, has a band for each measure, and a text outside a band is rejected.
+else each script, has a band for each measure, and a text outside a band is rejected. How low the
+entropy of ordinary text goes depends on the corpus, so its limit is taken from the quartiles of all
+documents of the language.
 
 A word is encoded once per piece of text with the blank before it, as it stands inside a text.
 """
@@ -11,15 +13,16 @@ A word is encoded once per piece of text with the blank before it, as it stands
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from sitetext.llm import texts
+from sitetext.plans.staging import Staging
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -39,17 +42,23 @@ class Band:
     full_at: int = 512
 
 
-#: By language, and by script for other languages.
+#: By language, and by script for other languages. Entropy limits are floors, which
+#: `learned_bands` raises.
 BANDS: dict[str, Band] = {
-    "en": Band(1.2, 8.0, 0.1, 0.685),
-    "de": Band(1.2, 8.0, 0.1, 0.677),
-    "fr": Band(1.2, 8.0, 0.1, 0.665),
-    "es": Band(1.2, 8.0, 0.1, 0.668),
+    "en": Band(1.2, 8.0, 0.1, 0.5),
+    "de": Band(1.2, 8.0, 0.1, 0.5),
+    "fr": Band(1.2, 8.0, 0.1, 0.5),
+    "es": Band(1.2, 8.0, 0.1, 0.5),
     "latin": Band(1.0, 10.0, 0.2, 0.5),
     "alphabetic": Band(0.8, 10.0, 0.6, 0.35),
     "other": Band(),
 }
 
+#: An entropy share so many times the distance of the quartiles below the lower one is an outlier.
+FENCE = 1.5
+#: Quartiles are taken of at least so many documents, to steps of a share of one in this many.
+LEARN_FROM, STEPS = 100, 1000
+
 SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -62,6 +71,7 @@ SCHEMA = pa.schema(
         ("chars_per_token", pa.float64()),
         ("byte_share", pa.float64()),
         ("token_entropy", pa.float64()),
+        ("entropy_share", pa.float64()),
         ("band", pa.string()),
         ("base_failed", pa.bool_()),
         ("kept", pa.bool_()),
@@ -70,7 +80,7 @@ SCHEMA = pa.schema(
 _DDL = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, n_tokens bigint, chars_per_token double, byte_share double, "
-    "token_entropy double, band string, base_failed boolean, kept boolean"
+    "token_entropy double, entropy_share double, band string, base_failed boolean, kept boolean"
 )
 
 
@@ -195,13 +205,14 @@ def measure(
                 "chars_per_token": per_token,
                 "byte_share": byte_share,
                 "token_entropy": entropy,
+                "entropy_share": entropy / most,
                 "band": names,
                 "base_failed": failed,
                 "kept": ~failed
                 & (per_token >= of("min_chars_per_token"))
                 & (per_token <= of("max_chars_per_token"))
                 & (byte_share <= of("max_byte_share"))
-                & (entropy >= of("min_entropy_share") * most),
+                & (entropy / most >= of("min_entropy_share")),
             },
         )
 
@@ -230,14 +241,48 @@ def _filtered(at: int, lang_at: int | None, path: str | None, bands: Mapping[str
     return run
 
 
+def learned_bands(measured: DataFrame, bands: Mapping[str, Band]) -> dict[str, Band]:
+    """The bands with entropy limits raised to where outliers begin among all documents.
+
+    `measured` has band, entropy_share and base_failed. For each band with at least LEARN_FROM
+    documents that don't fail, the limit is the lower quartile of their shares less FENCE times the
+    distance of the quartiles, unless the given one is higher. Documents are counted by steps of
+    the share, so what comes to the driver is at most STEPS + 1 rows a band.
+    """
+    step = F.expr(f"CAST(floor(entropy_share * {STEPS}) AS int)").alias("step")
+    counts = measured.where("NOT base_failed").groupBy("band", step).count().collect()
+    out = dict(bands)
+    for name in {r.band for r in counts}:
+        steps, sizes = zip(*sorted((r.step, r["count"]) for r in counts if r.band == name))
+        upto = np.cumsum(sizes)
+        if upto[-1] >= LEARN_FROM:
+            low, high = (steps[int(np.searchsorted(upto, q * upto[-1]))] / STEPS for q in (0.25, 0.75))
+            limit = max(bands[name].min_entropy_share, low - FENCE * (high - low))
+            out[name] = replace(bands[name], min_entropy_share=limit)
+    return out
+
+
+def _source(docs: DataFrame, id_col: str | None, text_col: str, lang_col: str | None) -> DataFrame:
+    doc_id = f"CAST(`{id_col}` AS BIGINT)" if id_col else "CAST(NULL AS BIGINT)"
+    lang = f"`{lang_col}`" if lang_col else "CAST(NULL AS STRING)"
+    return docs.selectExpr(f"{doc_id} AS doc_id", f"`{text_col}` AS text", f"{lang} AS lang")
+
+
 def keep_good(
     docs: DataFrame,
     text_col: str = "text",
     lang_col: str | None = "lang",
     path: str | None = None,
     bands: Mapping[str, Band] = BANDS,
+    learn: bool = True,
 ) -> DataFrame:
-    """The rows that `quality_rules` keeps, with all their columns and without a shuffle."""
+    """The rows that `quality_rules` keeps, with all their columns and without a shuffle of text.
+
+    With `learn` the documents are read twice: for the limits, and to filter them.
+    """
+    if learn:
+        source = _source(docs, None, text_col, lang_col)
+        bands = learned_bands(texts.map_batches(source, _measured(path, dict(bands)), _DDL), bands)
     lang_at = docs.columns.index(lang_col) if lang_col else None
     return texts.map_batches(
         docs, _filtered(docs.columns.index(text_col), lang_at, path, dict(bands)), docs.schema
@@ -251,20 +296,25 @@ def quality_rules(
     lang_col: str | None = "lang",
     path: str | None = None,
     bands: Mapping[str, Band] = BANDS,
+    learn: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, counts, the vocabulary's measures, base_failed and kept.
 
     base_failed is true below MIN_WORDS words or if over MAX_REPEATED_PERCENT of the words lie in
     repeated windows of WINDOW words. kept is false if base_failed, or if a measure is outside the
     band of the document's language or, without one, of its script; `bands` needs the keys latin,
-    alphabetic and other. `path` names a sentencepiece model that the executors can read.
+    alphabetic and other. With `learn`, entropy limits come from all documents (`learned_bands`).
+    `path` names a sentencepiece model that the executors can read.
 
-    A null or empty text, or one of white space only, has no words and fails. Rows are
-    independent: repeated rows give equal results, a null id or language stays null, an empty
-    table gives none, and other columns are not read.
+    A null or empty text, or one of white space only, has no words and fails. Rows are independent
+    but for the learned limits, to which repeated rows add again; a null id or language stays null,
+    an empty table gives none, and other columns are not read.
     """
-    lang = f"`{lang_col}`" if lang_col else "CAST(NULL AS STRING)"
-    source = docs.selectExpr(
-        f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text", f"{lang} AS lang"
-    )
-    return texts.map_batches(source, _measured(path, dict(bands)), _DDL)
+    source = _source(docs, id_col, text_col, lang_col)
+    measured = texts.map_batches(source, _measured(path, dict(bands)), _DDL)
+    if not learn:
+        return measured
+    measured = Staging(docs.sparkSession).stage(measured, "measured")
+    limits = learned_bands(measured, bands)
+    limit = " ".join(f"WHEN '{name}' THEN {b.min_entropy_share!r}D" for name, b in limits.items())
+    return measured.withColumn("kept", F.expr(f"kept AND entropy_share >= CASE band {limit} END"))

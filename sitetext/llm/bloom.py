@@ -49,7 +49,8 @@ KEY_ROWS = "block int, once binary, often binary"
 
 
 def _twice_seen(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold the keys of one block into a once-seen and a twice-seen filter; return the second."""
+    """Fold the keys of one block, batch by batch, into a once-seen and a twice-seen filter; return
+    the second."""
     seen, again, block = np.zeros(BLOCK_BITS, bool), np.zeros(BLOCK_BITS, bool), 0
     for batch in group:
         block = batch.column(0)[0].as_py()
@@ -68,15 +69,9 @@ def _twice_seen(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _fold_table(table: pa.Table) -> pa.Table:
-    out = list(_twice_seen(iter(table.to_batches())))
-    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
-    return pa.Table.from_batches(out, schema)
-
-
 def twice_filter(keys: DataFrame, blocks: int) -> np.ndarray:
     """Bits of the twice-seen filter, `blocks` x 8 KB, whatever the number of keys."""
-    folded = keys.groupBy("block").applyInArrow(_fold_table, "block int, bits binary")
+    folded = keys.groupBy("block").applyInArrow(_twice_seen, "block int, bits binary")
     bits = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
     for row in folded.toLocalIterator():
         bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)

@@ -93,15 +93,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _added(table: pa.Table) -> pa.Table:
-    total, sizes = 0, np.zeros(2, np.int64)
-    for batch in table.to_batches():
+def _added(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of one block of counts over all tasks, taken batch by batch."""
+    total, sizes, block = 0, np.zeros(2, np.int64), 0
+    for batch in group:
+        block = batch.column(0)[0].as_py()
         for counts, size in zip(batch.column(1), batch.column(2)):
             total = total + np.frombuffer(counts.as_py(), np.int64)
             sizes += size.as_py()
-    return pa.table(
+    yield pa.RecordBatch.from_pydict(
         {
-            "block": pa.array([table["block"][0].as_py()], pa.int32()),
+            "block": pa.array([block], pa.int32()),
             "counts": [total.tobytes()],
             "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
         }

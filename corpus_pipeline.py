@@ -38,8 +38,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, as little-endian unsigned 32-bit integers."""
-    return encode_documents(docs, decode=False).select("doc_id", "n_tokens", "ids")
+    """Token ids of every text, as little-endian unsigned 32-bit integers, and the digest of the
+    text decoded from them."""
+    return encode_documents(docs).selectExpr(
+        "doc_id", "n_tokens", "ids", "sha2(CAST(decoded AS BINARY), 256) AS decoded_sha256"
+    )
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -255,6 +255,30 @@ def test_quality_rules(docs, empty):
     assert f.quality_rules(empty).count() == 0
 
 
+def test_entropy_limits_come_from_all_documents(spark):
+    import numpy as np
+    from sitetext.llm import fertility as f
+
+    rng = np.random.default_rng(1)
+    shares = np.floor(rng.normal(0.75, 0.02, 999) * f.STEPS) / f.STEPS
+    rows = [("en", float(x) + 1e-6, False) for x in shares] + [("en", 0.1, True)] * 500 + [("de", 0.9, False)] * 99
+    measured = spark.createDataFrame(rows, "band string, entropy_share double, base_failed boolean")
+    found = f.learned_bands(measured, f.BANDS)
+    low, high = np.percentile(shares, [25, 75], method="inverted_cdf")
+    assert abs(found["en"].min_entropy_share - (low - f.FENCE * (high - low))) < 2 / f.STEPS
+    assert {n: b for n, b in found.items() if n != "en"} == {n: b for n, b in f.BANDS.items() if n != "en"}
+    assert f.learned_bands(measured.where("false"), f.BANDS) == f.BANDS
+    # A text far from the others of its language goes, if there are enough of them.
+    common = [(i, prose(i, 150)) for i in range(120)]
+    odd = (999, " ".join(f"{w} {w}s" for w in ["the", "a"] * 3 for _ in range(1)) + " one two three four")
+    docs = spark.createDataFrame([*common, odd], "doc_id bigint, text string").selectExpr("*", "'en' AS lang")
+    kept = {r.doc_id: (r.kept, r.entropy_share) for r in f.quality_rules(docs).collect()}
+    fence = [s for i, (_, s) in kept.items() if i != 999]
+    low, high = np.percentile(fence, [25, 75])
+    assert all(k == (s >= low - 1.5 * (high - low)) for k, s in kept.values() if abs(s - low + 1.5 * (high - low)) > 0.003)
+    assert sorted(r.doc_id for r in f.keep_good(docs).collect()) == sorted(i for i, (k, _) in kept.items() if k)
+
+
 # --- 3 -----------------------------------------------------------------------
 
 
@@ -472,6 +496,42 @@ def test_quality_classifier(spark, docs, empty):
     assert len({r["score"] for r in quality_scores(docs, labels.where("doc_id < 0")).collect()}) == 1
 
 
+def test_classifier_equals_a_plain_one(spark, monkeypatch):
+    """Ratios by counting sets of n-grams, and the descent's weights by a slow exact solver."""
+    import numpy as np
+    import pyarrow as pa
+    from sitetext.llm import nbsvm as m
+    from sitetext.llm import texts as t
+
+    bodies = [(" | ".join(prose(i, 12).split()) if i % 3 == 0 else prose(i, 15), int(i % 3 != 0)) for i in range(60)]
+    labelled = spark.createDataFrame(bodies, "text string, label int").repartition(7)
+    ratios = m.log_count_ratios(labelled)
+    sets = []
+    for text, _ in bodies:
+        data, offsets = t.as_bytes(pa.array([text]))
+        sets.append(set(m.features(data, offsets)[1].tolist()))
+    sizes = [sum(y == c for _, y in bodies) for c in (0, 1)]
+    for f in sorted(set().union(*sets))[::7]:
+        have = [sum(f in s and y == c for s, (_, y) in zip(sets, bodies)) for c in (0, 1)]
+        p, q = ((have[c] + m.ALPHA) / (sizes[c] + 2 * m.ALPHA) for c in (1, 0))
+        assert isclose(ratios[f], np.log(p / q), abs_tol=1e-5)
+    # Without a pair of words counted over the border of two texts, and each n-gram once a text.
+    rows = [np.array(sorted(s)) for s in sets]
+    values = [m._scaled(ratios, r) for r in rows]
+    y = np.array([1.0 if y else -1.0 for _, y in bodies])
+    w, bias = m.dual_coordinate_descent(rows, values, y, m.DIMENSIONS, 0.05, 2000)
+    # Projected gradient on the dense dual of the same problem.
+    dense = np.zeros((len(rows), m.DIMENSIONS), np.float32)
+    for i, (r, v) in enumerate(zip(rows, values)):
+        dense[i, r] = v
+    gram = (dense @ dense.T + 1.0) * np.outer(y, y)
+    alpha, step = np.zeros(len(rows)), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(100_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, 0.05)
+    exact = dense.T @ (alpha * y)
+    assert np.abs(w - exact).max() < 5e-3 and isclose(bias, float(alpha @ y), abs_tol=5e-3)
+
+
 # --- 7 -----------------------------------------------------------------------
 
 
@@ -751,3 +811,32 @@ def test_names_of_other_columns_do_not_matter(spark):
     )
     lines = without_repeated_lines(docs)
     assert lines.columns == docs.columns and lines.count() == len(rows)
+
+
+def test_passages_go_but_every_text_stays_somewhere(spark):
+    from sitetext.llm.chunk_dedup import without_repeated_passages
+
+    shared = {n: prose(700 + n, 70) for n in range(4)}
+    own = {i: [prose(800 + 10 * i + k, 30) for k in range(3)] for i in range(9)}
+    held = {0: (0,), 1: (0, 1), 2: (1, 0), 3: (2,), 4: (2, 3), 5: (3, 2), 6: (), 7: (1,), 8: (0, 3)}
+    rows = []
+    for i, of in held.items():
+        parts = [own[i][0]]
+        for k, n in enumerate(of):
+            parts += [shared[n], own[i][k + 1]]
+        rows.append((i, " ".join(parts), "x"))
+    rows += [(None, shared[0], "x"), (20, None, "x"), (21, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone string")
+    found = without_repeated_passages(docs)
+    assert found.columns == docs.columns
+    got = {r.doc_id: r.text for r in found.collect()}
+    assert got[None] == shared[0] and got[20] is None and got[21] == ""
+    for n, passage in shared.items():
+        first = min(i for i, of in held.items() if n in of)
+        middle = passage.split(" ")[12:-12]
+        for i, of in held.items():
+            if n in of:
+                assert (" ".join(middle) in got[i]) == (i == first), (n, i)
+    for i, parts in own.items():
+        for k in range(len(held[i]) + 1):
+            assert parts[k][2:-2] in got[i]

@@ -8,7 +8,7 @@ from math import log2
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_operators import ITEMS, ascii_lower, bench_words, components, prose, shingles, texts, words
+from test_operators import ITEMS, ascii_lower, bench_words, components, prose, sha, shingles, texts, words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -111,6 +111,8 @@ def test_stages_match_plain_python(spark, folder):
     last = [(i, library.encode(t, add_special_tokens=False).ids) for i, t in wanted["decontamination"]]
     got = corpus_pipeline.run(spark, folder).collect()
     assert comparable((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got) == comparable(last)
+    decoded = [(i, sha(library.decode(ids, skip_special_tokens=False))) for i, ids in last]
+    assert comparable((r.doc_id, r.decoded_sha256) for r in got) == comparable(decoded)
 
 
 def test_empty_documents(spark, folder, tmp_path):

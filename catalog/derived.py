@@ -18,6 +18,8 @@ from sitetext.sources.tables import read_captures
 HIGH = ("the", "en")
 LOW = ("de", "html")
 CHALLENGE = ("gegen", "leur")
+# What tells pages apart: in large tables several have one address.
+PAGE = ("page_id", "page_url")
 # Numbers of pages that are one company where all pages of a host are gathered.
 CHUNK = 40
 
@@ -76,9 +78,9 @@ def page_attempts(source: DataFrame) -> DataFrame:
 
 
 def page_renders(source: DataFrame) -> DataFrame:
-    """Renderings of every fourth page."""
+    """Renderings of every fourth page: page_id, page_url, html, and place if pages have one."""
     place = ["place"] if has_places(source) else []
-    return source.where("page_id % 4 = 0").selectExpr("url AS page_url", "html", *place)
+    return source.where("page_id % 4 = 0").selectExpr("page_id", "url AS page_url", "html", *place)
 
 
 def judged_pages(source: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ the rows that count are found first and only these are read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
@@ -26,14 +28,25 @@ from sitetext.operators.rejects import usable
 from sitetext.sources.places import has_places, read_at
 
 
-def _captured_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+#: What tells pages apart.
+ADDRESS = ("page_url",)
+
+
+def _others(keys: Sequence[str]) -> list[str]:
+    """The keys that `reduced_rows` doesn't give by itself."""
+    return [k for k in keys if k not in ADDRESS]
+
+
+def _captured_rows(
+    attempts: DataFrame, renders: DataFrame | None, options: Options, keys: Sequence[str]
+) -> DataFrame:
     """Attempts and renders as one table, so that both go through one scan and one shuffle."""
     rows = within_budget(usable(attempts), options).select(
-        "page_url", "attempt", "status", "html", "fetched_at"
+        *keys, "attempt", "status", "html", "fetched_at"
     )
     if renders is None or not options.js_fallback:
         return rows
-    return rows.unionByName(renders.select("page_url", "html"), allowMissingColumns=True)
+    return rows.unionByName(renders.select(*keys, "html"), allowMissingColumns=True)
 
 
 def reduced_rows(rows: DataFrame, options: Options, *kept: str) -> DataFrame:
@@ -73,23 +86,27 @@ CAPTURED = "attempt, status, content, text, anchors, locs, is_index, is_markup,
 RENDERED = "text, anchors, render_rank.content"
 
 
-def _folded_rows(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+def _folded_rows(
+    attempts: DataFrame, renders: DataFrame | None, options: Options, keys: Sequence[str]
+) -> DataFrame:
     """Every row reduced, then one per page kept: for captures without places."""
     rank = f"if(attempt IS NOT NULL, {attempt_rank('content')}, NULL)"
     return (
-        reduced_rows(_captured_rows(attempts, renders, options), options)
-        .groupBy("page_url")
+        reduced_rows(_captured_rows(attempts, renders, options, keys), options, *_others(keys))
+        .groupBy(*keys)
         .agg(
             expr(f"min_by(struct({CAPTURED}), {rank})").alias("c"),
             # Of several renderings of a page the longest is taken.
             expr(f"max_by(struct({RENDERED}), render_rank)").alias("r"),
             *times_by_attempt(options),
         )
-        .selectExpr("page_url", "c", "r", *first_and_last("c.attempt"))
+        .selectExpr(*keys, "c", "r", *first_and_last("c.attempt"))
     )
 
 
-def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+def _folded_places(
+    attempts: DataFrame, renders: DataFrame | None, options: Options, keys: Sequence[str]
+) -> DataFrame:
     """The attempt and the rendering that count are found by their places, and only these are read.
 
     No row with text is sorted: what is folded is narrow, and texts of attempts meet those of
@@ -98,33 +115,41 @@ def _folded_places(attempts: DataFrame, renders: DataFrame | None, options: Opti
     rank = attempt_rank("xxhash64(place.file, place.row)")
     named = (
         within_budget(usable(attempts), options)
-        .groupBy("page_url")
+        .groupBy(*keys)
         .agg(
             expr(f"min_by(struct(attempt, status, place), {rank})").alias("o"),
             *times_by_attempt(options),
         )
-        .selectExpr("page_url", *first_and_last("o.attempt"), "o.*")
+        .selectExpr(*keys, *first_and_last("o.attempt"), "o.*")
     )
     own = reduced_rows(
         read_at(named).withColumn("fetched_at", expr("last_fetched")), options,
-        "place", "first_fetched", "last_fetched",
-    ).selectExpr("page_url", f"struct({CAPTURED}, place) AS c", "first_fetched", "last_fetched")
+        "place", "first_fetched", "last_fetched", *_others(keys),
+    ).selectExpr(*keys, f"struct({CAPTURED}, place) AS c", "first_fetched", "last_fetched")
     if renders is None or not options.js_fallback:
         nothing = "struct(CAST(NULL AS string) AS text, c.anchors AS anchors, 0L AS content, c.place AS place)"
         return own.withColumn("r", expr(f"if(true, NULL, {nothing})"))
-    longest = renders.groupBy("page_url").agg(
+    longest = renders.groupBy(*keys).agg(
         expr("max_by(place, struct(length(html), xxhash64(html)))").alias("place")
     )
     none = "CAST(NULL AS int) AS attempt", "CAST(NULL AS int) AS status", "CAST(NULL AS timestamp) AS fetched_at"
-    shown = reduced_rows(read_at(longest).selectExpr("*", *none), options, "place").selectExpr(
-        "page_url", f"struct({RENDERED}, place) AS r"
-    )
-    return own.join(shown.hint("shuffle_hash"), "page_url", "full")
-
-
-def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Options) -> DataFrame:
+    shown = reduced_rows(
+        read_at(longest).selectExpr("*", *none), options, "place", *_others(keys)
+    ).selectExpr(*keys, f"struct({RENDERED}, place) AS r")
+    return own.join(shown.hint("shuffle_hash"), list(keys), "full")
+
+
+def page_digests(
+    attempts: DataFrame,
+    renders: DataFrame | None,
+    options: Options,
+    keys: Sequence[str] = ADDRESS,
+) -> DataFrame:
     """One record per captured address: outcome, judged text, links, sitemap content.
 
+    `keys`, page_url among them, are columns of attempts and renders that tell pages apart, for
+    tables in which several pages have one address; each gets a record with these columns.
+
     Columns: page_url, attempt, status, retries_used, first_fetched, last_fetched, reason,
     escalated, text, text_len, anchors, unused_anchors (of a rendering that was not needed so
     far), content and render_content (hashes of the attempt and the rendering that count), locs,
@@ -139,10 +164,12 @@ def page_digests(attempts: DataFrame, renders: DataFrame | None, options: Option
     """
     by_place = has_places(attempts, renders)
     fold = _folded_places if by_place else _folded_rows
-    return judged_records(fold(attempts, renders, options), options, by_place)
+    return judged_records(fold(attempts, renders, options, keys), options, by_place, keys)
 
 
-def judged_records(folded: DataFrame, options: Options, places: bool) -> DataFrame:
+def judged_records(
+    folded: DataFrame, options: Options, places: bool, keys: Sequence[str] = ADDRESS
+) -> DataFrame:
     """Records from the attempt `c` and the rendering `r` that count for each page."""
     folded = folded.withColumn("status", expr("coalesce(c.status, 0)")).withColumn(
         "own_text", expr("coalesce(c.text, '')")
@@ -154,7 +181,7 @@ def judged_records(folded: DataFrame, options: Options, places: bool) -> DataFra
         .withColumn("escalated", expr("reason IS NOT NULL"))
         .withColumn("text", expr(gated_text(text, "escalated", options.challenge_phrases)))
         .selectExpr(
-            "page_url",
+            *keys,
             "c.attempt AS attempt",
             "status",
             "coalesce(c.attempt, 0) AS retries_used",

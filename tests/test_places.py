@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitetext import Options, run_companies
+from sitetext.config import ATTEMPTS_SCHEMA
 from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
+from sitetext.operators.pages import page_digests
 from sitetext.sources.places import read_at, with_places
 from sitetext.sources.tables import captured_attempts, read_captures
 from test_run import LONG, captured
@@ -112,3 +114,38 @@ def test_a_run_without_boilerplate(spark):
     assert "plain words" in text[None] and "plain words" not in text[2] and "own" in text[2]
     with pytest.raises(ValueError):
         Options(boilerplate_pages=1)
+
+
+SHARED = "https://x.com/a"
+
+
+def shared_address(spark, folder):
+    """Files of attempts of four pages with one address, and of renderings of the odd ones."""
+    rows = [
+        (n, SHARED, 0, status, LONG.format(word), None)
+        for n, status, word in ((1, 403, "a"), (2, 200, "b"), (3, 404, "c"), (4, 403, "d"))
+    ]
+    spark.createDataFrame(rows, f"page_id int, {ATTEMPTS_SCHEMA}").write.parquet(f"{folder}/log")
+    attempts = spark.read.parquet(f"{folder}/log")
+    attempts.where("page_id % 2 = 1").select("page_id", "page_url", "html").write.parquet(f"{folder}/shown")
+    return attempts, spark.read.parquet(f"{folder}/shown")
+
+
+SHARED_RECORDS = [
+    (1, SHARED, 403, "blocked", True), (2, SHARED, 200, None, True),
+    (3, SHARED, 404, None, True), (4, SHARED, 403, "blocked", False),
+]
+
+
+def records(digests):
+    return sorted((r.page_id, r.page_url, r.status, r.reason, r.text_len > 0) for r in digests.collect())
+
+
+@pytest.mark.parametrize("places", [False, True])
+def test_pages_with_one_address_keep_a_record_each(spark, tmp_path, places):
+    attempts, renders = shared_address(spark, tmp_path)
+    if places:
+        attempts, renders = with_places(attempts), with_places(renders)
+    assert records(page_digests(attempts, renders, Options(), keys=("page_id", "page_url"))) == SHARED_RECORDS
+    # Told apart by the address alone, they are one page.
+    assert page_digests(attempts, renders, Options()).count() == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -70,11 +71,14 @@ def with_company_key(companies: DataFrame) -> DataFrame:
     )
 
 
-def captured_attempts(captures: DataFrame) -> DataFrame:
-    """Captured pages (page_url, html, fetched_at; status if known) as first attempts."""
+def captured_attempts(captures: DataFrame, keys: Sequence[str] = ("page_url",)) -> DataFrame:
+    """Captured pages (page_url, html, fetched_at; status if known) as first attempts.
+
+    `keys`, page_url among them, are the columns that tell pages apart; they stay.
+    """
     status = F.col("status") if "status" in captures.columns else F.lit(200)
     return captures.select(
-        "page_url",
+        *keys,
         F.lit(0).alias("attempt"),
         status.cast("int").alias("status"),
         "html",

@@ -149,3 +149,14 @@ def test_pages_with_one_address_keep_a_record_each(spark, tmp_path, places):
     assert records(page_digests(attempts, renders, Options(), keys=("page_id", "page_url"))) == SHARED_RECORDS
     # Told apart by the address alone, they are one page.
     assert page_digests(attempts, renders, Options()).count() == 1
+
+
+def test_captures_with_one_address_keep_a_record_each(spark):
+    captures = spark.createDataFrame(
+        [(1, SHARED, LONG.format("first")), (2, SHARED, LONG.format("second"))], "page_id int, page_url string, html string"
+    ).withColumn("fetched_at", F.expr("timestamp_seconds(page_id)"))
+    keys = ("page_id", "page_url")
+    found = page_digests(captured_attempts(captures, keys), None, Options(js_fallback=False), keys=keys)
+    got = sorted((r.page_id, r.text.split()[-1]) for r in found.collect())
+    assert got == [(1, "first"), (2, "second")]
+    assert page_digests(captured_attempts(captures), None, Options(js_fallback=False)).count() == 1

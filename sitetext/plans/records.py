@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from sitetext.operators.attempts import (
     times_by_attempt,
     within_budget,
 )
-from sitetext.operators.pages import CAPTURED, RENDERED, judged_records, reduced_rows
+from sitetext.operators.pages import ADDRESS, CAPTURED, RENDERED, judged_records, reduced_rows
 from sitetext.operators.rejects import usable
 from sitetext.sources.places import read_at, with_places
 from sitetext.sources.sinks import append, existing
@@ -31,11 +32,14 @@ class RecordStore:
     it reads text and links only from those that are new by address, attempt, status and hash; a page
     captured again unchanged costs its hash. `digests` folds the narrow rows and joins what was
     read of those that count. Options that decide what is read (retry mode, rendering, raw links)
-    must stay the same for a store. One `add` runs at a time; one that failed may be repeated.
+    must stay the same for a store, and so must `keys`, the columns that tell pages apart (see
+    `page_digests`). One `add` runs at a time; one that failed may be repeated.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, options: Options) -> None:
-        self._spark, self._options = spark, options
+    def __init__(
+        self, spark: SparkSession, folder: str, options: Options, keys: Sequence[str] = ADDRESS
+    ) -> None:
+        self._spark, self._options, self._keys = spark, options, tuple(keys)
         self._captures, self._contents = (f"{folder.rstrip('/')}/{n}" for n in ("captures", "contents"))
 
     def new_files(self, source: str) -> list[str]:
@@ -60,7 +64,7 @@ class RecordStore:
         else:
             rows = within_budget(usable(rows), self._options)
         captured = rows.selectExpr(
-            "page_url", "attempt", "status", "fetched_at", "length(html) AS chars", "place",
+            *self._keys, "attempt", "status", "fetched_at", "length(html) AS chars", "place",
             f"{_key()} AS key",
         )
         # One place per content; which one makes no difference, but it must not change.
@@ -84,23 +88,24 @@ class RecordStore:
         contents = self._spark.read.parquet(self._contents).drop("batch").dropDuplicates(["key"])
         folded = (
             captures.where("attempt IS NOT NULL")
-            .groupBy("page_url")
+            .groupBy(*self._keys)
             .agg(
                 expr(f"min_by(struct(attempt, key), {attempt_rank('key')})").alias("o"),
                 *times_by_attempt(self._options),
             )
-            .selectExpr("page_url", "o.key AS key", *first_and_last("o.attempt"))
+            .selectExpr(*self._keys, "o.key AS key", *first_and_last("o.attempt"))
             .join(contents.selectExpr("key", f"struct({CAPTURED}, place) AS c"), "key")
             .drop("key")
         )
         shown = (
             captures.where("attempt IS NULL")
-            .groupBy("page_url")
+            .groupBy(*self._keys)
             .agg(expr("max_by(key, struct(chars, key))").alias("key"))
             .join(contents.selectExpr("key", f"struct({RENDERED}, place) AS r"), "key")
             .drop("key")
         )
-        return judged_records(folded.join(shown, "page_url", "full"), self._options, places=True)
+        found = folded.join(shown, list(self._keys), "full")
+        return judged_records(found, self._options, places=True, keys=self._keys)
 
 
 def _address(file: str) -> str:

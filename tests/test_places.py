@@ -7,6 +7,7 @@ from sitetext import Options, run_companies
 from sitetext.config import ATTEMPTS_SCHEMA
 from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
 from sitetext.operators.pages import page_digests
+from sitetext.plans.records import RecordStore
 from sitetext.sources.places import read_at, with_places
 from sitetext.sources.tables import captured_attempts, read_captures
 from test_run import LONG, captured
@@ -160,3 +161,11 @@ def test_captures_with_one_address_keep_a_record_each(spark):
     got = sorted((r.page_id, r.text.split()[-1]) for r in found.collect())
     assert got == [(1, "first"), (2, "second")]
     assert page_digests(captured_attempts(captures), None, Options(js_fallback=False)).count() == 1
+
+
+def test_a_store_keeps_pages_with_one_address_apart(spark, tmp_path):
+    shared_address(spark, tmp_path)
+    store = RecordStore(spark, f"{tmp_path}/store", Options(), keys=("page_id", "page_url"))
+    store.add(f"{tmp_path}/shown", renders=True)
+    store.add(f"{tmp_path}/log")
+    assert records(store.digests()) == SHARED_RECORDS

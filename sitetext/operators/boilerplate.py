@@ -19,16 +19,20 @@ def _blocks(text: Sql) -> Sql:
     return rf"split({text}, '\n')"
 
 
-def repeated_blocks(pages: DataFrame, min_pages: int, key: str = "page_url") -> DataFrame:
+def repeated_blocks(
+    pages: DataFrame, min_pages: int, key: str = "page_url", page: str | None = None
+) -> DataFrame:
     """host, block (hash of a line) and n_pages of lines that `min_pages` pages of a host hold.
 
+    `page` is the column that tells pages apart where several have one address in `key`.
+
     Only hashes are shuffled. A line is counted once per page, whatever it holds of the line and
     however often the page occurs. Rows are made distinct by page first, which spreads the lines
     of a hot host over all tasks, and each task then sends one count per line.
     """
     lines = f"array_distinct(transform(filter({_blocks('text')}, l -> l <> ''), l -> xxhash64(l)))"
     return (
-        pages.selectExpr(f"{bare_host(key)} AS host", f"xxhash64({key}) AS page", f"explode({lines}) AS block")
+        pages.selectExpr(f"{bare_host(key)} AS host", f"xxhash64({page or key}) AS page", f"explode({lines}) AS block")
         .distinct()
         .groupBy("host", "block")
         .agg(F.count("*").alias("n_pages"))

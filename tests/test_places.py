@@ -169,3 +169,14 @@ def test_a_store_keeps_pages_with_one_address_apart(spark, tmp_path):
     store.add(f"{tmp_path}/shown", renders=True)
     store.add(f"{tmp_path}/log")
     assert records(store.digests()) == SHARED_RECORDS
+
+
+def test_lines_of_pages_with_one_address_count_for_each(spark):
+    pages = spark.createDataFrame(
+        [(1, SHARED, "Menu\none"), (2, SHARED, "Menu\nMenu\ntwo"), (2, SHARED, "Menu")], "page_id int, page_url string, text string"
+    )
+    assert repeated_blocks(pages, min_pages=2).count() == 0
+    repeated = repeated_blocks(pages, min_pages=2, page="page_id").cache()
+    assert [r.n_pages for r in repeated.collect()] == [2]
+    got = sorted((r.page_id, r.text, r.n_dropped) for r in without_boilerplate(pages, repeated).collect())
+    assert got == [(1, "one", 1), (2, "", 1), (2, "two", 2)]

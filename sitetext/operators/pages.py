@@ -204,12 +204,15 @@ def judged_records(
     )
 
 
-def render_queue(judged: DataFrame, renders: DataFrame | None = None) -> DataFrame:
+def render_queue(
+    judged: DataFrame, renders: DataFrame | None = None, keys: Sequence[str] = ADDRESS
+) -> DataFrame:
     """Pages that need rendering and why, each once; those with a rendering are left out.
 
-    Companies share pages, so they are made distinct, in the tasks first, before the join.
+    Companies share pages, so they are made distinct, in the tasks first, before the join. `keys`
+    are the columns that tell pages apart.
     """
-    wanted = judged.where("reason IS NOT NULL").select("page_url", "reason")
+    wanted = judged.where("reason IS NOT NULL").select(*keys, "reason")
     if renders is None:
         return wanted.distinct()
-    return wanted.distinct().join(renders.select("page_url"), "page_url", "left_anti")
+    return wanted.distinct().join(renders.select(*keys), list(keys), "left_anti")

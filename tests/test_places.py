@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sitetext import Options, run_companies
 from sitetext.config import ATTEMPTS_SCHEMA
 from sitetext.operators.boilerplate import repeated_blocks, without_boilerplate
-from sitetext.operators.pages import page_digests
+from sitetext.operators.pages import page_digests, render_queue
 from sitetext.plans.records import RecordStore
 from sitetext.sources.places import read_at, with_places
 from sitetext.sources.tables import captured_attempts, read_captures
@@ -180,3 +180,14 @@ def test_lines_of_pages_with_one_address_count_for_each(spark):
     assert [r.n_pages for r in repeated.collect()] == [2]
     got = sorted((r.page_id, r.text, r.n_dropped) for r in without_boilerplate(pages, repeated).collect())
     assert got == [(1, "one", 1), (2, "", 1), (2, "two", 2)]
+
+
+def test_pages_with_one_address_wait_for_a_rendering_each(spark):
+    judged = spark.createDataFrame(
+        [(1, SHARED, "blocked"), (2, SHARED, "blocked"), (2, SHARED, "blocked"), (3, SHARED, "blocked"), (4, SHARED, None)],
+        "page_id int, page_url string, reason string",
+    )
+    renders = spark.createDataFrame([(3, SHARED, "x")], "page_id int, page_url string, html string")
+    queue = render_queue(judged, renders, keys=("page_id", "page_url"))
+    assert sorted(map(tuple, queue.collect())) == [(1, SHARED, "blocked"), (2, SHARED, "blocked")]
+    assert render_queue(judged, renders).count() == 0

@@ -100,7 +100,8 @@ def sitemap(body: Sql) -> Sql:
 
 
 def is_broken_sitemap(body: Sql) -> Sql:
-    """True for a body that means to be a sitemap and is not well formed."""
+    """True for a body that means to be a sitemap and is not well formed; a body without any
+    tag is passed over before the patterns are tried."""
 
     def broken(markup: Sql) -> Sql:
         return bind(
@@ -109,7 +110,8 @@ def is_broken_sitemap(body: Sql) -> Sql:
         )
 
     found = bind(f"regexp_replace({body}, {_OUTSIDE}, '')", broken)
-    return f"coalesce({_may_be_sitemap(body)} AND {is_markup(body)} AND {found}, false)"
+    is_meant = f"contains({body}, '<') AND {_may_be_sitemap(body)} AND {is_markup(body)}"
+    return f"coalesce({is_meant} AND {found}, false)"
 
 
 def sitemap_locs(body: Sql) -> Sql:

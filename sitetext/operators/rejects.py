@@ -10,15 +10,20 @@ from sitetext.functions.sql import Sql, bind
 
 
 def _never_closed(html: Sql, opening: str, closing: str) -> Sql:
-    """True if the last `opening` has no `closing` after it; one look from the end of the page."""
-    return f"contains(substring_index({html}, '{closing}', -1), '{opening}')"
+    """True if the last `opening` has no `closing` after it; one look from the end of the page,
+    which costs much more than one from its start, so only pages with an `opening` are given it."""
+    return (
+        f"(contains({html}, '{opening}') "
+        f"AND contains(substring_index({html}, '{closing}', -1), '{opening}'))"
+    )
 
 
 def _unclosed(html: Sql) -> Sql:
     tests = (("<!--", "-->"), ("<script", "</script"), ("<style", "</style"))
-    return bind(
+    found = bind(
         f"lower({html})", lambda page: " OR ".join(_never_closed(page, *t) for t in tests)
     )
+    return f"contains({html}, '<') AND {found}"
 
 
 #: Reasons in the order they are listed in, with their conditions on a captured row. The rows of
@@ -43,7 +48,9 @@ def rejected_captures(attempts: DataFrame, observation: Observation | None = Non
     """page_url, attempt, status, fetched_at, chars (of html), faults and fatal of the rows with faults.
 
     One scan, without a shuffle, and no row makes it fail. An `observation` counts in the same pass
-    all rows (rows), those with a fault (rejected), and those of each reason, by its name.
+    all rows (rows), those with a fault (rejected), and those of each reason, by its name. Counts
+    are taken without one too: they keep the filter on the faults above the column, which would
+    else be computed twice, and markup that is itself computed once for each of its uses.
     """
     found = [f"if(coalesce({test}, false), '{name}', NULL)" for name, test in FAULTS.items()]
     rows = attempts.select(
@@ -51,13 +58,12 @@ def rejected_captures(attempts: DataFrame, observation: Observation | None = Non
         expr("coalesce(length(html), 0)").alias("chars"),
         expr(f"array_compact(array({', '.join(found)}))").alias("faults"),
     )
-    if observation is not None:
-        rows = rows.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.size("faults") > 0).alias("rejected"),
-            *(F.count_if(F.array_contains("faults", name)).alias(name) for name in FAULTS),
-        )
+    rows = rows.observe(
+        "faults" if observation is None else observation,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.size("faults") > 0).alias("rejected"),
+        *(F.count_if(F.array_contains("faults", name)).alias(name) for name in FAULTS),
+    )
     fatal = ", ".join(f"'{f}'" for f in FATAL)
     return rows.where("size(faults) > 0").withColumn(
         "fatal", expr(f"arrays_overlap(faults, array({fatal}))")

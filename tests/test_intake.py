@@ -72,6 +72,15 @@ def test_faults_of_captures(spark):
     assert {r.page_url for r in page_digests(attempts, None, Options()).collect()} == set("cdefghijklm")
 
 
+def test_markup_is_computed_once_for_all_faults(spark):
+    """Not again in a filter below, there even once for each test that reads it."""
+    attempts = spark.createDataFrame([(*r[:4], None) for r in FAULTY], ATTEMPTS_SCHEMA).withColumn(
+        "html", F.expr("concat(html, 'spoilt', page_url)")
+    )
+    plan = rejected_captures(attempts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("spoilt") == 1
+
+
 @pytest.mark.parametrize("html,expected", [
     (None, ""), ("", ""), ("<p>Short.</p>", "Short."),
     ("<ul><li><a href=/a>One</a></li><li><a href=/b>Two</a></li></ul>", ""),

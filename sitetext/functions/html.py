@@ -70,9 +70,11 @@ def unescape(text: Sql) -> Sql:
     numbers = "\n".join(f"{code}={char}" for code, char in _WINDOWS.items())
     windows = f"str_to_map({quoted(numbers)}, '\n', '=')"
     piece, place = fresh(), fresh()
+    # Most references are named, and reading a number takes most of the time.
     code = (
+        f"if(startswith({piece}, '#'), "
         f"coalesce(CAST(conv(regexp_extract({piece}, {_HEXADECIMAL}, 1), 16, 10) AS bigint), "
-        f"try_cast(regexp_extract({piece}, {_DECIMAL}, 1) AS bigint))"
+        f"try_cast(regexp_extract({piece}, {_DECIMAL}, 1) AS bigint)), NULL)"
     )
 
     def decoded(r: Sql) -> Sql:

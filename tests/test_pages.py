@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitetext import HIGH_VALUE_KEYWORDS, LOW_VALUE_KEYWORDS, Options
 from sitetext.config import ATTEMPTS_SCHEMA, SITEMAP_NAMESPACE
-from sitetext.functions.html import anchor_links, extract_text
+from sitetext.functions.html import anchor_links, extract_text, unescape
 from sitetext.functions.judgement import gated_text, render_reason
 from sitetext.functions.sitemaps import (
     is_markup,
@@ -352,3 +352,13 @@ def test_unnumbered_attempts_count_as_first(spark):
     rows = [("u", None, 200, "x", None)]
     folded = fold_attempts(spark.createDataFrame(rows, ATTEMPTS_SCHEMA), Options()).collect()
     assert [(r.status, r.retries_used) for r in folded] == [(200, 0)]
+
+
+def test_only_numbers_are_read_as_numbers(spark):
+    """Reading them is most of the cost of a reference, and most references are named."""
+    sql = unescape("x")
+    assert "startswith(" in sql[: sql.index("conv(")]
+    given = ["&amp;#233;", "&#233;&#xE9;&#XE9;", "&#128;&#0;&#55296;", "&nope;&;&&lt;", "&#;&#x;&# 1;", "#233;", "&quot", None]
+    assert many(spark, unescape, given) == [
+        "&#233;", "ééé", "€&#0;&#55296;", "&nope;&;&<", "&#;&#x;&# 1;", "#233;", "&quot", None,
+    ]

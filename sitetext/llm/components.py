@@ -53,11 +53,12 @@ def component_labels(links: DataFrame, staging: Staging, name: str) -> DataFrame
     exchanged along the stars, and each round also passes them on to the labels themselves, so
     paths shorten as in union-find and the rounds grow with the logarithm of the longest path.
     """
+    most = 2 * links.count()
     stars = staging.stage(
-        texts.map_batches(links, _stars, "node binary, root binary"), f"{name}_stars"
+        texts.map_batches(links, _stars, "node binary, root binary"), f"{name}_stars", most
     )
     labels = staging.stage(
-        stars.groupBy("node").agg(F.min("root").alias("label")), f"{name}_labels_0"
+        stars.groupBy("node").agg(F.min("root").alias("label")), f"{name}_labels_0", most
     )
     step = 0
     while True:
@@ -85,4 +86,5 @@ def component_labels(links: DataFrame, staging: Staging, name: str) -> DataFrame
         labels = staging.stage(
             passed.join(up, "label").selectExpr("node", "least(label, up) AS label"),
             f"{name}_labels_{step}",
+            most,
         )

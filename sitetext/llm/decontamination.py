@@ -286,9 +286,12 @@ def contamination(
         .selectExpr("item_id", f"transform(words, w -> {_lowered('w')}) AS words"),
         "items",
     )
-    words = staging.stage(items.select(F.explode("words").alias("word")).distinct(), "words")
+    n_items, n_places = items.agg(F.count("*"), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    words = staging.stage(
+        items.select(F.explode("words").alias("word")).distinct(), "words", n_places
+    )
     n_words = words.count()
-    counts = staging.stage(word_counts(source, words, n_words), "counts")
+    counts = staging.stage(word_counts(source, words, n_words), "counts", n_words)
     pairs = staging.stage(window_pairs(items, counts, window, n_words), "pairs")
     n_pairs = pairs.count()
     rarest = (
@@ -299,7 +302,7 @@ def contamination(
         .where("size(best) = 2")
         .selectExpr("item_id", "best[0].word AS word_a", "best[1].word AS word_b")
     )
-    near_pairs = staging.stage(rarest, "near_pairs")
+    near_pairs = staging.stage(rarest, "near_pairs", n_items)
     posted = pairs.selectExpr("element_at(words, rarest + 1) AS word", "true AS full")
     for more in (
         pairs.selectExpr("element_at(words, second + 1) AS word"),
@@ -307,7 +310,9 @@ def contamination(
         docs.sparkSession.sql("SELECT '' AS word"),
     ):
         posted = posted.unionByName(more.selectExpr("word", "false AS full"))
-    chosen = staging.stage(posted.groupBy("word").agg(F.max("full").alias("full")), "chosen")
+    chosen = staging.stage(
+        posted.groupBy("word").agg(F.max("full").alias("full")), "chosen", n_words + 1
+    )
     index = staging.stage(build_index(source, chosen, chosen.count(), window), "postings")
     matches = phrase_matches(index, pairs, window, n_pairs)
     keys = ["id_key", "text_key"]

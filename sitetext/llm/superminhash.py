@@ -306,11 +306,13 @@ def near_duplicates(
         ),
         "signed",
     )
+    n_docs = signed.count()
     nodes = staging.stage(
         signed.where("doc_id IS NOT NULL AND node IS NOT NULL")
         .groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")),
         "nodes",
+        n_docs,
     )
     exploded = nodes.select("node", "rep", "n", F.explode("bands").alias("bucket"))
     shared = (
@@ -334,7 +336,7 @@ def near_duplicates(
     links = staging.stage(_links(pairs, sets, percent), "links_0")
     labels = component_labels(links, staging, "components_0")
     for turn in range(1, _CENTRE_ROUNDS + 2):
-        still = staging.stage(_open_members(members, labels), f"open_{turn}")
+        still = staging.stage(_open_members(members, labels), f"open_{turn}", n_members)
         if still.isEmpty():
             break
         last = turn == _CENTRE_ROUNDS + 1
@@ -360,7 +362,8 @@ def near_duplicates(
                 labels = component_labels(links, staging, f"components_{turn}")
         if last:
             left = _open_members(members, labels).select("node", "label", "n").distinct()
-            pairs = _alike_by_prefix(staging.stage(left, "left"), sets, percent, staging)
+            left = staging.stage(left, "left", n_members)
+            pairs = _alike_by_prefix(left, sets, percent, staging)
             found = staging.stage(_links(pairs, sets, percent), "links_left")
             if not found.isEmpty():
                 labels = component_labels(links.unionByName(found), staging, "components_left")
@@ -369,10 +372,11 @@ def near_duplicates(
         "node", "rep", "coalesce(label, node) AS label"
     )
     firsts = marked.groupBy("label").agg(F.min("rep").alias("component_id"))
-    reached = staging.stage(marked.join(firsts, "label").select("node", "component_id"), "reached")
+    reached = staging.stage(
+        marked.join(firsts, "label").select("node", "component_id"), "reached", n_docs
+    )
     return lookup(
-        signed.select("doc_id", "n_shingles", "node"), reached, ["node"], "doc_id", signed.count(),
-        _HOT_ROWS,
+        signed.select("doc_id", "n_shingles", "node"), reached, ["node"], "doc_id", n_docs, _HOT_ROWS
     ).selectExpr(
         "doc_id",
         "n_shingles",

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _OWN = "sitetext.local.folder"
+#: Rows of a file of a table that is known to be narrow and to have no more than so many rows.
+ROWS_OF_A_FILE = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,8 +40,18 @@ class Staging:
         self._spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/sitetext-{uuid.uuid4().hex}"
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read again.
+
+        `rows`, for narrow tables, is the most rows it can have. Such a table is written by a task
+        per ROWS_OF_A_FILE of them, and by as many as run at once at least, however many partitions
+        it has: each file costs folders, renames and, on local disks without Hadoop's native
+        library, processes that are forked from the executor to set modes.
+        """
         path = f"{self.folder}/{name}"
+        if rows is not None:
+            at_once = self._spark.sparkContext.defaultParallelism
+            df = df.coalesce(max(at_once, -(-rows // ROWS_OF_A_FILE)))
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 

@@ -603,6 +603,44 @@ def test_chains_and_full_buckets(spark, monkeypatch, rounds, few):
     assert got == components({i: shingles(t, 3) for i, t in chains()}, 85)
 
 
+@pytest.mark.parametrize("name", ["near_duplicates", "contamination"])
+def test_small_tables_are_few_files(spark, monkeypatch, name):
+    from sitetext.llm.decontamination import contamination
+    from sitetext.llm.superminhash import near_duplicates
+    from sitetext.plans.staging import Staging
+
+    written = {}
+    stage = Staging.stage
+
+    def counted(self, df, name, *rows):
+        out = stage(self, df, name, *rows)
+        written[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(Staging, "stage", counted)
+    rows = chains() + [(i, prose(i, 60)) for i in range(1000, 1060)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    parts = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in parts}
+    try:
+        for k, v in parts.items():
+            spark.conf.set(k, v)
+        if name == "near_duplicates":
+            found = near_duplicates(docs, width=3, percent=85).collect()
+            assert {r.doc_id: r.component_id for r in found} == components(
+                {i: shingles(t, 3) for i, t in rows}, 85
+            )
+        else:
+            items = docs.where("doc_id >= 1000").selectExpr("doc_id AS item_id", "text")
+            assert contamination(docs, items).where("contaminated AND doc_id >= 1000").count() == 60
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    small = ("component", "open", "nodes", "left", "reached", "words", "counts", "near_pairs", "chosen")
+    own = {k: n for k, n in written.items() if k.startswith(small)}
+    assert len(own) >= 4 and max(own.values()) <= spark.sparkContext.defaultParallelism, own
+
+
 def test_signatures_estimate_similarity():
     import numpy as np
     from sitetext.llm.superminhash import signatures

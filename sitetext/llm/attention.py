@@ -20,6 +20,7 @@ from copy import copy
 from functools import lru_cache
 from itertools import chain
 from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ _BLOCKS = 64
 _BEGIN, _END = 1, 2
 _KEYS_AT_ONCE = 1 << 20
 _IDS_AT_ONCE = 1 << 19
+#: Rows whose class logits, about a megabyte, are worked on at once.
+_ROWS_AT_ONCE = 2048
 
 
 def default_path() -> str:
@@ -123,6 +126,19 @@ def _class_sizes(n: int) -> np.ndarray:
     return np.array(sizes, np.int64)
 
 
+class _MemberExponentials(NamedTuple):
+    #: Exponentials, and their views by class with the rows and the touched members of each.
+    e: np.ndarray
+    #: Where the chosen one of each row is, its logit, and the row's sum. Rows may be scaled.
+    places: np.ndarray
+    chosen: np.ndarray
+    sums: np.ndarray
+    parts: list[tuple[slice, slice, np.ndarray]]
+    #: Members of all classes that occur, and their vectors with their start.
+    touched: np.ndarray
+    vectors: np.ndarray
+
+
 class Model:
     """Parameters and tables of a model; the tables map ids to input vectors, classes and members.
 
@@ -139,7 +155,9 @@ class Model:
         kinds = [order[~continues[order]], order[continues[order]]]
         by_member = np.concatenate(kinds)
         sizes = np.concatenate([_class_sizes(len(k)) for k in kinds])
+        self.sizes = sizes
         self.borders = np.concatenate([[0], np.cumsum(sizes)])
+        self.narrow = np.uint16 if n <= 1 << 16 else np.int64
         self.member_of = np.empty(n, np.int64)
         self.member_of[by_member] = np.arange(n)
         self.class_of = np.empty(n, np.int16)
@@ -162,6 +180,7 @@ class Model:
         self.p["bias"] = np.log(np.maximum(totals, 0.5) / totals.sum()).astype(np.float32)
         self.p["members"] = np.zeros((n, d), np.float32)
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+        self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self._fast = None
 
     def flat(self) -> np.ndarray:
@@ -175,146 +194,246 @@ class Model:
             at += size
         self._fast = None
 
-    def hidden(self, inputs: np.ndarray):
-        """What attention makes of windows of input vectors, with what is needed to go back."""
+    def _vectors(self, rows: np.ndarray) -> np.ndarray:
+        """Input vectors of windows, with a last column of ones."""
+        x = np.ones((*rows.shape, WIDTH + 1), np.float32)
+        np.add(self.p["embed"].take(rows, axis=0), self.p["place"], out=x[:, :, :WIDTH])
+        return x
+
+    def _products(self) -> tuple[np.ndarray, np.ndarray]:
+        """Query and key multiplied, and value and out."""
         p = self.p
-        x = p["embed"][inputs] + p["place"]
-        q, k, v = x @ p["query"], x @ p["key"], x @ p["value"]
-        scores = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + self.mask
-        scores -= scores.max(axis=2, keepdims=True)
-        weights = np.exp(scores)
-        weights /= weights.sum(axis=2, keepdims=True)
-        mixed = weights @ v
-        return x + mixed @ p["out"], (x, q, k, v, weights, mixed)
+        return p["query"] @ p["key"].T * np.float32(WIDTH**-0.5), p["value"] @ p["out"]
 
-    def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray):
-        """Natural logarithm of the probability of each scored target of a batch of windows.
+    def _attended(self, x: np.ndarray, asked: np.ndarray, through: np.ndarray, weights: np.ndarray):
+        """What attention makes of the last places of windows: those of `asked`, their vectors times
+        query and key. Fills in the weights; returns with it what they gather and one by their sum.
 
-        The same numbers as from `hidden`, with the matrices multiplied beforehand and the weights
-        divided by their sum after they are used.
+        Weights are divided by their sum, which the column of ones gives, after they are used, and
+        what they gather is multiplied by value and out.
         """
-        if self._fast is None:
-            p = self.p
-            self._fast = (
-                (p["query"] @ p["key"].T * np.float32(WIDTH**-0.5)),
-                p["value"] @ p["out"],
-                np.vstack([p["classes"], p["bias"]]),
-                np.tril(np.ones((WINDOW, WINDOW), np.float32)),
-                self.input_of.astype(np.int32),
-                self.class_of,
-            )
-        pair, value, classes, seen, input_of, class_of = self._fast
-        x = self.p["embed"][input_of[inputs]] + self.p["place"]
-        weights = np.matmul(x @ pair, x.transpose(0, 2, 1))
-        np.minimum(weights, 60, out=weights)
+        first = WINDOW - asked.shape[1]
+        np.matmul(asked, x[:, :, :WIDTH].transpose(0, 2, 1), out=weights)
+        if _out_of_range(weights):
+            weights += self.mask[first:]
+            weights -= weights.max(axis=2, keepdims=True)
         np.exp(weights, out=weights)
-        weights *= seen
-        values = np.empty((*x.shape[:2], WIDTH + 1), np.float32)
-        values[:, :, :WIDTH], values[:, :, WIDTH] = x @ value, 1
-        got = np.matmul(weights, values)
-        h = np.ones((int(scored.sum()), WIDTH + 1), np.float32)
-        h[:, :WIDTH] = (x + got[:, :, :WIDTH] / got[:, :, WIDTH:])[scored]
-        ids = targets[scored]
-        logits = h @ classes
-        chosen = logits[np.arange(len(ids)), class_of[ids]].astype(np.float64)
-        top = logits.max(initial=-np.inf)
-        logits -= top
-        total = np.exp(logits).sum(axis=1).astype(np.float64)
-        # A row far below the top of its batch is summed on its own.
-        low = np.flatnonzero(total < 1e-20)
-        if len(low):
-            own = logits[low].astype(np.float64)
-            peak = own.max(axis=1)
-            total[low] = np.exp(np.maximum(peak, -700)) * np.exp(own - peak[:, None]).sum(axis=1)
-        found = chosen - np.log(total) - top
-        h = h[:, :WIDTH]
-        for at, lo, hi in self._by_class(ids):
-            logits = self._member_logits(h[at], lo, hi)
-            own = logits[np.arange(len(at)), self.member_of[ids[at]] - lo]
-            found[at] += own - np.log(np.exp(logits).sum(axis=1))
+        weights *= self.seen[first:]
+        got = np.matmul(weights, x)
+        shares = 1 / got[:, :, WIDTH:]
+        gathered = got[:, :, :WIDTH] * shares
+        hidden = (_flat(gathered) @ through).reshape(gathered.shape)
+        hidden += x[:, first:, :WIDTH]
+        return hidden, gathered, shares
+
+    def _by_member(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of ids by member, and the classes and members in this order."""
+        members = self.member_of[ids]
+        # 16-bit numbers are sorted by radix.
+        order = np.argsort(members.astype(self.narrow), kind="stable")
+        return order, self.class_of[ids[order]], members[order]
+
+    def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray):
+        """Natural logarithm of the probability of each scored target of a batch of windows."""
+        if self._fast is None:
+            self._fast = (*self._products(), np.vstack([self.p["classes"], self.p["bias"]]))
+        pair, through, classes = self._fast
+        x = self._vectors(self.input_of[inputs])
+        # Places before the first that is scored in any window are only looked at.
+        first = int(scored.any(axis=0).argmax())
+        scored = scored[:, first:]
+        own = x[:, first:, :WIDTH]
+        asked = (own.reshape(-1, WIDTH) @ pair).reshape(own.shape)
+        weights = np.empty((*own.shape[:2], WINDOW), np.float32)
+        hidden, _, _ = self._attended(x, asked, through, weights)
+        ids = targets[:, first:][scored]
+        order, class_of, members = self._by_member(ids)
+        h = np.ones((len(ids), WIDTH + 1), np.float32)
+        h[:, :WIDTH] = _flat(hidden).take(np.flatnonzero(scored)[order], axis=0)
+        of_members = self._member_exponentials(h, class_of, members)
+        logs = of_members.chosen - np.log(of_members.sums).astype(np.float64)
+        for at in range(0, len(ids), _ROWS_AT_ONCE):
+            part = slice(at, at + _ROWS_AT_ONCE)
+            _, _, chosen, sums = _exponentials(h[part], classes, class_of[part])
+            logs[part] += chosen - np.log(sums)
+        found = np.empty(len(ids))
+        found[order] = logs
         return found
 
-    def _by_class(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-        """Places of the ids of each class that occurs, and the borders of its members."""
-        classes = self.class_of[ids]
-        order = np.argsort(classes, kind="stable")
-        ends = np.cumsum(np.bincount(classes, minlength=len(self.borders) - 1))
-        begin = 0
-        for c, end in enumerate(ends.tolist()):
-            if end > begin:
-                yield order[begin:end], int(self.borders[c]), int(self.borders[c + 1])
-            begin = end
-
-    def _member_logits(self, h: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        """Logits of the members of a class, the largest of each row zero."""
-        logits = h @ self.p["members"][lo:hi].T
-        logits += self.member_start[lo:hi]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits
+    def _member_exponentials(
+        self, h: np.ndarray, classes: np.ndarray, members: np.ndarray
+    ) -> _MemberExponentials:
+        """For rows in order of class: exponentials of the logits of the members of a row's class,
+        one row after the other."""
+        n_rows = np.bincount(classes, minlength=len(self.sizes))
+        present = np.flatnonzero(n_rows)
+        n_rows, sizes = n_rows[present], self.sizes[present]
+        ends, row_ends, stops = np.cumsum(sizes), np.cumsum(n_rows), np.cumsum(n_rows * sizes)
+        touched = np.arange(int(sizes.sum())) + np.repeat(self.borders[present] - ends + sizes, sizes)
+        vectors = np.empty((len(touched), WIDTH + 1), np.float32)
+        vectors[:, :WIDTH] = self.p["members"].take(touched, axis=0)
+        vectors[:, WIDTH] = self.member_start.take(touched)
+        e, parts = np.empty(int((n_rows * sizes).sum()), np.float32), []
+        row = lo = at = 0
+        for row_end, hi, stop in zip(row_ends.tolist(), ends.tolist(), stops.tolist()):
+            part = e[at:stop].reshape(row_end - row, hi - lo)
+            np.dot(h[row:row_end], vectors[lo:hi].T, out=part)
+            parts.append((slice(row, row_end), slice(lo, hi), part))
+            row, lo, at = row_end, hi, stop
+        sizes = self.sizes[classes]
+        heads = np.cumsum(sizes) - sizes
+        if _out_of_range(e):
+            e -= np.repeat(np.maximum.reduceat(e, heads), sizes)
+        places = heads + members - self.borders[classes]
+        chosen = e[places]
+        np.exp(e, out=e)
+        sums = np.add.reduceat(e, heads)
+        return _MemberExponentials(e, places, chosen, sums, parts, touched, vectors)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean loss of a batch; targets of -1 don't count. Those of the members are
-        the members they are for and the values."""
+        the members they are for and the values.
+
+        An exponential less its row's sum at the target is, divided by that sum, the gradient of a
+        logit; rows are divided after they are multiplied.
+        """
         p, rows = self.p, self.input_of[inputs]
-        h, (x, q, k, v, weights, mixed) = self.hidden(rows)
-        b, t = np.nonzero(targets >= 0)
-        ids, own = targets[b, t], h[b, t]
+        pair, through = self._products()
+        x = self._vectors(rows)
+        vectors = _flat(x)[:, :WIDTH]
+        # Weights and, below them, the gradients of their logits; what both are multiplied by.
+        stack = np.empty((len(x), 2 * WINDOW, WINDOW), np.float32)
+        weights, ds = stack[:, :WINDOW], stack[:, WINDOW:]
+        factors = np.empty((len(x), 2 * WINDOW, WIDTH), np.float32)
+        factors[:, WINDOW:] = asked = (vectors @ pair).reshape(len(x), WINDOW, WIDTH)
+        hidden, gathered, shares = self._attended(x, asked, through, weights)
+
+        places = np.flatnonzero(targets >= 0)
+        ids = targets.reshape(-1)[places]
+        order, class_of, members = self._by_member(ids)
+        places = places[order]
         share = np.float32(1 / max(1, len(ids)))
-        e = own @ p["classes"] + p["bias"]
-        e -= e.max(axis=1, keepdims=True)
-        np.exp(e, out=e)
-        e /= e.sum(axis=1, keepdims=True)
-        e[np.arange(len(ids)), self.class_of[ids]] -= 1
-        e *= share
-        g = {"classes": own.T @ e, "bias": e.sum(axis=0)}
-        back = e @ p["classes"].T
-        touched, values = [np.zeros(0, np.int64)], [np.zeros((0, WIDTH), np.float32)]
-        for at, lo, hi in self._by_class(ids):
-            e, of = np.exp(self._member_logits(own[at], lo, hi)), own[at]
-            e /= e.sum(axis=1, keepdims=True)
-            e[np.arange(len(at)), self.member_of[ids[at]] - lo] -= 1
-            e *= share
-            touched.append(np.arange(lo, hi))
-            values.append(e.T @ of)
-            back[at] += e @ p["members"][lo:hi]
-        g["members"] = np.concatenate(touched), np.concatenate(values)
-        dh = np.zeros_like(h)
-        dh[b, t] = back
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        g["out"] = flat(mixed).T @ flat(dh)
-        d_mixed = dh @ p["out"].T
-        d_weights = d_mixed @ v.transpose(0, 2, 1)
-        dv = weights.transpose(0, 2, 1) @ d_mixed
-        ds = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
-        ds *= np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g["query"], g["key"], g["value"] = (flat(x).T @ flat(a) for a in (dq, dk, dv))
-        dx = dh + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
+        own = np.ones((len(ids), WIDTH + 1), np.float32)
+        own[:, :WIDTH] = _flat(hidden).take(places, axis=0)
+        classes = np.vstack([p["classes"], p["bias"]])
+        d_classes, back = np.zeros_like(classes.T), np.empty_like(own)
+        for at in range(0, len(ids), _ROWS_AT_ONCE):
+            part = slice(at, at + _ROWS_AT_ONCE)
+            e, chosen, _, sums = _exponentials(own[part], classes, class_of[part])
+            e.reshape(-1)[chosen] -= sums
+            factor = (share / sums)[:, None]
+            d_classes += e.T @ (own[part] * factor)
+            np.dot(e, classes.T, out=back[part])
+            back[part] *= factor
+        g = {"classes": d_classes[:, :WIDTH].T, "bias": d_classes[:, WIDTH]}
+
+        of = self._member_exponentials(own, class_of, members)
+        of.e[of.places] -= of.sums
+        factor = (share / of.sums)[:, None]
+        scaled, added, d_members = own * factor, np.empty_like(own), np.empty_like(of.vectors)
+        for at, which, part in of.parts:
+            np.dot(part, of.vectors[which], out=added[at])
+            np.dot(part.T, scaled[at], out=d_members[which])
+        added *= factor
+        back += added
+        g["members"] = of.touched, d_members[:, :WIDTH]
+
+        dh = np.zeros_like(hidden)
+        _flat(dh)[places] = back[:, :WIDTH]
+        d_through = _flat(gathered).T @ _flat(dh)
+        d_got = np.empty_like(x)
+        d_own = d_got[:, :, :WIDTH]
+        np.multiply((_flat(dh) @ through.T).reshape(dh.shape), shares, out=d_own)
+        np.negative(np.einsum("btd,btd->bt", d_own, gathered), out=d_got[:, :, WIDTH])
+        factors[:, :WINDOW] = d_own
+        np.matmul(d_got, x.transpose(0, 2, 1), out=ds)
+        ds *= weights
+        d_asked = _flat(np.matmul(ds, x[:, :, :WIDTH]))
+        dx = np.matmul(stack.transpose(0, 2, 1), factors)
+        dx += dh
+        dx += (d_asked @ pair.T).reshape(dx.shape)
+        d_pair = vectors.T @ d_asked * np.float32(WIDTH**-0.5)
+        g["query"], g["key"] = d_pair @ p["key"], d_pair.T @ p["query"]
+        g["value"], g["out"] = d_through @ p["out"].T, p["value"].T @ d_through
         g["place"] = dx.sum(axis=0)
         g["embed"] = np.zeros_like(p["embed"])
-        order = np.argsort(rows, axis=None, kind="stable")
-        sorted_rows = rows.reshape(-1)[order]
-        heads = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-        g["embed"][sorted_rows[heads]] = np.add.reduceat(flat(dx)[order], heads, axis=0)
+        rows = rows.reshape(-1)
+        order = np.argsort(rows.astype(np.int16), kind="stable")
+        in_order = rows[order]
+        heads = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
+        g["embed"][in_order[heads]] = np.add.reduceat(_flat(dx).take(order, axis=0), heads, axis=0)
         return g
 
 
+def _flat(a: np.ndarray) -> np.ndarray:
+    return a.reshape(-1, a.shape[-1])
+
+
+def _out_of_range(logits: np.ndarray) -> bool:
+    """Whether exponentials or their sums could leave the range of 32-bit floats."""
+    return logits.max(initial=0) > 60 or logits.min(initial=0) < -60
+
+
+def _exponentials(h: np.ndarray, classes: np.ndarray, chosen: np.ndarray):
+    """Exponentials of logits; where the chosen one of each row is, its logit, and the row's sum.
+    Rows may be scaled."""
+    e = h @ classes
+    places = np.arange(len(e)) * e.shape[1] + chosen
+    logits = e.take(places)
+    ones = np.ones(e.shape[1], np.float32)
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(e, out=e)
+        sums = e @ ones
+    if not (sums.min(initial=1) > 1e-26 and sums.max(initial=1) < 1e26):
+        np.matmul(h, classes, out=e)
+        e -= (top := e.max(axis=1, keepdims=True))
+        logits -= top[:, 0]
+        np.exp(e, out=e)
+        sums = e @ ones
+    return e, places, logits, sums
+
+
 class _Adam:
+    """Steps of Adam; the members, of which a step has only some, are apart from the rest."""
+
     def __init__(self, model: Model, rate: float) -> None:
         self.model, self.rate, self.t = model, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in model.p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in model.p.items()}
+        self.names = [k for k in model.NAMES if k != "members"]
+        n = sum(model.p[k].size for k in self.names)
+        self.m, self.v = np.zeros(n, np.float32), np.zeros(n, np.float32)
+        self.members_m = np.zeros_like(model.p["members"])
+        self.members_v = np.zeros_like(model.p["members"])
 
     def step(self, g: dict[str, np.ndarray]) -> None:
         self.t += 1
-        scale = self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
-        for k, x in g.items():
-            at, x = x if isinstance(x, tuple) else (slice(None), x)
-            m, v = self.m[k][at], self.v[k][at]
-            m = m + np.float32(0.1) * (x - m)
-            v = v + np.float32(0.01) * (x * x - v)
-            self.m[k][at], self.v[k][at] = m, v
-            self.model.p[k][at] -= np.float32(scale) * m / (np.sqrt(v) + np.float32(1e-8))
+        scale = np.float32(self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t))
+        p = self.model.p
+        change = _adam_change(
+            np.concatenate([g[k].reshape(-1) for k in self.names]), self.m, self.v, scale
+        )
+        at = 0
+        for k in self.names:
+            p[k] -= change[at : at + p[k].size].reshape(p[k].shape)
+            at += p[k].size
+        members, x = g["members"]
+        m, v = self.members_m[members], self.members_v[members]
+        p["members"][members] -= _adam_change(x, m, v, scale)
+        self.members_m[members], self.members_v[members] = m, v
+
+
+def _adam_change(x: np.ndarray, m: np.ndarray, v: np.ndarray, scale: np.float32) -> np.ndarray:
+    """What a step takes off, in place of its gradient; m and v become those after it."""
+    x *= np.float32(0.1)
+    m *= np.float32(0.9)
+    m += x
+    x *= x
+    v *= np.float32(0.99)
+    v += x
+    np.sqrt(v, out=x)
+    x += np.float32(1e-8)
+    np.divide(m, x, out=x)
+    x *= scale
+    return x
 
 
 # --- Counts ------------------------------------------------------------------
@@ -478,11 +597,13 @@ def window_scores(
     scored = targets >= 0
     scored[~first, :OVERLAP] = False
     out = np.zeros(n)
-    for at in range(0, len(rows), at_once):
-        part = slice(at, at + at_once)
-        mask = scored[part]
-        found = model.log_probabilities(inputs[part], targets[part], mask)
-        out += np.bincount(np.repeat(rows[part], mask.sum(axis=1)), weights=found, minlength=n)
+    # First windows are scored whole, the others behind what overlaps, so they go apart.
+    for own in (np.flatnonzero(first), np.flatnonzero(~first)):
+        for at in range(0, len(own), at_once):
+            part = own[at : at + at_once]
+            mask = scored[part]
+            found = model.log_probabilities(inputs[part], targets[part], mask)
+            out += np.bincount(np.repeat(rows[part], mask.sum(axis=1)), weights=found, minlength=n)
     return out / np.log(10)
 
 

@@ -360,6 +360,43 @@ def test_gradients_match_differences():
         assert isclose((up - down) / (2 * float(eps)), grads[name].reshape(-1)[k], rel_tol=0.05, abs_tol=2e-4)
 
 
+def test_large_logits_are_scored_like_small_ones():
+    import numpy as np
+    from sitetext.llm import attention as a
+
+    rng = np.random.default_rng(0)
+    model = a.Model(rng.integers(0, 50, 32000), np.arange(32000) % 2 == 0)
+    inputs = rng.integers(0, 32000, (3, a.WINDOW))
+    targets = rng.integers(0, 32000, (3, a.WINDOW))
+    every, late = np.ones(inputs.shape, bool), np.ones(inputs.shape, bool)
+    late[:, : a.OVERLAP] = False
+    model.p["members"] = rng.standard_normal((32000, a.WIDTH)).astype(np.float32)
+    for query, rest in ((1, 1), (600, 1), (1, 60)):
+        model.p["query"] *= query
+        model.p["classes"] *= rest
+        model.p["members"] *= rest
+        model._fast = None
+        p = {k: v.astype(float) for k, v in model.p.items()}
+        x = p["embed"][model.input_of[inputs]] + p["place"]
+        scores = (x @ p["query"]) @ (x @ p["key"]).transpose(0, 2, 1) * a.WIDTH**-0.5
+        assert query == 1 or np.tril(scores).max() > 90
+        scores[:, np.triu(np.ones((a.WINDOW, a.WINDOW), bool), 1)] = -np.inf
+        log_softmax = lambda z: z - z.max(-1, keepdims=True) - np.log(np.exp(z - z.max(-1, keepdims=True)).sum(-1, keepdims=True))
+        h = x + np.exp(log_softmax(scores)) @ (x @ p["value"]) @ p["out"]
+        classes = log_softmax(h @ p["classes"] + p["bias"])
+        plain = np.empty(inputs.shape)
+        for b, t in np.ndindex(*inputs.shape):
+            i = targets[b, t]
+            c = int(model.class_of[i])
+            lo, hi = model.borders[c], model.borders[c + 1]
+            own = log_softmax(p["members"][lo:hi] @ h[b, t] + model.member_start[lo:hi])
+            plain[b, t] = classes[b, t, c] + own[model.member_of[i] - lo]
+        assert np.allclose(model.log_probabilities(inputs, targets, every), plain[every], rtol=1e-3, atol=2e-2)
+        assert np.allclose(model.log_probabilities(inputs, targets, late), plain[late], rtol=1e-3, atol=2e-2)
+        grads = model.gradients(inputs, targets)
+        assert all(np.isfinite(g[1] if isinstance(g, tuple) else g).all() for g in grads.values())
+
+
 def test_every_window_trains_in_one_round():
     import numpy as np
     from sitetext.llm import attention as a
